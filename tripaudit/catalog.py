@@ -1,0 +1,110 @@
+"""Registered results: name -> (Spark builder, oracle SQL or None).
+
+Every builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame that
+reads the given tables (through the ``trips`` view derived from
+``lineitem``). Column names are aliased identically on both sides.
+"""
+
+from __future__ import annotations
+
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import oracle as O
+from .chain import featured_trips
+from .operators import summaries as S
+from .sources.fixture import KEYS
+
+Builder = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, tuple[Builder, str | None]] = {}
+
+_KEYS_SQL = ", ".join(KEYS)
+
+
+def register(name: str, sql: str | None):
+    def deco(fn: Builder) -> Builder:
+        REGISTRY[name] = (fn, sql)
+        return fn
+
+    return deco
+
+
+# pandas cannot hold NULL in an int8 column: a nullable integer result column
+# is presented as DOUBLE on both sides so the two frames compare equal.
+NULLABLE_INTS = ("payment_type",)
+
+
+def presentable(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in NULLABLE_INTS if c in df.columns})
+
+
+def _sql_col(c: str) -> str:
+    return f"CAST({c} AS DOUBLE) AS {c}" if c in NULLABLE_INTS else c
+
+
+def _feature_query(name: str, columns: tuple[str, ...]):
+    cols_sql = ", ".join(_sql_col(c) for c in columns)
+
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return presentable(featured_trips(spark, sf_dir).select(*KEYS, *columns))
+
+    register(name, O.with_base(f"SELECT {_KEYS_SQL}, {cols_sql} FROM feat"))(fn)
+
+
+_feature_query("trip_duration", ("lpep_pickup_datetime", "lpep_dropoff_datetime", "trip_duration_min"))
+_feature_query("time_features", ("pickup_hour", "pickup_dayofweek", "pickup_month", "pickup_year"))
+_feature_query("expected_fare", ("expected_fare",))
+_feature_query("fare_discrepancy", ("fare_amount", "expected_fare", "fare_discrepancy"))
+_feature_query("avg_speed", ("trip_distance", "trip_duration_min", "avg_speed_mph"))
+_feature_query("zone_flags", ("PULocationID", "DOLocationID", "is_invalid_PULocation", "is_invalid_DOLocation", "is_same_zone"))
+_feature_query("zero_passenger", ("passenger_count", "is_zero_passenger"))
+_feature_query("ratecode_flag", ("RatecodeID", "is_invalid_ratecodeID"))
+_feature_query("payment_flags", ("payment_type", "tip_amount", "total_amount", "is_invalid_payment", "is_cash_with_tip", "is_free_but_charged"))
+
+
+@register("trip_features", O.with_base("SELECT * REPLACE (CAST(payment_type AS DOUBLE) AS payment_type) FROM feat"))
+def q_trip_features(spark, sf_dir):
+    return presentable(featured_trips(spark, sf_dir))
+
+
+@register("trips_by_hour", O.with_base(
+    "SELECT pickup_hour, count(trip_duration_min) AS n_trips FROM feat "
+    "WHERE pickup_hour IS NOT NULL GROUP BY pickup_hour ORDER BY pickup_hour"))
+def q_trips_by_hour(spark, sf_dir):
+    return S.trips_by_hour(featured_trips(spark, sf_dir))
+
+
+@register("fare_by_weekday", O.with_base(
+    "SELECT pickup_dayofweek, "
+    "['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'][pickup_dayofweek + 1] AS day_name, "
+    "round(avg(CAST(fare_amount AS DOUBLE)), 6) AS avg_fare FROM feat "
+    "WHERE pickup_dayofweek IS NOT NULL GROUP BY pickup_dayofweek ORDER BY pickup_dayofweek"))
+def q_fare_by_weekday(spark, sf_dir):
+    return S.fare_by_weekday(featured_trips(spark, sf_dir))
+
+
+@register("null_counts", O.with_base(
+    "SELECT 'trip_duration_min' AS \"column\", CAST(count_if(trip_duration_min IS NULL) AS BIGINT) AS n_null FROM feat "
+    "UNION ALL SELECT 'avg_speed_mph', CAST(count_if(avg_speed_mph IS NULL) AS BIGINT) FROM feat "
+    "UNION ALL SELECT 'fare_discrepancy', CAST(count_if(fare_discrepancy IS NULL) AS BIGINT) FROM feat"))
+def q_null_counts(spark, sf_dir):
+    return S.null_counts(featured_trips(spark, sf_dir))
+
+
+@register("negative_durations", O.with_base(
+    "SELECT CAST(count_if(trip_duration_min < 0) AS BIGINT) AS n_negative FROM feat"))
+def q_negative_durations(spark, sf_dir):
+    return S.negative_durations(featured_trips(spark, sf_dir))
+
+
+_FLAGS = ("is_invalid_PULocation", "is_invalid_DOLocation", "is_same_zone", "is_zero_passenger",
+          "is_invalid_ratecodeID", "is_invalid_payment", "is_cash_with_tip", "is_free_but_charged")
+
+
+@register("flag_domains", O.with_base(
+    "SELECT flag, value, count(*) AS n_rows FROM (UNPIVOT (SELECT " + ", ".join(_FLAGS) + " FROM feat) "
+    "ON " + ", ".join(_FLAGS) + " INTO NAME flag VALUE value) GROUP BY flag, value"))
+def q_flag_domains(spark, sf_dir):
+    return S.flag_domains(featured_trips(spark, sf_dir))
