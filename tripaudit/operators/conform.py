@@ -117,6 +117,19 @@ def encode_categories(df: DataFrame, column: str, codes: DataFrame, max_categori
     return joined.withColumn(f"{column}_code", F.coalesce(F.col(f"{column}_code"), F.lit(-1)))
 
 
+# bytes per value of fixed-width types (Spark's default sizes)
+FIXED_SIZES = {
+    "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
+    "date": 4, "timestamp": 8, "timestamp_ntz": 8,
+}
+
+
+def _value_size(dt: T.DataType) -> int:
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    return FIXED_SIZES.get(dt.simpleString(), 8)
+
+
 def _string_like(dt: T.DataType) -> bool:
     return isinstance(dt, (T.StringType, T.BinaryType))
 
@@ -131,7 +144,7 @@ def _footprint_pass(before: DataFrame) -> dict:
     rows = int(row["__rows"])
     sizes = {}
     for i, f in enumerate(before.schema.fields):
-        sizes[f.name] = int(row[f"b__{i}"]) if _string_like(f.dataType) else rows * f.dataType.defaultSize()
+        sizes[f.name] = int(row[f"b__{i}"]) if _string_like(f.dataType) else rows * _value_size(f.dataType)
     return {"rows": rows, "bytes": sizes}
 
 
@@ -143,7 +156,7 @@ def _sizes_after(after: DataFrame, measured: dict) -> dict:
         if _string_like(f.dataType):
             out[f.name] = measured["bytes"][f.name]
         else:
-            out[f.name] = rows * f.dataType.defaultSize()
+            out[f.name] = rows * _value_size(f.dataType)
     return out
 
 
@@ -151,7 +164,7 @@ def column_footprint(spark: SparkSession, before: DataFrame, after: DataFrame |
     """Bytes per column, before and (optionally) after conformance.
 
     Re-aimed from in-process object sizes: fixed-width types count
-    ``rows * defaultSize``, strings their UTF-8 bytes. Needs one pass over
+    ``rows * size``, strings their UTF-8 bytes; a dropped column 0 after. Needs one pass over
     ``before``; ``after`` must be a projection of it (as ``apply_plan`` is).
     """
     measured = _footprint_pass(before)
@@ -160,7 +173,7 @@ def column_footprint(spark: SparkSession, before: DataFrame, after: DataFrame |
     rows = []
     for i, f in enumerate(before.schema.fields):
         rows.append(
-            (i, f.name, f.dataType.simpleString(), measured["bytes"][f.name], after_types.get(f.name), after_sizes.get(f.name))
+            (i, f.name, f.dataType.simpleString(), measured["bytes"][f.name], after_types.get(f.name), after_sizes.get(f.name, 0))
         )
     schema = "position int, column string, type_before string, bytes_before bigint, type_after string, bytes_after bigint"
     return spark.createDataFrame(rows, schema)

@@ -129,3 +129,61 @@ BASE = "WITH " + ",".join([TRIPS, CONFORMED, FEAT]) + "\n"
 
 def with_base(body: str) -> str:
     return BASE + body
+
+
+# --------------------------------------------------------------------------
+# conformance oracles
+# --------------------------------------------------------------------------
+TRIPS_SCHEMA = (
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+    ("VendorID", "bigint"), ("store_and_fwd_flag", "string"), ("trip_type", "bigint"),
+    ("ehail_fee", "double"), ("airport_fee", "double"),
+    ("lpep_pickup_datetime", "timestamp_ntz"), ("lpep_dropoff_datetime", "timestamp_ntz"),
+    ("passenger_count", "double"), ("RatecodeID", "double"), ("PULocationID", "bigint"),
+    ("DOLocationID", "bigint"), ("payment_type", "double"), ("trip_distance", "double"),
+    ("fare_amount", "double"), ("extra", "double"), ("mta_tax", "double"), ("tip_amount", "double"),
+    ("tolls_amount", "double"), ("improvement_surcharge", "double"), ("congestion_surcharge", "double"),
+    ("cbd_congestion_fee", "double"), ("total_amount", "double"),
+)
+LINEITEM_SCHEMA = (
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+    ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+    ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"),
+)
+DEFAULT_SIZE = {"bigint": 8, "int": 4, "smallint": 2, "tinyint": 1, "double": 8, "float": 4, "timestamp_ntz": 8}
+TARGET_TYPE = {"Int8": "tinyint", "int16": "smallint", "float32": "float"}
+
+
+def verdict_sql(col: str, target: str) -> str:
+    """SQL CASE giving converted / kept_loss / failed for one (column, target)."""
+    x = f"CAST({col} AS DOUBLE)"
+    if target == "float32":
+        back = f"CAST(CAST({x} AS FLOAT) AS DOUBLE)"
+        ok = (f"coalesce(bool_and({x} IS NULL OR {back} = {x} OR (abs({back}) < CAST('inf' AS DOUBLE) "
+              f"AND abs({x} - {back}) <= 1e-6 + 1e-4 * abs({back}))), true)")
+        return f"CASE WHEN {ok} THEN 'converted' ELSE 'kept_loss' END"
+    lo, hi = (-128, 127) if target == "Int8" else (-32768, 32767)
+    ok = f"coalesce(bool_and({x} IS NULL OR ({x} BETWEEN {lo} AND {hi} AND {x} = floor({x}))), true)"
+    if target == "Int8":
+        return f"CASE WHEN {ok} THEN 'converted' ELSE 'failed' END"
+    finite = f"coalesce(bool_and({x} IS NULL OR abs({x}) < CAST('inf' AS DOUBLE)), true)"
+    return (f"CASE WHEN count({col}) < count(*) OR NOT {finite} THEN 'failed' "
+            f"WHEN {ok} THEN 'converted' ELSE 'kept_loss' END")
+
+
+def cast_verdicts_sql(table: str, schema: tuple, pairs: tuple) -> str:
+    types = dict(schema)
+    parts = []
+    for col, target in pairs:
+        if col not in types:
+            parts.append(f"SELECT '{table}' AS tbl, '{col}' AS \"column\", '{target}' AS target, "
+                         f"CAST(NULL AS VARCHAR) AS type_before, CAST(NULL AS VARCHAR) AS type_after, 'skipped' AS verdict")
+            continue
+        v = verdict_sql(col, target)
+        before = types[col]
+        parts.append(
+            f"SELECT '{table}' AS tbl, '{col}' AS \"column\", '{target}' AS target, '{before}' AS type_before, "
+            f"CASE WHEN v = 'converted' THEN '{TARGET_TYPE[target]}' ELSE '{before}' END AS type_after, v AS verdict "
+            f"FROM (SELECT {v} AS v FROM {table})"
+        )
+    return "\nUNION ALL ".join(parts)

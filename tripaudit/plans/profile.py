@@ -58,7 +58,12 @@ class ConformPlan:
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def cast_map(self) -> dict[str, str]:
-        return {v.column: v.type_after for v in self.casts if v.verdict == "converted"}
+        """column -> Spark type; with several targets for one column the first converted wins."""
+        out: dict[str, str] = {}
+        for v in self.casts:
+            if v.verdict == "converted" and v.column not in out:
+                out[v.column] = v.type_after
+        return out
 
     def categorical(self) -> tuple[str, ...]:
         return tuple(c.column for c in self.categories if c.verdict == "categorical")
@@ -133,11 +138,9 @@ def build_plan(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, approx_distinct:
     aggs: list[F.Column] = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(kept):
         aggs.append(F.count(_q(c)).alias(f"nn__{i}"))
-    pair_index = {}
     for j, (c, target) in enumerate(roles.narrow_targets):
         if c not in kept:
             continue
-        pair_index[c] = j
         for k, e in cast_check_exprs(df, c, target, roles).items():
             aggs.append(e.alias(f"{k}__{j}"))
     for j, c in enumerate(roles.categorical_columns):
@@ -156,12 +159,11 @@ def build_plan(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, approx_distinct:
     )
 
     casts = []
-    for c, target in roles.narrow_targets:
-        before = schema[c].dataType.simpleString() if c in present else ""
+    for j, (c, target) in enumerate(roles.narrow_targets):
+        before = schema[c].dataType.simpleString() if c in present else None
         if c not in remaining:
             casts.append(CastVerdict(c, target, before, before, "skipped"))
             continue
-        j = pair_index[c]
         checks = {k: row.get(f"{k}__{j}") for k in ("ok", "finite")}
         verdict = decide_cast(schema[c].dataType, target, rows, non_null[c], checks)
         after = TARGET_KINDS[target][0] if verdict == "converted" else before

@@ -1,56 +1,25 @@
-"""Registered results: name -> (Spark builder, oracle SQL or None).
-
-Every builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame that
-reads the given tables (through the ``trips`` view derived from
-``lineitem``). Column names are aliased identically on both sides.
-"""
+"""Registered results: derived columns (F1-F19) and sanity summaries (A1-A5)."""
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle as O
-from .chain import featured_trips
-from .operators import summaries as S
-from .sources.fixture import KEYS
-
-Builder = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[Builder, str | None]] = {}
-
-_KEYS_SQL = ", ".join(KEYS)
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: Builder) -> Builder:
-        REGISTRY[name] = (fn, sql)
-        return fn
-
-    return deco
-
-
-# pandas cannot hold NULL in an int8 column: a nullable integer result column
-# is presented as DOUBLE on both sides so the two frames compare equal.
-NULLABLE_INTS = ("payment_type",)
-
-
-def presentable(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in NULLABLE_INTS if c in df.columns})
-
+from .. import oracle as O
+from ..chain import featured_trips
+from ..operators import summaries as S
+from ..sources.fixture import KEYS
 
-def _sql_col(c: str) -> str:
-    return f"CAST({c} AS DOUBLE) AS {c}" if c in NULLABLE_INTS else c
+from . import register, presentable, sql_col, KEYS_SQL
 
 
 def _feature_query(name: str, columns: tuple[str, ...]):
-    cols_sql = ", ".join(_sql_col(c) for c in columns)
+    cols_sql = ", ".join(sql_col(c) for c in columns)
 
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         return presentable(featured_trips(spark, sf_dir).select(*KEYS, *columns))
 
-    register(name, O.with_base(f"SELECT {_KEYS_SQL}, {cols_sql} FROM feat"))(fn)
+    register(name, O.with_base(f"SELECT {KEYS_SQL}, {cols_sql} FROM feat"))(fn)
 
 
 _feature_query("trip_duration", ("lpep_pickup_datetime", "lpep_dropoff_datetime", "trip_duration_min"))

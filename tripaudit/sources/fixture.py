@@ -76,6 +76,18 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return df.select(*KEYS, *[c.alias(n) for n, c in cols.items()])
 
 
+def with_string_times(trips_df: DataFrame) -> DataFrame:
+    """Adds string-typed ``tpep_*`` columns (some unparseable) for the parse step."""
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    bad = F.col("l_orderkey") % 31 == 0
+    return trips_df.withColumns(
+        {
+            "tpep_pickup_datetime": F.when(bad, F.lit("not a time")).otherwise(F.date_format("lpep_pickup_datetime", fmt)),
+            "tpep_dropoff_datetime": F.date_format("lpep_dropoff_datetime", fmt),
+        }
+    )
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
