@@ -43,6 +43,6 @@ def sql_col(c: str) -> str:
 
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
-    from . import summaries, conform, distributions, anomalies  # noqa: F401  (registration side effects)
+    from . import summaries, conform, distributions, anomalies, sources  # noqa: F401  (registration side effects)
 
     return REGISTRY
