@@ -129,8 +129,8 @@ def density_curves(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tup
     Bandwidth: Scott's factor n^(-1/5) times the sample stddev. The data is
     first reduced to ``kde_fine_bins`` bins per column (count and mean of each
     bin, one distributed aggregate); the curve is evaluated from that bounded
-    table with one aggregate holding one sum per grid point, so cost does not
-    grow with the row count and no pairs are materialised. Counts scaling:
+    table (array functions, at most ``kde_fine_bins`` x grid terms per column),
+    so cost does not grow with the row count. Counts scaling:
     density * n * histogram bin width.
     """
     fine = roles.kde_fine_bins
@@ -150,19 +150,26 @@ def density_curves(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tup
     )
     b = binned.join(st, "column")
     step = span / F.lit(float(g - 1))
-    sums = []
-    for i in range(g):
-        x = F.col("vmax") if i == g - 1 else F.lit(float(i)) * step + F.col("vmin")
-        z = (x - F.col("mu")) / F.col("h")
-        sums.append(F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias(f"s{i}"))
-    wide = b.groupBy("column").agg(*sums)
-    pts = wide.join(st, "column").select(
-        "column",
-        F.posexplode(F.array(*[F.col(f"s{i}") for i in range(g)])).alias("point", "s"),
-        "vmin",
-        "vmax",
-        "n",
-        "h",
+
+    def grid_x(i):
+        return F.when(i == g - 1, F.col("vmax")).otherwise(i.cast("double") * step + F.col("vmin"))
+
+    def kernel(i):
+        z = (grid_x(i) - F.col("mu")) / F.col("h")
+        return F.col("w") * F.exp(F.lit(-0.5) * z * z)
+
+    # one array of g weighted kernel values per bin, summed element-wise per
+    # column; the list per column holds at most kde_fine_bins arrays
+    per_bin = b.select("column", F.transform(F.sequence(F.lit(0), F.lit(g - 1)), kernel).alias("c"))
+    summed = per_bin.groupBy("column").agg(
+        F.aggregate(
+            F.collect_list("c"),
+            F.array_repeat(F.lit(0.0), g),
+            lambda acc, a: F.zip_with(acc, a, lambda x, y: x + y),
+        ).alias("s")
+    )
+    pts = summed.join(st, "column").select(
+        "column", F.posexplode("s").alias("point", "s"), "vmin", "vmax", "n", "h"
     )
     hist_width = (F.col("vmax") - F.col("vmin")) / F.lit(float(roles.hist_bins))
     dens = F.col("s") / (F.col("n") * F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5))

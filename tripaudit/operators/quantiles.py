@@ -106,6 +106,7 @@ def order_statistics(
             else:  # pragma: no cover - ranks are always inside [0, n)
                 raise RuntimeError(f"rank {r} of {k} not located")
         open_ = nxt
+    order_statistics.last_rounds = rounds
     return found
 
 

@@ -12,9 +12,15 @@ from . import KEYS_SQL, register
 _DAYS = "['" + "','".join(R.day_names) + "']"
 
 
+_FENCES: dict = {}
+
+
 def flagged(spark, sf_dir):
     feat = featured_trips(spark, sf_dir)
-    return A.add_anomaly_flags(feat, A.duration_fences(spark, feat, R), R)
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _FENCES:  # data-derived constant, computed once per session
+        _FENCES[key] = A.duration_fences(spark, feat, R)
+    return A.add_anomaly_flags(feat, _FENCES[key], R)
 
 
 FLAGGED_SQL = (

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..chain import conformed_trips, plan_for
+from ..chain import conformed_trips, plan_for, trips
 from ..config import DEFAULT_ROLES
 from ..operators import conform as C
 from ..plans.profile import build_plan, normalise_nan
-from ..sources.fixture import KEYS, read_table, trips, with_string_times
+from ..sources.fixture import KEYS, read_table, with_string_times
 from . import KEYS_SQL, presentable, register
 
 DROPPED = ", ".join(DEFAULT_ROLES.columns_to_drop)

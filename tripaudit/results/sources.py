@@ -13,11 +13,10 @@ import hashlib
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..chain import plan_for
+from ..chain import plan_for, trips
 from ..config import DEFAULT_ROLES as R
 from ..session import scratch_path
 from ..sources import files as FS
-from ..sources.fixture import trips
 from ..sources.sample import sample_rows
 from ..sources.sink import export_monthly
 from ..streaming.ingest import run_incremental_ingest
@@ -34,7 +33,7 @@ def monthly(spark, sf_dir) -> FS.MonthlyLayout:
     if key not in _EXPORTS:
         tag = hashlib.sha1(key[1].encode()).hexdigest()[:8]
         root = scratch_path(spark, f"monthly-{tag}")
-        _EXPORTS[key] = export_monthly(trips(spark, sf_dir), root, PICKUP, R)
+        _EXPORTS[key] = export_monthly(trips(spark, sf_dir), root, PICKUP, R, files_per_month=1)
     return _EXPORTS[key]
 
 
@@ -119,7 +118,9 @@ def q_incremental_ingest(spark, sf_dir):
     schema = spark.read.parquet(layout.root).schema
     sink = scratch_path(spark, "stream-sink")
     ckpt = scratch_path(spark, "stream-ckpt")
-    run_incremental_ingest(spark, layout.root, schema, plan_for(spark, sf_dir), sink, ckpt, R, timeout_s=1800)
+    run_incremental_ingest(
+        spark, layout.root, schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=32, timeout_s=1800
+    )
     out = spark.read.parquet(sink)
     # partition values come back as INT; restore the feature types
     return out.withColumns(

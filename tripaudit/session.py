@@ -25,6 +25,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("TRIPAUDIT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # wide projections and aggregates compile to large methods; let the
+        # JIT compile them instead of interpreting their bytecode
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
+        .config("spark.executor.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
