@@ -10,10 +10,11 @@ only the columns it needs from that table (column pruning at the scan).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .config import DEFAULT_ROLES, TripRoles
 from .operators.conform import apply_plan
+from .operators.distributions import numeric_stat_exprs, numeric_stats, stats_from_row
 from .operators.features import add_features
 from .plans.profile import ConformPlan, build_plan
 from .session import scratch_path
@@ -21,6 +22,7 @@ from .sources.fixture import read_table, trips_from_lineitem
 
 _PLANS: dict[tuple, ConformPlan] = {}
 _TABLES: dict[tuple, str] = {}
+_STATS: dict[tuple, dict] = {}
 
 
 def ensure_parallel(df: DataFrame) -> DataFrame:
@@ -36,10 +38,18 @@ def ensure_parallel(df: DataFrame) -> DataFrame:
     return df
 
 
-def _materialize(spark: SparkSession, key: tuple, name: str, build) -> DataFrame:
+def _materialize(spark: SparkSession, key: tuple, name: str, build, observe=None) -> DataFrame:
+    """Write ``build()`` once under the shared folder; optionally collect
+    observed aggregates (``observe(df) -> (df, callback)``) during that write."""
     if key not in _TABLES:
         path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
+        df = build()
+        done = None
+        if observe is not None:
+            df, done = observe(df)
+        df.write.mode("overwrite").parquet(path)
+        if done is not None:
+            done()
         _TABLES[key] = path
     return spark.read.parquet(_TABLES[key])
 
@@ -63,9 +73,34 @@ def conformed_trips(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT
 
 
 def featured_trips(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
-    """Conformed trips plus the derived columns, written once, read pruned."""
+    """Conformed trips plus the derived columns, written once, read pruned.
+
+    The numeric profile of the EDA columns (count, min, max, stddev and
+    approximate quartile brackets) is observed during that same write, so
+    the distribution summaries need no separate statistics pass.
+    """
     key = ("featured", id(spark), sf_dir.rstrip("/"), roles)
-    return _materialize(spark, key, "featured", lambda: add_features(conformed_trips(spark, sf_dir, roles), roles))
+
+    def observe(df):
+        cols = [c for c in roles.eda_numeric if c in df.columns]
+        obs = Observation(f"numeric_profile_{len(_STATS)}")
+        watched = df.observe(obs, *numeric_stat_exprs(cols))
+
+        def done():
+            _STATS[key] = stats_from_row(cols, obs.get)
+
+        return watched, done
+
+    df = _materialize(spark, key, "featured", lambda: add_features(conformed_trips(spark, sf_dir, roles), roles), observe)
+    if key not in _STATS:  # table written by an earlier call without observation
+        _STATS[key] = numeric_stats(df, roles.eda_numeric)
+    return df
+
+
+def numeric_profile(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> dict:
+    """Per EDA column: n, min, max, sd, approximate quartile brackets."""
+    featured_trips(spark, sf_dir, roles)
+    return _STATS[("featured", id(spark), sf_dir.rstrip("/"), roles)]
 
 
 def featured_lazy(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
@@ -73,4 +108,4 @@ def featured_lazy(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_R
     return add_features(conformed_trips(spark, sf_dir, roles), roles)
 
 
-__all__ = ["trips", "plan_for", "conformed_trips", "featured_trips", "featured_lazy", "ensure_parallel"]
+__all__ = ["trips", "plan_for", "conformed_trips", "featured_trips", "featured_lazy", "numeric_profile", "ensure_parallel"]

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from ..config import DEFAULT_ROLES, TripRoles
 from ..functions.exprs import flag
-from .distributions import numeric_long
+from .distributions import numeric_long, numeric_stats
 from .quantiles import exact_quantiles
 
 ANOMALY_FLAGS = (
@@ -37,14 +37,19 @@ class Fences:
     hi: float | None
 
 
-def duration_fences(spark: SparkSession, df: DataFrame, roles: TripRoles = DEFAULT_ROLES) -> Fences:
-    """Tukey fences of ``trip_duration_min`` (q1 - w*IQR, q3 + w*IQR)."""
-    long = numeric_long(df, ("trip_duration_min",))
-    st = long.agg(F.count("value").alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx")).collect()[0]
+def duration_fences(spark: SparkSession, df: DataFrame, roles: TripRoles = DEFAULT_ROLES, stats: dict | None = None) -> Fences:
+    """Tukey fences of ``trip_duration_min`` (q1 - w*IQR, q3 + w*IQR), exact quartiles."""
+    col = "trip_duration_min"
+    st = (stats or numeric_stats(df, (col,)))[col]
     if not st["n"]:
         return Fences(None, None)
-    bounds = {"trip_duration_min": (int(st["n"]), st["mn"], st["mx"])}
-    q = exact_quantiles(spark, long, (0.25, 0.75), bounds)["trip_duration_min"]
+    long = numeric_long(df, (col,))
+    bounds = {col: (st["n"], st["min"], st["max"])}
+    approx = None
+    if st.get("approx") is not None:  # brackets for (0.25, 0.5, 0.75): keep those of 0.25 and 0.75
+        a = st["approx"]
+        approx = {col: [a[0], a[1], a[4], a[5]]}
+    q = exact_quantiles(spark, long, (0.25, 0.75), bounds, approx=approx)[col]
     iqr = q[0.75] - q[0.25]
     return Fences(q[0.25] - roles.box_whis * iqr, q[0.75] + roles.box_whis * iqr)
 

@@ -37,6 +37,60 @@ def column_stats(long_df: DataFrame) -> DataFrame:
     )
 
 
+QUANTILE_PROBS = (0.25, 0.5, 0.75)
+APPROX_ACCURACY = 10000
+
+
+def numeric_stat_exprs(columns: list[str], probs: tuple[float, ...] = QUANTILE_PROBS, accuracy: int = APPROX_ACCURACY) -> list:
+    """Aggregates of one profile pass over the numeric columns (wide form).
+
+    Usable in ``agg`` or as observed metrics of a write (``DataFrame.observe``).
+    The approximate percentiles only seed the exact quantile search.
+    """
+    from .quantiles import bracket_probs
+
+    bp = F.array(*[F.lit(p) for p in bracket_probs(probs, accuracy)])
+    out = []
+    for i, c in enumerate(columns):
+        x = _q(c).cast("double")
+        out += [
+            F.count(x).alias(f"n__{i}"),
+            F.min(x).alias(f"min__{i}"),
+            F.max(x).alias(f"max__{i}"),
+            F.stddev_samp(x).alias(f"sd__{i}"),
+            F.percentile_approx(x, bp, accuracy).alias(f"pa__{i}"),
+        ]
+    return out
+
+
+def stats_from_row(columns: list[str], row: dict) -> dict:
+    """column -> {n, min, max, sd, approx} from the aggregate row."""
+    out = {}
+    for i, c in enumerate(columns):
+        out[c] = {
+            "n": int(row[f"n__{i}"] or 0),
+            "min": row[f"min__{i}"],
+            "max": row[f"max__{i}"],
+            "sd": row[f"sd__{i}"],
+            "approx": list(row[f"pa__{i}"]) if row[f"pa__{i}"] is not None else None,
+        }
+    return out
+
+
+def numeric_stats(df: DataFrame, columns: tuple[str, ...]) -> dict:
+    """One aggregate pass (one small row to the driver)."""
+    cols = [c for c in columns if c in df.columns]
+    row = df.agg(*numeric_stat_exprs(cols)).collect()[0].asDict()
+    return stats_from_row(cols, row)
+
+
+def _range(st: dict) -> tuple[float, float]:
+    lo, hi = st["min"], st["max"]
+    if lo == hi:
+        return lo - 0.5, hi + 0.5
+    return lo, hi
+
+
 def edges(stats: DataFrame) -> DataFrame:
     """Histogram range: [min, max], widened to +-0.5 for a constant column."""
     same = F.col("vmin") == F.col("vmax")
@@ -58,42 +112,65 @@ def bin_index(v, lo, hi, bins: int):
     step = (hi - lo) / F.lit(float(bins))
     b0 = F.least(F.greatest(F.floor((v - lo) / step).cast("int"), F.lit(0)), F.lit(bins - 1))
     down = F.when((b0 > 0) & (v < b0 * step + lo), b0 - 1).otherwise(b0)
-    return F.when((down < bins - 1) & (v >= (down + 1) * step + lo), down + 1).otherwise(down)
+    up = F.when((down < bins - 1) & (v >= (down + 1) * step + lo), down + 1).otherwise(down)
+    return F.when(v.isNotNull(), up)  # greatest/least skip NULL: keep missing values out
+
 
+def histograms(
+    df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tuple[str, ...] | None = None, stats: dict | None = None
+) -> DataFrame:
+    """``hist_bins`` equal-width bins per column, every bin listed.
 
-def histograms(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tuple[str, ...] | None = None) -> DataFrame:
-    """``hist_bins`` equal-width bins per column, every bin listed."""
+    Edges come from the profile as literals, so binning is a projection and
+    the only shuffle is the partial/final count of at most columns x bins
+    groups.
+    """
     bins = roles.hist_bins
-    long = numeric_long(df, columns or roles.eda_numeric)
-    rng = F.broadcast(edges(column_stats(long)).select("column", "lo", "hi"))
-    binned = long.join(rng, "column").select("column", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
-    counts = binned.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n_rows"))
-    grid = rng.select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return (
-        grid.join(counts, ["column", "bin"], "left")
-        .select(
-            "column",
-            "bin",
-            (F.col("bin") * step + F.col("lo")).alias("bin_lo"),
-            F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise((F.col("bin") + 1) * step + F.col("lo")).alias("bin_hi"),
-            F.coalesce(F.col("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
-        )
+    cols = [c for c in (columns or roles.eda_numeric) if c in df.columns]
+    stats = stats if stats is not None else numeric_stats(df, tuple(cols))
+    cols = [c for c in cols if stats[c]["n"] > 0]
+    spark = df.sparkSession
+    grid_rows = []
+    exprs = []
+    for c in cols:
+        lo, hi = _range(stats[c])
+        step = (hi - lo) / float(bins)
+        exprs.append(bin_index(_q(c).cast("double"), F.lit(lo), F.lit(hi), bins).alias(c))
+        for b in range(bins):
+            grid_rows.append((c, b, b * step + lo, hi if b == bins - 1 else (b + 1) * step + lo))
+    grid = spark.createDataFrame(grid_rows, "column string, bin int, bin_lo double, bin_hi double")
+    if not cols:
+        return grid.withColumn("n_rows", F.lit(0).cast("bigint"))
+    long = df.select(*exprs).unpivot([], cols, "column", "bin").where(F.col("bin").isNotNull())
+    counts = long.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n_rows"))
+    return grid.join(counts, ["column", "bin"], "left").select(
+        "column", "bin", "bin_lo", "bin_hi", F.coalesce(F.col("n_rows"), F.lit(0)).cast("bigint").alias("n_rows")
     )
 
 
-def box_stats(spark: SparkSession, df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tuple[str, ...] | None = None, buckets: int = 4096) -> DataFrame:
+def box_stats(
+    spark: SparkSession,
+    df: DataFrame,
+    roles: TripRoles = DEFAULT_ROLES,
+    columns: tuple[str, ...] | None = None,
+    buckets: int = 4096,
+    stats: dict | None = None,
+) -> DataFrame:
     """Quartiles (exact, linear interpolation), whiskers and flier counts.
 
     whisker_lo = smallest value >= q1 - whis*IQR (q1 if that is above q1),
     whisker_hi likewise; fliers lie outside the whiskers.
     """
-    long = numeric_long(df, columns or roles.eda_numeric)
-    stats = column_stats(long).collect()
-    bounds = {r["column"]: (int(r["n"]), r["vmin"], r["vmax"]) for r in stats}
-    qs = exact_quantiles(spark, long, (0.25, 0.5, 0.75), bounds, buckets=buckets)
+    cols = [c for c in (columns or roles.eda_numeric) if c in df.columns]
+    stats = stats if stats is not None else numeric_stats(df, tuple(cols))
+    cols = [c for c in cols if stats[c]["n"] > 0]
+    long = numeric_long(df, tuple(cols))
+    bounds = {c: (stats[c]["n"], stats[c]["min"], stats[c]["max"]) for c in cols}
+    approx = {c: stats[c]["approx"] for c in cols}
+    qs = exact_quantiles(spark, long, QUANTILE_PROBS, bounds, buckets=buckets, approx=approx)
     rows = []
-    for k, d in qs.items():
+    for k in cols:
+        d = qs[k]
         q1, med, q3 = d[0.25], d[0.5], d[0.75]
         iqr = q3 - q1
         rows.append((k, bounds[k][0], q1, med, q3, q1 - roles.box_whis * iqr, q3 + roles.box_whis * iqr))
@@ -123,33 +200,43 @@ def box_stats(spark: SparkSession, df: DataFrame, roles: TripRoles = DEFAULT_ROL
     )
 
 
-def density_curves(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tuple[str, ...] | None = None) -> DataFrame:
+def density_curves(
+    df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tuple[str, ...] | None = None, stats: dict | None = None
+) -> DataFrame:
     """Gaussian KDE on ``kde_grid_points`` points over [min, max], scaled to counts.
 
     Bandwidth: Scott's factor n^(-1/5) times the sample stddev. The data is
     first reduced to ``kde_fine_bins`` bins per column (count and mean of each
-    bin, one distributed aggregate); the curve is evaluated from that bounded
-    table (array functions, at most ``kde_fine_bins`` x grid terms per column),
-    so cost does not grow with the row count. Counts scaling:
+    bin; the bin index is a projection with literal ranges, then one
+    distributed aggregate); the curve is evaluated from that bounded table
+    (array functions, at most ``kde_fine_bins`` x grid terms per column), so
+    cost does not grow with the row count. Counts scaling:
     density * n * histogram bin width.
     """
     fine = roles.kde_fine_bins
     g = roles.kde_grid_points
-    long = numeric_long(df, columns or roles.eda_numeric)
-    st = F.broadcast(
-        column_stats(long).where(F.col("n") >= 2).withColumn(
-            "h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
-        )
-    )
-    span = F.col("vmax") - F.col("vmin")
-    fb = F.when(span > 0, F.least(F.floor((F.col("value") - F.col("vmin")) / span * fine).cast("int"), F.lit(fine - 1))).otherwise(F.lit(0))
-    binned = (
-        long.join(st, "column")
-        .groupBy("column", fb.alias("fb"))
-        .agg(F.count(F.lit(1)).alias("w"), F.avg("value").alias("mu"))
-    )
+    spark = df.sparkSession
+    cols = [c for c in (columns or roles.eda_numeric) if c in df.columns]
+    stats = stats if stats is not None else numeric_stats(df, tuple(cols))
+    cols = [c for c in cols if stats[c]["n"] >= 2 and stats[c]["sd"] is not None]
+    st_rows = [
+        (c, stats[c]["n"], stats[c]["min"], stats[c]["max"], stats[c]["sd"] * float(stats[c]["n"]) ** -0.2)
+        for c in cols
+    ]
+    st = F.broadcast(spark.createDataFrame(st_rows, "column string, n bigint, vmin double, vmax double, h double"))
+    if not cols:
+        return spark.createDataFrame([], "column string, point int, x double, density double, density_count double")
+    parts = []
+    for c in cols:
+        lo, hi = stats[c]["min"], stats[c]["max"]
+        x = _q(c).cast("double")
+        span = hi - lo
+        fb = F.least(F.floor((x - F.lit(lo)) / F.lit(span) * fine).cast("int"), F.lit(fine - 1)) if span > 0 else F.lit(0)
+        parts.append(F.struct(F.lit(c).alias("column"), fb.alias("fb"), x.alias("value")))
+    long = df.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull())
+    binned = long.groupBy("column", "fb").agg(F.count(F.lit(1)).alias("w"), F.avg("value").alias("mu"))
     b = binned.join(st, "column")
-    step = span / F.lit(float(g - 1))
+    step = (F.col("vmax") - F.col("vmin")) / F.lit(float(g - 1))
 
     def grid_x(i):
         return F.when(i == g - 1, F.col("vmax")).otherwise(i.cast("double") * step + F.col("vmin"))
@@ -168,12 +255,12 @@ def density_curves(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tup
             lambda acc, a: F.zip_with(acc, a, lambda x, y: x + y),
         ).alias("s")
     )
-    pts = summed.join(st, "column").select(
-        "column", F.posexplode("s").alias("point", "s"), "vmin", "vmax", "n", "h"
-    )
+    pts = summed.join(st, "column").select("column", F.posexplode("s").alias("point", "s"), "vmin", "vmax", "n", "h")
     hist_width = (F.col("vmax") - F.col("vmin")) / F.lit(float(roles.hist_bins))
     dens = F.col("s") / (F.col("n") * F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5))
-    x = F.when(F.col("point") == g - 1, F.col("vmax")).otherwise(F.col("point").cast("double") * ((F.col("vmax") - F.col("vmin")) / F.lit(float(g - 1))) + F.col("vmin"))
+    x = F.when(F.col("point") == g - 1, F.col("vmax")).otherwise(
+        F.col("point").cast("double") * ((F.col("vmax") - F.col("vmin")) / F.lit(float(g - 1))) + F.col("vmin")
+    )
     return pts.select(
         "column",
         F.col("point").cast("int").alias("point"),
@@ -194,27 +281,21 @@ def pair_bins(df: DataFrame, pair: str, xcol: str, ycol: str, bins: int = 50) ->
     """2-D binned counts of (x, y) over each axis's [min, max].
 
     Replaces a scatter plot: the cell table has at most bins^2 rows whatever
-    the row count. Rows with a missing coordinate are left out.
+    the row count. Rows with a missing coordinate are left out. One small
+    aggregate gives the ranges (as literals), one pass bins and counts.
     """
     xy = df.select(_q(xcol).cast("double").alias("x"), _q(ycol).cast("double").alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull()
     )
-    st = xy.agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"))
-    same_x, same_y = F.col("xmin") == F.col("xmax"), F.col("ymin") == F.col("ymax")
-    rng = F.broadcast(
-        st.select(
-            F.when(same_x, F.col("xmin") - 0.5).otherwise(F.col("xmin")).alias("xlo"),
-            F.when(same_x, F.col("xmax") + 0.5).otherwise(F.col("xmax")).alias("xhi"),
-            F.when(same_y, F.col("ymin") - 0.5).otherwise(F.col("ymin")).alias("ylo"),
-            F.when(same_y, F.col("ymax") + 0.5).otherwise(F.col("ymax")).alias("yhi"),
-        ).withColumn("__k", F.lit(0))
-    )
+    st = xy.agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax")).collect()[0]
+    if st["xmin"] is None:
+        return df.sparkSession.createDataFrame([], "pair string, bin_x int, bin_y int, n_rows bigint")
+    xlo, xhi = _range({"min": st["xmin"], "max": st["xmax"]})
+    ylo, yhi = _range({"min": st["ymin"], "max": st["ymax"]})
     cells = (
-        xy.withColumn("__k", F.lit(0))
-        .join(rng, "__k")
-        .select(
-            bin_index(F.col("x"), F.col("xlo"), F.col("xhi"), bins).alias("bin_x"),
-            bin_index(F.col("y"), F.col("ylo"), F.col("yhi"), bins).alias("bin_y"),
+        xy.select(
+            bin_index(F.col("x"), F.lit(xlo), F.lit(xhi), bins).alias("bin_x"),
+            bin_index(F.col("y"), F.lit(ylo), F.lit(yhi), bins).alias("bin_y"),
         )
         .groupBy("bin_x", "bin_y")
         .agg(F.count(F.lit(1)).alias("n_rows"))

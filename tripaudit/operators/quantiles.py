@@ -49,21 +49,28 @@ def order_statistics(
     key: str = "column",
     value: str = "value",
     buckets: int = 4096,
+    brackets: dict | None = None,
 ) -> dict:
     """Values at the given 0-based ranks, per key.
 
     ``ranks``: key -> set of ranks; ``bounds``: key -> (n, min, max) from a
     previous aggregate. ``long_df`` holds (key, value) with NULLs removed.
-    Returns {(key, rank): value}.
+    ``brackets`` (optional): (key, rank) -> (lo, hi), a guess such as two
+    approximate percentiles around the rank; the first round counts the rows
+    below ``lo`` exactly and checks that the rank falls inside, otherwise the
+    target restarts from [min, max]. Returns {(key, rank): value}.
     """
     found: dict = {}
-    # open targets: (key, rank) -> [lo, hi, below]
+    # open targets: (key, rank) -> [lo, hi, below]; below None = still to count
     open_: dict = {}
     for k, rs in ranks.items():
         n, lo, hi = bounds[k]
         for r in rs:
             if lo == hi:
                 found[(k, r)] = lo
+            elif brackets and (k, r) in brackets and brackets[(k, r)][0] is not None:
+                blo, bhi = brackets[(k, r)]
+                open_[(k, r)] = [max(lo, blo), min(hi, bhi), None] if blo <= bhi else [lo, hi, 0]
             else:
                 open_[(k, r)] = [lo, hi, 0]
     rounds = 0
@@ -73,43 +80,66 @@ def order_statistics(
             raise RuntimeError("quantile refinement did not converge")
         intervals = sorted({(k, lo, hi, below) for (k, _r), (lo, hi, below) in open_.items()}, key=repr)
         iid = {iv: i for i, iv in enumerate(intervals)}
-        iv_rows = [(i, k, float(lo), float(hi)) for (k, lo, hi, _b), i in iid.items()]
-        iv_df = spark.createDataFrame(iv_rows, f"__iid int, __key string, __lo double, __hi double")
+        iv_rows = [(i, k, float(lo), float(hi), below is None) for (k, lo, hi, below), i in iid.items()]
+        iv_df = spark.createDataFrame(iv_rows, "__iid int, __key string, __lo double, __hi double, __count_below boolean")
         v = F.col(value).cast("double")
+        lo_c, hi_c = F.col("__lo"), F.col("__hi")
         joined = long_df.join(
-            F.broadcast(iv_df), (F.col(key) == F.col("__key")) & v.between(F.col("__lo"), F.col("__hi")), "inner"
-        )
-        bucket = F.least(
-            F.floor((v - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * buckets).cast("int"), F.lit(buckets - 1)
+            F.broadcast(iv_df),
+            (F.col(key) == F.col("__key")) & (v <= hi_c) & ((v >= lo_c) | F.col("__count_below")),
+            "inner",
         )
+        width = hi_c - lo_c
+        inside = F.when(width > 0, F.least(F.floor((v - lo_c) / width * buckets).cast("int"), F.lit(buckets - 1))).otherwise(F.lit(0))
+        bucket = F.when(v < lo_c, F.lit(-1)).otherwise(inside)
         hist = (
             joined.groupBy("__iid", bucket.alias("__b"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"))
             .collect()
         )
         per_iv: dict = {}
+        below_n: dict = {}
         for row in hist:
-            per_iv.setdefault(row["__iid"], []).append((row["__b"], row["n"], row["mn"], row["mx"]))
+            if row["__b"] == -1:
+                below_n[row["__iid"]] = row["n"]
+            else:
+                per_iv.setdefault(row["__iid"], []).append((row["__b"], row["n"], row["mn"], row["mx"]))
         for lst in per_iv.values():
             lst.sort()
         nxt: dict = {}
         for (k, r), (lo, hi, below) in open_.items():
-            cum = below
-            for _b, cnt, mn, mx in per_iv.get(iid[(k, lo, hi, below)], []):
-                if r < cum + cnt:
-                    if mn == mx:
-                        found[(k, r)] = mn
-                    else:
-                        nxt[(k, r)] = [mn, mx, cum]
-                    break
-                cum += cnt
-            else:  # pragma: no cover - ranks are always inside [0, n)
-                raise RuntimeError(f"rank {r} of {k} not located")
+            i = iid[(k, lo, hi, below)]
+            cum = below if below is not None else below_n.get(i, 0)
+            located = False
+            if r >= cum:
+                for _b, cnt, mn, mx in per_iv.get(i, []):
+                    if r < cum + cnt:
+                        if mn == mx:
+                            found[(k, r)] = mn
+                        else:
+                            nxt[(k, r)] = [mn, mx, cum]
+                        located = True
+                        break
+                    cum += cnt
+            if not located:
+                if below is not None:  # pragma: no cover - ranks are always inside [0, n)
+                    raise RuntimeError(f"rank {r} of {k} not located")
+                _n, mn, mx = bounds[k]
+                nxt[(k, r)] = [mn, mx, 0]  # the guess missed: restart from the full range
         open_ = nxt
     order_statistics.last_rounds = rounds
     return found
 
 
+def bracket_probs(probs: tuple[float, ...], accuracy: int) -> list[float]:
+    """Probabilities just below and above each wanted one (3 / accuracy apart)."""
+    eps = 3.0 / accuracy
+    out = []
+    for p in probs:
+        out.extend((max(0.0, p - eps), min(1.0, p + eps)))
+    return out
+
+
 def exact_quantiles(
     spark: SparkSession,
     long_df: DataFrame,
@@ -118,14 +148,20 @@ def exact_quantiles(
     key: str = "column",
     value: str = "value",
     buckets: int = 4096,
+    approx: dict | None = None,
 ) -> dict:
-    """{key: {p: quantile}} with numpy's default interpolation."""
+    """{key: {p: quantile}} with numpy's default interpolation.
+
+    ``approx`` (optional): key -> list of approximate percentiles at
+    ``bracket_probs(probs, accuracy)``, used to start near the answer.
+    """
     need: dict = {}
     plan: dict = {}
+    brackets: dict = {}
     for k, (n, _lo, _hi) in bounds.items():
         if n == 0:
             continue
-        for p in probs:
+        for j, p in enumerate(probs):
             vi = virtual_index(n, p)
             prev = math.floor(vi)
             prev = min(max(prev, 0), n - 1)
@@ -133,7 +169,11 @@ def exact_quantiles(
             gamma = vi - math.floor(vi)
             plan[(k, p)] = (prev, nxt, gamma)
             need.setdefault(k, set()).update((prev, nxt))
-    stats = order_statistics(spark, long_df, need, bounds, key, value, buckets)
+            if approx and approx.get(k):
+                lo, hi = approx[k][2 * j], approx[k][2 * j + 1]
+                for r in (prev, nxt):
+                    brackets[(k, r)] = (lo, hi)
+    stats = order_statistics(spark, long_df, need, bounds, key, value, buckets, brackets)
     out: dict = {}
     for (k, p), (a, b, g) in plan.items():
         out.setdefault(k, {})[p] = lerp(stats[(k, a)], stats[(k, b)], g)

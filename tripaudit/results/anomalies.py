@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import oracle as O
-from ..chain import featured_trips
+from ..chain import featured_trips, numeric_profile
 from ..config import DEFAULT_ROLES as R
 from ..operators import anomalies as A
 from ..operators import summaries as S
@@ -19,7 +19,7 @@ def flagged(spark, sf_dir):
     feat = featured_trips(spark, sf_dir)
     key = (id(spark), sf_dir.rstrip("/"))
     if key not in _FENCES:  # data-derived constant, computed once per session
-        _FENCES[key] = A.duration_fences(spark, feat, R)
+        _FENCES[key] = A.duration_fences(spark, feat, R, stats=numeric_profile(spark, sf_dir))
     return A.add_anomaly_flags(feat, _FENCES[key], R)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..chain import featured_trips
+from ..chain import featured_trips, numeric_profile
 from ..config import DEFAULT_ROLES
 from ..operators import distributions as D
 from . import register
@@ -45,7 +45,7 @@ def _hist_sql() -> str:
 
 @register("histograms", _hist_sql())
 def q_histograms(spark, sf_dir):
-    return D.histograms(featured_trips(spark, sf_dir))
+    return D.histograms(featured_trips(spark, sf_dir), stats=numeric_profile(spark, sf_dir))
 
 
 def _box_sql() -> str:
@@ -68,7 +68,7 @@ def _box_sql() -> str:
 
 @register("box_stats", _box_sql())
 def q_box_stats(spark, sf_dir):
-    b = D.box_stats(spark, featured_trips(spark, sf_dir))
+    b = D.box_stats(spark, featured_trips(spark, sf_dir), stats=numeric_profile(spark, sf_dir))
     return b.select(
         "column", "n", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")], "n_fliers"
     )
@@ -96,7 +96,7 @@ def _density_sql() -> str:
 
 @register("density_curves", _density_sql())
 def q_density_curves(spark, sf_dir):
-    d = D.density_curves(featured_trips(spark, sf_dir))
+    d = D.density_curves(featured_trips(spark, sf_dir), stats=numeric_profile(spark, sf_dir))
     return d.select("column", "point", "x", F.round("density_count", 4).alias("density_count"))
 
 
