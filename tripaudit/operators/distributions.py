@@ -38,7 +38,7 @@ def column_stats(long_df: DataFrame) -> DataFrame:
 
 
 QUANTILE_PROBS = (0.25, 0.5, 0.75)
-APPROX_ACCURACY = 10000
+APPROX_ACCURACY = 1000
 
 
 def numeric_stat_exprs(columns: list[str], probs: tuple[float, ...] = QUANTILE_PROBS, accuracy: int = APPROX_ACCURACY) -> list:

@@ -84,11 +84,9 @@ def _q(name: str) -> F.Column:
     return F.col(f"`{name}`")
 
 
-def cast_check_exprs(df: DataFrame, column: str, target: str, roles: TripRoles) -> dict[str, F.Column]:
+def cast_check_exprs(dt: T.DataType, c: F.Column, target: str, roles: TripRoles) -> dict[str, F.Column]:
     """Aggregates that decide the verdict of one (column, target) pair."""
     kind = TARGET_KINDS[target]
-    c = _q(column)
-    dt = df.schema[column].dataType
     out: dict[str, F.Column] = {}
     if not is_numeric(dt):
         return out
@@ -126,29 +124,48 @@ def decide_cast(dt: T.DataType, target: str, rows: int, non_null: int, checks: d
     return "converted" if ok else "kept_loss"
 
 
-def build_plan(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, approx_distinct: bool = False) -> ConformPlan:
-    """Run the single profile pass over ``df`` and freeze the plan."""
-    df = normalise_nan(df)
-    schema = df.schema
-    names = schema.names
-    present = set(names)
-    dropped_by_name = tuple(c for c in roles.columns_to_drop if c in present)
-    kept = [c for c in names if c not in dropped_by_name]
+def _nn(df: DataFrame, name: str) -> F.Column:
+    """Column with NaN read as NULL (the profile sees what the plan will apply to)."""
+    c = _q(name)
+    return nan_to_null(c).cast(df.schema[name].dataType) if is_float(df.schema[name].dataType) else c
 
+
+def profile_aggregates(df: DataFrame, roles: TripRoles = DEFAULT_ROLES) -> list[F.Column]:
+    """Non-distinct aggregates of the profile pass, over the raw columns.
+
+    They may run as an ``agg`` or be observed during a write of ``df``.
+    """
+    names = df.schema.names
+    dropped = set(c for c in roles.columns_to_drop if c in names)
+    kept = [c for c in names if c not in dropped]
     aggs: list[F.Column] = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(kept):
-        aggs.append(F.count(_q(c)).alias(f"nn__{i}"))
+        aggs.append(F.count(_nn(df, c)).alias(f"nn__{i}"))
     for j, (c, target) in enumerate(roles.narrow_targets):
         if c not in kept:
             continue
-        for k, e in cast_check_exprs(df, c, target, roles).items():
+        for k, e in cast_check_exprs(df.schema[c].dataType, _nn(df, c), target, roles).items():
             aggs.append(e.alias(f"{k}__{j}"))
+    return aggs
+
+
+def distinct_aggregates(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, approx_distinct: bool = False) -> list[F.Column]:
+    out = []
+    names = df.schema.names
     for j, c in enumerate(roles.categorical_columns):
-        if c in kept:
-            d = F.approx_count_distinct(_q(c)) if approx_distinct else F.count_distinct(_q(c))
-            aggs.append(d.alias(f"nd__{j}"))
+        if c in names and c not in roles.columns_to_drop:
+            x = _nn(df, c)
+            out.append((F.approx_count_distinct(x) if approx_distinct else F.count_distinct(x)).alias(f"nd__{j}"))
+    return out
 
-    row = df.agg(*aggs).collect()[0].asDict()
+
+def plan_from_profile(df: DataFrame, roles: TripRoles, row: dict, approx_distinct: bool = False) -> ConformPlan:
+    """Freeze the verdicts from the one-row profile result."""
+    schema = df.schema
+    names = schema.names
+    present = set(names)
+    dropped_by_name = tuple(c for c in roles.columns_to_drop if c in present)
+    kept = [c for c in names if c not in dropped_by_name]
     rows = int(row["__rows"])
     non_null = {c: int(row[f"nn__{i}"]) for i, c in enumerate(kept)}
     all_null = tuple(c for c in kept if non_null[c] == 0) if rows > 0 else ()
@@ -194,3 +211,10 @@ def build_plan(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, approx_distinct:
         categories=tuple(cats),
         approx_distinct=approx_distinct,
     )
+
+
+def build_plan(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, approx_distinct: bool = False) -> ConformPlan:
+    """Run the single profile pass over ``df`` and freeze the plan."""
+    aggs = profile_aggregates(df, roles) + distinct_aggregates(df, roles, approx_distinct)
+    row = df.agg(*aggs).collect()[0].asDict()
+    return plan_from_profile(df, roles, row, approx_distinct)
