@@ -85,7 +85,7 @@ def cardinality_frame(spark: SparkSession, plan: ConformPlan) -> DataFrame:
     return spark.createDataFrame(rows, "column string, n_distinct bigint, n_rows bigint, ratio double, verdict string")
 
 
-def category_codes(df: DataFrame, column: str, plan: ConformPlan | None = None) -> DataFrame:
+def category_codes(df: DataFrame, column: str, plan: ConformPlan | None = None, max_categories: int = DEFAULT_ROLES.max_categories) -> DataFrame:
     """Code table of a categorical column.
 
     code = rank of the value among the sorted distinct non-null values, from
@@ -93,11 +93,15 @@ def category_codes(df: DataFrame, column: str, plan: ConformPlan | None = None)
     aggregate; the ranking window only ever sees the distinct table, whose
     size the profile bounded (``max_categories``).
     """
+    counts = df.groupBy(_q(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
     if plan is not None:
         verdict = {c.column: c for c in plan.categories}.get(column)
         if verdict is None or verdict.verdict != "categorical":
             raise ValueError(f"{column} is not categorical under this plan")
-    counts = df.groupBy(_q(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+    else:  # no profile: check the size of the distinct table before ranking it
+        n = counts.count()
+        if n > max_categories:
+            raise ValueError(f"{column} has {n} distinct values, above {max_categories}")
     known = counts.where(F.col("value").isNotNull()).withColumn(
         "code", F.row_number().over(Window.orderBy("value")) - 1
     )

@@ -88,14 +88,19 @@ def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
 
 
 def _hadoop_status(spark: SparkSession, path: str):
-    """(exists, is_file, is_dir) through the Hadoop file system of the path."""
+    """(exists, is_file, is_dir, modification time, length) of a path."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return False, False, False
+        return False, False, False, None, None
     st = fs.getFileStatus(p)
-    return True, st.isFile(), st.isDirectory()
+    return True, st.isFile(), st.isDirectory(), st.getModificationTime(), st.getLen()
+
+
+# footer schemas already read in this process, keyed by (path, mtime, length):
+# an unchanged file is not read again (a changed one has a new key)
+_FOOTERS: dict = {}
 
 
 @dataclass(frozen=True)
@@ -118,10 +123,14 @@ def validate_file(spark: SparkSession, path: str, name: str | None = None) -> Fi
     """
     name = name or path.rstrip("/").rsplit("/", 1)[-1]
     try:
-        exists, is_file, is_dir = _hadoop_status(spark, path)
+        exists, is_file, _is_dir, mtime, length = _hadoop_status(spark, path)
         if not exists:
             return FileCheck(name, path, False, False, 0, "missing", None, None)
-        schema = spark.read.parquet(path).schema
+        key = (path, mtime, length)
+        schema = _FOOTERS.get(key)
+        if schema is None:
+            schema = spark.read.parquet(path).schema
+            _FOOTERS[key] = schema
         if not schema.fields:
             return FileCheck(name, path, True, is_file, 0, "no_columns", None, schema)
         return FileCheck(name, path, True, is_file, len(schema.fields), "ok", None, schema)
