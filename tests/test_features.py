@@ -150,3 +150,16 @@ def test_flags_are_zero_or_one(spark, col):
 
     vals = {r[0] for r in featured_trips(spark, "/root/testdata/sf0.001").select(col).distinct().collect()}
     assert vals <= {0, 1}
+
+
+def test_duration_is_wall_clock_in_any_session_zone(spark):
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("lpep_pickup_datetime", TS), T.StructField("lpep_dropoff_datetime", TS)])
+    rows = [(1, dt.datetime(2024, 3, 10, 1, 30), dt.datetime(2024, 3, 10, 3, 30)), (2, dt.datetime(2024, 11, 3, 0, 30), dt.datetime(2024, 11, 3, 2, 30))]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        out = add_features(_frame(spark, rows, schema))
+        assert _one(out, "trip_duration_min") == [120.0, 120.0]
+        assert _one(out, "pickup_hour") == [1, 0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
