@@ -102,13 +102,9 @@ def category_codes(df: DataFrame, column: str, plan: ConformPlan | None = None,
         n = counts.count()
         if n > max_categories:
             raise ValueError(f"{column} has {n} distinct values, above {max_categories}")
-    known = counts.where(F.col("value").isNotNull()).withColumn(
-        "code", F.row_number().over(Window.orderBy("value")) - 1
-    )
-    missing = counts.where(F.col("value").isNull()).withColumn("code", F.lit(-1))
-    return known.unionByName(missing).select(
-        F.col("value").alias(column), F.col("code").cast("int").alias("code"), F.col("n_rows")
-    )
+    rank = F.row_number().over(Window.orderBy(F.col("value").asc_nulls_last())) - 1
+    code = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(rank)
+    return counts.select(F.col("value").alias(column), code.cast("int").alias("code"), F.col("n_rows"))
 
 
 def encode_categories(df: DataFrame, column: str, codes: DataFrame, max_categories: int) -> DataFrame:

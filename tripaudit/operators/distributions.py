@@ -184,7 +184,7 @@ def box_stats(
         F.count_if(v > F.col("fence_hi")).alias("above_fence"),
         F.count_if(v > F.col("q3")).alias("above_q3"),
     )
-    j = quart.join(agg, "column")
+    j = agg.join(F.broadcast(quart), "column")
     lo_in = F.col("wlo").isNotNull() & (F.col("wlo") <= F.col("q1"))
     hi_in = F.col("whi").isNotNull() & (F.col("whi") >= F.col("q3"))
     return j.select(
