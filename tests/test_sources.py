@@ -73,7 +73,7 @@ def test_export_roundtrip_and_listing(spark, scratch):
     from tripaudit.chain import trips
 
     src = trips(spark, "/root/testdata/sf0.001")
-    layout = export_monthly(src, os.path.join(scratch, "monthly"), "lpep_pickup_datetime", DEFAULT_ROLES, files_per_month=2)
+    layout = export_monthly(src, os.path.join(scratch, "monthly"), "lpep_pickup_datetime", DEFAULT_ROLES)
     listing = FS.file_listing(spark, layout).collect()
     n_months = src.selectExpr("count(distinct date_format(lpep_pickup_datetime, 'yyyy-MM'))").collect()[0][0]
     assert len(listing) == n_months
@@ -97,8 +97,29 @@ def test_partitioned_trip_sink(spark, scratch):
 
     feat = featured_trips(spark, "/root/testdata/sf0.001")
     out = os.path.join(scratch, "featured")
-    write_trips(feat, out, files_per_partition=2)
+    write_trips(feat, out)
     back = spark.read.parquet(out)
     assert back.count() == feat.count()
     plan = back.where("pickup_year = 1997")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "pickup_year" in plan
+
+
+def test_hot_month_is_split_across_files(spark, scratch):
+    from pyspark.sql import functions as F
+
+    df = spark.range(200000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise((F.col("id") % 12) + 1).alias("pickup_month"),
+        F.lit(2024).alias("pickup_year"),
+        (F.col("id") * 1.5).alias("fare_amount"),
+    )
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        out = os.path.join(scratch, "hot")
+        write_trips(df, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = os.path.join(out, "pickup_year=2024", "pickup_month=1")
+    files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(out).count() == 200000

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_stream_equals_batch_and_restart_is_idempotent(spark, scratch):
     src = trips(spark, SF)
-    layout = export_monthly(src, os.path.join(scratch, "monthly"), "lpep_pickup_datetime", files_per_month=1)
+    layout = export_monthly(src, os.path.join(scratch, "monthly"), "lpep_pickup_datetime")
     schema = spark.read.parquet(layout.root).schema
     sink, ckpt = os.path.join(scratch, "sink"), os.path.join(scratch, "ckpt")
     plan = plan_for(spark, SF)

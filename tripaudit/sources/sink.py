@@ -13,30 +13,25 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_ROLES, TripRoles
 from .files import PARTITION_KEY, MonthlyLayout, periods_in_data
 
-SALT_COL = "__salt"
 
+def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Cluster rows by the output partition keys with the ``rebalance`` hint.
 
-def _spread(df: DataFrame, keys: list[str], files_per_partition: int) -> DataFrame:
-    """Hash-partition on the output partition keys plus a salt.
-
-    Without the salt one busy month would land in a single task; with it a
-    month is written by ``files_per_partition`` tasks, each holding a slice.
+    Adaptive execution then splits a partition that is too large (one busy
+    month becomes several tasks and files) and merges small ones, so a hot
+    key never lands in a single task and small months do not produce a
+    file per input split.
     """
-    if files_per_partition <= 1:
-        return df.repartition(*[F.col(k) for k in keys])
-    # position-based salt: cheap, and a retried task sees the same input split
-    # in the same order, so every row gets the same salt again
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_partition))
-    return df.withColumn(SALT_COL, salt).repartition(*[F.col(k) for k in keys], F.col(SALT_COL)).drop(SALT_COL)
+    return df.hint("rebalance", *keys)
 
 
-def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEFAULT_ROLES, files_per_month: int = 4) -> MonthlyLayout:
+def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEFAULT_ROLES) -> MonthlyLayout:
     """Write a trip table as monthly files ``<root>/file=<name>/`` in one job."""
     y, m = F.year(F.col(pickup)), F.month(F.col(pickup))
     fmt = roles.file_name_template.replace("{taxi_type}", "%s").replace("{year}", "%d").replace("{month:02d}", "%02d")
     tagged = df.where(F.col(pickup).isNotNull()).withColumn(PARTITION_KEY, F.format_string(fmt, F.lit(roles.taxi_type), y, m))
     (
-        _spread(tagged, [PARTITION_KEY], files_per_month)
+        _spread(tagged, [PARTITION_KEY])
         .write.mode("overwrite")
         .partitionBy(PARTITION_KEY)
         .parquet(root)
@@ -44,12 +39,12 @@ def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEF
     return MonthlyLayout(root, PARTITION_KEY)
 
 
-def write_trips(df: DataFrame, path: str, files_per_partition: int = 4) -> None:
+def write_trips(df: DataFrame, path: str) -> None:
     """Featured trips, partitioned by pickup year and month; reruns replace
     only the months they contain (dynamic partition overwrite)."""
     keys = ["pickup_year", "pickup_month"]
     (
-        _spread(df, keys, files_per_partition)
+        _spread(df, keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
