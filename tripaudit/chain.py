@@ -10,6 +10,8 @@ only the columns it needs from that table (column pruning at the scan).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .config import DEFAULT_ROLES, TripRoles
@@ -20,6 +22,7 @@ from .plans.profile import ConformPlan, build_plan, distinct_aggregates, plan_fr
 from .session import scratch_path
 from .sources.fixture import read_table, trips_from_lineitem
 
+_LOCK = threading.RLock()  # one writer per table even if results are built from several threads
 _PLANS: dict[tuple, ConformPlan] = {}
 _TABLES: dict[tuple, DataFrame] = {}
 _STATS: dict[tuple, dict] = {}
@@ -44,17 +47,18 @@ def _materialize(spark: SparkSession, key: tuple, name: str, build, observe=None
     ``observe(df) -> (df, callback)`` may attach aggregates that are collected
     as observed metrics of that same write (no extra pass).
     """
-    if key not in _TABLES:
-        path = scratch_path(spark, name)
-        df = build()
-        done = None
-        if observe is not None:
-            df, done = observe(df)
-        df.write.mode("overwrite").parquet(path)
-        if done is not None:
-            done()
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    with _LOCK:
+        if key not in _TABLES:
+            path = scratch_path(spark, name)
+            df = build()
+            done = None
+            if observe is not None:
+                df, done = observe(df)
+            df.write.mode("overwrite").parquet(path)
+            if done is not None:
+                done()
+            _TABLES[key] = spark.read.parquet(path)
+        return _TABLES[key]
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,22 +84,23 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = _materialize(
         spark, key, "trips", lambda: trips_from_lineitem(ensure_parallel(read_table(spark, sf_dir, "lineitem"))), observe
     )
-    if "row" in box and pkey not in _PLANS:
-        row = dict(box["row"])
-        d = distinct_aggregates(built, DEFAULT_ROLES)
-        if d:
-            row.update(built.agg(*d).collect()[0].asDict())
-        _PLANS[pkey] = plan_from_profile(built, DEFAULT_ROLES, row)
+    with _LOCK:
+        if "row" in box and pkey not in _PLANS:
+            row = dict(box["row"])
+            d = distinct_aggregates(built, DEFAULT_ROLES)
+            if d:
+                row.update(built.agg(*d).collect()[0].asDict())
+            _PLANS[pkey] = plan_from_profile(built, DEFAULT_ROLES, row)
     return built
 
 
 def plan_for(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> ConformPlan:
     key = (id(spark), sf_dir.rstrip("/"), roles)
-    if key not in _PLANS:
-        df = trips(spark, sf_dir)
+    df = trips(spark, sf_dir)
+    with _LOCK:
         if key not in _PLANS:
             _PLANS[key] = build_plan(df, roles)
-    return _PLANS[key]
+        return _PLANS[key]
 
 
 def conformed_trips(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
