@@ -130,3 +130,24 @@ def test_histogram_counts_sum_to_non_null(spark):
     for r in h:
         assert r["sum(n_rows)"] == feat.where(feat[r["column"]].isNotNull()).count()
     assert DEFAULT_ROLES.hist_bins == 50
+
+
+def test_approximate_box_stats_close(spark):
+    rng = np.random.default_rng(13)
+    vals = rng.normal(50, 10, 5000).round(3)
+    df = _frame(spark, vals)
+    r = D.box_stats(spark, df, columns=("x",), exact=False).collect()[0]
+    q1, med, q3, *_ = _box_reference(vals)
+    span = vals.max() - vals.min()
+    assert abs(r["q1"] - q1) < 0.01 * span and abs(r["median"] - med) < 0.01 * span and abs(r["q3"] - q3) < 0.01 * span
+
+
+def test_wrong_seeds_still_give_exact_quantiles(spark):
+    rng = np.random.default_rng(14)
+    vals = rng.normal(0, 1, 3000)
+    long = D.numeric_long(_frame(spark, vals), ("x",))
+    bounds = {"x": (len(vals), float(vals.min()), float(vals.max()))}
+    bad = {"x": [5.0, 6.0, -9.0, -8.0, 0.0, 0.0]}  # brackets that miss every rank
+    got = exact_quantiles(spark, long, (0.25, 0.5, 0.75), bounds, buckets=32, approx=bad)["x"]
+    want = np.percentile(vals, [25, 50, 75])
+    assert [got[p] for p in (0.25, 0.5, 0.75)] == pytest.approx(list(want), abs=1e-12)

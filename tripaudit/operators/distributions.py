@@ -155,9 +155,14 @@ def box_stats(
     columns: tuple[str, ...] | None = None,
     buckets: int = 4096,
     stats: dict | None = None,
+    exact: bool = True,
+    accuracy: int = 10000,
 ) -> DataFrame:
     """Quartiles (exact, linear interpolation), whiskers and flier counts.
 
+    ``exact=False`` takes the quartiles from ``percentile_approx`` instead
+    (one pass, bounded memory, rank error at most n / ``accuracy``).
+
     whisker_lo = smallest value >= q1 - whis*IQR (q1 if that is above q1),
     whisker_hi likewise; fliers lie outside the whiskers.
     """
@@ -166,8 +171,13 @@ def box_stats(
     cols = [c for c in cols if stats[c]["n"] > 0]
     long = numeric_long(df, tuple(cols))
     bounds = {c: (stats[c]["n"], stats[c]["min"], stats[c]["max"]) for c in cols}
-    approx = {c: stats[c]["approx"] for c in cols}
-    qs = exact_quantiles(spark, long, QUANTILE_PROBS, bounds, buckets=buckets, approx=approx)
+    if exact:
+        approx = {c: stats[c]["approx"] for c in cols}
+        qs = exact_quantiles(spark, long, QUANTILE_PROBS, bounds, buckets=buckets, approx=approx)
+    else:  # opt-in: one sketch pass, rank error at most n / accuracy
+        probs = F.array(*[F.lit(p) for p in QUANTILE_PROBS])
+        got = long.groupBy("column").agg(F.percentile_approx("value", probs, accuracy).alias("q")).collect()
+        qs = {r["column"]: dict(zip(QUANTILE_PROBS, r["q"])) for r in got}
     rows = []
     for k in cols:
         d = qs[k]

@@ -119,7 +119,7 @@ def q_incremental_ingest(spark, sf_dir):
     sink = scratch_path(spark, "stream-sink")
     ckpt = scratch_path(spark, "stream-ckpt")
     run_incremental_ingest(
-        spark, layout.root, schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=64, timeout_s=1800
+        spark, layout.root, schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=100, timeout_s=1800
     )
     out = spark.read.parquet(sink)
     # partition values come back as INT; restore the feature types
