@@ -139,9 +139,4 @@ def numeric_profile(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT
     return _STATS[("featured", id(spark), sf_dir.rstrip("/"), roles)]
 
 
-def featured_lazy(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
-    """The same frame as :func:`featured_trips`, as one unmaterialized plan."""
-    return add_features(conformed_trips(spark, sf_dir, roles), roles)
-
-
-__all__ = ["trips", "plan_for", "conformed_trips", "featured_trips", "featured_lazy", "numeric_profile", "ensure_parallel"]
+__all__ = ["trips", "plan_for", "conformed_trips", "featured_trips", "numeric_profile", "ensure_parallel"]

@@ -27,16 +27,6 @@ def numeric_long(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return wide.unpivot([], cols, "column", "value").where(F.col("value").isNotNull())
 
 
-def column_stats(long_df: DataFrame) -> DataFrame:
-    """Per column: n, min, max, sample stddev (8 groups: tiny shuffle)."""
-    return long_df.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.min("value").alias("vmin"),
-        F.max("value").alias("vmax"),
-        F.stddev_samp("value").alias("sd"),
-    )
-
-
 QUANTILE_PROBS = (0.25, 0.5, 0.75)
 APPROX_ACCURACY = 1000
 
@@ -91,17 +81,6 @@ def _range(st: dict) -> tuple[float, float]:
     return lo, hi
 
 
-def edges(stats: DataFrame) -> DataFrame:
-    """Histogram range: [min, max], widened to +-0.5 for a constant column."""
-    same = F.col("vmin") == F.col("vmax")
-    return stats.withColumns(
-        {
-            "lo": F.when(same, F.col("vmin") - 0.5).otherwise(F.col("vmin")),
-            "hi": F.when(same, F.col("vmax") + 0.5).otherwise(F.col("vmax")),
-        }
-    )
-
-
 def bin_index(v, lo, hi, bins: int):
     """Bin of v among edges e_i = i*step + lo, step = (hi - lo)/bins.
 

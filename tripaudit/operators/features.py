@@ -20,7 +20,6 @@ from ..functions.exprs import (
     flag,
     float_sum,
     integral_between,
-    is_float,
     minutes_between,
     not_flag,
     safe_ratio_float,

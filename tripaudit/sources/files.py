@@ -14,7 +14,6 @@ footers); data is read lazily by Catalyst with pruning and pushdown.
 
 from __future__ import annotations
 
-import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -202,7 +201,3 @@ def load_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "n_columns", F.lit(n_cols).cast("int")
     )
-
-
-def names_in(listing_rows: list[str]) -> list[str]:
-    return sorted({n for n in listing_rows if re.fullmatch(NAME_PATTERN, n)})
