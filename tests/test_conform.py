@@ -106,3 +106,12 @@ def test_fixture_plan_and_footprint(spark):
     rep = C.footprint_report(spark, trips(spark, sf), conformed_trips(spark, sf)).collect()[0]
     assert rep["rows"] == 60000 and rep["columns"] == 21
     assert rep["after_mb"] < rep["before_mb"] and rep["reduction_percent"] > 40
+
+
+def test_parse_timestamps_with_formats(spark):
+    roles = DEFAULT_ROLES.with_(datetime_formats=("MM/dd/yyyy HH:mm",))
+    df = spark.createDataFrame([("01/15/2024 10:30",), ("2024-01-16 11:00:00",), ("junk",)], "tpep_pickup_datetime string")
+    vals = [r[0] for r in C.parse_timestamps(df, roles).collect()]
+    assert (vals[0].day, vals[0].hour, vals[0].minute) == (15, 10, 30)
+    assert (vals[1].day, vals[1].hour) == (16, 11)
+    assert vals[2] is None

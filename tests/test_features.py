@@ -163,3 +163,16 @@ def test_duration_is_wall_clock_in_any_session_zone(spark):
         assert _one(out, "pickup_hour") == [1, 0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_rule_report_lists_skipped_outputs(spark):
+    from tripaudit.chain import conformed_trips
+    from tripaudit.operators.features import rule_report
+
+    conf = conformed_trips(spark, "/root/testdata/sf0.001").drop("tip_amount", "lpep_dropoff_datetime")
+    rep = {r["output"]: r for r in rule_report(spark, conf.columns, add_features(conf)).collect()}
+    assert rep["is_cash_with_tip"]["status"] == "skipped" and rep["is_cash_with_tip"]["missing"] == "tip_amount"
+    assert rep["trip_duration_min"]["status"] == "skipped" and rep["trip_duration_min"]["missing"] == "dropoff"
+    assert rep["avg_speed_mph"]["status"] == "skipped"
+    assert rep["pickup_hour"]["status"] == "applied" and rep["pickup_hour"]["n_non_null"] > 0
+    assert rep["is_same_zone"]["n_nonzero"] > 0

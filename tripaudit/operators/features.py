@@ -196,5 +196,34 @@ def feature_manifest(columns: list[str], roles: TripRoles = DEFAULT_ROLES) -> li
     return out
 
 
+def rule_report(spark, input_columns: list[str], featured: DataFrame, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
+    """F20 as a table: per output of every rule, applied or skipped (and why),
+    with the rows where it is non-null and non-zero (flagged, for a flag).
+
+    One aggregate over the featured table; the manifest itself is plan-time.
+    """
+    status: dict[str, tuple[str, str, str]] = {}
+    for rule, st, outputs, missing in feature_manifest(input_columns, roles):
+        for o in outputs.split(","):
+            if o:
+                status[o] = (rule.split(":")[0], st, missing)
+    outputs = [o for o in FEATURE_COLUMNS if o in status]
+    present = [o for o in outputs if status[o][1] == "applied" and o in featured.columns]
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, o in enumerate(present):
+        aggs += [F.count(_q(o)).alias(f"nn{i}"), F.count_if(_q(o) != 0).alias(f"nz{i}")]
+    row = featured.agg(*aggs).collect()[0]
+    rows = []
+    for o in outputs:
+        rule, st, missing = status[o]
+        if o in present:
+            i = present.index(o)
+            rows.append((rule, o, st, missing, int(row[f"nn{i}"]), int(row[f"nz{i}"])))
+        else:
+            rows.append((rule, o, st, missing, 0, 0))
+    schema = "rule string, output string, status string, missing string, n_non_null bigint, n_nonzero bigint"
+    return spark.createDataFrame(rows, schema)
+
+
 def flag_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("is_")]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..chain import featured_trips
 from ..operators import summaries as S
+from ..operators.features import FEATURE_COLUMNS, rule_report
 from ..sources.fixture import KEYS
 
 from . import register, presentable, sql_col, KEYS_SQL
@@ -77,3 +78,29 @@ _FLAGS = ("is_invalid_PULocation", "is_invalid_DOLocation", "is_same_zone", "is_
     "ON " + ", ".join(_FLAGS) + " INTO NAME flag VALUE value) GROUP BY flag, value"))
 def q_flag_domains(spark, sf_dir):
     return S.flag_domains(featured_trips(spark, sf_dir))
+
+
+_RULE_OF = {
+    "trip_duration_min": "trip_duration", "pickup_hour": "time_features", "pickup_dayofweek": "time_features",
+    "pickup_month": "time_features", "pickup_year": "time_features", "expected_fare": "expected_fare",
+    "fare_discrepancy": "fare_discrepancy", "avg_speed_mph": "avg_speed", "is_invalid_PULocation": "zone_flags",
+    "is_invalid_DOLocation": "zone_flags", "is_same_zone": "zone_flags", "is_zero_passenger": "zero_passenger",
+    "is_invalid_ratecodeID": "ratecode_flag", "is_invalid_payment": "payment_flags",
+    "is_cash_with_tip": "payment_flags", "is_free_but_charged": "payment_flags",
+}
+
+
+def _rules_sql() -> str:
+    parts = [
+        f"SELECT '{_RULE_OF[o]}' AS rule, '{o}' AS output, 'applied' AS status, '' AS missing, "
+        f"count({o}) AS n_non_null, CAST(count(*) FILTER (WHERE {o} <> 0) AS BIGINT) AS n_nonzero FROM feat"
+        for o in FEATURE_COLUMNS
+    ]
+    return O.with_base(" UNION ALL ".join(parts))
+
+
+@register("skipped_rules", _rules_sql())
+def q_skipped_rules(spark, sf_dir):
+    from ..chain import conformed_trips
+
+    return rule_report(spark, conformed_trips(spark, sf_dir).columns, featured_trips(spark, sf_dir))
