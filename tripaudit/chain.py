@@ -19,7 +19,7 @@ from .operators.conform import apply_plan
 from .operators.distributions import numeric_stat_exprs, numeric_stats, stats_from_row
 from .operators.features import add_features
 from .plans.profile import ConformPlan, build_plan, distinct_aggregates, plan_from_profile, profile_aggregates
-from .session import scratch_path
+from .session import scratch_path, session_key
 from .sources.fixture import read_table, trips_from_lineitem
 
 _LOCK = threading.RLock()  # one writer per table even if results are built from several threads
@@ -68,8 +68,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     written; only the exact distinct count of the categorical columns needs
     its own (single-column) scan.
     """
-    key = ("trips", id(spark), sf_dir.rstrip("/"))
-    pkey = (id(spark), sf_dir.rstrip("/"), DEFAULT_ROLES)
+    key = ("trips", session_key(spark), sf_dir.rstrip("/"))
+    pkey = (session_key(spark), sf_dir.rstrip("/"), DEFAULT_ROLES)
     box: dict = {}
 
     def observe(df):
@@ -95,7 +95,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plan_for(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> ConformPlan:
-    key = (id(spark), sf_dir.rstrip("/"), roles)
+    key = (session_key(spark), sf_dir.rstrip("/"), roles)
     df = trips(spark, sf_dir)
     with _LOCK:
         if key not in _PLANS:
@@ -115,7 +115,7 @@ def featured_trips(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_
     approximate quartile brackets) is observed during that same write, so
     the distribution summaries need no separate statistics pass.
     """
-    key = ("featured", id(spark), sf_dir.rstrip("/"), roles)
+    key = ("featured", session_key(spark), sf_dir.rstrip("/"), roles)
 
     def observe(df):
         cols = [c for c in roles.eda_numeric if c in df.columns]
@@ -136,7 +136,7 @@ def featured_trips(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_
 def numeric_profile(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> dict:
     """Per EDA column: n, min, max, sd, approximate quartile brackets."""
     featured_trips(spark, sf_dir, roles)
-    return _STATS[("featured", id(spark), sf_dir.rstrip("/"), roles)]
+    return _STATS[("featured", session_key(spark), sf_dir.rstrip("/"), roles)]
 
 
 __all__ = ["trips", "plan_for", "conformed_trips", "featured_trips", "numeric_profile", "ensure_parallel"]

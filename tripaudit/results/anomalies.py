@@ -7,6 +7,7 @@ from ..chain import featured_trips, numeric_profile
 from ..config import DEFAULT_ROLES as R
 from ..operators import anomalies as A
 from ..operators import summaries as S
+from ..session import session_key
 from . import KEYS_SQL, register
 
 _DAYS = "['" + "','".join(R.day_names) + "']"
@@ -17,7 +18,7 @@ _FENCES: dict = {}
 
 def flagged(spark, sf_dir):
     feat = featured_trips(spark, sf_dir)
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _FENCES:  # data-derived constant, computed once per session
         _FENCES[key] = A.duration_fences(spark, feat, R, stats=numeric_profile(spark, sf_dir))
     return A.add_anomaly_flags(feat, _FENCES[key], R)

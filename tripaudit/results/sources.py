@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..chain import plan_for, trips
 from ..config import DEFAULT_ROLES as R
-from ..session import scratch_path
+from ..session import scratch_path, session_key
 from ..sources import files as FS
 from ..sources.sample import sample_rows
 from ..sources.sink import export_monthly
@@ -29,7 +29,7 @@ _NAME_SQL = "printf('green_tripdata_%d-%02d.parquet', year(lpep_pickup_datetime)
 
 
 def monthly(spark, sf_dir) -> FS.MonthlyLayout:
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _EXPORTS:
         tag = hashlib.sha1(key[1].encode()).hexdigest()[:8]
         root = scratch_path(spark, f"monthly-{tag}")

@@ -60,3 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: a restarted context gets a new key."""
+    return (id(spark), spark.sparkContext.applicationId)
