@@ -115,3 +115,14 @@ def test_parse_timestamps_with_formats(spark):
     assert (vals[0].day, vals[0].hour, vals[0].minute) == (15, 10, 30)
     assert (vals[1].day, vals[1].hour) == (16, 11)
     assert vals[2] is None
+
+
+def test_optimize_returns_frame_and_report(spark):
+    from tripaudit.chain import trips
+
+    src = trips(spark, "/root/testdata/sf0.001")
+    out, rep = C.optimize(spark, src)
+    assert rep["rows"] == src.count() and rep["columns"] == len(out.columns) == 21
+    assert rep["types_before"]["passenger_count"] == "double" and rep["types_after"]["passenger_count"] == "tinyint"
+    assert "VendorID" not in rep["types_after"] and rep["verdicts"]["fare_amount"] == "converted"
+    assert 0 < rep["after_mb"] < rep["before_mb"]

@@ -12,7 +12,7 @@ Public entry points (all take and return Spark DataFrames):
 
 from .config import DEFAULT_ROLES, TripRoles
 from .operators.anomalies import add_anomaly_flags, duration_fences
-from .operators.conform import apply_plan, conform
+from .operators.conform import apply_plan, conform, optimize
 from .operators.distributions import box_stats, density_curves, histograms, pair_bins
 from .operators.features import add_features, feature_manifest
 from .plans.profile import build_plan
@@ -20,7 +20,7 @@ from .sources.files import MonthlyLayout, audit_files, file_listing, read_all, r
 from .streaming.ingest import run_incremental_ingest
 
 __all__ = [
-    "DEFAULT_ROLES", "TripRoles", "add_anomaly_flags", "duration_fences", "apply_plan", "conform",
+    "DEFAULT_ROLES", "TripRoles", "add_anomaly_flags", "duration_fences", "apply_plan", "conform", "optimize",
     "box_stats", "density_curves", "histograms", "pair_bins", "add_features", "feature_manifest",
     "build_plan", "MonthlyLayout", "audit_files", "file_listing", "read_all", "read_month",
     "run_incremental_ingest",

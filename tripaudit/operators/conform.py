@@ -206,3 +206,18 @@ def type_changes(spark: SparkSession, before: DataFrame, after: DataFrame, plan:
             why = verdict.get(f.name, "unchanged")
         rows.append((f.name, f.dataType.simpleString(), after_types.get(f.name), why))
     return spark.createDataFrame(rows, "column string, type_before string, type_after string, verdict string")
+
+
+def optimize(spark: SparkSession, df: DataFrame, roles: TripRoles = DEFAULT_ROLES) -> tuple[DataFrame, dict]:
+    """Conform ``df`` and return it with its report, in one call.
+
+    The report holds before_mb, after_mb, reduction_percent, rows, columns and
+    the type of every column before and after (a dropped column has none).
+    Two passes over ``df``: the profile and the footprint (string bytes).
+    """
+    out, plan = conform(df, roles)
+    report = footprint_report(spark, df, out).collect()[0].asDict()
+    report["types_before"] = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    report["types_after"] = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    report["verdicts"] = {v.column: v.verdict for v in plan.casts}
+    return out, report
