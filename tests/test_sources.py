@@ -123,3 +123,36 @@ def test_hot_month_is_split_across_files(spark, scratch):
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(out).count() == 200000
+
+
+def test_drifting_months_through_conform_and_features(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tripaudit.chain import trips
+    from tripaudit.operators.conform import conform
+    from tripaudit.operators.features import add_features
+
+    src = trips(spark, "/root/testdata/sf0.001")
+    root = os.path.join(scratch, "drift")
+    old = src.where(F.year("lpep_pickup_datetime") == 1996).drop("cbd_congestion_fee").withColumn(
+        "passenger_count", F.col("passenger_count").cast("bigint")
+    )
+    new = src.where(F.year("lpep_pickup_datetime") == 2001)
+    old.where(F.month("lpep_pickup_datetime") == 3).write.parquet(f"{root}/green_tripdata_1996-03.parquet")
+    new.where(F.month("lpep_pickup_datetime") == 3).write.parquet(f"{root}/green_tripdata_2001-03.parquet")
+    roles = DEFAULT_ROLES.with_(year_start=1996, year_end=2001, months=(3,))
+    df = FS.read_all(spark, FS.MonthlyLayout(root, None), None, roles)
+    assert dict(df.dtypes)["passenger_count"] == "double" and "cbd_congestion_fee" in df.columns
+    out, plan = conform(df)
+    feat = add_features(out).cache()
+    rows = feat.where("source_file = 'green_tripdata_1996-03.parquet'").select(
+        "expected_fare", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+        "improvement_surcharge", "congestion_surcharge", "cbd_congestion_fee",
+    ).collect()
+    assert rows
+    for r in rows:
+        assert r["cbd_congestion_fee"] is None
+        parts = [r[c] or 0.0 for c in ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge")]
+        assert abs(r["expected_fare"] - sum(parts)) < 1e-6
+    assert {v.column: v.verdict for v in plan.casts}["passenger_count"] == "converted"
+    assert feat.count() == old.where(F.month("lpep_pickup_datetime") == 3).count() + new.where(F.month("lpep_pickup_datetime") == 3).count()
