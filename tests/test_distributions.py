@@ -151,3 +151,13 @@ def test_wrong_seeds_still_give_exact_quantiles(spark):
     got = exact_quantiles(spark, long, (0.25, 0.5, 0.75), bounds, buckets=32, approx=bad)["x"]
     want = np.percentile(vals, [25, 50, 75])
     assert [got[p] for p in (0.25, 0.5, 0.75)] == pytest.approx(list(want), abs=1e-12)
+
+
+def test_nan_is_left_out_of_distributions(spark):
+    vals = [1.0, 2.0, float("nan"), 3.0, 4.0, None]
+    df = _frame(spark, vals)
+    h = D.histograms(df, columns=("x",)).groupBy().sum("n_rows").collect()[0][0]
+    assert h == 4
+    r = D.box_stats(spark, df, columns=("x",)).collect()[0]
+    assert (r["n"], r["median"]) == (4, 2.5)
+    assert D.density_curves(df, columns=("x",)).count() == 200

@@ -176,3 +176,11 @@ def test_rule_report_lists_skipped_outputs(spark):
     assert rep["avg_speed_mph"]["status"] == "skipped"
     assert rep["pickup_hour"]["status"] == "applied" and rep["pickup_hour"]["n_non_null"] > 0
     assert rep["is_same_zone"]["n_nonzero"] > 0
+
+
+def test_nan_counts_as_missing_without_conform(spark):
+    rows = [(1, float("nan"), 2.0, float("nan"))]
+    out = add_features(spark.createDataFrame(rows, "id int, fare_amount double, extra double, passenger_count double"))
+    assert _one(out, "expected_fare") == [2.0]
+    assert _one(out, "passenger_count") == [0.0]
+    assert _one(out, "is_zero_passenger") == [1]

@@ -79,7 +79,7 @@ def float_sum(columns: list[Column]) -> Column:
     """Row-wise FLOAT sum with missing values as 0; 0.0 when there are none."""
     if not columns:
         return F.lit(0.0).cast("float")
-    return reduce(add, [F.coalesce(c.cast("float"), F.lit(0.0).cast("float")) for c in columns]).cast("float")
+    return reduce(add, [F.coalesce(nan_to_null(c).cast("float"), F.lit(0.0).cast("float")) for c in columns]).cast("float")
 
 
 def float_roundtrip_ok(c: Column, rtol: float, atol: float) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_ROLES, TripRoles
+from ..functions.exprs import nan_to_null
 from .quantiles import exact_quantiles
 
 
@@ -20,10 +21,15 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
+def _num(name: str):
+    """The column as DOUBLE with NaN read as missing (as the charts drop it)."""
+    return nan_to_null(_q(name).cast("double"))
+
+
 def numeric_long(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """(column, value DOUBLE) for the present columns, missing values removed."""
     cols = [c for c in columns if c in df.columns]
-    wide = df.select(*[_q(c).cast("double").alias(c) for c in cols])
+    wide = df.select(*[_num(c).alias(c) for c in cols])
     return wide.unpivot([], cols, "column", "value").where(F.col("value").isNotNull())
 
 
@@ -42,7 +48,7 @@ def numeric_stat_exprs(columns: list[str], probs: tuple[float, ...] = QUANTILE_P
     bp = F.array(*[F.lit(p) for p in bracket_probs(probs, accuracy)])
     out = []
     for i, c in enumerate(columns):
-        x = _q(c).cast("double")
+        x = _num(c)
         out += [
             F.count(x).alias(f"n__{i}"),
             F.min(x).alias(f"min__{i}"),
@@ -130,7 +136,7 @@ def histograms(
     for c in cols:
         lo, hi = _range(stats[c])
         step = (hi - lo) / float(bins)
-        specs.append((c, _q(c).cast("double"), lo, hi))
+        specs.append((c, _num(c), lo, hi))
         for b in range(bins):
             grid_rows.append((c, b, b * step + lo, hi if b == bins - 1 else (b + 1) * step + lo))
     grid = spark.createDataFrame(grid_rows, "column string, bin int, bin_lo double, bin_hi double")
@@ -234,7 +240,7 @@ def density_curves(
     parts = []
     for c in cols:
         lo, hi = stats[c]["min"], stats[c]["max"]
-        x = _q(c).cast("double")
+        x = _num(c)
         span = hi - lo
         fb = F.least(F.floor((x - F.lit(lo)) / F.lit(span) * fine).cast("int"), F.lit(fine - 1)) if span > 0 else F.lit(0)
         parts.append(F.struct(F.lit(c).alias("column"), fb.alias("fb"), x.alias("value")))
@@ -289,7 +295,7 @@ def pair_bins(df: DataFrame, pair: str, xcol: str, ycol: str, bins: int = 50) ->
     the row count. Rows with a missing coordinate are left out. One small
     aggregate gives the ranges (as literals), one pass bins and counts.
     """
-    xy = df.select(_q(xcol).cast("double").alias("x"), _q(ycol).cast("double").alias("y")).where(
+    xy = df.select(_num(xcol).alias("x"), _num(ycol).alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull()
     )
     st = xy.agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax")).collect()[0]

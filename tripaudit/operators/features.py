@@ -74,6 +74,8 @@ def _impute_zero(df: DataFrame, name: str) -> Column:
     dt = df.schema[name].dataType
     c = _q(name)
     # a column that could not be narrowed keeps its type: no lossy cast
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        c = F.nanvl(c, F.lit(None).cast(dt))
     return F.coalesce(c, F.lit(0).cast(dt))
 
 

@@ -13,7 +13,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..chain import plan_for, trips
+from ..chain import _LOCK, plan_for, trips
 from ..config import DEFAULT_ROLES as R
 from ..session import scratch_path, session_key
 from ..sources import files as FS
@@ -30,11 +30,12 @@ _NAME_SQL = "printf('green_tripdata_%d-%02d.parquet', year(lpep_pickup_datetime)
 
 def monthly(spark, sf_dir) -> FS.MonthlyLayout:
     key = (session_key(spark), sf_dir.rstrip("/"))
-    if key not in _EXPORTS:
-        tag = hashlib.sha1(key[1].encode()).hexdigest()[:8]
-        root = scratch_path(spark, f"monthly-{tag}")
-        _EXPORTS[key] = export_monthly(trips(spark, sf_dir), root, PICKUP, R)
-    return _EXPORTS[key]
+    with _LOCK:
+        if key not in _EXPORTS:
+            tag = hashlib.sha1(key[1].encode()).hexdigest()[:8]
+            root = scratch_path(spark, f"monthly-{tag}")
+            _EXPORTS[key] = export_monthly(trips(spark, sf_dir), root, PICKUP, R)
+        return _EXPORTS[key]
 
 
 def _names(spark, sf_dir) -> list[str]:
