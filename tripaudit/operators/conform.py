@@ -134,20 +134,28 @@ def _string_like(dt: T.DataType) -> bool:
     return isinstance(dt, (T.StringType, T.BinaryType))
 
 
-def _footprint_pass(before: DataFrame) -> dict:
-    """One aggregate: row count and the byte length of every string column."""
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, f in enumerate(before.schema.fields):
-        if _string_like(f.dataType):
-            aggs.append(F.coalesce(F.sum(F.octet_length(_q(f.name))), F.lit(0)).cast("bigint").alias(f"b__{i}"))
-    row = before.agg(*aggs).collect()[0].asDict()
-    rows = int(row["__rows"])
+def footprint_aggregates(before: DataFrame) -> list:
+    """Byte length of every string column (to run inside another aggregate)."""
+    return [
+        F.coalesce(F.sum(F.octet_length(_q(f.name))), F.lit(0)).cast("bigint").alias(f"b__{i}")
+        for i, f in enumerate(before.schema.fields)
+        if _string_like(f.dataType)
+    ]
+
+
+def footprint_from_row(before: DataFrame, row: dict, rows: int) -> dict:
     sizes = {}
     for i, f in enumerate(before.schema.fields):
         sizes[f.name] = int(row[f"b__{i}"]) if _string_like(f.dataType) else rows * _value_size(f.dataType)
     return {"rows": rows, "bytes": sizes}
 
 
+def _footprint_pass(before: DataFrame) -> dict:
+    """One aggregate: row count and the byte length of every string column."""
+    row = before.agg(F.count(F.lit(1)).alias("__rows"), *footprint_aggregates(before)).collect()[0].asDict()
+    return footprint_from_row(before, row, int(row["__rows"]))
+
+
 def _sizes_after(after: DataFrame, measured: dict) -> dict:
     """Sizes of a projection of the measured frame: strings keep their bytes."""
     rows = measured["rows"]
@@ -179,9 +187,12 @@ def column_footprint(spark: SparkSession, before: DataFrame, after: DataFrame |
     return spark.createDataFrame(rows, schema)
 
 
-def footprint_report(spark: SparkSession, before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: MB before/after (bytes / 1024^2), reduction %, rows, columns."""
-    measured = _footprint_pass(before)
+def footprint_report(spark: SparkSession, before: DataFrame, after: DataFrame, measured: dict | None = None) -> DataFrame:
+    """One row: MB before/after (bytes / 1024^2), reduction %, rows, columns.
+
+    ``measured`` (from ``footprint_from_row``) skips the pass over ``before``.
+    """
+    measured = measured if measured is not None else _footprint_pass(before)
     b = sum(measured["bytes"].values()) / 1024**2
     a = sum(_sizes_after(after, measured).values()) / 1024**2
     reduction = (1 - a / b) * 100 if b > 0 else 0.0

@@ -16,12 +16,13 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from .config import DEFAULT_ROLES, TripRoles
-from .operators.conform import apply_plan, footprint_report, type_changes
+from .operators.conform import apply_plan, footprint_aggregates, footprint_from_row, footprint_report, type_changes
+from .operators.distributions import numeric_stat_exprs, stats_from_row
 from .operators.features import add_features, feature_manifest
-from .plans.profile import build_plan
+from .plans.profile import distinct_aggregates, plan_from_profile, profile_aggregates
 from .report import eda_tables, sanity_tables, write_tables
 from .sources import files as FS
 from .sources.sink import write_report, write_trips
@@ -44,9 +45,12 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
         echo("no readable file for the requested period")
         return {"status": "no_data", "audit": [(c.file_name, c.status) for c in checks]}
 
-    plan = build_plan(df, roles)
+    # one pass: conformance profile and the string bytes of the footprint
+    row = df.agg(*profile_aggregates(df, roles), *distinct_aggregates(df, roles), *footprint_aggregates(df)).collect()[0].asDict()
+    plan = plan_from_profile(df, roles, row)
     conformed = apply_plan(df, plan, roles)
-    report = footprint_report(spark, df, conformed).collect()[0].asDict()
+    measured = footprint_from_row(df, row, int(row["__rows"]))
+    report = footprint_report(spark, df, conformed, measured).collect()[0].asDict()
     echo(f"footprint report: {json.dumps(report)}")
     write_report(type_changes(spark, df, conformed, plan), f"{out}/reports/type_changes")
 
@@ -56,13 +60,17 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
     for rule, _, outputs, missing in skipped_rules:
         echo(f"skipped rule {rule} ({outputs}): missing {missing}")
 
-    write_trips(featured, f"{out}/trips")
+    # the numeric profile of the EDA columns is observed during the write
+    cols = [c for c in roles.eda_numeric if c in featured.columns]
+    obs = Observation("numeric_profile")
+    write_trips(featured.observe(obs, *numeric_stat_exprs(cols)), f"{out}/trips")
+    stats = stats_from_row(cols, obs.get)
     trips = spark.read.parquet(f"{out}/trips")
 
     sanity = sanity_tables(trips)
     for name, t in sanity.items():
         echo(f"{name}: {[tuple(r) for r in t.collect()]}")
-    eda = eda_tables(spark, trips, roles)
+    eda = eda_tables(spark, trips, roles, stats)
     for section, missing in eda.skipped:
         echo(f"skipped {section} analysis: missing {missing}")
     written = write_tables({**sanity, **eda.tables}, f"{out}/reports")
