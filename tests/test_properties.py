@@ -45,3 +45,52 @@ def test_histogram_equals_numpy(spark, vals):
         lo, hi = lo - 0.5, hi + 0.5
     counts, _ = np.histogram(arr, bins=np.linspace(lo, hi, 51))
     assert [n for _, n in got] == list(counts)
+
+
+money = st.floats(min_value=-500, max_value=500, allow_nan=False, allow_infinity=False, width=32)
+
+
+@SETTINGS
+@given(
+    rows=st.lists(
+        st.tuples(
+            money, money, money, money, st.one_of(st.none(), money),
+            st.floats(min_value=0, max_value=1000, allow_nan=False, width=32),
+            st.integers(min_value=-600, max_value=90000),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_float32_features_equal_numpy(spark, rows):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from tripaudit.operators.features import add_features
+
+    t0 = dt.datetime(2024, 5, 1, 8, 0)
+    data = [
+        (i, float(f), float(e), float(tip), float(toll), None if c is None else float(c), float(d), t0, t0 + dt.timedelta(seconds=s))
+        for i, (f, e, tip, toll, c, d, s) in enumerate(rows)
+    ]
+    schema = T.StructType(
+        [T.StructField("id", T.IntegerType())]
+        + [T.StructField(n, T.FloatType()) for n in ("fare_amount", "extra", "tip_amount", "tolls_amount", "congestion_surcharge", "trip_distance")]
+        + [T.StructField("lpep_pickup_datetime", T.TimestampNTZType()), T.StructField("lpep_dropoff_datetime", T.TimestampNTZType())]
+    )
+    out = add_features(spark.createDataFrame(data, schema)).orderBy("id").collect()
+    for (f, e, tip, toll, c, d, s), r in zip(rows, out):
+        comps = np.array([f, e, tip, toll, 0.0 if c is None else c], dtype=np.float32)
+        acc = np.float32(0.0)
+        for v in comps:  # left to right, in float32
+            acc = np.float32(acc + v)
+        assert np.float32(r["expected_fare"]) == acc
+        assert np.float32(r["fare_discrepancy"]) == np.float32(abs(np.float32(f) - acc))
+        dur = np.float32(s / 60)
+        assert np.float32(r["trip_duration_min"]) == dur
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            spd = np.float32(np.float32(d) / np.float32(dur / np.float32(60)))
+        if not np.isfinite(spd):
+            spd = np.float32(0.0)
+        assert np.float32(r["avg_speed_mph"]) == spd
