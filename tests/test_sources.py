@@ -156,3 +156,16 @@ def test_drifting_months_through_conform_and_features(spark, scratch):
         assert abs(r["expected_fare"] - sum(parts)) < 1e-6
     assert {v.column: v.verdict for v in plan.casts}["passenger_count"] == "converted"
     assert feat.count() == old.where(F.month("lpep_pickup_datetime") == 3).count() + new.where(F.month("lpep_pickup_datetime") == 3).count()
+
+
+def test_audit_reports_bytes(spark, scratch):
+    root = os.path.join(scratch, "raw3")
+    os.makedirs(root)
+    _write_months(spark, root)
+    layout = FS.MonthlyLayout(root, partition_key=None)
+    checks = {c.file_name: c for c in FS.audit_files(spark, layout, [ROLES.file_name(2024, m) for m in (1, 4, 5)])}
+    assert checks["green_tripdata_2024-01.parquet"].bytes > 0
+    assert checks["green_tripdata_2024-04.parquet"].bytes is None or checks["green_tripdata_2024-04.parquet"].status == "unreadable"
+    assert checks["green_tripdata_2024-05.parquet"].bytes is None
+    frame = FS.audit_frame(spark, list(checks.values()))
+    assert "bytes" in frame.columns

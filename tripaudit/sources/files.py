@@ -87,14 +87,16 @@ def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
 
 
 def _hadoop_status(spark: SparkSession, path: str):
-    """(exists, is_file, is_dir, modification time, length) of a path."""
+    """(exists, is_file, is_dir, modification time, bytes) of a path (bytes of
+    all parts for a directory)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return False, False, False, None, None
     st = fs.getFileStatus(p)
-    return True, st.isFile(), st.isDirectory(), st.getModificationTime(), st.getLen()
+    size = st.getLen() if st.isFile() else fs.getContentSummary(p).getLength()
+    return True, st.isFile(), st.isDirectory(), st.getModificationTime(), size
 
 
 # footer schemas already read in this process, keyed by (path, mtime, length):
@@ -112,6 +114,7 @@ class FileCheck:
     status: str  # ok | missing | no_columns | unreadable
     error: str | None
     schema: T.StructType | None
+    bytes: int | None = None
 
 
 def validate_file(spark: SparkSession, path: str, name: str | None = None) -> FileCheck:
@@ -131,8 +134,8 @@ def validate_file(spark: SparkSession, path: str, name: str | None = None) -> Fi
             schema = spark.read.parquet(path).schema
             _FOOTERS[key] = schema
         if not schema.fields:
-            return FileCheck(name, path, True, is_file, 0, "no_columns", None, schema)
-        return FileCheck(name, path, True, is_file, len(schema.fields), "ok", None, schema)
+            return FileCheck(name, path, True, is_file, 0, "no_columns", None, schema, length)
+        return FileCheck(name, path, True, is_file, len(schema.fields), "ok", None, schema, length)
     except Exception as e:  # noqa: BLE001 - audit must not fail
         msg = str(e).strip().splitlines()[0][:300] if str(e).strip() else type(e).__name__
         return FileCheck(name, path, True, False, 0, "unreadable", msg, None)
@@ -145,8 +148,8 @@ def audit_files(spark: SparkSession, layout: MonthlyLayout, names: list[str], th
 
 
 def audit_frame(spark: SparkSession, checks: list[FileCheck]) -> DataFrame:
-    rows = [(c.file_name, c.path, c.exists, c.is_file, c.n_columns, c.status, c.error) for c in checks]
-    schema = "file_name string, path string, exists boolean, is_file boolean, n_columns int, status string, error string"
+    rows = [(c.file_name, c.path, c.exists, c.is_file, c.bytes, c.n_columns, c.status, c.error) for c in checks]
+    schema = "file_name string, path string, exists boolean, is_file boolean, bytes bigint, n_columns int, status string, error string"
     return spark.createDataFrame(rows, schema)
 
 
