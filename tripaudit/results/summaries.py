@@ -6,36 +6,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..chain import featured_trips
+from ..chain import conformed_trips, featured_trips
 from ..operators import summaries as S
-from ..operators.features import FEATURE_COLUMNS, rule_report
+from ..operators.features import FEATURE_COLUMNS, add_features, rule_report
 from ..sources.fixture import KEYS
 
 from . import register, presentable, sql_col, KEYS_SQL
 
 
-def _feature_query(name: str, columns: tuple[str, ...]):
+def _feature_query(name: str, columns: tuple[str, ...], rules: tuple[str, ...]):
+    """One rule (and the rules it reads) applied to the conformed trips, lazily:
+    the plan is the rule's projection over a scan of its input columns."""
     cols_sql = ", ".join(sql_col(c) for c in columns)
 
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return presentable(featured_trips(spark, sf_dir).select(*KEYS, *columns))
+        feat = add_features(conformed_trips(spark, sf_dir), only=rules)
+        return presentable(feat.select(*KEYS, *columns))
 
     register(name, O.with_base(f"SELECT {KEYS_SQL}, {cols_sql} FROM feat"))(fn)
 
 
-_feature_query("trip_duration", ("lpep_pickup_datetime", "lpep_dropoff_datetime", "trip_duration_min"))
-_feature_query("time_features", ("pickup_hour", "pickup_dayofweek", "pickup_month", "pickup_year"))
-_feature_query("expected_fare", ("expected_fare",))
-_feature_query("fare_discrepancy", ("fare_amount", "expected_fare", "fare_discrepancy"))
-_feature_query("avg_speed", ("trip_distance", "trip_duration_min", "avg_speed_mph"))
-_feature_query("zone_flags", ("PULocationID", "DOLocationID", "is_invalid_PULocation", "is_invalid_DOLocation", "is_same_zone"))
-_feature_query("zero_passenger", ("passenger_count", "is_zero_passenger"))
-_feature_query("ratecode_flag", ("RatecodeID", "is_invalid_ratecodeID"))
-_feature_query("payment_flags", ("payment_type", "tip_amount", "total_amount", "is_invalid_payment", "is_cash_with_tip", "is_free_but_charged"))
+_feature_query("trip_duration", ("lpep_pickup_datetime", "lpep_dropoff_datetime", "trip_duration_min"), ("trip_duration",))
+_feature_query("time_features", ("pickup_hour", "pickup_dayofweek", "pickup_month", "pickup_year"), ("time_features",))
+_feature_query("expected_fare", ("expected_fare",), ("expected_fare",))
+_feature_query("fare_discrepancy", ("fare_amount", "expected_fare", "fare_discrepancy"), ("expected_fare", "fare_discrepancy"))
+_feature_query("avg_speed", ("trip_distance", "trip_duration_min", "avg_speed_mph"), ("trip_duration", "avg_speed"))
+_feature_query("zone_flags", ("PULocationID", "DOLocationID", "is_invalid_PULocation", "is_invalid_DOLocation", "is_same_zone"), ("zone_flags",))
+_feature_query("zero_passenger", ("passenger_count", "is_zero_passenger"), ("zero_passenger",))
+_feature_query("ratecode_flag", ("RatecodeID", "is_invalid_ratecodeID"), ("ratecode_flag",))
+_feature_query(
+    "payment_flags",
+    ("payment_type", "tip_amount", "total_amount", "is_invalid_payment", "is_cash_with_tip", "is_free_but_charged"),
+    ("payment_flags",),
+)
 
 
 @register("trip_features", O.with_base("SELECT * REPLACE (CAST(payment_type AS DOUBLE) AS payment_type) FROM feat"))
 def q_trip_features(spark, sf_dir):
+    """the chain's output table (conformed trips + all derived columns),
+    written once by ``featured_trips``; the single rules above show their plans."""
     return presentable(featured_trips(spark, sf_dir))
 
 
