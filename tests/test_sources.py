@@ -163,7 +163,7 @@ def test_audit_reports_bytes(spark, scratch):
     os.makedirs(root)
     _write_months(spark, root)
     layout = FS.MonthlyLayout(root, partition_key=None)
-    checks = {c.file_name: c for c in FS.audit_files(spark, layout, [ROLES.file_name(2024, m) for m in (1, 4, 5)])}
+    checks = {c.file_name: c for c in FS.audit_files(spark, layout, [ROLES.file_name(2024, m) for m in (1, 4, 5)], with_bytes=True)}
     assert checks["green_tripdata_2024-01.parquet"].bytes > 0
     assert checks["green_tripdata_2024-04.parquet"].bytes is None or checks["green_tripdata_2024-04.parquet"].status == "unreadable"
     assert checks["green_tripdata_2024-05.parquet"].bytes is None

@@ -39,7 +39,7 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
     else:
         names = [roles.file_name(y, m) for y, m in roles.periods()]
         df = FS.read_all(spark, lay, names, roles)
-    checks = FS.audit_files(spark, lay, names)
+    checks = FS.audit_files(spark, lay, names, with_bytes=True)
     write_report(FS.audit_frame(spark, checks), f"{out}/reports/file_audit")
     if df is None:
         echo("no readable file for the requested period")

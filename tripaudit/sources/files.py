@@ -86,7 +86,7 @@ def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
     )
 
 
-def _hadoop_status(spark: SparkSession, path: str):
+def _hadoop_status(spark: SparkSession, path: str, with_bytes: bool = False):
     """(exists, is_file, is_dir, modification time, bytes) of a path (bytes of
     all parts for a directory)."""
     jvm = spark.sparkContext._jvm
@@ -95,7 +95,10 @@ def _hadoop_status(spark: SparkSession, path: str):
     if not fs.exists(p):
         return False, False, False, None, None
     st = fs.getFileStatus(p)
-    size = st.getLen() if st.isFile() else fs.getContentSummary(p).getLength()
+    if st.isFile():
+        size = st.getLen()
+    else:
+        size = fs.getContentSummary(p).getLength() if with_bytes else None
     return True, st.isFile(), st.isDirectory(), st.getModificationTime(), size
 
 
@@ -117,7 +120,7 @@ class FileCheck:
     bytes: int | None = None
 
 
-def validate_file(spark: SparkSession, path: str, name: str | None = None) -> FileCheck:
+def validate_file(spark: SparkSession, path: str, name: str | None = None, with_bytes: bool = False) -> FileCheck:
     """Exists -> is a file (or a Spark output directory) -> footer has columns.
 
     Never raises; any error becomes status ``unreadable``. Only the footer
@@ -125,7 +128,7 @@ def validate_file(spark: SparkSession, path: str, name: str | None = None) -> Fi
     """
     name = name or path.rstrip("/").rsplit("/", 1)[-1]
     try:
-        exists, is_file, _is_dir, mtime, length = _hadoop_status(spark, path)
+        exists, is_file, _is_dir, mtime, length = _hadoop_status(spark, path, with_bytes)
         if not exists:
             return FileCheck(name, path, False, False, 0, "missing", None, None)
         key = (path, mtime, length)
@@ -141,10 +144,14 @@ def validate_file(spark: SparkSession, path: str, name: str | None = None) -> Fi
         return FileCheck(name, path, True, False, 0, "unreadable", msg, None)
 
 
-def audit_files(spark: SparkSession, layout: MonthlyLayout, names: list[str], threads: int = 16) -> list[FileCheck]:
-    """S2 over many files; footer reads are metadata I/O, issued concurrently."""
+def audit_files(
+    spark: SparkSession, layout: MonthlyLayout, names: list[str], threads: int = 16, with_bytes: bool = False
+) -> list[FileCheck]:
+    """S2 over many files; footer reads are metadata I/O, issued concurrently.
+
+    ``with_bytes`` adds the size of output directories (a listing each)."""
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(names) or 1))) as pool:
-        return list(pool.map(lambda n: validate_file(spark, layout.path(n), n), names))
+        return list(pool.map(lambda n: validate_file(spark, layout.path(n), n, with_bytes), names))
 
 
 def audit_frame(spark: SparkSession, checks: list[FileCheck]) -> DataFrame:
