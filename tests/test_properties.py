@@ -94,3 +94,50 @@ def test_float32_features_equal_numpy(spark, rows):
         if not np.isfinite(spd):
             spd = np.float32(0.0)
         assert np.float32(r["avg_speed_mph"]) == spd
+
+
+def _numpy_verdict(vals: list, target: str) -> str:
+    """The narrowing checks computed with numpy on the non-missing values."""
+    a = np.array([v for v in vals if v is not None and not np.isnan(v)], dtype=np.float64)
+    has_missing = len(a) < len(vals)
+    if target == "float32":
+        with np.errstate(over="ignore"):
+            back = a.astype(np.float32).astype(np.float64)
+        ok = bool(np.allclose(a, back, rtol=1e-4, atol=1e-6, equal_nan=False)) if len(a) else True
+        return "converted" if ok else "kept_loss"
+    lo, hi = (-128, 127) if target == "Int8" else (-32768, 32767)
+    fits = bool(np.all(np.isfinite(a) & (a == np.floor(a)) & (a >= lo) & (a <= hi))) if len(a) else True
+    if target == "Int8":
+        return "converted" if fits else "failed"
+    if has_missing or not bool(np.all(np.isfinite(a))):
+        return "failed"
+    return "converted" if fits else "kept_loss"
+
+
+cast_values = st.lists(
+    st.one_of(
+        st.none(),
+        st.just(float("nan")),
+        st.sampled_from([0.0, 1.0, -128.0, 127.0, 128.0, 32767.0, 32768.0, 1.5, 1e39, float("inf"), 0.1, 3.4e38]),
+        st.integers(min_value=-40000, max_value=40000).map(float),
+        st.floats(min_value=-1e6, max_value=1e6, allow_nan=False),
+    ),
+    min_size=1,
+    max_size=30,
+)
+
+
+@SETTINGS
+@given(vals=cast_values)
+def test_cast_verdicts_equal_numpy_checks(spark, vals):
+    from tripaudit.config import DEFAULT_ROLES
+    from tripaudit.plans.profile import build_plan
+
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    if all(v is None or np.isnan(v) for v in vals):
+        return  # an all-missing column is dropped before narrowing
+    pairs = (("x", "float32"), ("x", "Int8"), ("x", "int16"))
+    plan = build_plan(df, DEFAULT_ROLES.with_(narrow_targets=pairs, columns_to_drop=(), categorical_columns=()))
+    got = {v.target: v.verdict for v in plan.casts}
+    for _, target in pairs:
+        assert got[target] == _numpy_verdict(vals, target), (target, vals)
