@@ -77,7 +77,7 @@ def add_anomaly_flags(df: DataFrame, fences: Fences, roles: TripRoles = DEFAULT_
     )
 
 
-def is_clean(df_cols: list[str]) -> F.Column:
+def is_clean() -> F.Column:
     """No impossible distance/speed, no extreme duration, no negative money."""
     bad = (
         (F.col("flag_impossible_distance") == 1)
@@ -148,7 +148,7 @@ def fare_by_weekday_clean(flagged: DataFrame, roles: TripRoles = DEFAULT_ROLES)
     from .summaries import day_name
 
     fare = F.col("fare_amount").cast("double")
-    clean = is_clean(flagged.columns)
+    clean = is_clean()
     return (
         flagged.where(F.col("pickup_dayofweek").isNotNull())
         .groupBy("pickup_dayofweek")
@@ -171,7 +171,7 @@ CORR_PAIRS = (
 
 def pair_correlations(flagged: DataFrame) -> DataFrame:
     """Pearson correlation per pair, all rows and clean rows, one pass."""
-    clean = is_clean(flagged.columns)
+    clean = is_clean()
     aggs = []
     for name, x, y in CORR_PAIRS:
         xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
