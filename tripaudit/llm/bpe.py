@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 
 #: The pattern that splits text before the merges (fixed by the vocabulary's pre-tokeniser).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: White space and what follows; the pattern never joins across such a border unless rarer spaces are around.
-CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-RARE_SPACE = re.compile("[" + "".join(map(chr, (*range(0x0B, 0x0D), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
-#: Entries of a worker's memory of chunks and of pairs; beyond that it starts anew.
-MEMORY = 300_000
+#: The same over characters for which the standard library's classes are known to agree, which is faster; the rest goes by PATTERN.
+_LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+OTHER = re.compile(rf"[^\t\n\r\x20-\x7e{_LETTERS}–—‘-‟…]")
+PLAIN = re.compile(rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
+#: Entries of each of a worker's memories; those that were not asked for since it last filled up go.
+MEMORY = 200_000
 
 
 def byte_chars() -> list[str]:
@@ -63,6 +64,7 @@ class Vocabulary:
         self.raw = [bytes(to_byte[c] for c in t) for t in text_of]
         self.id_of = [ids[t] for t in text_of]
         self.size = [len(t) for t in self.raw]
+        self.most = max(self.size)
         self.special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
         self.special_at = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         by_bytes = {t: r for r, t in enumerate(self.raw)}
@@ -71,8 +73,9 @@ class Vocabulary:
         for r, t in enumerate(self.raw):
             self.automaton.add_word(t.decode("latin-1"), r)
         self.automaton.make_automaton()
-        self.fits: dict[tuple[int, int], bool] = {}
-        self.memory = Memory(self)
+        self.fits = Memory(lambda pair: self.compatible(pair >> 32, pair & 0xFFFFFFFF))
+        self.longest = Memory(lambda text: next(self.automaton.iter_long(text))[1])
+        self.pieces = Memory(lambda text: packed(self.piece(text)))
         # the decoder's table: all tokens' bytes in id order, and where each starts
         raw_of = {i: t for i, t in zip(self.id_of, self.raw, strict=True)} | {i: t.encode() for t, i in self.special.items()}
         sizes = np.array([len(raw_of.get(i, b"")) for i in range(max(raw_of, default=-1) + 1)], np.int64)
@@ -81,76 +84,53 @@ class Vocabulary:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging the bytes of a and b together ends with the border between them kept."""
-        if (known := self.fits.get((a, b))) is not None:
-            return known
-        if len(self.fits) >= MEMORY:
-            self.fits.clear()
-        first, second, before = a, b, len(self.raw)
+        before = len(self.raw)
         while True:
             if (new := self.joined.get((a, b))) is not None and new < before:
-                answer = False
-                break
+                return False
+            if a < 256 and b < 256:
+                return True
             # undo the later of the two merges: across the border, its parts were there first
-            a_whole, b_whole = a < 256, b < 256
-            if a_whole and b_whole:
-                answer = True
-                break
             if a > b:
                 before, a = a, self.right[a]
             else:
                 before, b = b + 1, self.left[b]
-        self.fits[first, second] = answer
-        return answer
 
     def piece(self, text: str) -> list[int]:
-        """Ranks of one piece (bytes as latin-1 text)."""
-        ranks = [r for _, r in self.automaton.iter_long(text)]
-        if sum(map(self.size.__getitem__, ranks)) == len(text) and all(map(self.compatible, ranks, ranks[1:])):
-            return ranks
-        return self.backtrack(text)
-
-    def longest(self, text: str, at: int) -> int:
-        return next(self.automaton.iter_long(text, at))[1]
-
-    def backtrack(self, text: str) -> list[int]:
+        """Ids of one piece of the pattern."""
+        text = text.encode().decode("latin-1")
+        size, longest, fits, whole = self.size, self.longest, self.fits, len(text)
         out: list[int] = []
-        open_at = bytearray(b"\1") * (len(text) + 1)
-        at, token = 0, self.longest(text, 0)
+        closed: set[int] = set()
+        at, token, last = 0, longest[text], -1
         while True:
-            end = at + self.size[token]
-            if open_at[end] and (not out or self.compatible(out[-1], token)):
+            end = at + size[token]
+            if end not in closed and (last < 0 or fits[last << 32 | token]):
                 out.append(token)
-                at = end
-                if at == len(text):
-                    return out
-                token = self.longest(text, at)
+                if end == whole:
+                    return list(map(self.id_of.__getitem__, out))
+                at, last = end, token
+                token = longest[text[at : at + self.most]]
             elif self.shorter[token] >= 0:
                 token = self.shorter[token]
-            else:
-                open_at[at] = 0
+            else:  # no token fits here: take the last one back and never end there again
+                closed.add(at)
                 token = out.pop()
-                at -= self.size[token]
+                at -= size[token]
+                last = out[-1] if out else -1
 
-    def chunk(self, text: str) -> list[int]:
-        """Ids of a text without special tokens."""
-        out: list[int] = []
-        for piece in PATTERN.findall(text):
-            out += map(self.id_of.__getitem__, self.piece(piece.encode().decode("latin-1")))
-        return out
+    def plain(self, text: str) -> list[tuple[bytes, bytes]]:
+        """The encoded pieces of a text without special tokens."""
+        return list(map(self.pieces.__getitem__, (PATTERN if OTHER.search(text) else PLAIN).findall(text)))
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids as native int32 bytes and as decimal text joined by commas."""
-        if self.special_at is not None and self.special_at.search(text):
-            ids: list[int] = []
-            at = 0
-            for m in self.special_at.finditer(text):
-                ids += self.chunk(text[at : m.start()])
-                ids.append(self.special[m[0]])
-                at = m.end()
-            return packed(ids + self.chunk(text[at:]))
-        if RARE_SPACE.search(text):
-            return packed(self.chunk(text))
-        found = list(map(self.memory.__getitem__, CHUNK.findall(text)))
+        found, at = [], 0
+        for m in self.special_at.finditer(text) if self.special_at is not None else ():
+            found += self.plain(text[at : m.start()])
+            found.append(packed([self.special[m[0]]]))
+            at = m.end()
+        found += self.plain(text[at:] if at else text)
         return b"".join([x for x, _ in found]), b",".join([y for _, y in found])
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -167,18 +147,21 @@ def packed(ids: list[int]) -> tuple[bytes, bytes]:
 
 
 class Memory(dict):
-    """Encoded chunks that this worker has seen, up to MEMORY."""
+    """Answers that were given before, the newest MEMORY to 2 * MEMORY of them; long questions are not kept."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, answer):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.answer, self.older = answer, {}
 
-    def __missing__(self, text: str) -> tuple[bytes, bytes]:
+    def __missing__(self, key):
+        if (new := self.older.get(key)) is None:
+            new = self.answer(key)
+            if isinstance(key, str) and len(key) > 64:
+                return new
         if len(self) >= MEMORY:
+            self.older = self.copy()
             self.clear()
-        new = packed(self.vocabulary.chunk(text))
-        if len(text) <= 64:
-            self[text] = new
+        self[key] = new
         return new
 
 

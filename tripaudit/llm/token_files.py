@@ -28,8 +28,8 @@ from .common import small, staged
 
 #: Words between plain spaces; the normaliser and the pattern never join across them.
 SPACES = re.compile(r"[ \n\t\r]+")
-#: Entries of a worker's memory of words; words that are encoded in one call; bits per key and level.
-MEMORY, CALL, SPREAD = 400_000, 4096, 2
+#: Entries of a worker's memory of words; texts whose words are looked up together; words that are encoded in one call; bits per key and level.
+MEMORY, GROUP, CALL, SPREAD = 300_000, 200, 2000, 2
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -93,19 +93,34 @@ def opened(path: str):
 
 
 class Words(dict):
-    """Ids of words, as bytes, as the tokenizers library gives them."""
+    """Ids of words, as bytes, as the tokenizers library gives them; the newest MEMORY to 2 * MEMORY."""
 
-    def __init__(self, tokenizer, kind):
+    def __init__(self, tokenizer, kind, mark: str, mark_id: int):
         super().__init__()
-        self.tokenizer, self.kind = tokenizer, kind
+        self.tokenizer, self.kind, self.mark, self.mark_id, self.older = tokenizer, kind, mark, mark_id, {}
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
+        """Encodes what is not known, many words in one call with a special token between them."""
         if len(self) + len(words) > MEMORY:
+            self.older = self.copy()
             self.clear()
-        for k in range(0, len(words), CALL):
-            part = words[k : k + CALL]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self[word] = np.array(e.ids, self.kind).tobytes()
+        todo = []
+        for word in words:
+            if (ids := self.older.get(word)) is not None:
+                self[word] = ids
+            elif "<|" in word:  # may hold special tokens
+                self[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+            else:
+                todo.append(word)
+        for k in range(0, len(todo), CALL):
+            part = todo[k : k + CALL]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids)
+            cut = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+            raw, w = ids.astype(self.kind).tobytes(), self.kind.itemsize
+            if len(cut) != len(part) + 1:
+                raise ValueError("the mark between words was lost")
+            for word, i, j in zip(part, cut, cut[1:], strict=False):
+                self[word] = raw[w * (i + 1) : w * j]
 
 
 @lru_cache(maxsize=2)
@@ -118,16 +133,20 @@ def tokenizer_words(path: str) -> Words:
     t = Tokenizer.from_file(path)
     t.no_truncation()
     t.no_padding()
-    return Words(t, np.dtype("<u2") if t.get_vocab_size() <= 1 << 16 else np.dtype("<u4"))
-
-
-def encoded(texts: list[str], words: Words) -> Iterator[bytes]:
-    """Ids of each text; words are separate to the vocabulary, so each distinct one is encoded once."""
-    for text in texts:
-        parts = SPACES.split(text)
-        if new := set(parts).difference(words):
-            words.learn(list(new))
-        yield b"".join(map(words.__getitem__, parts))
+    number, mark = next((k, x) for k, x in sorted(t.get_added_tokens_decoder().items()) if x.special and not x.lstrip and not x.rstrip)
+    return Words(t, np.dtype("<u2") if t.get_vocab_size() <= 1 << 16 else np.dtype("<u4"), mark.content, number)
+
+
+def encoded(texts: list[str], words: Words) -> list[bytes]:
+    """Ids of each text; the vocabulary never joins across blanks, so each distinct word is encoded once."""
+    out = []
+    for k in range(0, len(texts), GROUP):
+        parts = [SPACES.split(t) for t in texts[k : k + GROUP]]
+        every = set().union(*parts)
+        if new := every.difference(words):
+            words.learn(new if len(words) + len(new) <= MEMORY else every)
+        out += [b"".join(map(words.__getitem__, p)) for p in parts]
+    return out
 
 
 def write_token_files(docs: DataFrame, root: str, path: str, end_id: int) -> DataFrame:
