@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 #: The pattern that splits text before the merges (fixed by the vocabulary's pre-tokeniser).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: The same over characters for which the standard library's classes are known to agree, which is faster; the rest goes by PATTERN.
-_LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ"
-OTHER = re.compile(rf"[^\t\n\r\x20-\x7e{_LETTERS}–—‘-‟…]")
-PLAIN = re.compile(rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ"
+OTHER = re.compile(rf"[^\t\n\r\x20-\x7e{LETTERS}–—‘-‟…]")
+PLAIN = re.compile(rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
 #: Entries of each of a worker's memories; those that were not asked for since it last filled up go.
 MEMORY = 200_000
 

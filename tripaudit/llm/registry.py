@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, language, mixing, quality_model, quality_rules, sharding, token_files
+from . import bpe, jaccard, language, mixing, quality_model, quality_rules, sharding, token_files, vector_graph
 from .common import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_vector_graph": (lambda spark, d: vector_graph.vector_duplicates(table(spark, d, "embeddings"), 0.95), vector_graph.SQL),
     "op2_jaccard": (lambda spark, d: jaccard.jaccard_classes(table(spark, d, "documents"), 4, 85), jaccard.SQL),
     "op3_sharding": (lambda spark, d: sharding.shard_rows(table(spark, d, "documents"), 24), sharding.SQL),
     "op4_line_rules": (lambda spark, d: quality_rules.line_rules(table(spark, d, "documents"), with_text=False), quality_rules.SQL),

@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .bpe import LETTERS, OTHER
 from .common import small, staged
 
-#: Words between plain spaces; the normaliser and the pattern never join across them.
-SPACES = re.compile(r"[ \n\t\r]+")
+#: The vocabulary's own pieces of a lower-cased text whose characters are plain.
+PIECE = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[0-9]|[^\s0-9{LETTERS}]+")
 #: Entries of a worker's memory of words; texts whose words are looked up together; words that are encoded in one call; bits per key and level.
-MEMORY, GROUP, CALL, SPREAD = 300_000, 200, 2000, 2
+MEMORY, GROUP, CALL, SPREAD = 400_000, 200, 2000, 2
 
 
 def mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -93,14 +94,20 @@ def opened(path: str):
 
 
 class Words(dict):
-    """Ids of words, as bytes, as the tokenizers library gives them; the newest MEMORY to 2 * MEMORY."""
+    """Ids of words, as bytes, as the tokenizers library gives them; the newest MEMORY to 2 * MEMORY.
 
-    def __init__(self, tokenizer, kind, mark: str, mark_id: int):
+    ``ends``: the ids that can end a word, if the vocabulary marks them.
+    """
+
+    def __init__(self, tokenizer, kind, ends: np.ndarray):
         super().__init__()
-        self.tokenizer, self.kind, self.mark, self.mark_id, self.older = tokenizer, kind, mark, mark_id, {}
+        self.tokenizer, self.kind, self.ends, self.older = tokenizer, kind, ends, {}
+
+    def one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def learn(self, words: set[str]) -> None:
-        """Encodes what is not known, many words in one call with a special token between them."""
+        """Encodes what is not known, many words in one call with blanks between them."""
         if len(self) + len(words) > MEMORY:
             self.older = self.copy()
             self.clear()
@@ -108,19 +115,19 @@ class Words(dict):
         for word in words:
             if (ids := self.older.get(word)) is not None:
                 self[word] = ids
-            elif "<|" in word:  # may hold special tokens
-                self[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
             else:
                 todo.append(word)
         for k in range(0, len(todo), CALL):
             part = todo[k : k + CALL]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids)
-            cut = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            raw, w = ids.astype(self.kind).tobytes(), self.kind.itemsize
-            if len(cut) != len(part) + 1:
-                raise ValueError("the mark between words was lost")
-            for word, i, j in zip(part, cut, cut[1:], strict=False):
-                self[word] = raw[w * (i + 1) : w * j]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cut) == len(part):
+                raw, w = ids.astype(self.kind).tobytes(), self.kind.itemsize
+                for word, i, j in zip(part, [0, *cut], cut, strict=False):
+                    self[word] = raw[w * i : w * j]
+            else:  # a word without an end, or with several
+                for word in part:
+                    self[word] = self.one(word)
 
 
 @lru_cache(maxsize=2)
@@ -133,19 +140,26 @@ def tokenizer_words(path: str) -> Words:
     t = Tokenizer.from_file(path)
     t.no_truncation()
     t.no_padding()
-    number, mark = next((k, x) for k, x in sorted(t.get_added_tokens_decoder().items()) if x.special and not x.lstrip and not x.rstrip)
-    return Words(t, np.dtype("<u2") if t.get_vocab_size() <= 1 << 16 else np.dtype("<u4"), mark.content, number)
+    vocab = t.get_vocab()
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+    return Words(t, np.dtype("<u2") if t.get_vocab_size() <= 1 << 16 else np.dtype("<u4"), ends)
 
 
 def encoded(texts: list[str], words: Words) -> list[bytes]:
-    """Ids of each text; the vocabulary never joins across blanks, so each distinct word is encoded once."""
+    """Ids of each text.
+
+    The vocabulary drops blanks, lower-cases and never joins across the
+    pieces of PIECE, so each distinct piece is encoded once. Texts with rarer
+    characters or with what may be special tokens go to the library whole.
+    """
     out = []
     for k in range(0, len(texts), GROUP):
-        parts = [SPACES.split(t) for t in texts[k : k + GROUP]]
-        every = set().union(*parts)
+        parts = [None if OTHER.search(t) or "<|" in t or "\u0130" in t else PIECE.findall(t.lower()) for t in texts[k : k + GROUP]]
+        every = set().union(*(p for p in parts if p is not None))
         if new := every.difference(words):
             words.learn(new if len(words) + len(new) <= MEMORY else every)
-        out += [b"".join(map(words.__getitem__, p)) for p in parts]
+        out += [words.one(t) if p is None else b"".join(map(words.__getitem__, p)) for t, p in zip(texts[k : k + GROUP], parts, strict=True)]
     return out
 
 
