@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, language, mixing, quality_model, quality_rules, sharding, token_files, vector_graph
+from . import bpe, jaccard, language, mixing, quality_model, quality_rules, repeats, sharding, token_files, vector_graph
 from .common import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_sharding": (lambda spark, d: sharding.shard_rows(table(spark, d, "documents"), 24), sharding.SQL),
     "op4_line_rules": (lambda spark, d: quality_rules.line_rules(table(spark, d, "documents"), with_text=False), quality_rules.SQL),
     "op5_pairwise_quality": (lambda spark, d: quality_model.quality_scores(table(spark, d, "documents"), table(spark, d, "labels")), None),
+    "op6_repeats": (lambda spark, d: repeats.remove_repeats(table(spark, d, "documents"), 100, with_text=False), None),
     "op7_language": (lambda spark, d: language.languages_of(table(spark, d, "documents")), None),
     "op8_mixing": (lambda spark, d: mixing.mix_plan(table(spark, d, "documents")).drop("source"), mixing.SQL),
     "op9_token_files": (lambda spark, d: token_files.token_files(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2), None),
