@@ -9,7 +9,7 @@ used up, so all sources advance in step with their targets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD_SQL, running_total, staged
@@ -44,6 +44,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return rows.select("source", "source_size", "rank", target.alias("target"))
 
 
+def shuffle_key(seed: str) -> Column:
+    """The place of a document in its source's shuffled order."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
+
+
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: str = "mix") -> DataFrame:
     """One row per document: its columns, size, source_size, target, taken.
 
@@ -55,8 +60,7 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     Empty input gives no rows.
     """
     word_count = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_SQL)), F.lit(0)).cast("long")
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
-    rows = staged(docs.select("doc_id", "source", word_count.alias("size"), order.alias("_order")), "mix-sizes")
+    rows = staged(docs.select("doc_id", "source", word_count.alias("size"), shuffle_key(seed).alias("_order")), "mix-sizes")
     targets = staged(source_targets(staged(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources"), weights, share, passes), "mix-targets")
     known = rows.join(F.broadcast(targets), rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     placed = running_total(known, "rank", ["_order"], "size", "mix-order")
@@ -73,7 +77,16 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
         end = F.struct(F.lit(last["finish"]).alias("finish"), F.lit(last["rank"]).alias("rank"), F.lit(last["_order"]).alias("_order"))
         at = lambda f: F.struct(f.alias("finish"), "rank", "_order")
         served = F.coalesce(F.size(F.filter("_finish", lambda f: at(f) <= end)), F.lit(0))
-    return placed.select("doc_id", "source", "size", "source_size", "target", F.when(F.col("size") > 0, F.col("size") * served).otherwise(0).cast("long").alias("taken"))
+    return placed.select("doc_id", "source", "_order", "size", "source_size", "target", F.when(F.col("size") > 0, F.col("size") * served).otherwise(0).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
+    """The mix itself: every taken document with its columns, once for each time that it is taken."""
+    plan = mix_plan(docs, seed=seed, **options).where("taken > 0")
+    times = plan.groupBy("_order").agg(F.sum((F.col("taken") / F.col("size")).cast("int")).alias("_times"))
+    keyed = docs.withColumn("_order", shuffle_key(seed))
+    one = keyed.join(times, "_order").dropDuplicates(["_order"])
+    return one.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 #: DuckDB: the same with the weights, share and passes above.

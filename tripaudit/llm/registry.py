@@ -18,7 +18,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_pairwise_quality": (lambda spark, d: quality_model.quality_scores(table(spark, d, "documents"), table(spark, d, "labels")), None),
     "op6_repeats": (lambda spark, d: repeats.remove_repeats(table(spark, d, "documents"), 100, with_text=False), None),
     "op7_language": (lambda spark, d: language.languages_of(table(spark, d, "documents")), None),
-    "op8_mixing": (lambda spark, d: mixing.mix_plan(table(spark, d, "documents")).drop("source"), mixing.SQL),
+    "op8_mixing": (lambda spark, d: mixing.mix_plan(table(spark, d, "documents")).drop("source", "_order"), mixing.SQL),
     "op9_token_files": (lambda spark, d: token_files.token_files(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2), None),
     "op10_bpe": (lambda spark, d: bpe.bpe_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")), None),
 }
