@@ -25,6 +25,14 @@ def test_run_over_monthly_files(spark, scratch):
     assert spark.read.parquet(os.path.join(out, "trips")).count() == src.count()
     audit = {r["file_name"]: r["status"] for r in spark.read.parquet(os.path.join(out, "reports", "file_audit")).collect()}
     assert audit["green_tripdata_2001-12.parquet"] == "missing"
+    assert {"anomaly_counts", "anomaly_ranking", "demand_profile"} <= names
+    # the same files once more, in two runs: the table and its reports stay whole
+    again = os.path.join(scratch, "again")
+    for years in ((1995, 1997), (1998, 2001), (1995, 1997)):
+        run(spark, layout.root, again, roles.with_(year_start=years[0], year_end=years[1]), layout="partitioned", echo=lines.append)
+    for table in ("box_stats", "histograms", "pair_distance_fare"):
+        a, b = (spark.read.parquet(os.path.join(d, "reports", table)) for d in (out, again))
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())), table
     one = run(spark, layout.root, os.path.join(scratch, "one"), roles, 1996, 3, layout="partitioned", echo=lines.append)
     assert one["status"] == "ok" and one["report"]["rows"] < src.count()
     none = run(spark, layout.root, os.path.join(scratch, "none"), roles, 2030, 1, layout="partitioned", echo=lines.append)

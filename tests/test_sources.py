@@ -7,7 +7,7 @@ import os
 from tripaudit.config import DEFAULT_ROLES
 from tripaudit.sources import files as FS
 from tripaudit.sources.sample import sample_rows
-from tripaudit.sources.sink import export_monthly, write_trips
+from tripaudit.sources.sink import export_monthly, read_trips, write_trips
 
 ROLES = DEFAULT_ROLES.with_(year_start=2024, year_end=2024, months=(1, 2, 3, 4, 5))
 
@@ -95,13 +95,47 @@ def test_sample_is_repeatable_and_whole_rows(spark):
 def test_partitioned_trip_sink(spark, scratch):
     from tripaudit.chain import featured_trips
 
-    feat = featured_trips(spark, "/root/testdata/sf0.001")
+    from pyspark.sql import functions as F
+
+    feat = featured_trips(spark, "/root/testdata/sf0.001").withColumn("source_file", F.concat(F.lit("f"), F.col("pickup_year"), F.lit(".parquet")))
     out = os.path.join(scratch, "featured")
     write_trips(feat, out)
     back = spark.read.parquet(out)
     assert back.count() == feat.count()
-    plan = back.where("pickup_year = 1997")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "pickup_year" in plan
+    plan = back.where("source_file = 'f1997.parquet'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "source_file" in plan
+
+
+def test_stray_rows_of_another_month_survive_its_run(spark, scratch):
+    rows = lambda month, n, strays: [(f"2024-0{month}-05 10:00:00",)] * n + [(f"2024-0{s}-28 23:50:00",) for s in strays]
+    out = os.path.join(scratch, "trips")
+    frame = lambda data, name: spark.createDataFrame(data, "t string").selectExpr("to_timestamp(t) AS t", f"'{name}' AS source_file")
+    write_trips(frame(rows(1, 100, []), "jan.parquet"), out)
+    write_trips(frame(rows(2, 80, [1, 1]), "feb.parquet"), out)
+    assert {r["source_file"]: r["count"] for r in read_trips(spark, out).groupBy("source_file").count().collect()} == {"jan.parquet": 100, "feb.parquet": 82}
+    write_trips(frame(rows(1, 90, []), "jan.parquet"), out)
+    assert read_trips(spark, out).count() == 172 and read_trips(spark, out).where("month(t) = 1").count() == 92
+
+
+def test_any_file_name_is_listed_and_counted(spark, scratch):
+    root = os.path.join(scratch, "any")
+    os.makedirs(root)
+    spark.createDataFrame([(1, 2.0)], "a bigint, b double").write.parquet(f"{root}/fhvhv_tripdata_2024-01.parquet")
+    spark.createDataFrame([(1,)], "a bigint").write.parquet(f"{root}/zones.parquet")
+    spark.createDataFrame([], "a bigint, b double, c string").write.parquet(f"{root}/deep.d/none.parquet")
+    layout = FS.MonthlyLayout(root, None)
+    names = ["fhvhv_tripdata_2024-01.parquet", "zones.parquet", "deep.d/none.parquet"]
+    assert sorted(r["file_name"] for r in FS.file_listing(spark, layout).collect()) == sorted(names)
+    checks = FS.audit_files(spark, layout, names)
+    got = {r["source_file"]: (r["n_rows"], r["n_columns"]) for r in FS.load_counts(FS.read_checked(spark, layout, checks), checks).collect()}
+    assert got == {"fhvhv_tripdata_2024-01.parquet": (1, 2), "zones.parquet": (1, 1), "deep.d/none.parquet": (0, 3)}
+
+
+def test_rows_without_pickup_time_are_kept(spark, scratch):
+    df = spark.createDataFrame([("2024-01-05 10:00:00", 1), (None, 2)], "t string, k int").selectExpr("to_timestamp_ntz(t) AS lpep_pickup_datetime", "k")
+    layout = export_monthly(df, os.path.join(scratch, "m"), "lpep_pickup_datetime")
+    names = [r["file_name"] for r in FS.periods_in_data(df, "lpep_pickup_datetime").collect()]
+    assert sorted(names) == ["green_tripdata_2024-01.parquet", "green_tripdata_unknown.parquet"] and FS.read_all(spark, layout, names).count() == 2
 
 
 def test_hot_month_is_split_across_files(spark, scratch):
@@ -109,9 +143,8 @@ def test_hot_month_is_split_across_files(spark, scratch):
 
     df = spark.range(200000).select(
         F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise((F.col("id") % 12) + 1).alias("pickup_month"),
-        F.lit(2024).alias("pickup_year"),
         (F.col("id") * 1.5).alias("fare_amount"),
-    )
+    ).selectExpr("*", "concat('m', pickup_month, '.parquet') AS source_file")
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     try:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
@@ -119,7 +152,7 @@ def test_hot_month_is_split_across_files(spark, scratch):
         write_trips(df, out)
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    hot = os.path.join(out, "pickup_year=2024", "pickup_month=1")
+    hot = os.path.join(out, "source_file=m1.parquet")
     files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
     assert len(files) > 1
     assert spark.read.parquet(out).count() == 200000

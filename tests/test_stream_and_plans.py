@@ -18,10 +18,13 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, scratch):
     src = trips(spark, SF)
     layout = export_monthly(src, os.path.join(scratch, "monthly"), "lpep_pickup_datetime")
     schema = spark.read.parquet(layout.root).schema
+    n_files = sum(f.endswith(".parquet") for _, _, fs in os.walk(layout.root) for f in fs)
     sink, ckpt = os.path.join(scratch, "sink"), os.path.join(scratch, "ckpt")
     plan = plan_for(spark, SF)
-    run_incremental_ingest(spark, layout.root, schema, plan, sink, ckpt, max_files_per_trigger=16, timeout_s=600)
+    run_incremental_ingest(spark, layout.root, schema, plan, sink, ckpt, max_files_per_trigger=n_files // 4, timeout_s=600)
+    assert len([d for d in os.listdir(sink) if d.startswith("ingest_batch=")]) >= 4
     out = spark.read.parquet(sink).drop("source_file")
+    assert out.where("cast_rejects IS NOT NULL").count() == 0
     batch = featured_trips(spark, SF)
     cols = [c for c in batch.columns if c not in ("pickup_year", "pickup_month")]
     assert out.count() == batch.count()
@@ -54,10 +57,10 @@ def test_filter_is_pushed_down(spark):
 
 
 def test_no_python_udf_in_registered_plans(spark):
-    import __spark_entry__ as E
+    from tripaudit.results import load_all
 
     skip = {"incremental_ingest"}  # runs a stream when called
-    for name, fn in E.queries().items():
+    for name, (fn, _) in load_all().items():
         if name in skip:
             continue
         text = _plan_text(fn(spark, SF))
@@ -92,7 +95,8 @@ FAST = [
     "cast_verdicts", "narrowed_types", "cardinality_ratio", "category_codes", "footprint_report",
     "histograms", "box_stats", "pair_duration_distance", "anomaly_overlap", "discrepancy_bands",
     "tip_anomalies", "demand_profile", "fare_by_weekday_clean", "pair_correlations", "anomaly_ranking",
-    "period_files", "load_counts",
+    "period_files", "load_counts", "unknown_period_counts", "file_listing", "written_trips", "row_sample",
+    "string_pickups", "guarded_casts", "wide_category_codes", "edge_histograms", "edge_box_stats", "edge_density", "guards",
 ]
 
 

@@ -8,7 +8,7 @@ fixed below must stay equal to the behaviour being reproduced; values marked
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --------------------------------------------------------------------------
 # Fixed values (must equal the reproduced behaviour; stated plainly, in order)
@@ -101,9 +101,8 @@ IDLE_DISTANCE = 0.1  # ours: "near-zero distance"
 IDLE_DURATION_MIN = 1400.0  # prose: "~1,400 min"
 DISCREPANCY_BANDS = (10.0, 20.0)  # prose: "near 0", "10-20", "tail"
 HIGH_FARE = 300.0  # prose: "$300+"
-KDE_FINE_BINS = 4096  # ours: resolution of the binned density
 PAIR_BINS = 50  # ours: resolution of the 2-D pair tables
-MAX_CATEGORIES = 65536  # ours: largest code table that may be broadcast
+BROADCAST_CODES = 65536  # ours: largest code table that is broadcast; larger ones are joined by a shuffle
 
 
 @dataclass(frozen=True)
@@ -119,7 +118,7 @@ class TripRoles:
     narrow_targets: tuple[tuple[str, str], ...] = NARROW_TARGETS
     categorical_columns: tuple[str, ...] = CATEGORICAL_COLUMNS
     category_ratio_limit: float = CATEGORY_RATIO_LIMIT
-    max_categories: int = MAX_CATEGORIES
+    broadcast_codes: int = BROADCAST_CODES
     datetime_columns: tuple[str, ...] = DATETIME_COLUMNS
     datetime_formats: tuple[str, ...] = ()
     fare_components: tuple[str, ...] = FARE_COMPONENTS
@@ -136,7 +135,6 @@ class TripRoles:
     float_atol: float = FLOAT_ATOL
     hist_bins: int = HIST_BINS
     kde_grid_points: int = KDE_GRID_POINTS
-    kde_fine_bins: int = KDE_FINE_BINS
     pair_bins: int = PAIR_BINS
     box_whis: float = BOX_WHIS
     max_distance: float = MAX_DISTANCE_MILES
@@ -147,8 +145,6 @@ class TripRoles:
     idle_duration: float = IDLE_DURATION_MIN
     discrepancy_bands: tuple[float, float] = DISCREPANCY_BANDS
     high_fare: float = HIGH_FARE
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
-
     def with_(self, **kw) -> "TripRoles":
         return replace(self, **kw)
 
@@ -158,6 +154,16 @@ class TripRoles:
     def file_name(self, year: int, month: int) -> str:
         return self.file_name_template.format(taxi_type=self.taxi_type, year=year, month=month)
 
+    @property
+    def timestamp_columns(self) -> tuple[str, ...]:
+        """Every column that a string timestamp is parsed in: the listed ones and the pickup and dropoff candidates."""
+        return tuple(dict.fromkeys((*self.datetime_columns, *self.pickup_candidates, *self.dropoff_candidates)))
+
+    def unknown_file_name(self) -> str:
+        """The file of rows without a pickup time: the template with ``unknown`` for its period."""
+        head = self.file_name_template.split("{year}")[0].format(taxi_type=self.taxi_type)
+        return f"{head}unknown.parquet"
+
     def periods(self) -> list[tuple[int, int]]:
         """Year-major, then month, as the batch reader visits them."""
         return [(y, m) for y in range(self.year_start, self.year_end + 1) for m in self.months]

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..config import DEFAULT_ROLES, TripRoles
-from ..plans.profile import ConformPlan, build_plan, normalise_nan
+from ..plans.profile import ConformPlan, build_plan, cast_ok, normalise_nan
+from ..session import scratch_path
 
 
 def _q(name: str):
@@ -39,29 +40,61 @@ def parse_timestamp(c, formats: tuple[str, ...] = ()):
 
 
 def parse_timestamps(df: DataFrame, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
-    """D3: string timestamp columns -> TIMESTAMP_NTZ; others untouched."""
+    """D3: string timestamp columns -> TIMESTAMP_NTZ (unparseable: NULL); others untouched.
+
+    Covers the listed columns and every pickup and dropoff candidate."""
     out = []
     for f in df.schema.fields:
-        if f.name in roles.datetime_columns and isinstance(f.dataType, T.StringType):
+        if f.name in roles.timestamp_columns and isinstance(f.dataType, T.StringType):
             out.append(parse_timestamp(_q(f.name), roles.datetime_formats).alias(f.name))
         else:
             out.append(_q(f.name))
     return df.select(*out)
 
 
-def narrow_types(df: DataFrame, plan: ConformPlan) -> DataFrame:
-    """Cast the columns whose verdict is ``converted``."""
-    casts = plan.cast_map()
-    return df.select(*[(_q(c).cast(casts[c]).alias(c) if c in casts else _q(c)) for c in df.columns])
+REJECTS = "cast_rejects"
+
+
+def narrow_types(df: DataFrame, plan: ConformPlan, roles: TripRoles = DEFAULT_ROLES, rejects: str | None = None) -> DataFrame:
+    """Cast the columns whose verdict is ``converted``, each value under its own check.
+
+    A frozen plan may meet data it was not made from: a value that fails the
+    check of its cast (fractional, out of range, beyond the tolerance) becomes
+    NULL, never a truncated number or an error. With ``rejects`` its original
+    goes into that column, a map from column to value as text; rows without
+    one have NULL there.
+    """
+    casts, kinds = plan.cast_map(), plan.guarded()
+    out, failed = [], []
+    for c in df.columns:
+        if c not in casts:
+            out.append(_q(c))
+            continue
+        ok = cast_ok(df.schema[c].dataType, _q(c), kinds[c], roles)
+        out.append(F.when(ok, _q(c).try_cast(casts[c])).alias(c))
+        failed.append(F.when(~ok, F.struct(F.lit(c).alias("key"), _q(c).cast("string").alias("value"))))
+    if rejects is not None:
+        none = F.lit(None).cast("map<string,string>")
+        found = F.filter(F.array(*failed), lambda x: x.isNotNull()) if failed else None
+        out.append((F.when(F.size(found) > 0, F.map_from_entries(found)) if failed else none).alias(rejects))
+    return df.select(*out)
+
+
+def reject_counts(df: DataFrame, rejects: str = REJECTS) -> DataFrame:
+    """Quarantined values by column: rows and distinct values."""
+    return (
+        df.where(_q(rejects).isNotNull()).select(F.explode(_q(rejects)).alias("column", "value"))
+        .groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("value").alias("n_values"))
+    )
 
 
-def apply_plan(df: DataFrame, plan: ConformPlan, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
+def apply_plan(df: DataFrame, plan: ConformPlan, roles: TripRoles = DEFAULT_ROLES, rejects: str | None = None) -> DataFrame:
     """D1 -> D2 -> D3 -> D5 as one projection (D6/D7 change no values)."""
     df = normalise_nan(df)
     df = drop_columns(df, roles)
     df = drop_null_columns(df, plan)
     df = parse_timestamps(df, roles)
-    return narrow_types(df, plan)
+    return narrow_types(df, plan, roles, rejects)
 
 
 def conform(df: DataFrame, roles: TripRoles = DEFAULT_ROLES, approx_distinct: bool = False) -> tuple[DataFrame, ConformPlan]:
@@ -85,35 +118,38 @@ def cardinality_frame(spark: SparkSession, plan: ConformPlan) -> DataFrame:
     return spark.createDataFrame(rows, "column string, n_distinct bigint, n_rows bigint, ratio double, verdict string")
 
 
-def category_codes(df: DataFrame, column: str, plan: ConformPlan | None = None, max_categories: int = DEFAULT_ROLES.max_categories) -> DataFrame:
-    """Code table of a categorical column.
+def category_codes(df: DataFrame, column: str, plan: ConformPlan | None = None) -> DataFrame:
+    """Code table of a categorical column, of any size.
 
     code = rank of the value among the sorted distinct non-null values, from
-    0; NULL has code -1. The distinct values are found by a distributed
-    aggregate; the ranking window only ever sees the distinct table, whose
-    size the profile bounded (``max_categories``).
+    0; NULL has code -1. The distinct values are range-partitioned and
+    numbered within their partition; the rows of the partitions before (one
+    small row each) are added, so no task sees the whole table.
     """
-    counts = df.groupBy(_q(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
     if plan is not None:
         verdict = {c.column: c for c in plan.categories}.get(column)
         if verdict is None or verdict.verdict != "categorical":
             raise ValueError(f"{column} is not categorical under this plan")
-    else:  # no profile: check the size of the distinct table before ranking it
-        n = counts.count()
-        if n > max_categories:
-            raise ValueError(f"{column} has {n} distinct values, above {max_categories}")
-    rank = F.row_number().over(Window.orderBy(F.col("value").asc_nulls_last())) - 1
-    code = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(rank)
-    return counts.select(F.col("value").alias(column), code.cast("int").alias("code"), F.col("n_rows"))
-
-
-def encode_categories(df: DataFrame, column: str, codes: DataFrame, max_categories: int) -> DataFrame:
-    """Attach ``{column}_code`` through a broadcast of the (size-checked) code table."""
-    n = codes.count()
-    if n > max_categories:
-        raise ValueError(f"code table of {column} has {n} rows, above the broadcast bound {max_categories}")
-    small = codes.where(F.col(column).isNotNull()).select(F.col(column).alias("__v"), F.col("code").alias(f"{column}_code"))
-    joined = df.join(F.broadcast(small), _q(column) == F.col("__v"), "left").drop("__v")
+    spark = df.sparkSession
+    counts = df.groupBy(_q(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+    path = scratch_path(spark, "codes")
+    counts.repartitionByRange("value").withColumn("__p", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    known = dealt.where(F.col("value").isNotNull())
+    rank = F.row_number().over(Window.partitionBy("__p").orderBy("value")) - 1
+    before = F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))  # one row for each partition
+    offsets = known.groupBy("__p").agg(F.count(F.lit(1)).alias("__n")).select("__p", F.coalesce(before, F.lit(0)).alias("__off"))
+    coded = known.withColumn("__r", rank).join(offsets, "__p").select("value", (F.col("__r") + F.col("__off")).cast("int").alias("code"), "n_rows")
+    missing = dealt.where(F.col("value").isNull()).select("value", F.lit(-1).alias("code"), "n_rows")
+    return coded.union(missing).select(F.col("value").alias(column), "code", "n_rows")
+
+
+def encode_categories(df: DataFrame, column: str, codes: DataFrame, broadcast_codes: int = DEFAULT_ROLES.broadcast_codes) -> DataFrame:
+    """Attach ``{column}_code``; the code table is broadcast only if its counted size is within the bound."""
+    known = codes.where(F.col(column).isNotNull()).select(F.col(column).alias("__v"), F.col("code").alias(f"{column}_code"))
+    if known.count() <= broadcast_codes:
+        known = F.broadcast(known)
+    joined = df.join(known, _q(column) == F.col("__v"), "left").drop("__v")
     return joined.withColumn(f"{column}_code", F.coalesce(F.col(f"{column}_code"), F.lit(-1)))
 
 

@@ -22,8 +22,9 @@ def _q(name: str):
 
 
 def _num(name: str):
-    """The column as DOUBLE with NaN read as missing (as the charts drop it)."""
-    return nan_to_null(_q(name).cast("double"))
+    """The column as DOUBLE; NaN and infinities are missing (a chart has no place for them)."""
+    x = nan_to_null(_q(name).cast("double"))
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
 
 
 def numeric_long(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -211,73 +212,58 @@ def box_stats(
     )
 
 
+#: Bandwidths beyond which a kernel counts as zero (its share is below 3e-16 there).
+KERNEL_REACH = 8.5
+
+
+def density_columns(stats: dict, columns: list[str]) -> tuple[list[str], list[str]]:
+    """The columns that have a density curve, and those that don't: a constant one, or fewer than two values."""
+    has = [c for c in columns if stats[c]["n"] >= 2 and stats[c]["sd"] is not None and stats[c]["sd"] > 0]
+    return has, [c for c in columns if c not in has]
+
+
 def density_curves(
     df: DataFrame, roles: TripRoles = DEFAULT_ROLES, columns: tuple[str, ...] | None = None, stats: dict | None = None
 ) -> DataFrame:
     """Gaussian KDE on ``kde_grid_points`` points over [min, max], scaled to counts.
 
-    Bandwidth: Scott's factor n^(-1/5) times the sample stddev. The data is
-    first reduced to ``kde_fine_bins`` bins per column (count and mean of each
-    bin; the bin index is a projection with literal ranges, then one
-    distributed aggregate); the curve is evaluated from that bounded table
-    (array functions, at most ``kde_fine_bins`` x grid terms per column), so
-    cost does not grow with the row count. Counts scaling:
-    density * n * histogram bin width.
+    Bandwidth: Scott's factor n^(-1/5) times the sample stddev. Exact: every
+    value adds its kernel to the grid points within ``KERNEL_REACH``
+    bandwidths, as exploded rows that are summed partially in the same task;
+    at most columns x points rows are shuffled. The reach shrinks as
+    n^(-1/5), so a value touches fewer points the more there are. A constant
+    column has no curve (``density_columns``). Counts scaling: density * n *
+    histogram bin width.
     """
-    fine = roles.kde_fine_bins
     g = roles.kde_grid_points
     spark = df.sparkSession
     cols = [c for c in (columns or roles.eda_numeric) if c in df.columns]
     stats = stats if stats is not None else numeric_stats(df, tuple(cols))
-    cols = [c for c in cols if stats[c]["n"] >= 2 and stats[c]["sd"] is not None]
-    st_rows = [
-        (c, stats[c]["n"], stats[c]["min"], stats[c]["max"], stats[c]["sd"] * float(stats[c]["n"]) ** -0.2)
-        for c in cols
-    ]
-    st = F.broadcast(spark.createDataFrame(st_rows, "column string, n bigint, vmin double, vmax double, h double"))
-    if not cols:
-        return spark.createDataFrame([], "column string, point int, x double, density double, density_count double")
+    cols, _ = density_columns(stats, cols)
+    grid_rows = []
     parts = []
     for c in cols:
-        lo, hi = stats[c]["min"], stats[c]["max"]
-        x = _num(c)
-        span = hi - lo
-        fb = F.least(F.floor((x - F.lit(lo)) / F.lit(span) * fine).cast("int"), F.lit(fine - 1)) if span > 0 else F.lit(0)
-        parts.append(F.struct(F.lit(c).alias("column"), fb.alias("fb"), x.alias("value")))
-    long = df.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull())
-    binned = long.groupBy("column", "fb").agg(F.count(F.lit(1)).alias("w"), F.avg("value").alias("mu"))
-    b = binned.join(st, "column")
-    step = (F.col("vmax") - F.col("vmin")) / F.lit(float(g - 1))
-
-    def grid_x(i):
-        return F.when(i == g - 1, F.col("vmax")).otherwise(i.cast("double") * step + F.col("vmin"))
-
-    def kernel(i):
-        z = (grid_x(i) - F.col("mu")) / F.col("h")
-        return F.col("w") * F.exp(F.lit(-0.5) * z * z)
-
-    # one array of g weighted kernel values per bin, summed element-wise per
-    # column; the list per column holds at most kde_fine_bins arrays
-    per_bin = b.select("column", F.transform(F.sequence(F.lit(0), F.lit(g - 1)), kernel).alias("c"))
-    summed = per_bin.groupBy("column").agg(
-        F.aggregate(
-            F.collect_list("c"),
-            F.array_repeat(F.lit(0.0), g),
-            lambda acc, a: F.zip_with(acc, a, lambda x, y: x + y),
-        ).alias("s")
-    )
-    pts = summed.join(st, "column").select("column", F.posexplode("s").alias("point", "s"), "vmin", "vmax", "n", "h")
-    hist_width = (F.col("vmax") - F.col("vmin")) / F.lit(float(roles.hist_bins))
-    dens = F.col("s") / (F.col("n") * F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5))
-    x = F.when(F.col("point") == g - 1, F.col("vmax")).otherwise(
-        F.col("point").cast("double") * ((F.col("vmax") - F.col("vmin")) / F.lit(float(g - 1))) + F.col("vmin")
-    )
-    return pts.select(
-        "column",
-        F.col("point").cast("int").alias("point"),
-        x.alias("x"),
-        dens.alias("density"),
-        (dens * F.col("n") * hist_width).alias("density_count"),
+        n, lo, hi, sd = (stats[c][k] for k in ("n", "min", "max", "sd"))
+        h, step = sd * float(n) ** -0.2, (hi - lo) / float(g - 1)
+        for i in range(g):
+            grid_rows.append((c, i, hi if i == g - 1 else float(i) * step + lo, n, h, (hi - lo) / float(roles.hist_bins)))
+        v = _num(c)
+        reach = F.lit(KERNEL_REACH * h)
+        first = F.greatest(F.ceil((v - reach - F.lit(lo)) / F.lit(step)), F.lit(0)).cast("int")
+        last = F.least(F.floor((v + reach - F.lit(lo)) / F.lit(step)), F.lit(g - 1)).cast("int")
+        touched = F.when(v.isNotNull() & (first <= last), F.sequence(first, last))
+        parts.append(F.struct(F.lit(c).alias("column"), v.alias("value"), touched.alias("points"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), F.lit(step).alias("step"), F.lit(h).alias("h")))
+    grid = spark.createDataFrame(grid_rows, "column string, point int, x double, n bigint, h double, width double")
+    if not cols:
+        return spark.createDataFrame([], "column string, point int, x double, density double, density_count double")
+    long = df.select(F.inline(F.array(*parts))).where(F.col("points").isNotNull())
+    touched = long.select("column", "value", "lo", "hi", "step", "h", F.explode("points").alias("point"))
+    x = F.when(F.col("point") == g - 1, F.col("hi")).otherwise(F.col("point").cast("double") * F.col("step") + F.col("lo"))
+    z = (x - F.col("value")) / F.col("h")
+    sums = touched.groupBy("column", "point").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("s"))
+    dens = F.coalesce(F.col("s"), F.lit(0.0)) / (F.col("n") * F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5))
+    return grid.join(sums, ["column", "point"], "left").select(
+        "column", "point", "x", dens.alias("density"), (dens * F.col("n") * F.col("width")).alias("density_count")
     )
 
 
@@ -288,17 +274,30 @@ PAIRS = (
 )
 
 
-def pair_bins(df: DataFrame, pair: str, xcol: str, ycol: str, bins: int = 50) -> DataFrame:
+def pair_ranges(df: DataFrame, pairs=PAIRS) -> dict[str, dict]:
+    """[min, max] of both axes of every pair, over the rows that have both: one aggregate for all pairs."""
+    aggs = []
+    for name, xcol, ycol in pairs:
+        x, y = _num(xcol), _num(ycol)
+        both = x.isNotNull() & y.isNotNull()
+        for axis, v in (("x", x), ("y", y)):
+            aggs += [f(F.when(both, v)).alias(f"{name}__{axis}{tag}") for f, tag in ((F.min, "min"), (F.max, "max"))]
+    row = df.agg(*aggs).collect()[0].asDict()
+    return {name: {k: row[f"{name}__{k}"] for k in ("xmin", "xmax", "ymin", "ymax")} for name, _, _ in pairs}
+
+
+def pair_bins(df: DataFrame, pair: str, xcol: str, ycol: str, bins: int = 50, ranges: dict | None = None) -> DataFrame:
     """2-D binned counts of (x, y) over each axis's [min, max].
 
     Replaces a scatter plot: the cell table has at most bins^2 rows whatever
-    the row count. Rows with a missing coordinate are left out. One small
-    aggregate gives the ranges (as literals), one pass bins and counts.
+    the row count. Rows with a missing coordinate are left out. The ranges
+    come as literals (``pair_ranges``; taken here if not given), one pass
+    bins and counts.
     """
     xy = df.select(_num(xcol).alias("x"), _num(ycol).alias("y")).where(
         F.col("x").isNotNull() & F.col("y").isNotNull()
     )
-    st = xy.agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax")).collect()[0]
+    st = (ranges or pair_ranges(df, ((pair, xcol, ycol),)))[pair]
     if st["xmin"] is None:
         return df.sparkSession.createDataFrame([], "pair string, bin_x int, bin_y int, n_rows bigint")
     xlo, xhi = _range({"min": st["xmin"], "max": st["xmax"]})
@@ -311,8 +310,8 @@ def pair_bins(df: DataFrame, pair: str, xcol: str, ycol: str, bins: int = 50) ->
     return cells.select(F.lit(pair).alias("pair"), "bin_x", "bin_y", "n_rows")
 
 
-def pair_table(df: DataFrame, which: str, bins: int = 50) -> DataFrame:
+def pair_table(df: DataFrame, which: str, bins: int = 50, ranges: dict | None = None) -> DataFrame:
     for name, x, y in PAIRS:
         if name == which:
-            return pair_bins(df, name, x, y, bins)
+            return pair_bins(df, name, x, y, bins, ranges)
     raise KeyError(which)

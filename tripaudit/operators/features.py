@@ -99,13 +99,15 @@ def _expected_fare(df, r, roles):
 
 
 def _discrepancy(df, r, roles):
-    fare = _q("fare_amount").cast("float")
-    return {"fare_discrepancy": F.abs(fare - F.col("expected_fare")).cast("float")}
+    # subtract in the type the fare was kept in; narrow the result, not the input
+    kept = df.schema["fare_amount"].dataType
+    wide = "float" if isinstance(kept, T.FloatType) else "double"
+    return {"fare_discrepancy": F.abs(_q("fare_amount").cast(wide) - F.col("expected_fare").cast(wide)).cast("float")}
 
 
 def _speed(df, r, roles):
     hours = (F.col("trip_duration_min") / 60.0).cast("float")
-    return {"avg_speed_mph": safe_ratio_float(_q("trip_distance").cast("float"), hours)}
+    return {"avg_speed_mph": safe_ratio_float(_q("trip_distance"), hours)}
 
 
 def _zones(df, r, roles):

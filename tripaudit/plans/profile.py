@@ -9,7 +9,7 @@ frames alike. Only this one-row result travels to the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ class CategoryVerdict:
     n_distinct: int
     n_rows: int
     ratio: float
-    verdict: str  # categorical | kept | skipped | too_many
+    verdict: str  # categorical | kept | skipped
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,6 @@ class ConformPlan:
     casts: tuple[CastVerdict, ...]
     categories: tuple[CategoryVerdict, ...]
     approx_distinct: bool = False
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def cast_map(self) -> dict[str, str]:
         """column -> Spark type; with several targets for one column the first converted wins."""
@@ -65,6 +64,14 @@ class ConformPlan:
                 out[v.column] = v.type_after
         return out
 
+    def guarded(self) -> dict[str, str]:
+        """column -> target kind of the casts that are applied."""
+        out: dict[str, str] = {}
+        for v in self.casts:
+            if v.verdict == "converted":
+                out.setdefault(v.column, v.target)
+        return out
+
     def categorical(self) -> tuple[str, ...]:
         return tuple(c.column for c in self.categories if c.verdict == "categorical")
 
@@ -74,9 +81,9 @@ def normalise_nan(df: DataFrame) -> DataFrame:
     exprs = []
     for f in df.schema.fields:
         if is_float(f.dataType):
-            exprs.append(nan_to_null(F.col(f.name)).cast(f.dataType).alias(f.name))
+            exprs.append(nan_to_null(_q(f.name)).cast(f.dataType).alias(f.name))
         else:
-            exprs.append(F.col(f.name))
+            exprs.append(_q(f.name))
     return df.select(*exprs)
 
 
@@ -84,6 +91,14 @@ def _q(name: str) -> F.Column:
     return F.col(f"`{name}`")
 
 
+def cast_ok(dt: T.DataType, c: F.Column, target: str, roles: TripRoles) -> F.Column:
+    """Whether one row's value passes the check of its cast; a null passes."""
+    lo_hi = TARGET_KINDS[target][1]
+    if not is_numeric(dt):
+        return F.lit(False)
+    return float_roundtrip_ok(c, roles.float_rtol, roles.float_atol) if lo_hi is None else integral_in_range_ok(c, *lo_hi)
+
+
 def cast_check_exprs(dt: T.DataType, c: F.Column, target: str, roles: TripRoles) -> dict[str, F.Column]:
     """Aggregates that decide the verdict of one (column, target) pair."""
     kind = TARGET_KINDS[target]
@@ -172,7 +187,7 @@ def plan_from_profile(df: DataFrame, roles: TripRoles, row: dict, approx_distinc
     remaining = [c for c in kept if c not in all_null]
 
     parsed = tuple(
-        c for c in roles.datetime_columns if c in remaining and isinstance(schema[c].dataType, T.StringType)
+        c for c in roles.timestamp_columns if c in remaining and isinstance(schema[c].dataType, T.StringType)
     )
 
     casts = []
@@ -193,12 +208,7 @@ def plan_from_profile(df: DataFrame, roles: TripRoles, row: dict, approx_distinc
             continue
         nd = int(row[f"nd__{j}"])
         ratio = nd / rows if rows > 0 else 0.0
-        if ratio >= roles.category_ratio_limit:
-            verdict = "kept"
-        elif nd > roles.max_categories:
-            verdict = "too_many"
-        else:
-            verdict = "categorical"
+        verdict = "kept" if ratio >= roles.category_ratio_limit else "categorical"
         cats.append(CategoryVerdict(c, nd, rows, ratio, verdict))
 
     return ConformPlan(

@@ -9,6 +9,7 @@ from .. import oracle as O
 from ..chain import conformed_trips, plan_for, trips
 from ..config import DEFAULT_ROLES
 from ..operators import conform as C
+from ..operators.features import add_features
 from ..plans.profile import build_plan, normalise_nan
 from ..sources.fixture import KEYS, read_table, with_string_times
 from . import KEYS_SQL, presentable, register
@@ -40,6 +41,48 @@ def q_parse_timestamps(spark, sf_dir):
     return C.parse_timestamps(df).select(*KEYS, "tpep_pickup_datetime", "tpep_dropoff_datetime")
 
 
+_BAD = "l_orderkey % 31 = 0"
+
+
+@register("string_pickups", O.with_base(
+    f"SELECT {KEYS_SQL}, CASE WHEN NOT ({_BAD}) THEN trip_duration_min END AS trip_duration_min, "
+    f"CAST(CASE WHEN NOT ({_BAD}) THEN pickup_hour END AS DOUBLE) AS pickup_hour, CAST(CASE WHEN NOT ({_BAD}) THEN pickup_dayofweek END AS DOUBLE) AS pickup_dayofweek FROM feat"))
+def q_string_pickups(spark, sf_dir):
+    """Pickup and dropoff times as text, some of it bad: parsed, and null in what derives from them."""
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    df = trips(spark, sf_dir).withColumns({
+        "lpep_pickup_datetime": F.when(F.expr(_BAD), F.lit("not a time")).otherwise(F.date_format("lpep_pickup_datetime", fmt)),
+        "lpep_dropoff_datetime": F.date_format("lpep_dropoff_datetime", fmt),
+    })
+    feat = add_features(C.parse_timestamps(df), only=("trip_duration", "time_features"))
+    return presentable(feat.select(*KEYS, "trip_duration_min", "pickup_hour", "pickup_dayofweek"), ("pickup_hour", "pickup_dayofweek"))
+
+
+_HALF = "l_orderkey % 2 = 0"
+_ODD_PASSENGERS = "CASE WHEN l_orderkey % 7 = 1 THEN 1.5 WHEN l_orderkey % 11 = 1 THEN 300.0 ELSE passenger_count END"
+
+
+@register("guarded_casts", O.with_base(
+    f"SELECT {KEYS_SQL}, CASE WHEN p IN (1.5, 300.0) THEN NULL ELSE CAST(p AS DOUBLE) END AS passenger_count, "
+    f"CASE WHEN p = 1.5 THEN '1.5' WHEN p = 300.0 THEN '300.0' END AS rejected FROM (SELECT *, {_ODD_PASSENGERS} AS p FROM trips WHERE NOT ({_HALF}))"))
+def q_guarded_casts(spark, sf_dir):
+    """A plan made from one half of the data meets values in the other half that do not fit it."""
+    df = trips(spark, sf_dir)
+    plan = build_plan(df.where(_HALF))
+    other = df.where(f"NOT ({_HALF})").withColumn("passenger_count", F.expr(_ODD_PASSENGERS).cast("double"))
+    out = C.apply_plan(other, plan, rejects=C.REJECTS)
+    return presentable(out.select(*KEYS, "passenger_count", F.col(C.REJECTS)["passenger_count"].alias("rejected")), ("passenger_count",))
+
+
+@register("wide_category_codes",
+    "SELECT l_partkey * 100003 + l_orderkey AS value, CAST(dense_rank() OVER (ORDER BY l_partkey * 100003 + l_orderkey) - 1 AS INTEGER) AS code, count(*) AS n_rows "
+    "FROM lineitem GROUP BY l_partkey * 100003 + l_orderkey")
+def q_wide_category_codes(spark, sf_dir):
+    """Codes of a column with about as many values as rows (over 65,536 from sf0.1 on)."""
+    df = read_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 100003 + F.col("l_orderkey")).alias("value"))
+    return C.category_codes(df, "value")
+
+
 # (column, target) pairs probed on lineitem and on trips: every verdict arm
 LINEITEM_PAIRS = (
     ("l_quantity", "Int8"),

@@ -8,6 +8,8 @@ from .. import oracle as O
 from ..chain import featured_trips, numeric_profile
 from ..config import DEFAULT_ROLES
 from ..operators import distributions as D
+from ..session import session_key
+from ..sources.fixture import read_table
 from . import register
 
 NUM = DEFAULT_ROLES.eda_numeric
@@ -29,9 +31,9 @@ def bin_sql(v: str, lo: str, hi: str, bins: int) -> str:
     return f"(CASE WHEN {down} < {bins - 1} AND {v} >= ({down} + 1) * {step} + {lo} THEN {down} + 1 ELSE {down} END)"
 
 
-def _hist_sql() -> str:
+def _hist_sql(base: str = O.BASE.rstrip("\n") + LONG) -> str:
     return (
-        O.BASE.rstrip("\n") + LONG + ",\n"
+        base + ",\n"
         "rng AS (SELECT \"column\", CASE WHEN vmin = vmax THEN vmin - 0.5 ELSE vmin END AS lo, "
         "CASE WHEN vmin = vmax THEN vmax + 0.5 ELSE vmax END AS hi FROM stats),\n"
         f"binned AS (SELECT \"column\", {bin_sql('value', 'lo', 'hi', BINS)} AS bin FROM long JOIN rng USING (\"column\")),\n"
@@ -48,9 +50,9 @@ def q_histograms(spark, sf_dir):
     return D.histograms(featured_trips(spark, sf_dir), stats=numeric_profile(spark, sf_dir))
 
 
-def _box_sql() -> str:
+def _box_sql(base: str = O.BASE.rstrip("\n") + LONG) -> str:
     return (
-        O.BASE.rstrip("\n") + LONG + ",\n"
+        base + ",\n"
         "q AS (SELECT \"column\", count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med, "
         "quantile_cont(value, 0.75) AS q3 FROM long GROUP BY \"column\"),\n"
         "f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS flo, q3 + 1.5 * (q3 - q1) AS fhi FROM q),\n"
@@ -74,32 +76,64 @@ def q_box_stats(spark, sf_dir):
     )
 
 
-def _density_sql() -> str:
+def _density_sql(base: str) -> str:
+    """The exact density: the kernels of all values at every grid point."""
     g = DEFAULT_ROLES.kde_grid_points
-    fine = DEFAULT_ROLES.kde_fine_bins
     return (
-        O.BASE.rstrip("\n") + LONG + ",\n"
-        "st AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM stats WHERE n >= 2),\n"
-        f"fb AS (SELECT \"column\", CASE WHEN vmax - vmin > 0 THEN least(CAST(floor((value - vmin) / (vmax - vmin) * {fine}) AS INTEGER), {fine - 1}) "
-        "ELSE 0 END AS fb, value FROM long JOIN st USING (\"column\")),\n"
-        "b AS (SELECT \"column\", fb, count(*) AS w, avg(value) AS mu FROM fb GROUP BY \"column\", fb),\n"
-        f"grid AS (SELECT \"column\", CAST(unnest(range(0, {g})) AS INTEGER) AS point FROM st),\n"
-        f"gx AS (SELECT grid.\"column\", point, CASE WHEN point = {g - 1} THEN vmax "
+        base + ",\n"
+        "st AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM stats WHERE n >= 2 AND sd > 0),\n"
+        "v AS (SELECT \"column\", value, count(*) AS w FROM long GROUP BY \"column\", value),\n"
+        f"gx AS (SELECT \"column\", point, CASE WHEN point = {g - 1} THEN vmax "
         f"ELSE CAST(point AS DOUBLE) * ((vmax - vmin) / CAST({g - 1} AS DOUBLE)) + vmin END AS x, vmin, vmax, n, h "
-        "FROM grid JOIN st USING (\"column\")),\n"
-        "s AS (SELECT gx.\"column\", point, x, n, h, vmin, vmax, sum(w * exp(-0.5 * ((x - mu) / h) * ((x - mu) / h))) AS s "
-        "FROM gx JOIN b ON gx.\"column\" = b.\"column\" GROUP BY gx.\"column\", point, x, n, h, vmin, vmax)\n"
+        f"FROM st, (SELECT CAST(unnest(range(0, {g})) AS INTEGER) AS point)),\n"
+        "s AS (SELECT gx.\"column\", point, x, n, h, vmin, vmax, sum(w * exp(-0.5 * ((x - value) / h) * ((x - value) / h))) AS s "
+        "FROM gx JOIN v ON gx.\"column\" = v.\"column\" GROUP BY gx.\"column\", point, x, n, h, vmin, vmax)\n"
         "SELECT \"column\", point, x, "
         f"round(s / (n * h * sqrt(2 * pi())) * n * ((vmax - vmin) / CAST({BINS} AS DOUBLE)), 4) AS density_count FROM s"
     )
 
 
-@register("density_curves", _density_sql())
+@register("density_curves", _density_sql(O.BASE.rstrip("\n") + LONG))
 def q_density_curves(spark, sf_dir):
     d = D.density_curves(featured_trips(spark, sf_dir), stats=numeric_profile(spark, sf_dir))
     return d.select("column", "point", "x", F.round("density_count", 4).alias("density_count"))
 
 
+# values that a chart has no place for: infinities among the quantities, and a constant column
+_EDGE_FRAME = (
+    "SELECT CASE WHEN l_orderkey % 500 = 1 THEN CAST('inf' AS DOUBLE) WHEN l_orderkey % 500 = 2 THEN CAST('-inf' AS DOUBLE) ELSE l_quantity END AS quantity, "
+    "CAST(1 AS DOUBLE) AS constant, l_extendedprice AS price FROM lineitem WHERE l_orderkey % 10 < 3"
+)
+_EDGE = ("quantity", "constant", "price")
+_EDGE_LONG = (
+    "WITH long AS (SELECT \"column\", value FROM (UNPIVOT (" + _EDGE_FRAME + ") ON quantity, constant, price INTO NAME \"column\" VALUE value) WHERE NOT isinf(value)),\n"
+    "stats AS (SELECT \"column\", count(value) AS n, min(value) AS vmin, max(value) AS vmax, stddev_samp(value) AS sd FROM long GROUP BY \"column\")"
+)
+
+
+def _edge_frame(spark, sf_dir):
+    x = F.when(F.col("l_orderkey") % 500 == 1, F.lit(float("inf"))).when(F.col("l_orderkey") % 500 == 2, F.lit(float("-inf"))).otherwise(F.col("l_quantity"))
+    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_orderkey") % 10 < 3)
+    return li.select(x.alias("quantity"), F.lit(1.0).alias("constant"), F.col("l_extendedprice").alias("price"))
+
+
+@register("edge_histograms", _hist_sql(_EDGE_LONG))
+def q_edge_histograms(spark, sf_dir):
+    return D.histograms(_edge_frame(spark, sf_dir), columns=_EDGE)
+
+
+@register("edge_box_stats", _box_sql(_EDGE_LONG))
+def q_edge_box_stats(spark, sf_dir):
+    b = D.box_stats(spark, _edge_frame(spark, sf_dir), columns=_EDGE)
+    return b.select("column", "n", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")], "n_fliers")
+
+
+@register("edge_density", _density_sql(_EDGE_LONG))
+def q_edge_density(spark, sf_dir):
+    d = D.density_curves(_edge_frame(spark, sf_dir), columns=_EDGE)
+    return d.select("column", "point", "x", F.round("density_count", 4).alias("density_count"))
+
+
 def _pair_sql(name: str, x: str, y: str) -> str:
     pb = DEFAULT_ROLES.pair_bins
     return (
@@ -113,10 +147,22 @@ def _pair_sql(name: str, x: str, y: str) -> str:
     )
 
 
+_RANGES: dict = {}
+
+
+def _ranges(spark, sf_dir, feat):
+    """The axes of all pairs, once per session."""
+    key = (session_key(spark), sf_dir.rstrip("/"))
+    if key not in _RANGES:
+        _RANGES[key] = D.pair_ranges(feat)
+    return _RANGES[key]
+
+
 for _name, _x, _y in D.PAIRS:
     def _mk(name=_name):
         def fn(spark, sf_dir):
-            return D.pair_table(featured_trips(spark, sf_dir), name, DEFAULT_ROLES.pair_bins)
+            feat = featured_trips(spark, sf_dir)
+            return D.pair_table(feat, name, DEFAULT_ROLES.pair_bins, _ranges(spark, sf_dir, feat))
 
         return fn
 

@@ -18,8 +18,10 @@ from ..config import DEFAULT_ROLES as R
 from ..session import scratch_path, session_key
 from ..sources import files as FS
 from ..sources.sample import sample_rows
-from ..sources.sink import export_monthly
-from ..streaming.ingest import run_incremental_ingest
+from ..operators.conform import REJECTS, apply_plan
+from ..operators.features import add_features
+from ..sources.sink import export_monthly, read_trips, write_trips
+from ..streaming.ingest import BATCH, run_incremental_ingest
 from . import register
 
 PICKUP = "lpep_pickup_datetime"
@@ -99,35 +101,67 @@ def q_read_all_periods(spark, sf_dir):
 @register("load_counts", O.with_base(
     f"SELECT {_NAME_SQL} AS source_file, count(*) AS n_rows, CAST(26 AS INTEGER) AS n_columns FROM trips GROUP BY 1"))
 def q_load_counts(spark, sf_dir):
-    return FS.load_counts(FS.read_all(spark, monthly(spark, sf_dir), _names(spark, sf_dir), R))
+    layout = monthly(spark, sf_dir)
+    checks = FS.audit_files(spark, layout, _names(spark, sf_dir))
+    return FS.load_counts(FS.read_checked(spark, layout, checks), checks)
+
+
+_UNKNOWN = "l_orderkey % 37 = 0"
 
 
-@register("file_listing", None)
+@register("unknown_period_counts", O.with_base(
+    f"SELECT CASE WHEN {_UNKNOWN} THEN 'green_tripdata_unknown.parquet' ELSE {_NAME_SQL} END AS source_file, count(*) AS n_rows, "
+    f"count(*) FILTER (WHERE NOT {_UNKNOWN}) AS n_pickups FROM trips GROUP BY 1"))
+def q_unknown_period_counts(spark, sf_dir):
+    """Trips of which some have no pickup time: exported, listed and read back whole."""
+    df = trips(spark, sf_dir).withColumn(PICKUP, F.when(~F.expr(_UNKNOWN), F.col(PICKUP)))
+    layout = export_monthly(df, scratch_path(spark, "unknown"), PICKUP, R)
+    names = [r["file_name"] for r in FS.periods_in_data(df, PICKUP, R).select("file_name").collect()]
+    return FS.read_all(spark, layout, names, R).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.count(PICKUP).alias("n_pickups"))
+
+
+@register("file_listing", O.with_base(f"SELECT DISTINCT {_NAME_SQL} AS file_name, true AS has_parts, true AS has_bytes, true AS dated FROM trips"))
 def q_file_listing(spark, sf_dir):
-    return FS.file_listing(spark, monthly(spark, sf_dir))
+    """Names and presence; the bytes, parts and times themselves differ from run to run."""
+    listing = FS.file_listing(spark, monthly(spark, sf_dir))
+    return listing.select("file_name", (F.col("n_parts") > 0).alias("has_parts"), (F.col("bytes") > 0).alias("has_bytes"), F.col("modified").isNotNull().alias("dated"))
+
 
+@register("written_trips", O.with_base(f"SELECT {_NAME_SQL} AS source_file, count(*) AS n_rows, CAST(sum(pickup_month) AS BIGINT) AS sum_month FROM feat GROUP BY 1"))
+def q_written_trips(spark, sf_dir):
+    """The trip table after three runs: two that hold different files, and the first once more."""
+    layout, names = monthly(spark, sf_dir), sorted(_names(spark, sf_dir))
+    path = scratch_path(spark, "written")
+    for part in (names[::2], names[1::2], names[::2]):
+        if part:
+            raw = FS.read_all(spark, layout, part, R)
+            write_trips(add_features(apply_plan(raw, plan_for(spark, sf_dir), R), R), path)
+    return read_trips(spark, path).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("pickup_month").cast("bigint")).alias("sum_month"))
 
-@register("row_sample", None)
+
+_SAMPLE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+@register("row_sample", O.with_base(
+    "SELECT * FROM trips ORDER BY md5(concat_ws('|', '42', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in _SAMPLE_KEYS) + ")) LIMIT 3"))
 def q_row_sample(spark, sf_dir):
-    return sample_rows(trips(spark, sf_dir), 3, seed=42)
+    return sample_rows(trips(spark, sf_dir), 3, seed=42, keys=_SAMPLE_KEYS)
+
+
+_DRIFT = "year(lpep_pickup_datetime) = 1996 AND month(lpep_pickup_datetime) = 3"
 
 
 @register("incremental_ingest", O.with_base(
-    f"SELECT * REPLACE (CAST(payment_type AS DOUBLE) AS payment_type), {_NAME_SQL} AS source_file FROM feat"))
+    "SELECT * REPLACE (CAST(payment_type AS DOUBLE) AS payment_type, CASE WHEN " + _DRIFT + " THEN NULL ELSE cbd_congestion_fee END AS cbd_congestion_fee), "
+    + _NAME_SQL + " AS source_file FROM feat"))
 def q_incremental_ingest(spark, sf_dir):
-    layout = monthly(spark, sf_dir)
-    schema = spark.read.parquet(layout.root).schema
-    sink = scratch_path(spark, "stream-sink")
-    ckpt = scratch_path(spark, "stream-ckpt")
-    run_incremental_ingest(
-        spark, layout.root, schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=100, timeout_s=1800
-    )
-    out = spark.read.parquet(sink)
-    # partition values come back as INT; restore the feature types
-    return out.withColumns(
-        {
-            "pickup_year": F.col("pickup_year").cast("smallint"),
-            "pickup_month": F.col("pickup_month").cast("tinyint"),
-            "payment_type": F.col("payment_type").cast("double"),
-        }
-    )
+    """At least four batches over the monthly files, one of which lacks a column and has passengers as whole numbers."""
+    df = trips(spark, sf_dir)
+    root = scratch_path(spark, "drifting")
+    export_monthly(df.where(f"NOT ({_DRIFT})"), root, PICKUP, R)
+    odd = df.where(_DRIFT).drop("cbd_congestion_fee").withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+    odd.write.parquet(f"{root}/file={R.file_name(1996, 3)}")
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    files = FS.file_listing(spark, FS.MonthlyLayout(root)).agg(F.sum("n_parts")).first()[0]
+    run_incremental_ingest(spark, root, df.schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=max(1, files // 4), timeout_s=1800)
+    return spark.read.parquet(sink).drop(BATCH, REJECTS).withColumn("payment_type", F.col("payment_type").cast("double"))

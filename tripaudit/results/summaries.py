@@ -108,6 +108,40 @@ def _rules_sql() -> str:
     return O.with_base(" UNION ALL ".join(parts))
 
 
+_GONE = ("passenger_count", "trip_distance", "PULocationID", "total_amount")
+_SKIPPED = {
+    "is_zero_passenger": "passenger_count", "avg_speed_mph": "trip_distance", "is_invalid_PULocation": "PULocationID",
+    "is_invalid_DOLocation": "PULocationID", "is_same_zone": "PULocationID", "is_free_but_charged": "total_amount",
+}
+
+
+def _guards_sql() -> str:
+    parts = []
+    for o in FEATURE_COLUMNS:
+        if o in _SKIPPED:
+            parts.append(f"SELECT '{_RULE_OF[o]}' AS name, '{o}' AS output, 'skipped' AS status, '{_SKIPPED[o]}' AS missing, CAST(0 AS BIGINT) AS n_non_null, CAST(0 AS BIGINT) AS n_nonzero")
+        else:
+            parts.append(
+                f"SELECT '{_RULE_OF[o]}' AS name, '{o}' AS output, 'applied' AS status, '' AS missing, count({o}) AS n_non_null, CAST(count(*) FILTER (WHERE {o} <> 0) AS BIGINT) AS n_nonzero FROM feat"
+            )
+    gone = [("bivariate", "trip_distance"), ("anomalies", "trip_distance,total_amount,avg_speed_mph,passenger_count")]
+    parts += [f"SELECT '{n}', '', 'skipped', '{m}', CAST(0 AS BIGINT), CAST(0 AS BIGINT)" for n, m in gone]
+    return O.with_base(" UNION ALL ".join(parts))
+
+
+@register("guards", _guards_sql())
+def q_guards(spark, sf_dir):
+    """Rules, EDA and anomaly sections over trips that lack some columns."""
+    from ..report import anomaly_tables, eda_tables
+
+    short = conformed_trips(spark, sf_dir).drop(*_GONE)
+    featured = add_features(short)
+    rules = rule_report(spark, short.columns, featured).withColumnRenamed("rule", "name")
+    skipped = eda_tables(spark, featured).skipped + anomaly_tables(spark, featured).skipped
+    sections = spark.createDataFrame([(n, "", "skipped", m, 0, 0) for n, m in skipped], "name string, output string, status string, missing string, n_non_null bigint, n_nonzero bigint")
+    return rules.union(sections)
+
+
 @register("skipped_rules", _rules_sql())
 def q_skipped_rules(spark, sf_dir):
     from ..chain import conformed_trips

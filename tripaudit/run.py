@@ -5,8 +5,8 @@
 
 list files -> audit -> read (one month, or every configured month with
 schema drift) -> profile + conform (with footprint report) -> derive
-features -> sanity checks -> EDA tables and the featured trips written under
-``--out``. Every step is a Spark job; the driver only receives the file
+features -> sanity checks -> EDA and anomaly tables and the featured trips
+(partitioned by the file they came from) written under ``--out``. Every step is a Spark job; the driver only receives the file
 audit, the one-row profile and the small summary tables it prints.
 """
 
@@ -16,16 +16,16 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 
 from .config import DEFAULT_ROLES, TripRoles
 from .operators.conform import apply_plan, footprint_aggregates, footprint_from_row, footprint_report, type_changes
-from .operators.distributions import numeric_stat_exprs, stats_from_row
+from .operators.distributions import numeric_stats
 from .operators.features import add_features, feature_manifest
 from .plans.profile import distinct_aggregates, plan_from_profile, profile_aggregates
-from .report import eda_tables, sanity_tables, write_tables
+from .report import anomaly_tables, eda_tables, sanity_tables, write_tables
 from .sources import files as FS
-from .sources.sink import write_report, write_trips
+from .sources.sink import read_trips, write_report, write_trips
 
 
 def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLES, year: int | None = None,
@@ -34,12 +34,11 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
     listing = [r["file_name"] for r in FS.file_listing(spark, lay).select("file_name").collect()]
     echo(f"available files: {sorted(listing)}")
     if year is not None and month is not None:
-        df = FS.read_month(spark, lay, year, month, roles)
         names = [roles.file_name(year, month)]
     else:
-        names = [roles.file_name(y, m) for y, m in roles.periods()]
-        df = FS.read_all(spark, lay, names, roles)
+        names = [*(roles.file_name(y, m) for y, m in roles.periods()), roles.unknown_file_name()]
     checks = FS.audit_files(spark, lay, names, with_bytes=True)
+    df = FS.read_checked(spark, lay, checks)
     write_report(FS.audit_frame(spark, checks), f"{out}/reports/file_audit")
     if df is None:
         echo("no readable file for the requested period")
@@ -60,12 +59,12 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
     for rule, _, outputs, missing in skipped_rules:
         echo(f"skipped rule {rule} ({outputs}): missing {missing}")
 
-    # the numeric profile of the EDA columns is observed during the write
-    cols = [c for c in roles.eda_numeric if c in featured.columns]
-    obs = Observation("numeric_profile")
-    write_trips(featured.observe(obs, *numeric_stat_exprs(cols)), f"{out}/trips")
-    stats = stats_from_row(cols, obs.get)
-    trips = spark.read.parquet(f"{out}/trips")
+    # the reports cover the whole table, earlier runs included, so their statistics come from it
+    write_trips(featured, f"{out}/trips")
+    trips = read_trips(spark, f"{out}/trips")
+    cols = tuple(c for c in roles.eda_numeric if c in trips.columns)
+    stats = numeric_stats(trips, cols)
+    write_report(FS.load_counts(df, checks), f"{out}/reports/load_counts")
 
     sanity = sanity_tables(trips)
     for name, t in sanity.items():
@@ -73,8 +72,11 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
     eda = eda_tables(spark, trips, roles, stats)
     for section, missing in eda.skipped:
         echo(f"skipped {section} analysis: missing {missing}")
-    written = write_tables({**sanity, **eda.tables}, f"{out}/reports")
-    return {"status": "ok", "report": report, "written": written, "skipped": eda.skipped, "skipped_rules": skipped_rules}
+    anomalies = anomaly_tables(spark, trips, roles, stats)
+    for section, missing in anomalies.skipped:
+        echo(f"skipped {section}: missing {missing}")
+    written = write_tables({**sanity, **eda.tables, **anomalies.tables}, f"{out}/reports")
+    return {"status": "ok", "report": report, "written": written, "skipped": eda.skipped + anomalies.skipped, "skipped_rules": skipped_rules}
 
 
 def main(argv: list[str] | None = None) -> int:

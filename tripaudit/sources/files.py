@@ -18,13 +18,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_ROLES, TripRoles
 
-NAME_PATTERN = r"((?:yellow|green|fhv)_tripdata_(\d{4})-(\d{2})\.parquet)"
 PARTITION_KEY = "file"
 
 
@@ -44,20 +43,45 @@ def period_files(spark: SparkSession, roles: TripRoles = DEFAULT_ROLES) -> DataF
     return spark.createDataFrame(rows, "taxi_type string, year int, month int, file_name string")
 
 
-def periods_in_data(df: DataFrame, pickup: str, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
-    """S1 over data: the distinct (year, month) of pickups and their file names."""
-    y, m = F.year(F.col(pickup)), F.month(F.col(pickup))
+def period_file(pickup: Column, roles: TripRoles = DEFAULT_ROLES) -> Column:
+    """The name of the monthly file of a pickup time; the unknown period's for NULL."""
     name = F.format_string(
         roles.file_name_template.replace("{taxi_type}", "%s").replace("{year}", "%d").replace("{month:02d}", "%02d"),
-        F.lit(roles.taxi_type), y, m,
+        F.lit(roles.taxi_type), F.year(pickup), F.month(pickup),
     )
-    return df.where(F.col(pickup).isNotNull()).select(
-        F.lit(roles.taxi_type).alias("taxi_type"), y.alias("year"), m.alias("month"), name.alias("file_name")
+    return F.when(pickup.isNull(), F.lit(roles.unknown_file_name())).otherwise(name)
+
+
+def periods_in_data(df: DataFrame, pickup: str, roles: TripRoles = DEFAULT_ROLES) -> DataFrame:
+    """S1 over data: the distinct (year, month) of pickups and their file names.
+
+    Rows without a pickup time are the unknown period: year and month NULL."""
+    p = F.col(pickup)
+    return df.select(
+        F.lit(roles.taxi_type).alias("taxi_type"), F.year(p).alias("year"), F.month(p).alias("month"), period_file(p, roles).alias("file_name")
     ).distinct()
 
 
+def source_name(spark: SparkSession, layout: MonthlyLayout, path: Column) -> Column:
+    """Name of the source that a part file under the root belongs to.
+
+    Partitioned layout: the partition value. Flat layout: the first path
+    component under the root that ends in .parquet (a file, or a Spark output
+    directory), else the whole path under the root. Any name counts.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(layout.root)
+    root = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toUri().getPath().rstrip("/") + "/"
+    plain = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
+    under = F.substr(plain, F.instr(plain, F.lit(root)) + F.lit(len(root)))
+    if layout.partition_key:
+        return F.regexp_extract(under, f"(?:^|/){layout.partition_key}=([^/]+)/", 1)
+    first = F.regexp_extract(under, r"^((?:[^/]+/)*?[^/]+\.parquet)(?:/.*)?$", 1)
+    return F.when(first != "", first).otherwise(under)
+
+
 def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
-    """S7 + S8: monthly files under the root, with bytes, parts and modification time.
+    """S7 + S8: every Parquet file under the root, whatever its name, with bytes, parts and modification time.
 
     Uses the ``binaryFile`` source for a distributed file index; only the
     ``path``, ``length`` and ``modificationTime`` columns are selected, so no
@@ -70,12 +94,8 @@ def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
         .load(layout.root)
         .select("path", "length", "modificationTime")
     )
-    if layout.partition_key:
-        name = F.regexp_extract("path", f"/{layout.partition_key}={NAME_PATTERN}/", 1)
-    else:
-        name = F.regexp_extract("path", f"/{NAME_PATTERN}(?:/[^/]*)?$", 1)
     return (
-        listing.withColumn("file_name", name)
+        listing.withColumn("file_name", source_name(spark, layout, F.col("path")))
         .where(F.col("file_name") != "")
         .groupBy("file_name")
         .agg(
@@ -180,8 +200,8 @@ def read_month(spark: SparkSession, layout: MonthlyLayout, year: int, month: int
     return spark.read.parquet(check.path)
 
 
-def _tag(df: DataFrame) -> DataFrame:
-    return df.withColumn("source_file", F.regexp_extract(F.col("_metadata.file_path"), NAME_PATTERN, 1))
+def _tag(df: DataFrame, layout: MonthlyLayout) -> DataFrame:
+    return df.withColumn("source_file", source_name(df.sparkSession, layout, F.col("_metadata.file_path")))
 
 
 def read_all(spark: SparkSession, layout: MonthlyLayout, names: list[str] | None = None, roles: TripRoles = DEFAULT_ROLES) -> DataFrame | None:
@@ -195,19 +215,31 @@ def read_all(spark: SparkSession, layout: MonthlyLayout, names: list[str] | None
     """
     if names is None:
         names = [roles.file_name(y, m) for y, m in roles.periods()]
-    checks = [c for c in audit_files(spark, layout, names) if c.status == "ok"]
+    return read_checked(spark, layout, audit_files(spark, layout, names))
+
+
+def read_checked(spark: SparkSession, layout: MonthlyLayout, checks: list[FileCheck]) -> DataFrame | None:
+    """The valid files of an audit as one frame (see :func:`read_all`)."""
+    checks = [c for c in checks if c.status == "ok"]
     if not checks:
         return None
     groups: dict[str, list[FileCheck]] = {}
     for c in checks:
         groups.setdefault(c.schema.json(), []).append(c)
-    frames = [_tag(spark.read.schema(g[0].schema).parquet(*[c.path for c in g])) for g in groups.values()]
+    frames = [_tag(spark.read.schema(g[0].schema).parquet(*[c.path for c in g]), layout) for g in groups.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def load_counts(df: DataFrame) -> DataFrame:
-    """Rows per source file and the column count of the load."""
-    n_cols = len([c for c in df.columns if c != "source_file"])
-    return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-        "n_columns", F.lit(n_cols).cast("int")
-    )
+def load_counts(df: DataFrame, checks: list[FileCheck] | None = None) -> DataFrame:
+    """Rows and columns per source file.
+
+    With the audit of the load, every valid file has a row, one without rows
+    too, and the columns are the file's own; without it, the columns are
+    those of the frame.
+    """
+    counts = df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    if checks is None:
+        n_cols = len([c for c in df.columns if c != "source_file"])
+        return counts.withColumn("n_columns", F.lit(n_cols).cast("int"))
+    files = df.sparkSession.createDataFrame([(c.file_name, c.n_columns) for c in checks if c.status == "ok"], "source_file string, n_columns int")
+    return files.join(counts, "source_file", "left").select("source_file", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"), "n_columns")

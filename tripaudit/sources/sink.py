@@ -7,11 +7,13 @@ in ``spark.checkpoint.dir`` (see ``tripaudit.session``), never a local path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_ROLES, TripRoles
-from .files import PARTITION_KEY, MonthlyLayout, periods_in_data
+from .files import PARTITION_KEY, MonthlyLayout, file_listing, period_file, periods_in_data, read_all
+
+SOURCE = "source_file"
 
 
 def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -26,10 +28,10 @@ def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEFAULT_ROLES) -> MonthlyLayout:
-    """Write a trip table as monthly files ``<root>/file=<name>/`` in one job."""
-    y, m = F.year(F.col(pickup)), F.month(F.col(pickup))
-    fmt = roles.file_name_template.replace("{taxi_type}", "%s").replace("{year}", "%d").replace("{month:02d}", "%02d")
-    tagged = df.where(F.col(pickup).isNotNull()).withColumn(PARTITION_KEY, F.format_string(fmt, F.lit(roles.taxi_type), y, m))
+    """Write a trip table as monthly files ``<root>/file=<name>/`` in one job.
+
+    Rows without a pickup time go to the file of the unknown period."""
+    tagged = df.withColumn(PARTITION_KEY, period_file(F.col(pickup), roles))
     (
         _spread(tagged, [PARTITION_KEY])
         .write.mode("overwrite")
@@ -40,21 +42,32 @@ def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEF
 
 
 def write_trips(df: DataFrame, path: str) -> None:
-    """Featured trips, partitioned by pickup year and month; reruns replace
-    only the months they contain (dynamic partition overwrite)."""
-    keys = ["pickup_year", "pickup_month"]
+    """Featured trips, partitioned by the file that a row came from.
+
+    A rerun replaces the files that it contains and nothing else (dynamic
+    partition overwrite). Monthly files hold stray pickups of other months;
+    these stay with their file, and ``pickup_year`` and ``pickup_month`` are
+    ordinary columns.
+    """
     (
-        _spread(df, keys)
+        _spread(df, [SOURCE])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
+        .partitionBy(SOURCE)
         .parquet(path)
     )
 
 
+def read_trips(spark: SparkSession, path: str) -> DataFrame | None:
+    """The whole trip table; files that were conformed to other types are widened (see ``files.read_all``)."""
+    layout = MonthlyLayout(path, SOURCE)
+    names = [r["file_name"] for r in file_listing(spark, layout).select("file_name").collect()]
+    return read_all(spark, layout, names)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A summary table (small by construction): one overwrite write."""
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-__all__ = ["export_monthly", "write_trips", "write_report", "periods_in_data"]
+__all__ = ["export_monthly", "write_trips", "read_trips", "write_report", "periods_in_data"]

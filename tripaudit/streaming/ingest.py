@@ -1,37 +1,50 @@
 """Incremental ingest of monthly files with Structured Streaming.
 
-The batch reader's bounded-memory chunking becomes a file stream: each
-micro-batch takes at most ``max_files_per_trigger`` new files, applies the
-frozen conformance plan and the feature rules (both pure projections, so
-valid on a streaming frame) and appends to a Parquet file sink. The file
-sink and the checkpoint together give exactly-once output: a restarted query
-resumes from the last committed batch. ``availableNow`` processes what is
-there and stops, so the same code serves back-fills and scheduled runs.
+The batch reader's bounded-memory chunking becomes a stream of files: each
+micro-batch takes at most ``max_files_per_trigger`` new files, reads them by
+footer schema (so files may drift), aligns them to the declared schema,
+applies the frozen conformance plan and the feature rules, and writes one
+folder of its own, ``ingest_batch=<id>``. A batch that is run again after a
+failure overwrites that folder, so together with the checkpoint the output is
+exactly-once. ``availableNow`` processes what is there and stops, so the same
+code serves back-fills and scheduled runs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_ROLES, TripRoles
-from ..operators.conform import apply_plan
+from ..operators.conform import REJECTS, apply_plan
 from ..operators.features import add_features
 from ..plans.profile import ConformPlan
+from ..sources.files import PARTITION_KEY, MonthlyLayout, source_name, validate_file
 
+BATCH = "ingest_batch"
 
-def trip_stream(
-    spark: SparkSession,
-    root: str,
-    schema: T.StructType,
-    plan: ConformPlan,
-    roles: TripRoles = DEFAULT_ROLES,
-    max_files_per_trigger: int = 8,
-) -> DataFrame:
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(root)
-    if "file" in raw.columns:
-        raw = raw.withColumnRenamed("file", "source_file")
-    return add_features(apply_plan(raw, plan, roles), roles)
+
+def read_files(spark: SparkSession, layout: MonthlyLayout, paths: list[str], schema: T.StructType) -> DataFrame | None:
+    """Part files of any schema as one frame in the declared one, tagged with ``source_file``.
+
+    A column that a file lacks is NULL, one of another type is cast (a value
+    that does not fit is NULL), one that is not declared is left out. Files
+    that can't be read are left out, too.
+    """
+    groups: dict[str, list] = {}
+    for c in (validate_file(spark, p) for p in paths):
+        if c.status == "ok":
+            groups.setdefault(c.schema.json(), []).append(c)
+    frames = []
+    for g in groups.values():
+        df = spark.read.schema(g[0].schema).parquet(*[c.path for c in g])
+        own = set(g[0].schema.names)
+        cols = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields if f.name != PARTITION_KEY]
+        frames.append(df.select(*cols, source_name(spark, layout, F.col("_metadata.file_path")).alias("source_file")))
+    return reduce(lambda a, b: a.union(b), frames) if frames else None
 
 
 def run_incremental_ingest(
@@ -44,18 +57,32 @@ def run_incremental_ingest(
     roles: TripRoles = DEFAULT_ROLES,
     max_files_per_trigger: int = 8,
     timeout_s: float | None = None,
+    partition_key: str | None = PARTITION_KEY,
 ) -> None:
-    """Process every file present under ``root`` and stop."""
-    out = trip_stream(spark, root, schema, plan, roles, max_files_per_trigger)
-    q = (
-        out.writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("pickup_year", "pickup_month")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+    """Process every file present under ``root`` and stop.
+
+    Values that fail their cast are NULL in the output and kept as text in
+    its ``cast_rejects`` column. The driver gets the paths of one batch.
+    """
+    layout = MonthlyLayout(root, partition_key)
+
+    def batch(files: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in files.select("path").collect()]  # at most max_files_per_trigger
+        raw = read_files(files.sparkSession, layout, paths, schema)
+        if raw is not None:
+            out = add_features(apply_plan(raw, plan, roles, rejects=REJECTS), roles)
+            out.hint("rebalance").write.mode("overwrite").parquet(f"{sink.rstrip('/')}/{BATCH}={number}")
+
+    listing = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .load(root)
+        .select("path")  # content is not read
     )
+    q = listing.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
