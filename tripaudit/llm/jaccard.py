@@ -47,21 +47,17 @@ def signature(s: np.ndarray) -> bytes:
 
 
 def _pack(h: np.ndarray) -> bytes:
-    """Sorted hashes as differences of 6 bytes where they fit, else of 8; the first 8 bytes are the first hash."""
+    """Sorted hashes as differences of as few bytes as hold them, 6 at least: that number, the first hash, the differences."""
     gap = h[1:] - h[:-1]
-    if len(gap) and int(gap.max()) >> 48:
-        return b"\x08" + h[:1].tobytes() + gap.tobytes()
-    return b"\x06" + h[:1].tobytes() + np.ascontiguousarray(gap.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+    width = max(6, (int(gap.max()).bit_length() + 7) // 8) if len(gap) else 6
+    return bytes([width]) + h[:1].tobytes() + np.ascontiguousarray(gap.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
     first, rest = np.frombuffer(raw, np.uint64, 1, 1), np.frombuffer(raw, np.uint8, -1, 9)
-    if raw[0] == 8:
-        gap = rest.view(np.uint64) if rest.flags.aligned else np.frombuffer(raw[9:], np.uint64)
-    else:
-        wide = np.zeros((len(rest) // 6, 8), np.uint8)
-        wide[:, :6] = rest.reshape(-1, 6)
-        gap = wide.reshape(-1).view(np.uint64)
+    wide = np.zeros((len(rest) // raw[0], 8), np.uint8)
+    wide[:, : raw[0]] = rest.reshape(-1, raw[0])
+    gap = wide.reshape(-1).view(np.uint64)
     return np.cumsum(np.concatenate([first, gap]), dtype=np.uint64)
 
 
