@@ -158,17 +158,24 @@ def _deal(centroids: np.ndarray, overlap: int):
     return run
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    if len(pdf) < 2:
-        return pd.DataFrame({"cid": [], "list": []})
-    cid = pdf["cid"].to_numpy()
-    lists = robust_prune(unit(matrix(pdf["embedding"])))
-    return pd.DataFrame({"cid": cid, "list": [cid[row[row >= 0]].tolist() for row in lists]})
+def _build(least: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) < 2:
+            return pd.DataFrame({"cid": [], "to": [], "close": []})
+        cid = pdf["cid"].to_numpy()
+        x = unit(matrix(pdf["embedding"]))
+        lists = robust_prune(x)
+        a, slot = np.nonzero(lists >= 0)
+        b = lists[a, slot]
+        close = np.concatenate([np.einsum("ij,ij->i", x[a[c : c + 65536]], x[b[c : c + 65536]]) for c in range(0, len(a), 65536)]) >= least
+        return pd.DataFrame({"cid": cid[a], "to": cid[b], "close": close})
+
+    return run
 
 
 def _search(threshold: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cid")  # a searched vector of another part comes with its own row or a neighbour's
+        pdf = pdf.sort_values(["member", "asked"], ascending=False, kind="stable").drop_duplicates("cid")  # a vector may be searched here and be a neighbour, too
         cid = pdf["cid"].to_numpy()
         raw = matrix(pdf["embedding"])
         x = unit(raw).astype(np.float32)
@@ -197,7 +204,7 @@ def _search(threshold: float):
 
 
 def graph_links(classes: DataFrame, threshold: float, overlap: int) -> DataFrame:
-    """(a, b) verified links between classes (cid string, embedding array<double>) of one dimension."""
+    """(a, b) verified links between classes (cid binary, embedding array<double>) of one dimension."""
     spark = classes.sparkSession
     n = classes.count()
     k = int(min(MOST_CENTROIDS, max(1, round(n / SHARD))))
@@ -206,23 +213,24 @@ def graph_links(classes: DataFrame, threshold: float, overlap: int) -> DataFrame
     points = unit(matrix(sample["embedding"])) if len(sample) else np.zeros((0, 1))
     k = max(1, min(k, len(points)))
     if not len(points):
-        return spark.createDataFrame([], "a string, b string")
-    dealt = staged(classes.mapInArrow(_deal(fit_centroids(points, k), overlap), "cid string, embedding array<double>, shard long"), "shards")
+        return spark.createDataFrame([], "a binary, b binary")
+    dealt = staged(classes.mapInArrow(_deal(fit_centroids(points, k), overlap), "cid binary, embedding array<double>, shard long"), "shards")
     size = dealt.groupBy("shard").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     dealt = dealt.join(F.broadcast(size), "shard").withColumn("part", F.pmod(F.xxhash64("cid", F.lit(5)), "parts").cast("int"))  # one row for each centroid at most
-    schema = "cid string, list array<string>"
-    lists = staged(dealt.groupBy("shard", "part").applyInPandas(_build, schema).select("cid", F.explode("list").alias("to")).distinct(), "lists")
+    built = dealt.groupBy("shard", "part").applyInPandas(_build(threshold - SLACK), "cid binary, to binary, close boolean")
+    lists = staged(built.groupBy("cid", "to").agg(F.max("close").alias("close")), "lists")
     united = lists.groupBy("cid").agg(F.collect_set("to").alias("list"))  # at most DEGREE for each shard of a vector
     members = dealt.join(united, "cid", "left")
-    # a part's block: its members, the other parts' vectors that are searched in it, and neighbours outside
+    # a part's block: its members, the other parts' vectors that are searched in it, and neighbours outside that
+    # are within the range the search expands (farther ones lead nowhere that matters)
     asked = dealt.where("parts > 1").withColumn("to_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("to_part != part")
     asked = asked.join(united, "cid", "left").select("shard", F.col("to_part").alias("part"), "cid", "embedding", "list", F.lit(False).alias("member"), F.lit(True).alias("asked"))
     block = members.select("shard", "part", "cid", "embedding", "list", F.lit(True).alias("member"), F.lit(True).alias("asked")).union(asked)
     there = dealt.select("shard", "part", "cid")
-    rim = there.join(lists, "cid").select("shard", "part", F.col("to").alias("cid")).distinct().join(there, ["shard", "part", "cid"], "left_anti")
-    rim = rim.join(classes, "cid").join(united, "cid", "left").select("shard", "part", "cid", "embedding", "list", F.lit(False).alias("member"), F.lit(False).alias("asked"))
-    block = block.union(rim).groupBy("shard", "part", "cid").agg(F.first("embedding").alias("embedding"), F.first("list").alias("list"), F.max("member").alias("member"), F.max("asked").alias("asked"))
-    return staged(block.groupBy("shard", "part").applyInPandas(_search(threshold), "a string, b string").distinct(), "vector-links")
+    rim = there.join(lists.where("close"), "cid").select("shard", "part", F.col("to").alias("cid")).distinct().join(there, ["shard", "part", "cid"], "left_anti")
+    rim = rim.join(classes, "cid").select("shard", "part", "cid", "embedding", F.lit(None).cast("array<binary>").alias("list"), F.lit(False).alias("member"), F.lit(False).alias("asked"))
+    block = block.union(rim)
+    return staged(block.groupBy("shard", "part").applyInPandas(_search(threshold), "a binary, b binary").distinct(), "vector-links")
 
 
 def audit(classes: DataFrame, links: DataFrame, threshold: float, most: int = AUDIT) -> float:
@@ -240,9 +248,9 @@ def audit(classes: DataFrame, links: DataFrame, threshold: float, most: int = AU
                 i, j = np.nonzero(q @ unit(matrix(batch.column("embedding").to_pylist())).T >= threshold)
                 a, b = names[i], cid[j]
                 go = a != b
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[go], b[go]), pa.string()), pa.array(np.maximum(a[go], b[go]), pa.string())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[go], b[go]), pa.binary()), pa.array(np.maximum(a[go], b[go]), pa.binary())], ["a", "b"])
 
-    true = classes.mapInArrow(run, "a string, b string").distinct()
+    true = classes.mapInArrow(run, "a binary, b binary").distinct()
     both = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
     return both[1] / both[0] if both[0] else 1.0
 
@@ -260,7 +268,7 @@ def vector_duplicates(rows: DataFrame, threshold: float = 0.95) -> DataFrame:
     x = F.col("embedding")
     good = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))) & F.exists(x, lambda v: v != 0)
     base = rows.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).withColumn("good", F.coalesce(good, F.lit(False)))
-    named = base.withColumn("cid", F.when(F.col("good"), F.md5(F.concat_ws(",", F.transform("embedding", lambda v: (v + F.lit(0.0)).cast("string"))))))
+    named = base.withColumn("cid", F.when(F.col("good"), F.unhex(F.md5(F.concat_ws(",", F.transform("embedding", lambda v: (v + F.lit(0.0)).cast("string")))))))
     ids = staged(named.select("vec_id", "cid"), "vector-ids")
     classes = staged(named.where("good").groupBy("cid").agg(F.first("embedding").alias("embedding"), F.min("vec_id").alias("id"), F.count("*").alias("n")), "vector-classes")
     links: DataFrame | None = None
@@ -274,7 +282,7 @@ def vector_duplicates(rows: DataFrame, threshold: float = 0.95) -> DataFrame:
             overlap *= 2
         links = part if links is None else links.union(part)
     if links is None:
-        links = spark.createDataFrame([], "a string, b string")
+        links = spark.createDataFrame([], "a binary, b binary")
     size = classes.select("cid", "id", "n")
     both = links.union(links.select("b", "a"))
     count = both.join(size.select(F.col("cid").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
