@@ -50,7 +50,7 @@ def shape(plan: str) -> dict:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from tripaudit.session import local_session
-    import __spark_entry__ as E
+    from tripaudit.results import load_all
 
     spark = local_session()
     if not spark.sparkContext.getCheckpointDir():
@@ -63,7 +63,7 @@ def main() -> None:
     print("`local tables` are small driver-built tables (verdicts, audits, bin grids, quantile intervals).\n")
     print("| result | scans (columns read, pushed filters) | local tables | shuffles | broadcasts | sort-merge joins | Python UDF | cartesian |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in ((n, f) for n, (f, _) in load_all().items()):
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = shape(plan)

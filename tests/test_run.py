@@ -37,3 +37,12 @@ def test_run_over_monthly_files(spark, scratch):
     assert one["status"] == "ok" and one["report"]["rows"] < src.count()
     none = run(spark, layout.root, os.path.join(scratch, "none"), roles, 2030, 1, layout="partitioned", echo=lines.append)
     assert none["status"] == "no_data"
+
+
+def test_released_scratch_is_gone_and_built_anew(spark):
+    from tripaudit.chain import featured_trips
+    from tripaudit.session import release_scratch
+
+    n = featured_trips(spark, "/root/testdata/sf0.001").count()
+    assert release_scratch(spark) >= 2 and release_scratch(spark) == 0
+    assert featured_trips(spark, "/root/testdata/sf0.001").count() == n

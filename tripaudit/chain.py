@@ -19,13 +19,14 @@ from .operators.conform import apply_plan
 from .operators.distributions import numeric_stat_exprs, numeric_stats, stats_from_row
 from .operators.features import add_features
 from .plans.profile import ConformPlan, build_plan, distinct_aggregates, plan_from_profile, profile_aggregates
-from .session import scratch_path, session_key
+from .session import ON_RELEASE, scratch_path, session_key
 from .sources.fixture import read_table, trips_from_lineitem
 
 _LOCK = threading.RLock()  # one writer per table even if results are built from several threads
 _PLANS: dict[tuple, ConformPlan] = {}
 _TABLES: dict[tuple, DataFrame] = {}
 _STATS: dict[tuple, dict] = {}
+ON_RELEASE.extend((_TABLES.clear, _STATS.clear))
 
 
 def ensure_parallel(df: DataFrame) -> DataFrame:

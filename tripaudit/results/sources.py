@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..chain import _LOCK, plan_for, trips
 from ..config import DEFAULT_ROLES as R
-from ..session import scratch_path, session_key
+from ..session import ON_RELEASE, scratch_path, session_key
 from ..sources import files as FS
 from ..sources.sample import sample_rows
 from ..operators.conform import REJECTS, apply_plan
@@ -26,6 +26,7 @@ from . import register
 
 PICKUP = "lpep_pickup_datetime"
 _EXPORTS: dict = {}
+ON_RELEASE.append(_EXPORTS.clear)
 
 _NAME_SQL = "printf('green_tripdata_%d-%02d.parquet', year(lpep_pickup_datetime), month(lpep_pickup_datetime))"
 

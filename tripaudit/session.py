@@ -57,9 +57,32 @@ def shared_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or local).rstrip("/")
 
 
+_SCRATCH: dict[str, list[str]] = {}
+#: Called by release_scratch: modules that keep handles on scratch tables forget them.
+ON_RELEASE: list = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the tables that this application wrote under the shared folder so far.
+
+    For long sessions: call it once the results that read them are written.
+    Tables that were kept for the session are written anew when next asked
+    for. Returns how many paths were deleted.
+    """
+    sc, done = spark.sparkContext, 0
+    for forget in ON_RELEASE:
+        forget()
+    for path in _SCRATCH.pop(sc.applicationId, []):
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        done += bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True))
+    return done
 
 
 def session_key(spark: SparkSession) -> tuple:
