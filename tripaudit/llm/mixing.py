@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_SQL, running_total, staged
+from .common import WORD_SQL, running_total, small, staged
 
 #: Weights of the sources in code point order, repeating; share of all sizes that the mix takes; most passes over a document.
 WEIGHTS, SHARE, PASSES = (3, 1, 2), 1.5, 2
@@ -62,7 +62,7 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     word_count = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_SQL)), F.lit(0)).cast("long")
     rows = staged(docs.select("doc_id", "source", word_count.alias("size"), shuffle_key(seed).alias("_order")), "mix-sizes")
     targets = staged(source_targets(staged(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources"), weights, share, passes), "mix-targets")
-    known = rows.join(F.broadcast(targets), rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    known = rows.join(small(targets, targets.count()), rows["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     placed = running_total(known, "rank", ["_order"], "size", "mix-order")
     done = F.col("before") + F.col("size")
     finish = F.array(*[(done + F.col("source_size") * k) / F.col("target") for k in range(passes)])
