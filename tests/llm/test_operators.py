@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 
 from tripaudit.llm import bpe, jaccard, language, mixing, quality_model, quality_rules, repeats, sharding, token_files, vector_graph
 from tripaudit.llm.components import components
@@ -295,6 +296,51 @@ def test_repeats(docs, empty, rows, monkeypatch, length):
     assert repeats.remove_repeats(empty, length).collect() == []
 
 
+def test_repeats_of_a_hot_anchor_are_split(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh ") for _ in range(90))
+    least = lambda t: repeats._hash_at(repeats._prefix_hash(np.frombuffer(t.encode(), np.uint8)), np.array([0]), repeats.ANCHOR)[0]
+    with np.errstate(over="ignore"):
+        rule = min((word()[:32] for _ in range(2000)), key=least)  # one that is the anchor of most strings around it
+    shared = word()
+    texts = [word() + (rule if k % 3 == 0 else "") + (shared[: 40 + k % 50] if k % 5 == 0 else "") + word() for k in range(900)]
+    rows = [(k, t) for k, t in enumerate(texts + texts[:20])]
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 4000, raising=False)
+    monkeypatch.setattr(repeats, "SPLIT_BYTES", 16_000, raising=False)
+    monkeypatch.setattr(repeats, "BATCH_BYTES", 6000)
+    real = repeats._shard
+
+    def checked(length, root):
+        inner = real(length, root)
+
+        def run(batches):
+            held: dict[int, int] = {}
+            for batch in (batches := list(batches)):
+                for r in batch.to_pylist():
+                    if r["bucket"] >= 0:
+                        held[r["bucket"]] = held.get(r["bucket"], 0) + len(zstandard.decompress(r["docs"]))
+            assert max(held.values(), default=0) <= 24_000, held  # single strings are dealt by hash, so about as many
+            yield from inner(iter(batches))
+
+        return run
+
+    monkeypatch.setattr(repeats, "_shard", checked)
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), with_text=False).collect()
+    want = _repeats_by_hand(rows, 100)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want and sum(w[2] for w in want) > 3000
+
+
+def test_anchors_are_dealt_to_bounded_shards():
+    n = np.array([2, 3, 500, 2, 2, 7000, 10])
+    shard, ways = repeats.dealt(n, 100, 4000, 16_000)
+    assert ways.tolist() == [0, 0, 218, 0, 0, 3049, 0] and shard[2] + 218 == shard[5]
+    filled = np.bincount(shard[ways == 0], n[ways == 0] * 169)
+    assert filled.max() <= 4000 and shard[2] >= len(filled)
+    text = np.frombuffer(b"abcabdabc", np.uint8).reshape(3, 3)
+    one, two, three = repeats.equal_texts(np.zeros(3, np.uint64), text)  # equal hashes, texts that differ
+    assert one == three != two
+
+
 def test_suffix_ranks(monkeypatch):
     from tripaudit.llm import suffix_sort
 
