@@ -385,3 +385,17 @@ def test_vectors_in_many_shards_and_parts(spark, monkeypatch):
     true = {(i, j) for i, j in zip(*np.nonzero(y @ y.T >= 0.95)) if i != j}
     found = sum(r.n_links for r in vector_graph.vector_duplicates(frame, 0.95).collect())
     assert 0.95 * len(true) <= found <= len(true)
+
+
+def test_vectors_that_the_graph_misses_are_joined_exactly(spark, monkeypatch):
+    for name, value in (("SHARD", 4), ("PART", 9), ("MOST_OVERLAP", 2)):
+        monkeypatch.setattr(vector_graph, name, value)
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=24)
+    near = centre + rng.normal(size=(150, 24)) * 0.16  # one group of distinct near copies over dozens of shards
+    x = np.concatenate([near, rng.normal(size=(150, 24))])
+    y = vector_graph.unit(x)
+    want = (y @ y.T >= 0.95).sum(1) - 1
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vector_graph.vector_duplicates(frame, 0.95).collect()}
+    assert [got[k] for k in range(300)] == want.tolist() and want.sum() > 3000

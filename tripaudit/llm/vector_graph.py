@@ -9,7 +9,9 @@
    until the vector itself is met, then on through everything within a wider
    range. What is found is verified by cosine in double precision.
 4. A bounded sample is compared with all vectors by brute force; while it
-   shows too low a recall, the work is repeated with more shards a vector.
+   shows too low a recall, the work is repeated with more shards a vector, and
+   if even the most are too few, all pairs that a bound on the angles to the
+   centroids allows are compared.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from .components import components
 SHARD, PART, MOST_CENTROIDS, SAMPLE = 1500, 4000, 4096, 40
 #: Shards a vector is put in, at first and at most; neighbours before and after pruning; the pruning's slack.
 OVERLAP, MOST_OVERLAP, NEAREST, DEGREE, ALPHA = 2, 8, 64, 24, 1.2
+#: Radians by which the exact join's bound on angles is widened for rounding.
+ROUNDING = 1e-6
 #: How far below the threshold the search still expands; queries searched together; nodes expanded at once.
 SLACK, QUERIES, EXPAND = 0.06, 256, 4
 #: The audit's sample and the least recall that it accepts.
@@ -203,18 +207,97 @@ def _search(threshold: float):
     return run
 
 
-def graph_links(classes: DataFrame, threshold: float, overlap: int) -> DataFrame:
-    """(a, b) verified links between classes (cid binary, embedding array<double>) of one dimension."""
-    spark = classes.sparkSession
+def _centroids(classes: DataFrame) -> np.ndarray | None:
+    """Centroids of the shards, from a bounded sample; None if it is empty."""
     n = classes.count()
     k = int(min(MOST_CENTROIDS, max(1, round(n / SHARD))))
     share = min(1.0, SAMPLE * k / max(n, 1))
     sample = classes.where(F.pmod(F.xxhash64("cid"), F.lit(1_000_003)) < F.lit(share * 1_000_003 + 1)).select("cid", "embedding").toPandas().sort_values("cid")
-    points = unit(matrix(sample["embedding"])) if len(sample) else np.zeros((0, 1))
-    k = max(1, min(k, len(points)))
-    if not len(points):
+    return fit_centroids(unit(matrix(sample["embedding"])), max(1, min(k, len(sample)))) if len(sample) else None
+
+
+def _angles(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Radians between unit vectors and centroids, which are brought to length 1."""
+    return np.arccos(np.clip(x @ unit(centroids).T, -1, 1))
+
+
+def _home(centroids: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                far = _angles(unit(matrix(batch.column("embedding").to_pylist())), centroids)
+                yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("embedding"), pa.array(far.argmin(1), pa.int64()), pa.array(far.min(1))], ["cid", "embedding", "shard", "angle"])
+
+    return run
+
+
+def _visit(centroids: np.ndarray, reach: np.ndarray):
+    """Every vector in each later shard than its own that may hold one within the threshold of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                far = _angles(unit(matrix(part.column("embedding").to_pylist())), centroids)
+                row, shard = np.nonzero((far <= reach) & (np.arange(len(reach)) > part.column("shard").to_numpy()[:, None]))
+                for c in range(0, len(row), 4096):
+                    take = pa.array(row[c : c + 4096])
+                    yield pa.RecordBatch.from_arrays([part.column("cid").take(take), part.column("embedding").take(take), pa.array(shard[c : c + 4096], pa.int64())], ["cid", "embedding", "shard"])
+
+    return run
+
+
+def _compare(threshold: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        member = pdf["member"].to_numpy(bool)
+        cid, raw = pdf["cid"].to_numpy(), matrix(pdf["embedding"])
+        x = unit(raw)
+        own, other = np.flatnonzero(member), np.flatnonzero(~member)
+        found = []
+        for c in range(0, len(own), 512):
+            i, j = np.nonzero(x[own[c : c + 512]] @ x[other].T >= threshold - ROUNDING)
+            i, j = own[c + i], other[j]
+            i, j = i[cid[i] != cid[j]], j[cid[i] != cid[j]]
+            ok = _exact(raw, i, j, threshold)
+            found.append(pd.DataFrame({"a": np.minimum(cid[i[ok]], cid[j[ok]]), "b": np.maximum(cid[i[ok]], cid[j[ok]])}))
+        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []})
+
+    return run
+
+
+def exact_links(classes: DataFrame, threshold: float) -> DataFrame:
+    """All links, as ``graph_links`` has them: blocks of at most about ``PART`` vectors are compared whole.
+
+    A vector is at home in the shard of its nearest centroid, and visits each
+    later shard whose centroid is within the shard's radius and the
+    threshold's angle of it; by the triangle inequality no other shard after
+    its own holds a link of it.
+    """
+    centroids = _centroids(classes)
+    if centroids is None:
+        return classes.sparkSession.createDataFrame([], "a binary, b binary")
+    home = staged(classes.mapInArrow(_home(centroids), "cid binary, embedding array<double>, shard long, angle double"), "homes")
+    reach = np.full(len(centroids), -1.0)
+    for r in home.groupBy("shard").agg(F.max("angle").alias("angle")).collect():  # one row for each centroid at most
+        reach[r["shard"]] = r["angle"] + np.arccos(np.clip(threshold, -1, 1)) + ROUNDING
+    member = home.select("shard", "cid", "embedding")
+    guest = member.union(staged(home.mapInArrow(_visit(centroids, reach), "cid binary, embedding array<double>, shard long"), "guests").select("shard", "cid", "embedding"))
+    parts = lambda df, name: df.groupBy("shard").agg(F.ceil(F.count("*") / PART).cast("int").alias(name))
+    size = staged(parts(member, "rows").join(parts(guest, "columns"), "shard"), "blocks")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    of = lambda n: F.pmod(F.xxhash64("cid", F.lit(5)), n).cast("int")
+    down = member.join(F.broadcast(size), "shard").select("shard", of("rows").alias("row"), each("columns").alias("column"), "cid", "embedding", F.lit(True).alias("member"))
+    across = guest.join(F.broadcast(size), "shard").select("shard", each("rows").alias("row"), of("columns").alias("column"), "cid", "embedding", F.lit(False).alias("member"))
+    return staged(down.union(across).groupBy("shard", "row", "column").applyInPandas(_compare(threshold), "a binary, b binary").distinct(), "exact-links")
+
+
+def graph_links(classes: DataFrame, threshold: float, overlap: int) -> DataFrame:
+    """(a, b) verified links between classes (cid binary, embedding array<double>) of one dimension."""
+    spark = classes.sparkSession
+    centroids = _centroids(classes)
+    if centroids is None:
         return spark.createDataFrame([], "a binary, b binary")
-    dealt = staged(classes.mapInArrow(_deal(fit_centroids(points, k), overlap), "cid binary, embedding array<double>, shard long"), "shards")
+    dealt = staged(classes.mapInArrow(_deal(centroids, overlap), "cid binary, embedding array<double>, shard long"), "shards")
     size = dealt.groupBy("shard").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     dealt = dealt.join(F.broadcast(size), "shard").withColumn("part", F.pmod(F.xxhash64("cid", F.lit(5)), "parts").cast("int"))  # one row for each centroid at most
     built = dealt.groupBy("shard", "part").applyInPandas(_build(threshold - SLACK), "cid binary, to binary, close boolean")
@@ -277,7 +360,10 @@ def vector_duplicates(rows: DataFrame, threshold: float = 0.95) -> DataFrame:
         overlap = OVERLAP
         while True:
             part = graph_links(own, threshold, overlap)
-            if overlap >= MOST_OVERLAP or audit(own, part, threshold) >= LEAST_RECALL:
+            if audit(own, part, threshold) >= LEAST_RECALL:
+                break
+            if overlap >= MOST_OVERLAP:
+                part = exact_links(own, threshold)
                 break
             overlap *= 2
         links = part if links is None else links.union(part)
