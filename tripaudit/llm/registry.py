@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, language, mixing, phrases, quality_model, quality_rules, repeats, sharding, token_files, vector_graph
+from . import bpe, conversations, jaccard, language, mixing, phrases, quality_model, quality_rules, repeats, sharding, token_files, vector_graph
 from .common import table
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
@@ -21,5 +21,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_mixing": (lambda spark, d: mixing.mix_plan(table(spark, d, "documents")).drop("source", "_order"), mixing.SQL),
     "op9_token_files": (lambda spark, d: token_files.token_files(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2), None),
     "op10_bpe": (lambda spark, d: bpe.bpe_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")), None),
+    "op12_conversations": (lambda spark, d: conversations.damage_and_repair(table(spark, d, "conversations")), conversations.SQL),
     "op13_collocations": (lambda spark, d: phrases.collocations(table(spark, d, "documents")), phrases.SQL),
 }
