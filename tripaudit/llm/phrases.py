@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import staged
 
 #: A shard ends once it holds so many bytes of text.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
+#: Texts are cut into words, and phrases looked up, in parts of this size.
+PART_BYTES, PART_ROWS = 1 << 20, 1 << 16
 #: Bits of the filter of known phrases that every task gets: 8 MB at any size of input.
 FILTER_BITS = 1 << 26
 BLOCK_BITS = 1 << 15
@@ -37,16 +40,23 @@ _TABLE = bytes.maketrans(_UPPER + _BREAKS + b"\t", _UPPER.lower() + b"\n" * len(
 ROWS = "lang string, phrase string, c long"
 
 
-def word_ids(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+def word_ids(texts: list[bytes]) -> tuple[np.ndarray, pa.BinaryArray]:
     """Word numbers of all texts in a row, -1 where a piece ends, and the words by number."""
     numbers: defaultdict[bytes, int] = defaultdict()
     numbers.default_factory = numbers.__len__
-    tokens = b"\n".join(texts).translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
     end, blank = numbers[b"\n"], numbers[b""]
-    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    ids = ids[ids != blank] - 2
+    found, start, held = [], 0, 0
+    for k, text in enumerate(texts, 1):
+        held += len(text)
+        if held < PART_BYTES and k < len(texts):
+            continue
+        tokens = (b"\n".join(texts[start:k]) + b"\n").translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
+        ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+        found.append(ids[ids != blank])
+        start, held = k, 0
+    ids = np.concatenate(found) - 2
     ids[ids == end - 2] = -1
-    return ids, list(numbers)[2:]
+    return ids, pa.array(list(numbers)[2:], pa.binary())
 
 
 class Known:
@@ -78,13 +88,17 @@ class Known:
             bits[at : at + BLOCK_BITS // 8] |= np.frombuffer(row["bits"], np.uint8)
         return cls(bits)
 
-    def has(self, lang: str, phrases: list[bytes]) -> np.ndarray:
+    def has(self, lang: str, phrases: pa.BinaryArray) -> np.ndarray:
         seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-        bit = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in phrases), np.uint64, len(phrases)) & np.uint64(FILTER_BITS - 1)
-        return (self.bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        out = np.zeros(len(phrases), bool)
+        for at in range(0, len(phrases), PART_ROWS):
+            part = phrases.slice(at, PART_ROWS).to_pylist()
+            bit = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in part), np.uint64, len(part)) & np.uint64(FILTER_BITS - 1)
+            out[at : at + len(part)] = (self.bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
 
 
-def phrase_counts(ids: np.ndarray, words: list[bytes], lang: str, length: int, known: list[Known]) -> tuple[list[bytes], np.ndarray]:
+def phrase_counts(ids: np.ndarray, words: pa.BinaryArray, lang: str, length: int, known: list[Known]) -> tuple[pa.BinaryArray, np.ndarray]:
     """Phrases of so many words with their counts, those left out that hold a shorter one which ``known`` lacks."""
     grams, phrases, counts = ids, words, np.bincount(ids[ids >= 0], minlength=len(words))
     for k in range(2, length + 1):
@@ -94,17 +108,20 @@ def phrase_counts(ids: np.ndarray, words: list[bytes], lang: str, length: int, k
         grams = number[grams]
         pairs = np.flatnonzero((grams[:-1] >= 0) & (grams[1:] >= 0))
         if not len(pairs):
-            return [], np.zeros(0, np.int64)
-        _, first, at, counts = np.unique(grams[pairs] * len(phrases) + grams[pairs + 1], return_index=True, return_inverse=True, return_counts=True)
-        grams = np.full(len(ids), -1)
-        grams[pairs] = at
+            return words.slice(0, 0), np.zeros(0, np.int64)
+        codes = grams[pairs] * len(phrases) + grams[pairs + 1]
+        if k < length:
+            _, first, at, counts = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
+            grams = np.full(len(ids), -1)
+            grams[pairs] = at
+        else:
+            _, first, counts = np.unique(codes, return_index=True, return_counts=True)
         start = pairs[first]
-        columns = [ids[start + j].tolist() for j in range(k)]
-        phrases = [b" ".join([words[i] for i in row]) for row in zip(*columns, strict=True)]
+        phrases = pc.binary_join_element_wise(*(words.take(pa.array(ids[start + j])) for j in range(k)), b" ")
     return phrases, counts
 
 
-def _over_shards(docs: DataFrame, shard: Callable[[dict[str, list[bytes]]], Iterator[pa.RecordBatch]]) -> DataFrame:
+def _over_shards(docs: DataFrame, shard: Callable[[dict[str, list[bytes]]], Iterator[pa.RecordBatch]], shard_bytes: int) -> DataFrame:
     """Applies ``shard`` to texts by language, shard by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +133,7 @@ def _over_shards(docs: DataFrame, shard: Callable[[dict[str, list[bytes]]], Iter
                 raw = text.as_py()
                 texts.setdefault(lang.as_py(), []).append(raw)
                 held += len(raw)
-                if held >= SHARD_BYTES:
+                if held >= shard_bytes:
                     yield from shard(texts)
                     texts, held = {}, 0
         if texts:
@@ -125,29 +142,28 @@ def _over_shards(docs: DataFrame, shard: Callable[[dict[str, list[bytes]]], Iter
     return docs.mapInArrow(run, ROWS)
 
 
-def _batch(lang: str, phrases: list, counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "c"]
-    )
+def _batches(lang: str, phrases: pa.BinaryArray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(phrases), PART_ROWS):
+        part = phrases.slice(at, PART_ROWS)
+        yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(part)), part.cast(pa.string()), pa.array(counts[at : at + PART_ROWS], pa.int64())], ["lang", "phrase", "c"])
 
 
-def _counted(docs: DataFrame, length: int, filters: list) -> DataFrame:
+def _counted(docs: DataFrame, length: int, filters: list, shard_bytes: int) -> DataFrame:
     """Exact counts, shard by shard, of the phrases that the filters let pass; the last filter is of the phrases themselves."""
 
     def shard(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
         known = [f.value for f in filters]
         for lang, own in texts.items():
             phrases, counts = phrase_counts(*word_ids(own), lang, length, known)
-            if len(known) == length and phrases:
+            if len(known) == length:
                 kept = np.flatnonzero(known[-1].has(lang, phrases))
-                phrases, counts = [phrases[i] for i in kept], counts[kept]
-            if phrases:
-                yield _batch(lang, phrases, counts)
+                phrases, counts = phrases.take(pa.array(kept)), counts[kept]
+            yield from _batches(lang, phrases, counts)
 
-    return _over_shards(docs, shard)
+    return _over_shards(docs, shard, shard_bytes)
 
 
-def _mined(docs: DataFrame, length: int, filters: list, support: int, total: int) -> DataFrame:
+def _mined(docs: DataFrame, length: int, filters: list, support: int, total: int, shard_bytes: int) -> DataFrame:
     """What is frequent within a shard, with its count there. A row without a phrase counts what a shard withheld."""
 
     def shard(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
@@ -158,19 +174,18 @@ def _mined(docs: DataFrame, length: int, filters: list, support: int, total: int
             phrases, counts = phrase_counts(ids, words, lang, length, known)
             kept = np.flatnonzero(counts >= least)
             withheld = len(phrases) - len(kept)
-            if len(kept):
-                yield _batch(lang, [phrases[i] for i in kept], counts[kept])
+            yield from _batches(lang, phrases.take(pa.array(kept)), counts[kept])
             if withheld:
-                yield _batch(lang, [None], [withheld])
+                yield from _batches(lang, pa.nulls(1, pa.binary()), np.array([withheld]))
 
-    return _over_shards(docs, shard)
+    return _over_shards(docs, shard, shard_bytes)
 
 
 def _frequent(counts: DataFrame, support: int) -> DataFrame:
     return counts.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= support)
 
 
-def frequent_phrases(docs: DataFrame, most_words: int = 3, support: int = 10) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, most_words: int = 3, support: int = 10, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, f, k) of every phrase of 1 to ``most_words`` words with f >= ``support``, and (lang, n): all words.
 
     A null language is ``und``, a null text has no words, a text of any length
@@ -179,17 +194,17 @@ def frequent_phrases(docs: DataFrame, most_words: int = 3, support: int = 10) ->
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    words = staged(_counted(rows, 1, []), "phrases-1")
+    words = staged(_counted(rows, 1, [], shard_bytes), "phrases-1")
     n = words.groupBy("lang").agg(F.sum("c").alias("n"))
     found = [staged(_frequent(words, support), "frequent-1")]
     total = words.agg(F.sum("c")).first()[0] or 0
     filters: list = []
     for k in range(2, most_words + 1):
         filters.append(spark.sparkContext.broadcast(Known.of(found[-1])))
-        local = staged(_mined(rows, k, filters, support, max(total, 1)), f"phrases-{k}")
+        local = staged(_mined(rows, k, filters, support, max(total, 1), shard_bytes), f"phrases-{k}")
         if not local.where("phrase IS NULL").isEmpty():
             union = spark.sparkContext.broadcast(Known.of(local.where("phrase IS NOT NULL")))
-            local = _counted(rows, k, [*filters, union])
+            local = _counted(rows, k, [*filters, union], shard_bytes)
         found.append(staged(_frequent(local, support), f"frequent-{k}"))
     parts = [f.select("lang", "phrase", "f", F.lit(k).alias("k")) for k, f in enumerate(found, 1)]
     every = parts[0]
@@ -202,7 +217,7 @@ def _span(words: Column, first: Column, length: Column) -> Column:
     return F.array_join(F.slice(words, first, length), " ")
 
 
-def collocations(docs: DataFrame, most_words: int = 3, support: int = 10, top: int = 2000, inside: int = 50) -> DataFrame:
+def collocations(docs: DataFrame, most_words: int = 3, support: int = 10, top: int = 2000, inside: int = 50, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score.
 
     A phrase's score is that of its worst cut, floor(10^6 a^2 / (l r)); cuts
@@ -211,7 +226,7 @@ def collocations(docs: DataFrame, most_words: int = 3, support: int = 10, top: i
     one around it has ``inside`` percent of its occurrences or more. Nulls,
     long texts, repeated rows and empty tables as in ``frequent_phrases``.
     """
-    every, n = frequent_phrases(docs, most_words, support)
+    every, n = frequent_phrases(docs, most_words, support, shard_bytes)
     phrases = every.where("k > 1").select("lang", "phrase", F.col("f").alias("a"), "k", F.split("phrase", " ").alias("words"))
     cuts = phrases.select("lang", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
     cuts = cuts.select("lang", "phrase", "a", "cut", _span(F.col("words"), F.lit(1), F.col("cut")).alias("first"), _span(F.col("words"), F.col("cut") + 1, F.size("words") - F.col("cut")).alias("rest"))
