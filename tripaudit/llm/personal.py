@@ -56,7 +56,7 @@ def _match(kind: str):
 def _hits(docs: DataFrame) -> DataFrame:
     """(id, doc_id, hits): every match with the length of the text between it and the one before, and what stands around it."""
     digit = F.regexp_like("text", F.lit("[0-9]"))
-    signs = {"email": F.contains("text", F.lit("@")), "phone": F.contains("text", F.lit("+"))}
+    signs = {"email": F.contains("text", F.lit("@")), "phone": F.contains("text", F.lit("+")), "": digit | F.contains("text", F.lit("@"))}
     found = docs.select("*", *[F.when(signs.get(kind, digit), F.regexp_extract_all("text", F.lit(p), F.lit(0))).alias(f"_m{n}") for n, (kind, p) in enumerate(PATTERNS.items())])
     split = found.select("*", *[F.when(F.size(f"_m{n}") > 0, F.split("text", p, -1)).alias(f"_p{n}") for n, p in enumerate(PATTERNS.values())])
     none = F.array().cast("array<struct<kind:string,i:int,gap:bigint,size:bigint,value:string,before:string,after:string>>")
@@ -105,9 +105,10 @@ def _places(hits: DataFrame) -> DataFrame:
     spans = flat.select("id", "kind", (end - F.col("size")).alias("start"), end.alias("end"), _valid(F.col("kind"), F.col("value")).alias("base"), "value", "before", "after")
     # a near miss may stand there as a failed match too: one row for a place
     spans = spans.groupBy("id", "start", "end", F.when(F.col("base"), F.col("kind")).otherwise("").alias("kind"), "base").agg(*[F.min(c).alias(c) for c in ("value", "before", "after")])
-    by_start = Window.partitionBy("id").orderBy("start", "end", "kind")
-    reached = F.max(F.when(F.col("base"), F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    ahead = F.min(F.when(F.col("base"), F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
+    onward = Window.partitionBy("id").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    backward = Window.partitionBy("id").orderBy(F.desc("start"), F.desc("end"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max(F.when(F.col("base"), F.col("end"))).over(onward)
+    ahead = F.min(F.when(F.col("base"), F.col("start"))).over(backward)
     free = F.coalesce(reached <= F.col("start"), F.lit(True)) & F.coalesce(ahead >= F.col("end"), F.lit(True))
     kept = spans.withColumn("_free", free).where(F.col("base") | F.col("_free"))
     like = F.when(F.col("base"), F.array("kind")).otherwise(_like(F.col("value")))
