@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import staged
 
 #: A shard ends once it holds so many bytes of text.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 #: Texts are cut into words, and phrases looked up, in parts of this size.
 PART_BYTES, PART_ROWS = 1 << 20, 1 << 16
 #: Bits of the filter of known phrases that every task gets: 8 MB at any size of input.
