@@ -22,8 +22,8 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, scratch):
     sink, ckpt = os.path.join(scratch, "sink"), os.path.join(scratch, "ckpt")
     plan = plan_for(spark, SF)
     run_incremental_ingest(spark, layout.root, schema, plan, sink, ckpt, max_files_per_trigger=n_files // 4, timeout_s=600)
-    assert len([d for d in os.listdir(sink) if d.startswith("ingest_batch=")]) >= 4
-    out = spark.read.parquet(sink).drop("source_file")
+    assert len([d for d in os.listdir(sink + "-ledger") if d.startswith("batch=")]) >= 4
+    out = spark.read.parquet(sink).drop("source_file", "file_key")
     assert out.where("cast_rejects IS NOT NULL").count() == 0
     batch = featured_trips(spark, SF)
     cols = [c for c in batch.columns if c not in ("pickup_year", "pickup_month")]

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..config import DEFAULT_ROLES, TripRoles
+from ..functions.exprs import float_roundtrip_ok, is_numeric
 from ..plans.profile import ConformPlan, build_plan, cast_ok, normalise_nan
 from ..session import scratch_path
 
@@ -80,6 +81,33 @@ def narrow_types(df: DataFrame, plan: ConformPlan, roles: TripRoles = DEFAULT_RO
     return df.select(*out)
 
 
+def _family(t: T.DataType) -> str:
+    if is_numeric(t):
+        return "number"
+    return "time" if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) else t.typeName()
+
+
+def guarded(c, own: T.DataType, target: T.DataType, roles: TripRoles = DEFAULT_ROLES):
+    """A value cast to another type, and whether that keeps it; NULL keeps.
+
+    Whole numbers and decimals have to come back equal, floats within the
+    tolerance of D4; text has to parse; anything may become text. Between
+    families without a cast no value is kept.
+    """
+    families = _family(own), _family(target)
+    if families[1] == "string":
+        return c.cast(target), F.lit(True)
+    if families[0] == "string":
+        value = parse_timestamp(c, roles.datetime_formats).cast(target) if families[1] == "time" else c.try_cast(target)
+        return value, c.isNull() | value.isNotNull()
+    if families[0] != families[1] or families[0] not in ("number", "time"):
+        return F.lit(None).cast(target), c.isNull()
+    value = c.try_cast(target)
+    if isinstance(target, T.FloatType) and families[0] == "number":
+        return value, float_roundtrip_ok(c, roles.float_rtol, roles.float_atol)
+    return value, c.isNull() | F.coalesce(value.try_cast(own) == c, F.lit(False))
+
+
 def reject_counts(df: DataFrame, rejects: str = REJECTS) -> DataFrame:
     """Quarantined values by column: rows and distinct values."""
     return (

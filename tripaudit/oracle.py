@@ -127,8 +127,12 @@ feat AS (
 BASE = "WITH " + ",".join([TRIPS, CONFORMED, FEAT]) + "\n"
 
 
-def with_base(body: str) -> str:
-    return BASE + body
+def with_base(body: str, trips: str | None = None) -> str:
+    """The base tables and ``body``; ``trips`` is a SELECT over trips_raw that takes the place of the view."""
+    if trips is None:
+        return BASE + body
+    raw = TRIPS.replace("trips AS (", "trips_raw AS (", 1)
+    return "WITH " + ",".join([raw, f"\ntrips AS ({trips})", CONFORMED, FEAT]) + "\n" + body
 
 
 # --------------------------------------------------------------------------

@@ -21,7 +21,8 @@ from ..sources.sample import sample_rows
 from ..operators.conform import REJECTS, apply_plan
 from ..operators.features import add_features
 from ..sources.sink import export_monthly, read_trips, write_trips
-from ..streaming.ingest import BATCH, run_incremental_ingest
+from ..streaming import ledger as L
+from ..streaming.ingest import FILE_KEY, ingest_files, run_incremental_ingest, take_outstanding
 from . import register
 
 PICKUP = "lpep_pickup_datetime"
@@ -150,19 +151,102 @@ def q_row_sample(spark, sf_dir):
 
 
 _DRIFT = "year(lpep_pickup_datetime) = 1996 AND month(lpep_pickup_datetime) = 3"
+_HALF = "l_orderkey % 7 = 0"
+_CASH = "l_orderkey % 5 = 0"
 
 
-@register("incremental_ingest", O.with_base(
-    "SELECT * REPLACE (CAST(payment_type AS DOUBLE) AS payment_type, CASE WHEN " + _DRIFT + " THEN NULL ELSE cbd_congestion_fee END AS cbd_congestion_fee), "
-    + _NAME_SQL + " AS source_file FROM feat"))
-def q_incremental_ingest(spark, sf_dir):
-    """At least four batches over the monthly files, one of which lacks a column and has passengers as whole numbers."""
+def _drifting(spark, sf_dir, columns):
+    """The monthly export, but for one month: that lacks a column, has passengers as whole numbers and other ``columns``."""
     df = trips(spark, sf_dir)
     root = scratch_path(spark, "drifting")
     export_monthly(df.where(f"NOT ({_DRIFT})"), root, PICKUP, R)
-    odd = df.where(_DRIFT).drop("cbd_congestion_fee").withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+    odd = df.where(_DRIFT).drop("cbd_congestion_fee").withColumns({"passenger_count": F.col("passenger_count").cast("bigint"), **columns})
     odd.write.parquet(f"{root}/file={R.file_name(1996, 3)}")
-    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    files = FS.file_listing(spark, FS.MonthlyLayout(root)).agg(F.sum("n_parts")).first()[0]
-    run_incremental_ingest(spark, root, df.schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=max(1, files // 4), timeout_s=1800)
-    return spark.read.parquet(sink).drop(BATCH, REJECTS).withColumn("payment_type", F.col("payment_type").cast("double"))
+    return df, FS.MonthlyLayout(root)
+
+
+def _ingested(spark, sf_dir):
+    """At least four batches over the monthly files, in one of which some zones are no whole numbers."""
+    key = ("ingested", session_key(spark), sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _EXPORTS:
+            df, layout = _drifting(spark, sf_dir, {"PULocationID": F.col("PULocationID").cast("double") + F.when(F.expr(_HALF), 0.5).otherwise(0.0)})
+            sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+            files = FS.file_listing(spark, layout).agg(F.sum("n_parts")).first()[0]
+            run_incremental_ingest(spark, layout.root, df.schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=max(1, files // 4), timeout_s=1800)
+            _EXPORTS[key] = sink
+    return spark.read.parquet(_EXPORTS[key])
+
+
+_ZONE = f"CASE WHEN {_DRIFT} AND {_HALF} THEN NULL ELSE PULocationID END"
+
+
+@register("incremental_ingest", O.with_base(
+    "SELECT * REPLACE (CAST(payment_type AS DOUBLE) AS payment_type, CAST(PULocationID AS DOUBLE) AS PULocationID, CASE WHEN " + _DRIFT + " THEN NULL ELSE cbd_congestion_fee END AS cbd_congestion_fee), "
+    + _NAME_SQL + " AS source_file FROM feat", trips=f"SELECT * REPLACE ({_ZONE} AS PULocationID) FROM trips_raw"))
+def q_incremental_ingest(spark, sf_dir):
+    return _ingested(spark, sf_dir).drop(FILE_KEY, REJECTS).withColumns({c: F.col(c).cast("double") for c in ("payment_type", "PULocationID")})
+
+
+@register("ingest_rejects", O.with_base(
+    f"SELECT 'PULocationID' AS \"column\", CAST(PULocationID + 0.5::DOUBLE AS VARCHAR) AS value, count(*) AS n_rows FROM trips WHERE {_DRIFT} AND {_HALF} GROUP BY 2"))
+def q_ingest_rejects(spark, sf_dir):
+    """The values that the declared types could not hold, as text."""
+    found = _ingested(spark, sf_dir).where(F.col(REJECTS).isNotNull()).select(F.explode(REJECTS).alias("column", "value"))
+    return found.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("read_drifting_periods", O.with_base(
+    f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, passenger_count, CASE WHEN {_DRIFT} AND {_CASH} THEN 'cash' ELSE CAST(payment_type AS VARCHAR) END AS payment_type, "
+    f"CASE WHEN {_DRIFT} THEN NULL ELSE cbd_congestion_fee END AS cbd_congestion_fee, {_NAME_SQL} AS source_file FROM trips"))
+def q_read_drifting_periods(spark, sf_dir):
+    """Payment types are numbers in most months and text in one: all of them are kept, as text."""
+    df, layout = _drifting(spark, sf_dir, {"payment_type": F.when(F.expr(_CASH), "cash").otherwise(F.col("payment_type").cast("string"))})
+    back = FS.read_all(spark, layout, _names(spark, sf_dir), R)
+    return back.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "passenger_count", "payment_type", "cbd_congestion_fee", "source_file")
+
+
+def _single_file(df, path: str) -> None:
+    """One Parquet file of exactly this path, over what was there."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    written = scratch_path(spark, "single")
+    df.coalesce(1).write.parquet(written)
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(written)) if s.getPath().getName().startswith("part-"))
+    fs.mkdirs(target.getParent())
+    fs.delete(target, False)
+    fs.rename(part, target)
+
+
+@register("ingest_ledger", O.with_base(
+    f"SELECT {_NAME_SQL} AS source_file, 'taken' AS state, {_NAME_SQL} = '{R.file_name(1996, 1)}' AS again, CAST(count(*) AS BIGINT) AS ledger_rows, CAST(count(*) AS BIGINT) AS n_rows FROM trips GROUP BY 1 "
+    f"UNION ALL SELECT '{R.unknown_file_name()}', 'rejected', false, 0, 0"))
+def q_ingest_ledger(spark, sf_dir):
+    """A file that is gone when it is read and comes back, one that is replaced by a longer one, and one that is broken."""
+    df, plan = trips(spark, sf_dir), plan_for(spark, sf_dir)
+    root, sink, ledger = (scratch_path(spark, f"ledger-{n}") for n in ("files", "sink", "entries"))
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    late, replaced = (f"{root}/file={R.file_name(1996, m)}" for m in (1, 2))
+    in_february = "year(lpep_pickup_datetime) = 1996 AND month(lpep_pickup_datetime) = 2"
+    export_monthly(df.where(f"NOT ({in_february})"), root, PICKUP, R)
+    _single_file(df.where(in_february).where(_HALF), f"{replaced}/all.parquet")
+    broken = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/file={R.unknown_file_name()}/part.parquet"))
+    broken.writeBytes("this is no table")
+    broken.close()
+    layout = FS.MonthlyLayout(root)
+    listed = FS.part_listing(spark, layout).select("path", "length", F.col("modificationTime").alias("modified")).collect()
+    away = jvm.org.apache.hadoop.fs.Path(f"{root}-away")
+    fs.rename(jvm.org.apache.hadoop.fs.Path(late), away)
+    ingest_files(spark, layout, listed, df.schema, plan, sink, ledger, "first", R)
+    fs.rename(away, jvm.org.apache.hadoop.fs.Path(late))
+    _single_file(df.where(in_february), f"{replaced}/all.parquet")
+    take_outstanding(spark, layout, df.schema, plan, sink, ledger, R)
+    entries = L.current(L.read_ledger(spark, ledger)).groupBy("source_file").agg(
+        F.max("state").alias("state"), (F.max("attempt") > 1).alias("again"), F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("ledger_rows")
+    )
+    rows = spark.read.parquet(sink).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+    return entries.join(rows, "source_file", "left").na.fill(0, ["n_rows"])

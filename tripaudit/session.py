@@ -62,6 +62,11 @@ _SCRATCH: dict[str, list[str]] = {}
 ON_RELEASE: list = []
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

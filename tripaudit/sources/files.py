@@ -14,6 +14,7 @@ footers); data is read lazily by Catalyst with pruning and pushdown.
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_ROLES, TripRoles
+from ..plans.lattice import TypeConflict, as_joined, join_schemas
+from ..session import path_exists, scratch_path
+from .footers import BROKEN, EMPTY, MISSING, OK, RETRY, UNKNOWN_STORE, with_footers
 
 PARTITION_KEY = "file"
 
@@ -80,12 +84,11 @@ def source_name(spark: SparkSession, layout: MonthlyLayout, path: Column) -> Col
     return F.when(first != "", first).otherwise(under)
 
 
-def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
-    """S7 + S8: every Parquet file under the root, whatever its name, with bytes, parts and modification time.
+def part_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
+    """(path, length, modificationTime, file_name) of every Parquet part under the root.
 
-    Uses the ``binaryFile`` source for a distributed file index; only the
-    ``path``, ``length`` and ``modificationTime`` columns are selected, so no
-    content is read.
+    Uses the ``binaryFile`` source for a distributed file index; its content
+    is not selected, so none is read.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -94,15 +97,13 @@ def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
         .load(layout.root)
         .select("path", "length", "modificationTime")
     )
-    return (
-        listing.withColumn("file_name", source_name(spark, layout, F.col("path")))
-        .where(F.col("file_name") != "")
-        .groupBy("file_name")
-        .agg(
-            F.count(F.lit(1)).alias("n_parts"),
-            F.sum("length").alias("bytes"),
-            F.max("modificationTime").alias("modified"),
-        )
+    return listing.withColumn("file_name", source_name(spark, layout, F.col("path"))).where(F.col("file_name") != "")
+
+
+def file_listing(spark: SparkSession, layout: MonthlyLayout) -> DataFrame:
+    """S7 + S8: every Parquet file under the root, whatever its name, with bytes, parts and modification time."""
+    return part_listing(spark, layout).groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("n_parts"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified")
     )
 
 
@@ -138,6 +139,8 @@ class FileCheck:
     error: str | None
     schema: T.StructType | None
     bytes: int | None = None
+    n_rows: int | None = None
+    parts: tuple[tuple[T.StructType, tuple[str, ...]], ...] = ()  # by schema, where they differ
 
 
 def validate_file(spark: SparkSession, path: str, name: str | None = None, with_bytes: bool = False) -> FileCheck:
@@ -164,16 +167,73 @@ def validate_file(spark: SparkSession, path: str, name: str | None = None, with_
         return FileCheck(name, path, True, False, 0, "unreadable", msg, None)
 
 
-def audit_files(
-    spark: SparkSession, layout: MonthlyLayout, names: list[str], threads: int = 16, with_bytes: bool = False
-) -> list[FileCheck]:
-    """S2 over many files; footer reads are metadata I/O, issued concurrently.
-
-    ``with_bytes`` adds the size of output directories (a listing each)."""
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(names) or 1))) as pool:
+def _audit_on_driver(spark: SparkSession, layout: MonthlyLayout, names: list[str], with_bytes: bool, threads: int = 16) -> list[FileCheck]:
+    """For stores that only Spark's own reader can open."""
+    if not names:
+        return []
+    with ThreadPoolExecutor(max_workers=min(threads, len(names))) as pool:
         return list(pool.map(lambda n: validate_file(spark, layout.path(n), n, with_bytes), names))
 
 
+def footer_table(spark: SparkSession, layout: MonthlyLayout, names: list[str] | None = None) -> DataFrame | None:
+    """Every Parquet part under the root (of these names) with what its footer says, read in tasks.
+
+    (file_name, path, length, modificationTime, status, error, n_rows,
+    columns), written under the shared folder; None where nothing is listed.
+    """
+    if not path_exists(spark, layout.root):
+        return None
+    parts = part_listing(spark, layout)
+    if names is not None:
+        wanted = spark.createDataFrame([(n,) for n in names], "file_name string").distinct()
+        parts = parts.join(wanted, "file_name", "left_semi")
+    path = scratch_path(spark, "footers")
+    with_footers(parts).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+#: From best to worst; a file of several parts is as good as its worst part.
+_STATUS = (OK, EMPTY, RETRY, MISSING, BROKEN, UNKNOWN_STORE)
+
+
+def audit_files(spark: SparkSession, layout: MonthlyLayout, names: list[str], with_bytes: bool = False) -> list[FileCheck]:
+    """S2 over many files, in the order of ``names``.
+
+    Footers are read in tasks (``footer_table``); the driver gets one small row
+    for each file and each distinct schema once. The parts of a file may
+    differ: its schema is their join, and ``parts`` lists them by schema.
+    Names that the listing does not hold, and stores that tasks can't open,
+    are looked up through Spark one by one. ``with_bytes`` adds their sizes.
+    """
+    feet = footer_table(spark, layout, names) if names else None
+    found: dict[str, FileCheck] = {}
+    if feet is not None:
+        tagged = feet.withColumn("_schema", F.sha2("columns", 256)).withColumn("_rank", F.array_position(F.array(*map(F.lit, _STATUS)), F.col("status")))
+        schemas = {r["_schema"]: T.StructType.fromJson(json.loads(r["columns"])) for r in tagged.where("columns IS NOT NULL").groupBy("_schema").agg(F.first("columns").alias("columns")).collect()}
+        rows = tagged.groupBy("file_name").agg(
+            F.sum("length").alias("bytes"), F.sum("n_rows").alias("n_rows"), F.max(F.struct("_rank", "status", "error")).alias("worst"),
+            F.max(F.endswith("path", F.concat(F.lit("/"), F.col("file_name")))).alias("is_file"), F.sort_array(F.collect_set("_schema")).alias("schemas"),
+        )
+        mixed = rows.where((F.size("schemas") > 1) & (F.col("worst.status") == OK)).select("file_name")
+        by_schema: dict[str, dict[str, list[str]]] = {}
+        for r in tagged.join(mixed, "file_name", "left_semi").select("file_name", "_schema", "path").orderBy("path").collect():
+            by_schema.setdefault(r["file_name"], {}).setdefault(r["_schema"], []).append(r["path"])
+        for r in rows.collect():
+            name, status = r["file_name"], r["worst"]["status"]
+            if status == UNKNOWN_STORE:
+                continue
+            path = layout.path(name)
+            if status not in (OK, EMPTY):
+                found[name] = FileCheck(name, path, True, False, 0, "unreadable", r["worst"]["error"], None, r["bytes"])
+                continue
+            schema, _ = join_schemas(schemas[k] for k in r["schemas"])
+            parts = tuple((schemas[k], tuple(paths)) for k, paths in by_schema.get(name, {}).items())
+            found[name] = FileCheck(name, path, True, r["is_file"], len(schema.fields), status, None, schema, r["bytes"], r["n_rows"], parts)
+    rest = [n for n in dict.fromkeys(names) if n not in found]
+    found |= {c.file_name: c for c in _audit_on_driver(spark, layout, rest, with_bytes)}
+    return [found[n] for n in names]
+
+
 def audit_frame(spark: SparkSession, checks: list[FileCheck]) -> DataFrame:
     rows = [(c.file_name, c.path, c.exists, c.is_file, c.bytes, c.n_columns, c.status, c.error) for c in checks]
     schema = "file_name string, path string, exists boolean, is_file boolean, bytes bigint, n_columns int, status string, error string"
@@ -208,26 +268,38 @@ def read_all(spark: SparkSession, layout: MonthlyLayout, names: list[str] | None
     """Every valid month, tagged with ``source_file``; invalid ones skipped.
 
     Files are grouped by identical footer schema and each group is read with
-    one ``spark.read.parquet(*paths)``; the groups are combined with
-    ``unionByName(allowMissingColumns=True)``, which widens drifting types
-    (``mergeSchema`` would refuse BIGINT vs DOUBLE). The plan has one branch
-    per distinct schema, not per month.
+    one ``spark.read.parquet(*paths)`` and one projection onto the joined
+    schema (``plans.lattice``): numbers widen, and a column that is a number
+    here and text there is text, with every value. The plan has one branch per
+    distinct schema, not per month. ``type_conflicts`` lists what drifted.
     """
     if names is None:
         names = [roles.file_name(y, m) for y, m in roles.periods()]
     return read_checked(spark, layout, audit_files(spark, layout, names))
 
 
+def _by_schema(checks: list[FileCheck]) -> dict[str, tuple[T.StructType, list[str]]]:
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for c in checks:
+        if c.status == "ok":
+            for schema, paths in c.parts or ((c.schema, (c.path,)),):
+                groups.setdefault(schema.json(), (schema, []))[1].extend(paths)
+    return groups
+
+
+def type_conflicts(checks: list[FileCheck]) -> list[TypeConflict]:
+    """The columns that the valid files of an audit hold in several types, and what became of them."""
+    return join_schemas(schema for schema, _ in _by_schema(checks).values())[1]
+
+
 def read_checked(spark: SparkSession, layout: MonthlyLayout, checks: list[FileCheck]) -> DataFrame | None:
     """The valid files of an audit as one frame (see :func:`read_all`)."""
-    checks = [c for c in checks if c.status == "ok"]
-    if not checks:
+    groups = _by_schema(checks)
+    if not groups:
         return None
-    groups: dict[str, list[FileCheck]] = {}
-    for c in checks:
-        groups.setdefault(c.schema.json(), []).append(c)
-    frames = [_tag(spark.read.schema(g[0].schema).parquet(*[c.path for c in g]), layout) for g in groups.values()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    joined, _ = join_schemas(schema for schema, _ in groups.values())
+    frames = [as_joined(_tag(spark.read.schema(schema).parquet(*paths), layout), joined, ("source_file",)) for schema, paths in groups.values()]
+    return reduce(lambda a, b: a.union(b), frames)
 
 
 def load_counts(df: DataFrame, checks: list[FileCheck] | None = None) -> DataFrame:

@@ -7,7 +7,9 @@ in ``spark.checkpoint.dir`` (see ``tripaudit.session``), never a local path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_ROLES, TripRoles
@@ -41,21 +43,33 @@ def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEF
     return MonthlyLayout(root, PARTITION_KEY)
 
 
-def write_trips(df: DataFrame, path: str) -> None:
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> None:
+    """Remove the folders ``<column>=<value>`` of a partitioned table; those that are not there are no error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={escape(value)}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
+def write_trips(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
     """Featured trips, partitioned by the file that a row came from.
 
     A rerun replaces the files that it contains and nothing else (dynamic
-    partition overwrite). Monthly files hold stray pickups of other months;
-    these stay with their file, and ``pickup_year`` and ``pickup_month`` are
-    ordinary columns.
+    partition overwrite). ``sources`` are the files that the load covers: one
+    that has no rows now loses those of earlier loads, after the write.
+    Monthly files hold stray pickups of other months; these stay with their
+    file, and ``pickup_year`` and ``pickup_month`` are ordinary columns.
     """
+    seen = Observation()
     (
-        _spread(df, [SOURCE])
+        _spread(df.observe(seen, F.collect_set(SOURCE).alias("sources")), [SOURCE])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(SOURCE)
         .parquet(path)
     )
+    drop_partitions(df.sparkSession, path, SOURCE, sorted(set(sources) - set(seen.get["sources"])))
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame | None:
