@@ -9,12 +9,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripaudit.llm import conversations, personal, phrases
+from tripaudit.llm import conversations, personal, phrases, repeats
 
 DOCS = "doc_id long, text string, lang string, source string, id long, value string, hits int, n long, phrase string"
 OTHER = ("s", 7, "v", 3, 9, "p")
@@ -290,3 +291,34 @@ def test_the_filter_hashes_as_spark_does(spark):
     known = phrases.Known.of(spark.createDataFrame(pairs, "lang string, phrase string"))
     assert all(known.has(lang, pa.array([p.encode()]))[0] for lang, p in pairs)
     assert not known.has("en", pa.array([f"no {k}".encode() for k in range(1000)])).any()
+
+
+# --- strings of a shard ----------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("sort_bytes", [1, 400, 1 << 20])
+def test_strings_of_a_shard_are_sorted_in_parts(monkeypatch, sort_bytes):
+    """Pieces around anchors: those of one anchor are sorted together, strings of their own are left out."""
+    rng = random.Random(sort_bytes)
+    monkeypatch.setattr(repeats, "SORT_BYTES", sort_bytes)
+    monkeypatch.setattr(repeats, "PART_BYTES", 300)
+    words = ["".join(rng.choice("abcd ") for _ in range(rng.randint(20, 60))) for _ in range(12)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(2, 8))).encode() for _ in range(60)]
+    raw, ends = b"".join(texts), np.cumsum([len(t) for t in texts])
+    with np.errstate(over="ignore"):
+        first, count, _ = repeats.anchors(raw, ends, 50)
+    body = np.frombuffer(raw, np.uint8)
+    got = repeats.repeated_strings(body, first, count, 50)
+    seen, want = set(), []
+    for f, n in zip(first.tolist(), count.tolist(), strict=True):
+        for at in range(f, f + n):
+            want.append(raw[at : at + 50] in seen)
+            seen.add(raw[at : at + 50])
+    assert got.tolist() == want and 100 < sum(want) < len(want)
+
+
+def test_pieces_with_equal_hashes_are_compared():
+    body = np.frombuffer(b"aaaabbbbaaaacc", np.uint8)
+    place, size = np.array([0, 4, 8, 12]), np.array([4, 4, 4, 2])
+    same = repeats.equal_pieces(np.array([1, 1, 1, 2], np.uint64), body, place, size)
+    assert same[0] == same[2] != same[1] and len(set(same.tolist())) == 3
