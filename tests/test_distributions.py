@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripaudit.config import DEFAULT_ROLES
 from tripaudit.operators import distributions as D
@@ -111,6 +112,33 @@ def test_density_close_to_exact_kde(spark):
     assert np.max(np.abs(dens - exact)) < 1e-3 * exact.max()
 
 
+@pytest.mark.parametrize("moments, width", [(2, 0.5), (4, 0.5), (6, 0.25), (12, 0.25)])
+def test_density_stays_within_its_error_bound(spark, moments, width):
+    rng = np.random.default_rng(4)
+    vals = np.concatenate([rng.normal(0, 1, 900), rng.normal(4, 0.1, 300), [-3.0, 40.0, 40.0]])
+    got = sorted((r["point"], r["density"]) for r in D.density_curves(_frame(spark, vals), columns=("x",), moments=moments, width=width).collect())
+    n = len(vals)
+    h = vals.std(ddof=1) * n ** (-0.2)
+    grid = np.linspace(vals.min(), vals.max(), 200)
+    exact = np.exp(-0.5 * ((grid[:, None] - vals[None, :]) / h) ** 2).sum(axis=1)
+    off = np.abs(np.array([d for _, d in got]) * n * h * np.sqrt(2 * np.pi) - exact).max()
+    assert off <= n * (D.density_error_bound(moments, width) + 1e-13)
+    assert D.density_error_bound() < 1e-15
+
+
+def test_density_states_of_parts_add_up(spark):
+    rng = np.random.default_rng(5)
+    vals = rng.gamma(2.0, 3.0, 4000)
+    df = _frame(spark, vals)
+    stats = D.numeric_stats(df, ("x",))
+    whole = {r["bin"]: tuple(r)[2:] for r in D.density_moments(df, stats, ["x"]).collect()}
+    parts = [D.density_moments(_frame(spark, vals[k::3]), stats, ["x"]) for k in range(3)]
+    both = parts[0].union(parts[1]).union(parts[2]).groupBy("column", "bin").agg(*[F.sum(f"m{k}").alias(f"m{k}") for k in range(D.MOMENTS)])
+    summed = {r["bin"]: tuple(r)[2:] for r in both.collect()}
+    assert summed.keys() == whole.keys() and len(whole) < 400
+    assert all(np.allclose(summed[b], whole[b], rtol=1e-9, atol=1e-12) for b in whole)
+
+
 def test_pair_bins_match_histogram2d(spark):
     rng = np.random.default_rng(12)
     x = rng.normal(5, 2, 1000).round(2)

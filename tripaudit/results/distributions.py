@@ -8,8 +8,11 @@ from .. import oracle as O
 from ..chain import featured_trips, numeric_profile
 from ..config import DEFAULT_ROLES
 from ..operators import distributions as D
-from ..session import session_key
+from ..operators.states import merged_states, read_states, stats_from_states, update_states
+from ..session import ON_RELEASE, scratch_path, session_key
+from ..sources.files import period_file
 from ..sources.fixture import read_table
+from ..sources.sink import SOURCE
 from . import register
 
 NUM = DEFAULT_ROLES.eda_numeric
@@ -76,6 +79,40 @@ def q_box_stats(spark, sf_dir):
     )
 
 
+def _states(spark, sf_dir):
+    """States by month: of all months but the last at first, then of that one, which alone is read."""
+    key = (session_key(spark), sf_dir.rstrip("/"))
+    if key not in _STATES:
+        feat = featured_trips(spark, sf_dir)
+        by_month = feat.select(*[c for c in NUM if c in feat.columns], period_file(F.col("lpep_pickup_datetime")).alias(SOURCE))
+        last = by_month.agg(F.max(SOURCE)).first()[0]
+        path = scratch_path(spark, "states")
+        update_states(by_month.where(F.col(SOURCE) != last), path, NUM)
+        update_states(by_month.where(F.col(SOURCE) == last), path, NUM, [last])
+        _STATES[key] = path
+    return read_states(spark, _STATES[key])
+
+
+_STATES: dict = {}
+ON_RELEASE.append(_STATES.clear)
+
+
+@register("column_states", O.BASE.rstrip("\n") + LONG + "\nSELECT \"column\", (SELECT count(*) FROM feat) AS n_rows, n, vmin, vmax, round(sd, 6) AS sd, true AS distinct_close FROM stats")
+def q_column_states(spark, sf_dir):
+    """Merged from monthly states; the estimate of the distinct values is held against their exact number."""
+    got = merged_states(_states(spark, sf_dir))
+    exact = D.numeric_long(featured_trips(spark, sf_dir), NUM).groupBy("column").agg(F.count_distinct("value").alias("_exact"))
+    close = F.abs(F.col("n_distinct") / F.col("_exact") - 1) < 0.1
+    return got.join(exact, "column").select("column", "n_rows", "n", "vmin", "vmax", F.round("sd", 6).alias("sd"), close.alias("distinct_close"))
+
+
+@register("box_stats_by_month", _box_sql())
+def q_box_stats_by_month(spark, sf_dir):
+    """Exact box statistics whose search starts from the merged monthly sketches."""
+    b = D.box_stats(spark, featured_trips(spark, sf_dir), stats=stats_from_states(_states(spark, sf_dir)))
+    return b.select("column", "n", *[F.round(c, 6).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")], "n_fliers")
+
+
 def _density_sql(base: str) -> str:
     """The exact density: the kernels of all values at every grid point."""
     g = DEFAULT_ROLES.kde_grid_points
@@ -102,7 +139,7 @@ def q_density_curves(spark, sf_dir):
 # values that a chart has no place for: infinities among the quantities, and a constant column
 _EDGE_FRAME = (
     "SELECT CASE WHEN l_orderkey % 500 = 1 THEN CAST('inf' AS DOUBLE) WHEN l_orderkey % 500 = 2 THEN CAST('-inf' AS DOUBLE) ELSE l_quantity END AS quantity, "
-    "CAST(1 AS DOUBLE) AS constant, l_extendedprice AS price FROM lineitem WHERE l_orderkey % 10 < 3"
+    "CAST(1 AS DOUBLE) AS constant, l_extendedprice AS price FROM lineitem"
 )
 _EDGE = ("quantity", "constant", "price")
 _EDGE_LONG = (
@@ -113,7 +150,7 @@ _EDGE_LONG = (
 
 def _edge_frame(spark, sf_dir):
     x = F.when(F.col("l_orderkey") % 500 == 1, F.lit(float("inf"))).when(F.col("l_orderkey") % 500 == 2, F.lit(float("-inf"))).otherwise(F.col("l_quantity"))
-    li = read_table(spark, sf_dir, "lineitem").where(F.col("l_orderkey") % 10 < 3)
+    li = read_table(spark, sf_dir, "lineitem")
     return li.select(x.alias("quantity"), F.lit(1.0).alias("constant"), F.col("l_extendedprice").alias("price"))
 
 

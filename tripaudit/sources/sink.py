@@ -52,14 +52,12 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
         folder.getFileSystem(conf).delete(folder, True)
 
 
-def write_trips(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
-    """Featured trips, partitioned by the file that a row came from.
+def write_by_source(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
+    """Rows partitioned by the file that they came from.
 
     A rerun replaces the files that it contains and nothing else (dynamic
     partition overwrite). ``sources`` are the files that the load covers: one
     that has no rows now loses those of earlier loads, after the write.
-    Monthly files hold stray pickups of other months; these stay with their
-    file, and ``pickup_year`` and ``pickup_month`` are ordinary columns.
     """
     seen = Observation()
     (
@@ -72,6 +70,15 @@ def write_trips(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
     drop_partitions(df.sparkSession, path, SOURCE, sorted(set(sources) - set(seen.get["sources"])))
 
 
+def write_trips(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
+    """Featured trips, partitioned by the file that a row came from (see ``write_by_source``).
+
+    Monthly files hold stray pickups of other months; these stay with their
+    file, and ``pickup_year`` and ``pickup_month`` are ordinary columns.
+    """
+    write_by_source(df, path, sources)
+
+
 def read_trips(spark: SparkSession, path: str) -> DataFrame | None:
     """The whole trip table; files that were conformed to other types are widened (see ``files.read_all``)."""
     layout = MonthlyLayout(path, SOURCE)
