@@ -9,7 +9,10 @@ mined one after the other, and a shard leaves out what contains a phrase that
 the length before found infrequent everywhere.
 
 With many shards the local support falls to 1; a shard then withholds
-nothing, its counts are whole, and the second pass is not needed.
+nothing, its counts are whole, and the second pass is not needed. (A support
+that does not grow with the corpus gives every corpus of more than S shards a
+local support of 1; what bounds the work there is the filter of the length
+before.)
 """
 
 from __future__ import annotations
@@ -27,12 +30,13 @@ from pyspark.sql import functions as F
 from .common import staged
 
 #: A shard ends once it holds so many bytes of text.
-SHARD_BYTES = 2 << 20
-#: Texts are cut into words, and phrases looked up, in parts of this size.
+SHARD_BYTES = 4 << 20
+#: Texts are cut into words, and phrases sent on, in parts of this size.
 PART_BYTES, PART_ROWS = 1 << 20, 1 << 16
 #: Bits of the filter of known phrases that every task gets: 8 MB at any size of input.
 FILTER_BITS = 1 << 26
 BLOCK_BITS = 1 << 15
+_SHIFT = np.uint64(65 - FILTER_BITS.bit_length())
 UNKNOWN = "und"
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _UPPER = bytes(range(65, 91))
@@ -59,6 +63,20 @@ def word_ids(texts: list[bytes]) -> tuple[np.ndarray, pa.BinaryArray]:
     return ids, pa.array(list(numbers)[2:], pa.binary())
 
 
+def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(lang.encode())
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+
+
+def phrase_hashes(parts: list[np.ndarray]) -> np.ndarray:
+    """Of phrases, from the hashes of their first words, of their second words and so on."""
+    h = np.zeros(len(parts[0]), np.uint64)
+    for part in parts:
+        h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 class Known:
     """A filter of fixed size: every phrase put in is in it, a few others may be."""
 
@@ -69,6 +87,13 @@ class Known:
     def of(cls, phrases: DataFrame) -> Known:
         """From (lang, phrase) rows. Tasks make the blocks of bits; the driver gets the blocks, 8 MB at most."""
 
+        def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lang, phrase = batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.binary()).to_pylist()
+                bits = [phrase_hashes([word_hashes(g, [w]) for w in p.split(b" ")]) for g, p in zip(lang, phrase, strict=True)]
+                if bits:
+                    yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(bits) >> _SHIFT).astype(np.int64))], ["bit"])
+
         def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found: dict[int, np.ndarray] = {}
             for batch in batches:
@@ -80,45 +105,51 @@ class Known:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([x.tobytes() for x in found.values()], pa.binary())], ["block", "bits"])
 
-        bit = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(FILTER_BITS - 1))
-        dealt = phrases.select(bit.alias("bit")).distinct().repartition(F.floor(F.col("bit") / BLOCK_BITS))
+        dealt = phrases.select("lang", "phrase").mapInArrow(hashed, "bit long").distinct().repartition(F.floor(F.col("bit") / BLOCK_BITS))
         bits = np.zeros(FILTER_BITS // 8, np.uint8)
         for row in dealt.mapInArrow(blocks, "block long, bits binary").toLocalIterator():
             at = row["block"] * BLOCK_BITS // 8
             bits[at : at + BLOCK_BITS // 8] |= np.frombuffer(row["bits"], np.uint8)
         return cls(bits)
 
-    def has(self, lang: str, phrases: pa.BinaryArray) -> np.ndarray:
-        seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-        out = np.zeros(len(phrases), bool)
-        for at in range(0, len(phrases), PART_ROWS):
-            part = phrases.slice(at, PART_ROWS).to_pylist()
-            bit = np.fromiter((xxhash.xxh64_intdigest(p, seed) for p in part), np.uint64, len(part)) & np.uint64(FILTER_BITS - 1)
-            out[at : at + len(part)] = (self.bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return out
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        bit = (hashes >> _SHIFT).astype(np.int64)
+        return (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
 def phrase_counts(ids: np.ndarray, words: pa.BinaryArray, lang: str, length: int, known: list[Known]) -> tuple[pa.BinaryArray, np.ndarray]:
-    """Phrases of so many words with their counts, those left out that hold a shorter one which ``known`` lacks."""
-    grams, phrases, counts = ids, words, np.bincount(ids[ids >= 0], minlength=len(words))
-    for k in range(2, length + 1):
-        passed = np.flatnonzero(known[k - 2].has(lang, phrases))
-        number = np.full(len(phrases) + 1, -1)
-        number[passed] = passed
-        grams = number[grams]
-        pairs = np.flatnonzero((grams[:-1] >= 0) & (grams[1:] >= 0))
-        if not len(pairs):
-            return words.slice(0, 0), np.zeros(0, np.int64)
-        codes = grams[pairs] * len(phrases) + grams[pairs + 1]
-        if k < length:
-            _, first, at, counts = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-            grams = np.full(len(ids), -1)
-            grams[pairs] = at
-        else:
-            _, first, counts = np.unique(codes, return_index=True, return_counts=True)
-        start = pairs[first]
-        phrases = pc.binary_join_element_wise(*(words.take(pa.array(ids[start + j])) for j in range(k)), b" ")
-    return phrases, counts
+    """Phrases of so many words with their counts, those left out that hold a shorter one which ``known`` lacks.
+
+    Where ``known`` goes as far as ``length``, its last filter is of the phrases themselves.
+    """
+    hashes = word_hashes(lang, words.to_pylist()) if known else None
+    grams, counts, start = ids, np.bincount(ids[ids >= 0], minlength=len(words)), None
+    for k in range(1, length + 1):
+        if k > 1:
+            pairs = np.flatnonzero((grams[:-1] >= 0) & (grams[1:] >= 0))
+            if not len(pairs):
+                return words.slice(0, 0), np.zeros(0, np.int64)
+            codes = grams[pairs] * len(counts) + grams[pairs + 1]
+            if k < length:
+                _, first, at, counts = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
+                grams = np.full(len(ids), -1)
+                grams[pairs] = at
+                del at
+            else:
+                _, first, counts = np.unique(codes, return_index=True, return_counts=True)
+            start = pairs[first]
+            del codes, pairs, first
+        if k <= len(known):
+            passed = known[k - 1].has(phrase_hashes([hashes] if k == 1 else [hashes[ids[start + j]] for j in range(k)]))
+            if k == length:
+                start, counts = start[passed], counts[passed]
+            else:
+                number = np.full(len(counts) + 1, -1)  # the last one is that of -1
+                number[:-1][passed] = np.flatnonzero(passed)
+                grams = number[grams]
+    if length == 1:
+        return words, counts
+    return pc.binary_join_element_wise(*(words.take(pa.array(ids[start + j])) for j in range(length)), b" "), counts
 
 
 def _over_shards(docs: DataFrame, shard: Callable[[dict[str, list[bytes]]], Iterator[pa.RecordBatch]], shard_bytes: int) -> DataFrame:
@@ -149,34 +180,34 @@ def _batches(lang: str, phrases: pa.BinaryArray, counts: np.ndarray) -> Iterator
 
 
 def _counted(docs: DataFrame, length: int, filters: list, shard_bytes: int) -> DataFrame:
-    """Exact counts, shard by shard, of the phrases that the filters let pass; the last filter is of the phrases themselves."""
+    """Counts, shard by shard, of the phrases that the filters let pass; with words, a row of each shard's number of words."""
 
     def shard(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
         known = [f.value for f in filters]
+        n = 0
         for lang, own in texts.items():
             phrases, counts = phrase_counts(*word_ids(own), lang, length, known)
-            if len(known) == length:
-                kept = np.flatnonzero(known[-1].has(lang, phrases))
-                phrases, counts = phrases.take(pa.array(kept)), counts[kept]
+            n += int(counts.sum())
             yield from _batches(lang, phrases, counts)
+        if length == 1:
+            yield from _batches("", pa.nulls(1, pa.binary()), np.array([n]))
 
     return _over_shards(docs, shard, shard_bytes)
 
 
 def _mined(docs: DataFrame, length: int, filters: list, support: int, total: int, shard_bytes: int) -> DataFrame:
-    """What is frequent within a shard, with its count there. A row without a phrase counts what a shard withheld."""
+    """What is frequent within a shard, with its count there; without a support, everything."""
 
     def shard(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
         known = [f.value for f in filters]
         read = {lang: word_ids(own) for lang, own in texts.items()}
-        least = -(-support * sum(int((ids >= 0).sum()) for ids, _ in read.values()) // total)
+        least = max(1, -(-support * sum(int((ids >= 0).sum()) for ids, _ in read.values()) // total))
         for lang, (ids, words) in read.items():
             phrases, counts = phrase_counts(ids, words, lang, length, known)
-            kept = np.flatnonzero(counts >= least)
-            withheld = len(phrases) - len(kept)
-            yield from _batches(lang, phrases.take(pa.array(kept)), counts[kept])
-            if withheld:
-                yield from _batches(lang, pa.nulls(1, pa.binary()), np.array([withheld]))
+            if least > 1:
+                kept = np.flatnonzero(counts >= least)
+                phrases, counts = phrases.take(pa.array(kept)), counts[kept]
+            yield from _batches(lang, phrases, counts)
 
     return _over_shards(docs, shard, shard_bytes)
 
@@ -195,15 +226,19 @@ def frequent_phrases(docs: DataFrame, most_words: int = 3, support: int = 10, sh
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     words = staged(_counted(rows, 1, [], shard_bytes), "phrases-1")
+    # a row without a phrase holds the words of a shard
+    shards, words = words.where("phrase IS NULL"), words.where("phrase IS NOT NULL")
     n = words.groupBy("lang").agg(F.sum("c").alias("n"))
     found = [staged(_frequent(words, support), "frequent-1")]
-    total = words.agg(F.sum("c")).first()[0] or 0
+    total, largest = (x or 0 for x in shards.agg(F.sum("c"), F.max("c")).first())
+    withhold = support * largest > total  # some local support is over 1
     filters: list = []
     for k in range(2, most_words + 1):
         filters.append(spark.sparkContext.broadcast(Known.of(found[-1])))
-        local = staged(_mined(rows, k, filters, support, max(total, 1), shard_bytes), f"phrases-{k}")
-        if not local.where("phrase IS NULL").isEmpty():
-            union = spark.sparkContext.broadcast(Known.of(local.where("phrase IS NOT NULL")))
+        local = _mined(rows, k, filters, support if withhold else 0, max(total, 1), shard_bytes)
+        if withhold:
+            local = staged(local, f"phrases-{k}")
+            union = spark.sparkContext.broadcast(Known.of(local))
             local = _counted(rows, k, [*filters, union], shard_bytes)
         found.append(staged(_frequent(local, support), f"frequent-{k}"))
     parts = [f.select("lang", "phrase", "f", F.lit(k).alias("k")) for k, f in enumerate(found, 1)]
