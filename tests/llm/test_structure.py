@@ -286,11 +286,13 @@ def test_exact_scores_beyond_64_bits(spark):
     assert got == 10**6 * a * a // ((a + 1) * (a + 2))
 
 
-def test_the_filter_hashes_as_spark_does(spark):
-    pairs = [("en", "new york"), ("und", "é"), ("de", "x" * 100), ("", "")]
+def test_the_filter_knows_what_was_put_in(spark):
+    pairs = [("en", "new york"), ("und", "é ü"), ("de", "x" * 100 + " y"), ("", "a b")]
     known = phrases.Known.of(spark.createDataFrame(pairs, "lang string, phrase string"))
-    assert all(known.has(lang, pa.array([p.encode()]))[0] for lang, p in pairs)
-    assert not known.has("en", pa.array([f"no {k}".encode() for k in range(1000)])).any()
+    hashed = lambda lang, phrase: phrases.phrase_hashes([phrases.word_hashes(lang, [w.encode()]) for w in phrase.split(" ")])
+    assert all(known.has(hashed(*p))[0] for p in pairs)
+    assert not known.has(phrases.phrase_hashes([phrases.word_hashes("en", [b"no%d" % k for k in range(1000)]), phrases.word_hashes("en", [b"york"] * 1000)])).any()
+    assert not known.has(hashed("de", "new york"))[0]
 
 
 # --- strings of a shard ----------------------------------------------------------------------------------------------
