@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_ROLES, TripRoles
@@ -90,29 +90,30 @@ def _range(st: dict) -> tuple[float, float]:
     return lo, hi
 
 
-def bin_columns(df: DataFrame, specs: list[tuple[str, F.Column, float, float]], bins: int) -> DataFrame:
+def bin_columns(df: DataFrame, specs: list[tuple[str, F.Column, float, float]], bins: int, kept: list[tuple[str, F.Column]] | None = None) -> DataFrame:
     """Bin of each value among edges e_i = i*step + lo, step = (hi - lo)/bins.
 
     ``specs``: (output name, value expression, lo, hi). e_i <= v < e_{i+1};
     the last bin is closed; NULL stays NULL. A floor estimate is corrected
     by one step either way so edge values land exactly where an explicit
-    edge search would put them. Written as three projections so each stage
+    edge search would put them. ``kept``: other columns to carry along. Written as three projections so each stage
     computes its inputs once (smaller generated code than one nested CASE).
     """
-    names = [n for n, _, _, _ in specs]
-    first = []
+    names = [n for n, _, _, _ in specs] + [n for n, _ in kept or ()]
+    also = [F.col(n) for n, _ in kept or ()]
+    first = [c.alias(n) for n, c in kept or ()]
     for n, v, lo, hi in specs:
         step = (hi - lo) / float(bins)
         b0 = F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(step)).cast("int"), F.lit(0)), F.lit(bins - 1))
         first += [F.when(v.isNotNull(), b0).alias(f"__b_{n}"), v.alias(f"__v_{n}")]
     s1 = df.select(*first)
-    second = []
+    second = list(also)
     for n, _, lo, hi in specs:
         step = (hi - lo) / float(bins)
         b0, v = F.col(f"__b_{n}"), F.col(f"__v_{n}")
         second += [F.when((b0 > 0) & (v < b0 * F.lit(step) + F.lit(lo)), b0 - 1).otherwise(b0).alias(f"__d_{n}"), v.alias(f"__v_{n}")]
     s2 = s1.select(*second)
-    third = []
+    third = list(also)
     for n, _, lo, hi in specs:
         step = (hi - lo) / float(bins)
         d, v = F.col(f"__d_{n}"), F.col(f"__v_{n}")
@@ -368,3 +369,25 @@ def pair_table(df: DataFrame, which: str, bins: int = 50, ranges: dict | None =
         if name == which:
             return pair_bins(df, name, x, y, bins, ranges)
     raise KeyError(which)
+
+
+def pair_sample(df: DataFrame, which: str, keys: tuple[str, ...], per_cell: int = 3, seed: int = 42, bins: int = 50, ranges: dict | None = None) -> DataFrame:
+    """A repeatable sample of ``per_cell`` rows from every cell of a pair table, with the keys and both values.
+
+    The rows of a cell with the least hashes of seed and keys, so the sample
+    depends on the data alone. Spark limits each cell in every task before the
+    shuffle (up to 1,000 rows a cell), so a crowded cell sends that many rows a
+    task; rows that repeat a key tie and come in the order of their values.
+    """
+    name, xcol, ycol = next(p for p in PAIRS if p[0] == which)
+    st = (ranges or pair_ranges(df, ((name, xcol, ycol),)))[name]
+    rows = df.select(*keys, _num(xcol).alias("x"), _num(ycol).alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    if st["xmin"] is None:
+        return rows.select(F.lit(name).alias("pair"), F.lit(0).alias("bin_x"), F.lit(0).alias("bin_y"), F.lit(0).alias("pos"), *keys, "x", "y").limit(0)
+    xlo, xhi = _range({"min": st["xmin"], "max": st["xmax"]})
+    ylo, yhi = _range({"min": st["ymin"], "max": st["ymax"]})
+    kept = [(k, F.col(k)) for k in (*keys, "x", "y")]
+    cells = bin_columns(rows, [("bin_x", F.col("x"), xlo, xhi), ("bin_y", F.col("y"), ylo, yhi)], bins, kept)
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    pos = F.row_number().over(Window.partitionBy("bin_x", "bin_y").orderBy(order, "x", "y"))
+    return cells.withColumn("pos", pos).where(F.col("pos") <= per_cell).select(F.lit(name).alias("pair"), "bin_x", "bin_y", "pos", *keys, "x", "y")

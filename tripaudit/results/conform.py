@@ -9,7 +9,9 @@ from .. import oracle as O
 from ..chain import conformed_trips, plan_for, trips
 from ..config import DEFAULT_ROLES
 from ..operators import conform as C
+from ..operators.conform import parse_timestamp
 from ..operators.features import add_features
+from ..operators.formats import chosen_formats, format_uses, uses_frame
 from ..plans.profile import build_plan, normalise_nan
 from ..sources.fixture import KEYS, read_table, with_string_times
 from . import KEYS_SQL, presentable, register
@@ -224,3 +226,47 @@ _NULLABLE = ("passenger_count", "RatecodeID", "payment_type")
     "SELECT * REPLACE (" + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NULLABLE) + ") FROM conformed"))
 def q_conformed_trips(spark, sf_dir):
     return presentable(conformed_trips(spark, sf_dir), _NULLABLE)
+
+
+# D3: texts in several formats, some of which two of them read differently, and some that none reads
+_TEXTS = (
+    ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S", "l_orderkey % 5 IN (0, 1)"),
+    ("MM/dd/yyyy HH:mm:ss", "%m/%d/%Y %H:%M:%S", "l_orderkey % 5 = 2"),
+    ("dd.MM.yyyy HH:mm", "%d.%m.%Y %H:%M", "l_orderkey % 5 = 3"),
+)
+_DAY_FIRST = ("dd/MM/yyyy HH:mm:ss", "%d/%m/%Y %H:%M:%S")
+_MIXED_SQL = (
+    "mixed AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE " + " ".join(f"WHEN {when} THEN strftime(lpep_pickup_datetime, '{c}')" for _, c, when in _TEXTS)
+    + " WHEN l_linenumber = 1 THEN 'no time' END AS t FROM trips)"
+)
+
+
+def _mixed_times(spark, sf_dir):
+    df = trips(spark, sf_dir)
+    text = F.when(F.expr("l_orderkey % 5 = 4 AND l_linenumber = 1"), "no time")
+    for fmt, _, when in _TEXTS:
+        text = text.when(F.expr(when), F.date_format("lpep_pickup_datetime", fmt))
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.alias("t"))
+
+
+def _uses(spark, sf_dir):
+    df = _mixed_times(spark, sf_dir)
+    return df, format_uses(df, ("t",), tuple(f for f, _, _ in _TEXTS) + (_DAY_FIRST[0],))
+
+
+@register("timestamp_formats", O.with_base("").rstrip() + ",\n" + _MIXED_SQL + ",\n" + "read AS (SELECT t, "
+    + ", ".join(f"try_strptime(t, '{c}') AS f{i}" for i, c in enumerate([c for _, c, _ in _TEXTS] + [_DAY_FIRST[1]])) + " FROM mixed)\n"
+    + " UNION ALL ".join(
+        f"SELECT 't' AS \"column\", '{f}' AS format, count(t) AS n_values, count(f{i}) AS n_parsed, " + ("count(*) FILTER (f1 <> f3)" if i == 3 else "0") + " AS n_conflicts FROM read"
+        for i, f in enumerate([f for f, _, _ in _TEXTS] + [_DAY_FIRST[0]])))
+def q_timestamp_formats(spark, sf_dir):
+    """What each candidate parses; the day-first one reads some month-first times as others."""
+    return uses_frame(spark, _uses(spark, sf_dir)[1]).drop("rank")
+
+
+@register("mixed_timestamps", O.with_base("").rstrip() + ",\n" + _MIXED_SQL + "\nSELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce("
+    + ", ".join(f"try_strptime(t, '{c}')" for _, c, _ in _TEXTS) + ") AS picked_up FROM mixed")
+def q_mixed_timestamps(spark, sf_dir):
+    """The column parsed in the formats that its own values chose."""
+    df, uses = _uses(spark, sf_dir)
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", parse_timestamp(F.col("t"), chosen_formats(uses, "t")).alias("picked_up"))

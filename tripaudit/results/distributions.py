@@ -204,3 +204,30 @@ for _name, _x, _y in D.PAIRS:
         return fn
 
     register(f"pair_{_name}", _pair_sql(_name, _x, _y))(_mk())
+
+
+_SAMPLE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+_PER_CELL = 3
+
+
+def _pair_sample_sql(name: str, x: str, y: str) -> str:
+    cells = _pair_sql(name, x, y)
+    keys = ", ".join(_SAMPLE_KEYS)
+    base = cells[: cells.index("SELECT '" + name)].replace("AS y FROM feat", f"AS y, {keys} FROM feat")
+    pb = DEFAULT_ROLES.pair_bins
+    return (
+        base.rstrip() + f",\nbinned AS (SELECT {bin_sql('x', 'xlo', 'xhi', pb)} AS bin_x, {bin_sql('y', 'ylo', 'yhi', pb)} AS bin_y, {keys}, x, y FROM xy, rng)\n"
+        f"SELECT '{name}' AS pair, *, CAST(row_number() OVER (PARTITION BY bin_x, bin_y ORDER BY md5(concat_ws('|', '42', {', '.join(f'CAST({k} AS VARCHAR)' for k in _SAMPLE_KEYS)})), x, y) AS INTEGER) AS pos "
+        f"FROM binned QUALIFY pos <= {_PER_CELL}"
+    )
+
+
+for _name, _x, _y in D.PAIRS:
+    def _mk_sample(name=_name):
+        def fn(spark, sf_dir):
+            feat = featured_trips(spark, sf_dir)
+            return D.pair_sample(feat, name, _SAMPLE_KEYS, _PER_CELL, 42, DEFAULT_ROLES.pair_bins, _ranges(spark, sf_dir, feat))
+
+        return fn
+
+    register(f"pair_sample_{_name}", _pair_sample_sql(_name, _x, _y))(_mk_sample())

@@ -18,8 +18,10 @@ from ..config import DEFAULT_ROLES as R
 from ..session import ON_RELEASE, scratch_path, session_key
 from ..sources import files as FS
 from ..sources.sample import sample_rows
+from ..operators.batch_summaries import merged_summaries
 from ..operators.conform import REJECTS, apply_plan
 from ..operators.features import add_features
+from ..operators.summaries import CHECKED_FOR_NULLS
 from ..sources.sink import export_monthly, read_trips, write_trips
 from ..streaming import ledger as L
 from ..streaming.ingest import FILE_KEY, ingest_files, run_incremental_ingest, take_outstanding
@@ -173,9 +175,11 @@ def _ingested(spark, sf_dir):
             df, layout = _drifting(spark, sf_dir, {"PULocationID": F.col("PULocationID").cast("double") + F.when(F.expr(_HALF), 0.5).otherwise(0.0)})
             sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
             files = FS.file_listing(spark, layout).agg(F.sum("n_parts")).first()[0]
-            run_incremental_ingest(spark, layout.root, df.schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=max(1, files // 4), timeout_s=1800)
+            run_incremental_ingest(
+                spark, layout.root, df.schema, plan_for(spark, sf_dir), sink, ckpt, R, max_files_per_trigger=max(1, files // 4), timeout_s=1800, summaries=f"{sink}-summaries"
+            )
             _EXPORTS[key] = sink
-    return spark.read.parquet(_EXPORTS[key])
+    return _EXPORTS[key]
 
 
 _ZONE = f"CASE WHEN {_DRIFT} AND {_HALF} THEN NULL ELSE PULocationID END"
@@ -185,17 +189,34 @@ _ZONE = f"CASE WHEN {_DRIFT} AND {_HALF} THEN NULL ELSE PULocationID END"
     "SELECT * REPLACE (CAST(payment_type AS DOUBLE) AS payment_type, CAST(PULocationID AS DOUBLE) AS PULocationID, CASE WHEN " + _DRIFT + " THEN NULL ELSE cbd_congestion_fee END AS cbd_congestion_fee), "
     + _NAME_SQL + " AS source_file FROM feat", trips=f"SELECT * REPLACE ({_ZONE} AS PULocationID) FROM trips_raw"))
 def q_incremental_ingest(spark, sf_dir):
-    return _ingested(spark, sf_dir).drop(FILE_KEY, REJECTS).withColumns({c: F.col(c).cast("double") for c in ("payment_type", "PULocationID")})
+    return spark.read.parquet(_ingested(spark, sf_dir)).drop(FILE_KEY, REJECTS).withColumns({c: F.col(c).cast("double") for c in ("payment_type", "PULocationID")})
 
 
 @register("ingest_rejects", O.with_base(
     f"SELECT 'PULocationID' AS \"column\", CAST(PULocationID + 0.5::DOUBLE AS VARCHAR) AS value, count(*) AS n_rows FROM trips WHERE {_DRIFT} AND {_HALF} GROUP BY 2"))
 def q_ingest_rejects(spark, sf_dir):
     """The values that the declared types could not hold, as text."""
-    found = _ingested(spark, sf_dir).where(F.col(REJECTS).isNotNull()).select(F.explode(REJECTS).alias("column", "value"))
+    found = spark.read.parquet(_ingested(spark, sf_dir)).where(F.col(REJECTS).isNotNull()).select(F.explode(REJECTS).alias("column", "value"))
     return found.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_FLAGS = ("is_invalid_PULocation", "is_invalid_DOLocation", "is_same_zone", "is_zero_passenger", "is_invalid_ratecodeID", "is_invalid_payment", "is_cash_with_tip", "is_free_but_charged")
+
+
+@register("ingested_summaries", O.with_base(
+    " UNION ALL ".join(
+        [f"SELECT 'nulls' AS summary, '{c}' AS key, CAST(NULL AS DOUBLE) AS value, count(*) FILTER ({c} IS NULL) AS n, CAST(NULL AS DOUBLE) AS total FROM feat" for c in CHECKED_FOR_NULLS]
+        + ["SELECT 'negative', NULL, NULL, count(*) FILTER (trip_duration_min < 0), NULL FROM feat",
+           "SELECT 'hour', NULL, pickup_hour, count(trip_duration_min), NULL FROM feat GROUP BY pickup_hour",
+           "SELECT 'weekday', NULL, pickup_dayofweek, count(fare_amount), round(sum(CAST(fare_amount AS DOUBLE)), 2) FROM feat GROUP BY pickup_dayofweek"]
+        + [f"SELECT 'flag', '{f}', {f}, count(*), NULL FROM feat GROUP BY {f}" for f in _FLAGS]
+    ), trips=f"SELECT * REPLACE ({_ZONE} AS PULocationID) FROM trips_raw"))
+def q_ingested_summaries(spark, sf_dir):
+    """A1-A5 merged from the states that each ingested batch left."""
+    merged = merged_summaries(spark.read.parquet(f"{_ingested(spark, sf_dir)}-summaries"))
+    return merged.select("summary", "key", F.col("value").cast("double").alias("value"), "n", F.round("total", 2).alias("total"))
+
+
 @register("read_drifting_periods", O.with_base(
     f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, passenger_count, CASE WHEN {_DRIFT} AND {_CASH} THEN 'cash' ELSE CAST(payment_type AS VARCHAR) END AS payment_type, "
     f"CASE WHEN {_DRIFT} THEN NULL ELSE cbd_congestion_fee END AS cbd_congestion_fee, {_NAME_SQL} AS source_file FROM trips"))

@@ -52,8 +52,8 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
         folder.getFileSystem(conf).delete(folder, True)
 
 
-def write_by_source(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
-    """Rows partitioned by the file that they came from.
+def write_by_source(df: DataFrame, path: str, sources: Iterable[str] = (), column: str = SOURCE) -> None:
+    """Rows partitioned by the file that they came from, which ``column`` names.
 
     A rerun replaces the files that it contains and nothing else (dynamic
     partition overwrite). ``sources`` are the files that the load covers: one
@@ -61,13 +61,13 @@ def write_by_source(df: DataFrame, path: str, sources: Iterable[str] = ()) -> No
     """
     seen = Observation()
     (
-        _spread(df.observe(seen, F.collect_set(SOURCE).alias("sources")), [SOURCE])
+        _spread(df.observe(seen, F.collect_set(column).alias("sources")), [column])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SOURCE)
+        .partitionBy(column)
         .parquet(path)
     )
-    drop_partitions(df.sparkSession, path, SOURCE, sorted(set(sources) - set(seen.get["sources"])))
+    drop_partitions(df.sparkSession, path, column, sorted(set(sources) - set(seen.get["sources"])))
 
 
 def write_trips(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:

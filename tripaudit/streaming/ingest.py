@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_ROLES, TripRoles
+from ..operators.batch_summaries import summary_states
 from ..operators.conform import REJECTS, apply_plan, guarded
 from ..operators.features import add_features
 from ..plans.profile import ConformPlan, normalise_nan
 from ..sources.files import PARTITION_KEY, MonthlyLayout, part_listing, source_name, validate_file
 from ..sources.footers import BROKEN, EMPTY, OK, UNKNOWN_STORE, plain_path, with_footers
-from ..sources.sink import drop_partitions
+from ..sources.sink import drop_partitions, write_by_source
 from . import ledger as L
 
 FILE_KEY = "file_key"
@@ -107,9 +108,9 @@ def _looked_at(spark: SparkSession, files: list[Row]) -> list[Row]:
 
 def ingest_files(
     spark: SparkSession, layout: MonthlyLayout, files: list[Row], schema: T.StructType, plan: ConformPlan, sink: str, ledger: str, batch: str,
-    roles: TripRoles = DEFAULT_ROLES, most_attempts: int = MOST_ATTEMPTS,
+    roles: TripRoles = DEFAULT_ROLES, most_attempts: int = MOST_ATTEMPTS, summaries: str | None = None,
 ) -> None:
-    """Take one batch of files (path, length, modified): write rows, then the ledger.
+    """Take one batch of files (path, length, modified): write rows, their summary states if asked for, then the ledger.
 
     Where the write fails, each file is tried alone, so that one bad file
     keeps no other out.
@@ -142,6 +143,13 @@ def ingest_files(
                 errors[r["path"]] = ("retry", (str(e).strip() or type(e).__name__).splitlines()[0][:300])
     emptied = [named[r["path"]]["key"] for r in good if r["path"] not in errors and not r["n_rows"]]
     drop_partitions(spark, sink, FILE_KEY, emptied)
+    taken = [named[r["path"]]["key"] for r in good if r["path"] not in errors]
+    if summaries and taken:
+        if len(emptied) < len(taken):
+            rows = spark.read.parquet(sink).where(F.col(FILE_KEY).isin(taken))  # prunes to these files' folders
+            write_by_source(summary_states(rows, FILE_KEY), summaries, taken, FILE_KEY)
+        else:
+            drop_partitions(spark, summaries, FILE_KEY, emptied)
     entries = []
     for r in feet:
         at = named[r["path"]]
@@ -156,7 +164,7 @@ def ingest_files(
 
 def take_outstanding(
     spark: SparkSession, layout: MonthlyLayout, schema: T.StructType, plan: ConformPlan, sink: str, ledger: str,
-    roles: TripRoles = DEFAULT_ROLES, max_files: int = 8, most_attempts: int = MOST_ATTEMPTS,
+    roles: TripRoles = DEFAULT_ROLES, max_files: int = 8, most_attempts: int = MOST_ATTEMPTS, summaries: str | None = None,
 ) -> int:
     """Files that changed after they were entered, and files to be tried again, in batches; returns how many."""
     listed = part_listing(spark, layout).select(F.col("path").alias("raw"), plain_path(F.col("path")).alias("path"), "length", F.col("modificationTime").alias("modified"))
@@ -166,9 +174,9 @@ def take_outstanding(
         held.append(row)
         n += 1
         if len(held) >= max_files:
-            ingest_files(spark, layout, held, schema, plan, sink, ledger, uuid.uuid4().hex, roles, most_attempts)
+            ingest_files(spark, layout, held, schema, plan, sink, ledger, uuid.uuid4().hex, roles, most_attempts, summaries)
             held = []
-    ingest_files(spark, layout, held, schema, plan, sink, ledger, uuid.uuid4().hex, roles, most_attempts)
+    ingest_files(spark, layout, held, schema, plan, sink, ledger, uuid.uuid4().hex, roles, most_attempts, summaries)
     return n
 
 
@@ -185,12 +193,15 @@ def run_incremental_ingest(
     partition_key: str | None = PARTITION_KEY,
     ledger: str | None = None,
     most_attempts: int = MOST_ATTEMPTS,
+    summaries: str | None = None,
 ) -> DataFrame:
     """Process every file present under ``root`` and stop; returns the ledger's latest entries.
 
     Values that fail their cast are NULL in the output and kept as text in
     its ``cast_rejects`` column. The driver gets the footers of one batch at a
-    time. The ledger is a folder beside the sink unless named.
+    time. The ledger is a folder beside the sink unless named. With
+    ``summaries``, the states of A1-A5 are kept there by file
+    (``operators.batch_summaries``).
     """
     layout = MonthlyLayout(root, partition_key)
     ledger = ledger or f"{sink.rstrip('/')}-ledger"
@@ -198,7 +209,7 @@ def run_incremental_ingest(
 
     def batch(files: DataFrame, number: int) -> None:
         rows = files.select("path", "length", F.col("modificationTime").alias("modified")).collect()  # at most max_files_per_trigger
-        ingest_files(files.sparkSession, layout, rows, schema, plan, sink, ledger, f"{stream}-{number}", roles, most_attempts)
+        ingest_files(files.sparkSession, layout, rows, schema, plan, sink, ledger, f"{stream}-{number}", roles, most_attempts, summaries)
 
     listing = (
         spark.readStream.format("binaryFile")
@@ -216,5 +227,5 @@ def run_incremental_ingest(
         raise TimeoutError("incremental ingest did not finish in time")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    take_outstanding(spark, layout, schema, plan, sink, ledger, roles, max_files_per_trigger, most_attempts)
+    take_outstanding(spark, layout, schema, plan, sink, ledger, roles, max_files_per_trigger, most_attempts, summaries)
     return L.current(L.read_ledger(spark, ledger))
