@@ -7,12 +7,14 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
-from tripaudit.chain import featured_trips
+from tripaudit.chain import featured_trips, trips
 from tripaudit.operators import batch_summaries as B
 from tripaudit.operators import distributions as D
 from tripaudit.operators import summaries as S
 from tripaudit.operators.formats import chosen_formats, format_uses
 from tripaudit.operators.states import file_states, merged_states, read_states, stats_from_states, update_states
+from tripaudit.plans.profile import build_plan
+from tripaudit.plans.store import plan_from_profiles, read_plan, read_profiles, update_profiles, write_plan
 from tripaudit.sources.sink import write_by_source
 
 SF = "/root/testdata/sf0.001"
@@ -92,3 +94,24 @@ def test_formats_are_chosen_by_what_they_parse(spark):
     assert uses["dd.MM.yyyy HH:mm"].rank is None and {u.n_values for u in uses.values()} == {11}
     assert chosen_formats(list(uses.values()), "t")[0] == "dd/MM/yyyy HH:mm:ss"
     assert [u.n_parsed for u in format_uses(df.limit(0), ("t",))] == [0] * 5
+
+
+def test_profiles_of_files_merge_to_the_plan_of_the_whole(spark, scratch):
+    trips_df = trips(spark, SF)
+    tagged = trips_df.withColumn("source_file", F.concat(F.year("lpep_pickup_datetime").cast("string"), F.lit(".parquet")))
+    years = sorted(r[0] for r in tagged.select("source_file").distinct().collect())
+    path = os.path.join(scratch, "profiles")
+    update_profiles(tagged.where(F.col("source_file").isin(years[:3])), path)
+    # one year lacks a column, another holds whole numbers as text in one
+    update_profiles(tagged.where(F.col("source_file") == years[3]).drop("congestion_surcharge"), path)
+    update_profiles(tagged.where(F.col("source_file").isin(years[4:])).withColumn("extra", F.col("extra").cast("string")), path)
+    update_profiles(tagged.where(F.col("source_file") == years[0]), path)  # once more
+    got = plan_from_profiles(*read_profiles(spark, path))
+    whole = tagged.withColumn("congestion_surcharge", F.when(F.col("source_file") != years[3], F.col("congestion_surcharge"))).withColumn("extra", F.col("extra").cast("string")).drop("source_file")
+    assert got == build_plan(whole)
+    assert {v.column: v.verdict for v in got.casts}["extra"] == "failed"
+    write_plan(spark, got, f"{scratch}/plan.json")
+    assert read_plan(spark, f"{scratch}/plan.json") == got
+    # a file that became empty counts no longer
+    update_profiles(tagged.limit(0), path, sources=years)
+    assert plan_from_profiles(*read_profiles(spark, path)).rows == 0

@@ -13,7 +13,11 @@ from ..operators.conform import parse_timestamp
 from ..operators.features import add_features
 from ..operators.formats import chosen_formats, format_uses, uses_frame
 from ..plans.profile import build_plan, normalise_nan
+from ..plans.store import plan_from_profiles, read_plan, read_profiles, update_profiles, write_plan
+from ..session import scratch_path
+from ..sources.files import period_file
 from ..sources.fixture import KEYS, read_table, with_string_times
+from ..sources.sink import SOURCE
 from . import KEYS_SQL, presentable, register
 
 DROPPED = ", ".join(DEFAULT_ROLES.columns_to_drop)
@@ -270,3 +274,16 @@ def q_mixed_timestamps(spark, sf_dir):
     """The column parsed in the formats that its own values chose."""
     df, uses = _uses(spark, sf_dir)
     return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", parse_timestamp(F.col("t"), chosen_formats(uses, "t")).alias("picked_up"))
+
+
+@register("merged_verdicts", "WITH " + O.TRIPS + "\n" + O.cast_verdicts_sql("trips", O.TRIPS_SCHEMA, DEFAULT_ROLES.narrow_targets))
+def q_merged_verdicts(spark, sf_dir):
+    """Cast verdicts of the plan that is merged from the months' own profiles, the last month's added later, stored and read back."""
+    by_month = trips(spark, sf_dir).withColumn(SOURCE, period_file(F.col("lpep_pickup_datetime")))
+    last = by_month.agg(F.max(SOURCE)).first()[0]
+    path = scratch_path(spark, "profiles")
+    update_profiles(by_month.where(F.col(SOURCE) != last), path)
+    update_profiles(by_month.where(F.col(SOURCE) == last), path, sources=[last])
+    write_plan(spark, plan_from_profiles(*read_profiles(spark, path)), f"{path}/plan.json")
+    plan = read_plan(spark, f"{path}/plan.json")
+    return C.cast_verdicts_frame(spark, plan).select(F.lit("trips").alias("tbl"), "*")

@@ -23,6 +23,7 @@ from .operators.conform import apply_plan, footprint_aggregates, footprint_from_
 from .operators.distributions import numeric_stats
 from .operators.features import add_features, feature_manifest
 from .plans.profile import distinct_aggregates, plan_from_profile, profile_aggregates
+from .plans.store import write_plan
 from .report import anomaly_tables, eda_tables, sanity_tables, write_tables
 from .sources import files as FS
 from .sources.sink import read_trips, write_report, write_trips
@@ -47,6 +48,7 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
     # one pass: conformance profile and the string bytes of the footprint
     row = df.agg(*profile_aggregates(df, roles), *distinct_aggregates(df, roles), *footprint_aggregates(df)).collect()[0].asDict()
     plan = plan_from_profile(df, roles, row)
+    write_plan(spark, plan, f"{out}/plan.json")
     conformed = apply_plan(df, plan, roles)
     measured = footprint_from_row(df, row, int(row["__rows"]))
     report = footprint_report(spark, df, conformed, measured).collect()[0].asDict()

@@ -80,8 +80,8 @@ def _message(e: Exception) -> str:
     return text.splitlines()[0][:300] if text else type(e).__name__
 
 
-def with_footers(files: DataFrame) -> DataFrame:
-    """``files`` (with ``path``) and for each the fields of its footer; spread over the cluster."""
+def with_footers(files: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``files`` (with ``path``) and for each the fields of its footer; spread over the cluster, or over so many tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,4 +90,5 @@ def with_footers(files: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "status", "error", "n_rows", "columns"])
 
     schema = T.StructType([*files.schema.fields, *T.StructType.fromDDL(FIELDS).fields])
-    return files.repartition(files.sparkSession.sparkContext.defaultParallelism * 4).mapInArrow(run, schema)
+    tasks = tasks or files.sparkSession.sparkContext.defaultParallelism * 4
+    return files.repartition(tasks).mapInArrow(run, schema)

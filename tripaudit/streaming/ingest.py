@@ -93,11 +93,13 @@ def _write(raw: DataFrame, plan: ConformPlan, roles: TripRoles, sink: str) -> No
     out.hint("rebalance", FILE_KEY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FILE_KEY).parquet(sink)
 
 
-def _looked_at(spark: SparkSession, files: list[Row]) -> list[Row]:
-    """The footers of a batch's files; through Spark's own reader where tasks can't open the store."""
+def _looked_at(spark: SparkSession, layout: MonthlyLayout, files: list[Row]) -> list[Row]:
+    """A batch's files with names, keys and footers; through Spark's own reader where tasks can't open the store."""
     listed = spark.createDataFrame([(f["path"], f["length"], f["modified"]) for f in files], "path string, length bigint, modified timestamp")
+    plain = plain_path(F.col("path"))
+    named = listed.select("*", source_name(spark, layout, plain).alias("source_file"), plain.alias("plain"), file_key(plain).alias("key"))
     out = []
-    for r in with_footers(listed).collect():  # as many rows as a batch has files
+    for r in with_footers(named, min(len(files), spark.sparkContext.defaultParallelism)).collect():  # as many rows as a batch has files
         if r["status"] == UNKNOWN_STORE:
             c = validate_file(spark, r["path"])
             status = {"ok": OK, "no_columns": EMPTY, "unreadable": BROKEN}.get(c.status, c.status)
@@ -117,11 +119,9 @@ def ingest_files(
     """
     if not files:
         return
-    key = plain_path(F.col("path"))
-    feet = _looked_at(spark, files)
-    paths = spark.createDataFrame([(r["path"],) for r in feet], "path string").select("path", source_name(spark, layout, key).alias("source_file"), key.alias("plain"), file_key(key).alias("key"))
-    named = {r["path"]: r for r in paths.collect()}
-    before = {r["path"]: r for r in L.current(L.read_ledger(spark, ledger).where("batch <> " + repr(batch))).join(paths.select(F.col("plain").alias("path")), "path", "left_semi").collect()}
+    feet = _looked_at(spark, layout, files)
+    named = {r["path"]: r for r in feet}
+    before = L.last_entries(spark, ledger, [r["plain"] for r in feet], batch)
     good = [r for r in feet if r["status"] in (OK, EMPTY)]
     errors = {r["path"]: (r["status"], r["error"]) for r in feet if r["status"] not in (OK, EMPTY)}
 
@@ -146,7 +146,8 @@ def ingest_files(
     taken = [named[r["path"]]["key"] for r in good if r["path"] not in errors]
     if summaries and taken:
         if len(emptied) < len(taken):
-            rows = spark.read.parquet(sink).where(F.col(FILE_KEY).isin(taken))  # prunes to these files' folders
+            folders = [f"{sink.rstrip('/')}/{FILE_KEY}={k}" for k in taken if k not in emptied]
+            rows = spark.read.option("basePath", sink).parquet(*folders)
             write_by_source(summary_states(rows, FILE_KEY), summaries, taken, FILE_KEY)
         else:
             drop_partitions(spark, summaries, FILE_KEY, emptied)

@@ -37,6 +37,12 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return spark.read.schema(f"{ENTRY}, batch string").parquet(ledger)
 
 
+def last_entries(spark: SparkSession, ledger: str, paths: list[str], batch: str) -> dict:
+    """path -> the latest entry of each of a batch's paths from other batches; the driver gets these paths' entries."""
+    own = read_ledger(spark, ledger).where(F.col("path").isin(paths) & (F.col("batch") != batch))
+    return {r["path"]: r for r in sorted(own.collect(), key=lambda r: (r["at"], r["attempt"]))}
+
+
 def current(entries: DataFrame) -> DataFrame:
     """The latest entry of each path."""
     last = entries.groupBy("path").agg(F.max(F.struct("at", "attempt", *[c for c in entries.columns if c not in ("path", "at", "attempt")])).alias("e"))
