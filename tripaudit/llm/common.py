@@ -18,7 +18,19 @@ BROADCAST_ROWS = 200_000
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
 
+#: Arrow batches carry whole texts, so they are bounded by bytes (a longer row is a batch of its own).
+BATCH_LIMIT, MOST_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of bytes per Arrow batch to ``MOST_BATCH``; a lower one stays."""
+    limit = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_LIMIT))
+    if not 0 < limit <= MOST_BATCH:
+        spark.conf.set(BATCH_LIMIT, str(MOST_BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
