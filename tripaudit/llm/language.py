@@ -1,8 +1,11 @@
 """Language by compression (operator 7).
 
-Each language has a raw-content zstandard dictionary of its texts. A text is
-lower-cased and cut into blocks, each is compressed with every dictionary, and the language
-with the smallest total wins; a narrow margin is marked as rejected.
+Each language has a raw-content zstandard dictionary of its texts, as long as
+they fill it. A text is lower-cased and cut into blocks, each is compressed
+with every dictionary, and the language with the smallest total wins; a narrow
+margin is marked as rejected. A long dictionary helps any text a little, so
+each total is calibrated by what its dictionary saves on the other languages'
+training texts.
 """
 
 from __future__ import annotations
@@ -10,19 +13,20 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out
 
-#: The bounded sample: documents for each language (in expectation, dealt by hash), bytes taken from each, bytes of a dictionary.
+#: The bounded sample: distinct texts for each language, bytes taken from each (at a place that its hash picks), bytes of a dictionary.
 TRAIN_DOCS, TRAIN_BYTES, DICT_BYTES = 200, 2048, 112 * 1024
-#: Bytes of a block; compression level; languages at most; margin (share of the smallest size) under which a prediction is marked as rejected.
-BLOCK, LEVEL, MOST_LANGUAGES, LEAST_MARGIN = 4096, 6, 256, 0.005
+#: Bytes of a block; compression level; margin (share of the smallest size) under which a prediction is marked as rejected; pieces of each language that calibrate the others.
+BLOCK, LEVEL, LEAST_MARGIN, CALIBRATE = 4096, 6, 0.005, 20
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -37,36 +41,55 @@ def compressors(dictionaries: tuple[bytes, ...]) -> list[zstandard.ZstdCompresso
     return out
 
 
-def classify(text: str | None, languages: tuple[str, ...], dictionaries: tuple[bytes, ...]) -> tuple[str, float, float, bool]:
+def rates(raw: bytes, dictionaries: tuple[bytes, ...]) -> np.ndarray:
+    """Bytes that each dictionary leaves for each byte of a text."""
+    blocks = [raw[k : k + BLOCK] for k in range(0, len(raw), BLOCK)]
+    return np.array([sum(len(c.compress(b)) for b in blocks) for c in compressors(dictionaries)], np.float64) / len(raw)
+
+
+class Model(NamedTuple):
+    languages: tuple[str, ...]
+    dictionaries: tuple[bytes, ...]
+    foreign: tuple[float, ...]  # what each dictionary leaves of the other languages' texts
+
+
+def classify(text: str | None, model: Model) -> tuple[str, float, float, bool]:
     """Language, score, margin, rejected. Ties go to the first language by code point."""
+    languages = model.languages
     if text is None or not languages or not _LETTER.search(text):
         return UNKNOWN, 0.0, 0.0, True
-    raw = text.lower().encode()
-    blocks = [raw[k : k + BLOCK] for k in range(0, len(raw), BLOCK)]
-    sizes = np.array([sum(len(c.compress(b)) for b in blocks) for c in compressors(dictionaries)], np.float64)
-    best = int(sizes.argmin())
-    saved = (sizes - sizes[best]) / len(raw)  # bytes saved for each byte of text
-    score = float(1 / np.exp(-200 * saved).sum())
-    margin = float(np.partition(sizes, 1)[1] / sizes[best] - 1) if len(sizes) > 1 else 1.0
+    found = rates(text.lower().encode(), model.dictionaries) - np.array(model.foreign) + max(model.foreign)
+    best = int(found.argmin())
+    score = float(1 / np.exp(-200 * (found - found[best])).sum())
+    margin = float((np.partition(found, 1)[1] - found[best]) / max(found[best], 1e-9)) if len(found) > 1 else 1.0
     return languages[best], score, margin, margin < LEAST_MARGIN
 
 
-def train(docs: DataFrame) -> tuple[tuple[str, ...], tuple[bytes, ...]]:
-    """Dictionaries from a bounded sample of the rows with a language that are not held out."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if not counts:
-        return (), ()
-    share = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, TRAIN_DOCS / n)))]), F.col("lang"))
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    body = F.substring(F.lower("text").cast("binary"), 1, TRAIN_BYTES)
-    rows = usable.where(place < share).select("lang", place.alias("place"), body.alias("body")).distinct().collect()  # about TRAIN_DOCS x TRAIN_BYTES for each language
+def train(docs: DataFrame) -> Model:
+    """Dictionaries from a bounded sample of the rows with a language that are not held out.
+
+    For each language the ``TRAIN_DOCS`` distinct texts with the least hashes,
+    however many copies there are, so a rare language is learned from all its
+    texts. The driver gets that many pieces of ``TRAIN_BYTES`` a language, and
+    the tasks a dictionary of ``DICT_BYTES`` at most for each.
+    """
+    h = F.xxhash64("text")
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text", h.alias("h"))
+    distinct = usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))  # a row for each language
+    share = F.lit(3.0 * TRAIN_DOCS) / F.col("n")  # enough by far, whatever the estimate's error
+    near = usable.join(F.broadcast(distinct), "lang").where(F.pmod("h", F.lit(1_000_003)) / F.lit(1_000_003.0) < share)
+    body = F.lower("text").cast("binary")
+    place = F.pmod(F.xxhash64(F.lit(1), "h"), F.greatest(F.length(body) - TRAIN_BYTES + 1, F.lit(1)).cast("long")).cast("int")
+    pieces = near.select("lang", "h", F.substring(body, place + 1, F.lit(TRAIN_BYTES)).alias("body")).groupBy("lang", "h").agg(F.min("body").alias("body"))
+    order = Window.partitionBy("lang").orderBy("h")
+    rows = pieces.withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= TRAIN_DOCS).orderBy("lang", "_at").collect()
     languages = tuple(sorted({r["lang"] for r in rows}))
-    parts = {k: [bytes(r["body"]) for r in sorted((r for r in rows if r["lang"] == k), key=lambda r: (r["place"], bytes(r["body"])))] for k in languages}
-    least = min(DICT_BYTES, min(sum(map(len, p)) for p in parts.values()) if parts else 0)
-    return languages, tuple(b"".join(parts[k])[: max(least, 4096)] for k in languages)
+    parts = {k: [bytes(r["body"]) for r in rows if r["lang"] == k and len(r["body"])] for k in languages}
+    languages = tuple(k for k in languages if parts[k])
+    dictionaries = tuple(b"".join(parts[k])[:DICT_BYTES] for k in languages)
+    probes = [[rates(p, dictionaries) for p in parts[k][-CALIBRATE:]] for k in languages]
+    foreign = tuple(float(np.mean([x[i] for j, own in enumerate(probes) if j != i for x in own])) if len(languages) > 1 else 0.0 for i in range(len(languages)))
+    return Model(languages, dictionaries, foreign)
 
 
 def languages_of(docs: DataFrame) -> DataFrame:
@@ -75,11 +98,11 @@ def languages_of(docs: DataFrame) -> DataFrame:
     A null text, one without a letter, or no training rows give ``und`` with
     score 0. Repeated rows are judged alike; other columns are ignored.
     """
-    languages, dictionaries = train(docs.select("doc_id", "text", "lang"))
+    model = train(docs.select("doc_id", "text", "lang"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [classify(t.as_py(), languages, dictionaries) for t in batch.column("text")]
+            found = [classify(t.as_py(), model) for t in batch.column("text")]
             cols = list(zip(*found, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.float64(), pa.float64(), pa.bool_()), strict=True))], ["doc_id", "lang_pred", "score", "margin", "rejected"])
 

@@ -77,12 +77,20 @@ def score(model: dict, x: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
-    """Fits on a bounded sample of the labelled rows that are not held out; ids only join texts to labels."""
-    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality"))
+    """Fits on a bounded sample of the labelled documents that are not held out; ids only join texts to labels.
+
+    An id counts once, with the label that most of its rows have (a tie is
+    bad) and the text with the least hash, so the driver gets ``most`` rows
+    in expectation however often an id is repeated.
+    """
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = usable.groupBy(F.col("doc_id").alias("_id")).agg((F.avg("quality") > 0.5).cast("int").alias("_quality"))
     n = usable.count()
     share = min(1.0, most / max(n, 1))
-    sample = usable.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < F.lit(share * 1_000_003)).dropDuplicates(["_id"])
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # about ``most`` rows at any size
+    sample = usable.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < F.lit(share * 1_000_003))
+    text = F.coalesce("text", F.lit(""))
+    found = docs.select("doc_id", text.alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))  # about ``most`` ids at any size
+    rows = found.groupBy("doc_id", "_quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")).select("doc_id", "_quality", "one.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,7 +116,12 @@ def with_scores(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted for every document."""
+    """doc_id, held_out, score, predicted for every document.
+
+    Repeated rows and equal texts score alike, a null text as an empty one;
+    without labels of both kinds every score is the same; other columns are
+    ignored; an empty table gives no rows.
+    """
     rows = docs.select("doc_id", "text")
     model = train(rows, labels)
     return with_scores(rows, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
