@@ -15,7 +15,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripaudit.llm import conversations, personal, phrases, repeats
+from tripaudit.llm import conversations, language, personal, phrases, quality_model, repeats
 
 DOCS = "doc_id long, text string, lang string, source string, id long, value string, hits int, n long, phrase string"
 OTHER = ("s", 7, "v", 3, 9, "p")
@@ -324,3 +324,38 @@ def test_pieces_with_equal_hashes_are_compared():
     place, size = np.array([0, 4, 8, 12]), np.array([4, 4, 4, 2])
     same = repeats.equal_pieces(np.array([1, 1, 1, 2], np.uint64), body, place, size)
     assert same[0] == same[2] != same[1] and len(set(same.tolist())) == 3
+
+
+# --- bounded training samples ----------------------------------------------------------------------------------------
+
+
+def test_rare_and_copied_languages_are_learned(spark):
+    rng = random.Random(2)
+    make = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(rng.randint(2, 4))) for _ in range(n))
+    parts = {"en": ["the", "ing", "tion", "er"], "de": ["sch", "ung", "keit", "ein"], "rr": ["zab", "okw", "ylu"]}
+    data = [(k, make(parts[lang := ["de", "en"][k % 2]], 60), lang) for k in range(800)]
+    data += [(5000 + k, make(parts["rr"], 12), "rr") for k in range(6)]
+    data += [(9000 + k, "lorem ipsum dolor sit amet consectetur", "cc") for k in range(3000)]
+    data += [(20_000 + k, make(parts[lang := ["rr", "en"][k % 2]], 30), None) for k in range(60)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(4)
+    model = language.train(docs)
+    assert model.languages == ("cc", "de", "en", "rr") and len(model.dictionaries[1]) > 40_000 and len(model.dictionaries[3]) < 3000
+    got = {r.doc_id: r.lang_pred for r in language.languages_of(docs).collect()}
+    assert all(got[i] == (lang or ["rr", "en"][i % 2]) for i, _, lang in data)
+    one = language.languages_of(docs.where("lang = 'de'"))
+    assert {r.lang_pred for r in one.collect()} == {"de"}
+
+
+def test_a_repeated_id_counts_once_in_training(spark, monkeypatch):
+    rng = random.Random(3)
+    good = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(80)) + "."
+    bad = lambda: " ".join(rng.choice(["BUY!!", "$$$", "NOW", "offer", "###"]) for _ in range(rng.randint(20, 90)))
+    data = [(k, good() if k % 2 else bad()) for k in range(200)] + [(1, bad())] * 3000
+    labels = [(k, k % 2) for k in range(200)] + [(1, 1), (1, 1), (1, 0), (3, None), (None, 1), (5, 7)]
+    docs, marks = spark.createDataFrame(data, "doc_id long, text string").repartition(4), spark.createDataFrame(labels, "doc_id long, quality int")
+    seen = []
+    real = quality_model.fit
+    monkeypatch.setattr(quality_model, "fit", lambda x, y: seen.append(len(x)) or real(x, y))
+    got = quality_model.quality_scores(docs, marks).dropDuplicates(["doc_id"]).collect()
+    assert seen[0] <= 200
+    assert sum(r.predicted == r.doc_id % 2 for r in got if r.doc_id != 1) >= 195
