@@ -35,12 +35,13 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 def _block(raw: bytes, ends: np.ndarray, width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text of one block; ends: where each text ends in it."""
     a = np.frombuffer(raw, np.uint8)
-    up, down = _powers(max(1, int(len(a)).bit_length()))
     word = ~_SPACE[a]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * up[: len(a)])])
-    words = mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    # each byte is mixed with its place in the word before they are summed: sums of powers modulo 2**64 have words that meet by construction
+    place = np.arange(len(a)) - np.repeat(np.concatenate([[0], start]), np.diff(np.concatenate([[0], start, [len(a)]])))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed((place.astype(np.uint64) << np.uint64(8)) + a + np.uint64(1)))])
+    words = mixed(total[end] - total[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     first = np.searchsorted(start, np.concatenate([[0], ends[:-1]]))
     last = np.searchsorted(start, ends)
     grams = np.zeros(max(0, len(words) - width + 1), np.uint64)
