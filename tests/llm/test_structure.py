@@ -15,7 +15,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripaudit.llm import conversations, language, personal, phrases, quality_model, repeats
+from tripaudit.llm import conversations, jaccard, language, personal, phrases, quality_model, repeats, shingles
 
 DOCS = "doc_id long, text string, lang string, source string, id long, value string, hits int, n long, phrase string"
 OTHER = ("s", 7, "v", 3, 9, "p")
@@ -359,3 +359,12 @@ def test_a_repeated_id_counts_once_in_training(spark, monkeypatch):
     got = quality_model.quality_scores(docs, marks).dropDuplicates(["doc_id"]).collect()
     assert seen[0] <= 200
     assert sum(r.predicted == r.doc_id % 2 for r in got if r.doc_id != 1) >= 195
+
+
+def test_long_words_that_sums_of_powers_confuse_stay_apart(spark):
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    two = "".join("ba"[bin(k).count("1") % 2] for k in range(1024))
+    a, b, c = shingles.shingle_sets([one, two, one.upper()], 4)
+    assert a[0] != b[0] and a[0] == c[0]
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.jaccard_classes(docs, 4, 85).collect()} == {1: 1, 2: 2, 3: 1}
