@@ -29,7 +29,15 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # near misses of any kind
-    "": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+|\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+",
+    "": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+|\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+",
+}
+#: The plain forms.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*|\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}",
 }
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Characters on either side in which the words of a context are sought.
@@ -173,3 +181,76 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     base = F.coalesce(_listed(F.col("own")), F.lit(""))
     added = F.coalesce(F.size("every") - F.size("own"), F.lit(0)).cast("long")
     return out.select("doc_id", *zero, F.sha2(base.cast("binary"), 256).alias("base_sha256"), F.coalesce(_listed(F.col("every")), F.lit("")).alias("spans"), added.alias("n_added"))
+
+
+def _rounds() -> str:
+    """DuckDB: the scores round by round; once they stay, they stay."""
+    out = ["scores0 AS (SELECT CAST('' AS VARCHAR) AS value, CAST('' AS VARCHAR) AS kind, CAST(0 AS BIGINT) AS score WHERE false)"]
+    for n in range(1, ROUNDS + 1):
+        out.append(
+            f"own{n} AS (SELECT pattern, o.kind, sum(score) AS own, count(*) FILTER (score >= {ACCEPTED}) AS accepted FROM open_edges o JOIN scores{n - 1} s ON s.value = o.value AND s.kind = o.kind GROUP BY ALL),\n"
+            f"firm{n} AS (SELECT s.pattern, s.kind, CAST(floor((seeds * {UNIT} + coalesce(own, 0)) / (n + 1)) AS BIGINT) AS confidence FROM stats s LEFT JOIN own{n} o ON o.pattern = s.pattern AND o.kind = s.kind "
+            f"WHERE seeds + coalesce(accepted, 0) >= {SUPPORT} AND floor((seeds * {UNIT} + coalesce(own, 0)) / (n + 1)) >= {CONFIDENT}),\n"
+            f"scores{n} AS MATERIALIZED (SELECT value, o.kind, {UNIT} - CAST(ceil(exp(-sum(CAST(round(-ln(1 - least(confidence, {UNIT - 1}) / {UNIT}) * {UNIT}) AS BIGINT)) / {UNIT}) * {UNIT}) AS BIGINT) AS score "
+            f"FROM open_edges o JOIN firm{n} f ON f.pattern = o.pattern AND f.kind = o.kind GROUP BY ALL)"
+        )
+    return ",\n".join(out)
+
+
+def _q(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+_MATCHES = " UNION ALL ".join(
+    f"SELECT rid, '{kind}' AS kind, unnest(range(1, len(v) + 1)) AS i, v, p FROM (SELECT rid, regexp_extract_all(text, '{p}') AS v, string_split_regex(text, '{p}') AS p FROM d)" for kind, p in PLAIN.items()
+)
+_KIND_LIST = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+_DIGIT_SUM = "list_sum(list_transform(range(1, length(digits) + 1), lambda i: CASE WHEN (length(digits) - i) % 2 = 1 THEN (2 * CAST(digits[i] AS INTEGER)) // 10 + (2 * CAST(digits[i] AS INTEGER)) % 10 ELSE CAST(digits[i] AS INTEGER) END))"
+_LISTED = f"string_agg({_KIND_LIST}[k] || ':' || s || ':' || e, ',' ORDER BY s, k, e)"
+
+#: DuckDB: the same with the plain patterns, all rounds written out.
+SQL = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS (SELECT rid, kind, i, v[i] AS value, p[i] AS lft, p[i + 1] AS rgt FROM ({_MATCHES})),
+placed AS (
+  SELECT rid, kind, value, right(lft, {REACH}) AS before, left(rgt, {REACH}) AS after, regexp_replace(value, '[^0-9]', '', 'g') AS digits,
+    CAST(sum(length(lft) + length(value)) OVER (PARTITION BY rid, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS e
+  FROM m
+), checked AS (
+  SELECT *, e - length(value) AS s, CASE kind WHEN 'email' THEN true WHEN 'ip' THEN regexp_full_match(value, '{_OCTET}(?:\.{_OCTET}){{3}}')
+    WHEN 'card' THEN CASE WHEN length(digits) BETWEEN 12 AND 19 THEN {_DIGIT_SUM} % 10 = 0 ELSE false END WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15 ELSE false END AS base
+  FROM placed
+), spans AS (
+  SELECT rid, s, e, CASE WHEN base THEN kind ELSE '' END AS kind, base, min(value) AS value, min(before) AS before, min(after) AS after, min(digits) AS digits FROM checked GROUP BY ALL
+), around AS (
+  SELECT *, max(CASE WHEN base THEN e END) OVER (PARTITION BY rid ORDER BY s, e, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached,
+    min(CASE WHEN base THEN s END) OVER (PARTITION BY rid ORDER BY s, e, kind ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ahead,
+    contains(value, '@') AS mail, regexp_full_match(value, '[0-9]+(?:\.[0-9]+){{3}}') AS dotted
+  FROM spans
+), likely AS (
+  SELECT rid, s, e, kind, base, CASE WHEN mail THEN lower(value) WHEN dotted THEN value ELSE digits END AS value, lower(before) AS before, lower(after) AS after,
+    CASE WHEN base THEN [kind] ELSE list_filter([CASE WHEN mail THEN 'email' END, CASE WHEN dotted THEN 'ip' END,
+      CASE WHEN NOT mail AND NOT dotted AND regexp_full_match(value, '[0-9](?:[ .-]?[0-9])*') AND length(digits) BETWEEN 12 AND 19 THEN 'card' END,
+      CASE WHEN NOT mail AND NOT dotted AND length(digits) BETWEEN 7 AND 15 THEN 'phone' END], lambda x: x IS NOT NULL) END AS likes
+  FROM around WHERE base OR (coalesce(reached <= s, true) AND coalesce(ahead >= e, true))
+), worded AS (
+  SELECT *, regexp_extract(before, '{_q(_TWO_BEFORE)}', 1) AS w2, regexp_extract(before, '{_q(_TWO_BEFORE)}', 2) AS w1, regexp_extract(after, '{_q(_AFTER)}', 1) AS w3 FROM likely WHERE len(likes) > 0
+), places AS MATERIALIZED (
+  SELECT rid, s, e, kind, base, value, likes, list_filter([CASE WHEN w2 <> '' THEN w2 || ' ' || w1 || ' _' END, CASE WHEN w1 <> '' AND w3 <> '' THEN w1 || ' _ ' || w3 END], lambda x: x IS NOT NULL) AS contexts FROM worded
+), edges AS MATERIALIZED (SELECT DISTINCT pattern, value, unnest(likes) AS kind, base FROM (SELECT unnest(contexts) AS pattern, value, likes, base FROM places)),
+whole AS (SELECT pattern, count(DISTINCT value) AS n FROM edges GROUP BY pattern),
+open_edges AS MATERIALIZED (SELECT pattern, value, kind FROM edges WHERE NOT base AND value NOT IN (SELECT value FROM edges WHERE base)),
+seeded AS (SELECT pattern, kind, count(*) AS seeds FROM edges WHERE base GROUP BY ALL),
+stats AS MATERIALIZED (
+  SELECT o.pattern, o.kind, coalesce(seeds, 0) AS seeds, n FROM (SELECT DISTINCT pattern, kind FROM open_edges) o JOIN whole w ON w.pattern = o.pattern LEFT JOIN seeded s ON s.pattern = o.pattern AND s.kind = o.kind
+), {_rounds()},
+best AS (SELECT value, kind AS found FROM scores{ROUNDS} WHERE score >= {ACCEPTED} QUALIFY row_number() OVER (PARTITION BY value ORDER BY score DESC, list_position({_KIND_LIST}, kind)) = 1),
+every AS (
+  SELECT rid, s, e, list_position({_KIND_LIST}, kind) AS k, true AS base FROM places WHERE base
+  UNION ALL SELECT rid, s, e, list_position({_KIND_LIST}, found), false FROM places p JOIN best b ON b.value = p.value WHERE NOT base
+), by_doc AS (
+  SELECT rid, {", ".join(f"count(*) FILTER (base AND k = {i + 1}) AS n_{k}" for i, k in enumerate(KINDS))}, {_LISTED} FILTER (base) AS own, {_LISTED} AS spans, count(*) FILTER (NOT base) AS n_added FROM every GROUP BY rid
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_added, 0) AS n_added
+FROM d LEFT JOIN by_doc USING (rid)
+"""

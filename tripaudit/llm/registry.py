@@ -21,7 +21,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_mixing": (lambda spark, d: mixing.mix_plan(table(spark, d, "documents")).drop("source", "_order"), mixing.SQL),
     "op9_token_files": (lambda spark, d: token_files.token_files(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2), None),
     "op10_bpe": (lambda spark, d: bpe.bpe_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")), None),
-    "op11_personal": (lambda spark, d: personal.personal_spans(table(spark, d, "documents")), None),
+    "op11_personal": (lambda spark, d: personal.personal_spans(table(spark, d, "documents")), personal.SQL),
     "op12_conversations": (lambda spark, d: conversations.damage_and_repair(table(spark, d, "conversations")), conversations.SQL),
     "op13_collocations": (lambda spark, d: phrases.collocations(table(spark, d, "documents")), phrases.SQL),
 }
