@@ -9,7 +9,9 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -95,6 +97,10 @@ def test_contexts_of_seeds_find_near_misses(spark):
     last = max(rows)
     a = broken[-1].index("admin")
     assert rows[last]["spans"] == f"email:{a}:{a + len('admin@localhost')}"
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(rows)), "text": texts + clean + broken}))
+    by_sql = con.sql(personal.SQL).df().set_index("doc_id")
+    assert all(by_sql.loc[i, c] == r[c] for i, r in rows.items() for c in by_sql.columns)
 
 
 def test_personal_data_runs_on_built_in_functions_alone(spark):
