@@ -13,7 +13,6 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -21,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import remembered
+
 #: The pattern that splits text before the merges (fixed by the vocabulary's pre-tokeniser).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: The same over characters for which the standard library's classes are known to agree, which is faster; the rest goes by PATTERN.
@@ -165,7 +166,7 @@ class Memory(dict):
         return new
 
 
-@lru_cache(maxsize=2)
+@remembered
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 

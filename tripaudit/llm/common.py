@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_MODELS: list[Callable[[], None]] = []
+
+
+def remembered(load):
+    """Keeps what ``load`` returned for its last two arguments in a Python worker, until ``free_models``."""
+    kept = lru_cache(maxsize=2)(load)
+    _MODELS.append(kept.cache_clear)
+    return kept
+
+
+def free_models() -> None:
+    """Workers go from stage to stage: an operator that needs the memory lets go of what others kept there."""
+    for clear in _MODELS:
+        clear()
+    pa.default_memory_pool().release_unused()
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True where crc32 of doc_id as text is divisible by ``folds``; a null id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import staged
+from .common import free_models, staged
 from .components import components
 from .shingles import mixed, shingle_sets
 from .token_files import opened
@@ -92,6 +92,7 @@ def _send(buckets: int, width: int):
             yield _rows(rows[k : k + 64])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_models()
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 24
@@ -173,6 +174,7 @@ def _frequent(root: str):
         spool.close()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_models()
         none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         bucket, spool, known, pending, waiting = None, _Spool(root), none, [], 0
         for batch in batches:
@@ -224,6 +226,7 @@ def _order(percent: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_models()
         number, head, parts = None, None, []
         for batch in batches:
             for bucket, at, hashes, docs, extra in zip(*(batch.column(c).to_pylist() for c in _SENT_NAMES), strict=True):

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -21,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, remembered
 
 #: The bounded sample: distinct texts for each language, bytes taken from each (at a place that its hash picks), bytes of a dictionary.
 TRAIN_DOCS, TRAIN_BYTES, DICT_BYTES = 200, 2048, 112 * 1024
@@ -31,7 +30,7 @@ UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-@lru_cache(maxsize=2)
+@remembered
 def compressors(dictionaries: tuple[bytes, ...]) -> list[zstandard.ZstdCompressor]:
     out = []
     for raw in dictionaries:

@@ -15,7 +15,6 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe import LETTERS, OTHER
-from .common import small, staged
+from .common import remembered, small, staged
 
 #: The vocabulary's own pieces of a lower-cased text whose characters are plain.
 PIECE = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[0-9]|[^\s0-9{LETTERS}]+")
@@ -130,7 +129,7 @@ class Words(dict):
                     self[word] = self.one(word)
 
 
-@lru_cache(maxsize=2)
+@remembered
 def tokenizer_words(path: str) -> Words:
     import os
 
