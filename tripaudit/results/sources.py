@@ -227,8 +227,8 @@ def q_read_drifting_periods(spark, sf_dir):
     return back.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "passenger_count", "payment_type", "cbd_congestion_fee", "source_file")
 
 
-def _single_file(df, path: str) -> None:
-    """One Parquet file of exactly this path, over what was there."""
+def _replace_files(df, folder: str, files: int) -> None:
+    """So many Parquet files of fixed names in a folder, over what was there; rows are dealt over tasks."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
     written = scratch_path(spark, "single")
@@ -253,8 +253,10 @@ def q_ingest_ledger(spark, sf_dir):
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     late, replaced = (f"{root}/file={R.file_name(1996, m)}" for m in (1, 2))
     in_february = "year(lpep_pickup_datetime) = 1996 AND month(lpep_pickup_datetime) = 2"
-    export_monthly(df.where(f"NOT ({in_february})"), root, PICKUP, R)
-    _single_file(df.where(in_february).where(_HALF), f"{replaced}/all.parquet")
+    export_monthly(trip_sources(spark, sf_dir).where(f"NOT ({in_february})"), root, PICKUP, R, trips_from_lineitem)
+    half = df.where(in_february).where(_HALF)
+    files = max(1, half.count() // _REPLACED_ROWS)
+    _replace_files(half, replaced, files)
     broken = fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/file={R.unknown_file_name()}/part.parquet"))
     broken.writeBytes("this is no table")
     broken.close()
@@ -264,7 +266,7 @@ def q_ingest_ledger(spark, sf_dir):
     fs.rename(jvm.org.apache.hadoop.fs.Path(late), away)
     ingest_files(spark, layout, listed, df.schema, plan, sink, ledger, "first", R)
     fs.rename(away, jvm.org.apache.hadoop.fs.Path(late))
-    _single_file(df.where(in_february), f"{replaced}/all.parquet")
+    _replace_files(df.where(in_february), replaced, files)
     take_outstanding(spark, layout, df.schema, plan, sink, ledger, R)
     entries = L.current(L.read_ledger(spark, ledger)).groupBy("source_file").agg(
         F.max("state").alias("state"), (F.max("attempt") > 1).alias("again"), F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("ledger_rows")
