@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import os
 
+import pytest
 
+from tripaudit.config import DEFAULT_ROLES
 from tripaudit.results.sources import _replace_files
+from tripaudit.session import METHOD_LIMIT, WRITERS, bound_methods, open_writers
+from tripaudit.sources import sink
+from tripaudit.sources.fixture import sources_of_trips, trips_from_lineitem
 
 PICKUP = "lpep_pickup_datetime"
 
 
+@pytest.fixture
 def test_replaced_files_are_dealt_over_tasks(spark, tmp_path):
     folder = str(tmp_path / "file=x")
     _replace_files(spark.range(0, 300, 1, 4), folder, 3)
@@ -19,3 +25,45 @@ def test_replaced_files_are_dealt_over_tasks(spark, tmp_path):
     assert names == [n for n in first if n.endswith(".parquet") and not n.startswith(".")] and len(names) == 3
     sizes = [spark.read.parquet(f"{folder}/{n}").count() for n in names]
     assert sum(sizes) == 3000 and max(sizes) < 1500
+
+
+def test_export_moves_what_trips_are_made_of(spark, lineitem, tmp_path):
+    """The same monthly files, from a shuffle of a quarter of the columns."""
+    moved = []
+
+    def build(rows):
+        moved.extend(rows.columns)
+        return trips_from_lineitem(rows)
+
+    a = sink.export_monthly(trips_from_lineitem(lineitem), str(tmp_path / "a"), PICKUP)
+    b = sink.export_monthly(sources_of_trips(lineitem), str(tmp_path / "b"), PICKUP, DEFAULT_ROLES, build)
+    x, y = (spark.read.parquet(layout.root) for layout in (a, b))
+    assert x.columns == y.columns and x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
+    assert 4 * len(moved) <= 5 * len(sources_of_trips(lineitem).columns) and len(moved) < len(x.columns) / 2
+
+
+def test_open_writers_restores_the_setting(spark):
+    before = spark.conf.get(WRITERS)
+    with pytest.raises(ValueError), open_writers(spark):
+        assert int(spark.conf.get(WRITERS)) >= 32
+        raise ValueError
+    assert spark.conf.get(WRITERS) == before
+
+
+def test_methods_stay_within_what_the_jvm_compiles():
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Session:
+        def __init__(self, options, limit):
+            self.conf, self.sparkContext, self.master = Conf({METHOD_LIMIT: limit}), self, "spark://x"
+            self.options = options
+
+        def getConf(self):
+            return {"spark.executor.extraJavaOptions": self.options}
+
+    for options, limit, want in ((None, "65535", "8000"), (None, "4000", "4000"), ("-XX:-DontCompileHugeMethods", "65535", "65535")):
+        session = Session(options, limit)
+        bound_methods(session)
+        assert session.conf[METHOD_LIMIT] == want

@@ -20,7 +20,7 @@ from .operators.distributions import numeric_stat_exprs, numeric_stats, stats_fr
 from .operators.features import add_features
 from .plans.profile import ConformPlan, build_plan, distinct_aggregates, plan_from_profile, profile_aggregates
 from .session import ON_RELEASE, scratch_path, session_key
-from .sources.fixture import read_table, trips_from_lineitem
+from .sources.fixture import read_table, sources_of_trips, trips_from_lineitem
 
 _LOCK = threading.RLock()  # one writer per table even if results are built from several threads
 _PLANS: dict[tuple, ConformPlan] = {}
@@ -95,6 +95,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built
 
 
+def trip_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``trips`` is made from, with the pickup times: rows for ``trips_from_lineitem`` to widen where they are written."""
+    return sources_of_trips(ensure_parallel(read_table(spark, sf_dir, "lineitem")))
+
+
 def plan_for(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT_ROLES) -> ConformPlan:
     key = (session_key(spark), sf_dir.rstrip("/"), roles)
     df = trips(spark, sf_dir)
@@ -140,4 +145,4 @@ def numeric_profile(spark: SparkSession, sf_dir: str, roles: TripRoles = DEFAULT
     return _STATS[("featured", session_key(spark), sf_dir.rstrip("/"), roles)]
 
 
-__all__ = ["trips", "plan_for", "conformed_trips", "featured_trips", "numeric_profile", "ensure_parallel"]
+__all__ = ["trips", "trip_sources", "plan_for", "conformed_trips", "featured_trips", "numeric_profile", "ensure_parallel"]

@@ -13,10 +13,11 @@ import hashlib
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..chain import _LOCK, plan_for, trips
+from ..chain import _LOCK, plan_for, trip_sources, trips
 from ..config import DEFAULT_ROLES as R
 from ..session import ON_RELEASE, scratch_path, session_key
 from ..sources import files as FS
+from ..sources.fixture import trips_from_lineitem
 from ..sources.sample import sample_rows
 from ..operators.batch_summaries import merged_summaries
 from ..operators.conform import REJECTS, apply_plan
@@ -40,7 +41,7 @@ def monthly(spark, sf_dir) -> FS.MonthlyLayout:
         if key not in _EXPORTS:
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:8]
             root = scratch_path(spark, f"monthly-{tag}")
-            _EXPORTS[key] = export_monthly(trips(spark, sf_dir), root, PICKUP, R)
+            _EXPORTS[key] = export_monthly(trip_sources(spark, sf_dir), root, PICKUP, R, trips_from_lineitem)
         return _EXPORTS[key]
 
 
@@ -118,8 +119,11 @@ _UNKNOWN = "l_orderkey % 37 = 0"
     f"count(*) FILTER (WHERE NOT {_UNKNOWN}) AS n_pickups FROM trips GROUP BY 1"))
 def q_unknown_period_counts(spark, sf_dir):
     """Trips of which some have no pickup time: exported, listed and read back whole."""
-    df = trips(spark, sf_dir).withColumn(PICKUP, F.when(~F.expr(_UNKNOWN), F.col(PICKUP)))
-    layout = export_monthly(df, scratch_path(spark, "unknown"), PICKUP, R)
+    def lost(df):
+        return df.withColumn(PICKUP, F.when(~F.expr(_UNKNOWN), F.col(PICKUP)))
+
+    df = lost(trips(spark, sf_dir))
+    layout = export_monthly(lost(trip_sources(spark, sf_dir)), scratch_path(spark, "unknown"), PICKUP, R, lambda li: lost(trips_from_lineitem(li)))
     names = [r["file_name"] for r in FS.periods_in_data(df, PICKUP, R).select("file_name").collect()]
     return FS.read_all(spark, layout, names, R).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.count(PICKUP).alias("n_pickups"))
 
@@ -161,7 +165,7 @@ def _drifting(spark, sf_dir, columns):
     """The monthly export, but for one month: that lacks a column, has passengers as whole numbers and other ``columns``."""
     df = trips(spark, sf_dir)
     root = scratch_path(spark, "drifting")
-    export_monthly(df.where(f"NOT ({_DRIFT})"), root, PICKUP, R)
+    export_monthly(trip_sources(spark, sf_dir).where(f"NOT ({_DRIFT})"), root, PICKUP, R, trips_from_lineitem)
     odd = df.where(_DRIFT).drop("cbd_congestion_fee").withColumns({"passenger_count": F.col("passenger_count").cast("bigint"), **columns})
     odd.write.parquet(f"{root}/file={R.file_name(1996, 3)}")
     return df, FS.MonthlyLayout(root)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import bound_methods
+
 KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 SOURCE_COLUMNS = KEYS + ("l_quantity", "l_shipdate")
 
@@ -20,14 +22,26 @@ def _d(x: float) -> Column:
     return F.lit(float(x)).cast("double")
 
 
+def _hash() -> Column:
+    return F.col("l_orderkey") * 7919 + F.col("l_partkey") * 104729 + F.col("l_suppkey") * 31 + F.col("l_linenumber") * 17
+
+
+def _pickup(h: Column) -> Column:
+    return F.timestamp_add("SECOND", h % 86400, F.col("l_shipdate"))
+
+
+def sources_of_trips(lineitem: DataFrame) -> DataFrame:
+    """The few columns that a trip is made of, with its pickup time: what has to be moved to put trips in another place."""
+    return lineitem.select(*SOURCE_COLUMNS, _pickup(_hash()).alias("lpep_pickup_datetime"))
+
+
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     li = lineitem.select(*SOURCE_COLUMNS)
-    h = F.col("l_orderkey") * 7919 + F.col("l_partkey") * 104729 + F.col("l_suppkey") * 31 + F.col("l_linenumber") * 17
     q = F.col("l_quantity")
-    df = li.withColumn("_h", h)
+    df = li.withColumn("_h", _hash())
     h = F.col("_h")
 
-    pickup = F.timestamp_add("SECOND", h % 86400, F.col("l_shipdate"))
+    pickup = _pickup(h)
     secs = (
         F.when(h % 97 == 0, F.lit(0).cast("bigint"))
         .when(h % 101 == 0, -(h % 600))
@@ -89,6 +103,7 @@ def with_string_times(trips_df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_methods(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -7,16 +7,18 @@ in ``spark.checkpoint.dir`` (see ``tripaudit.session``), never a local path.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_ROLES, TripRoles
+from ..session import open_writers
 from .files import PARTITION_KEY, MonthlyLayout, file_listing, period_file, periods_in_data, read_all
 
 SOURCE = "source_file"
+_MONTH = "_month"
 
 
 def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,17 +32,17 @@ def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEFAULT_ROLES) -> MonthlyLayout:
+def export_monthly(df: DataFrame, root: str, pickup: str, roles: TripRoles = DEFAULT_ROLES, build: Callable[[DataFrame], DataFrame] | None = None) -> MonthlyLayout:
     """Write a trip table as monthly files ``<root>/file=<name>/`` in one job.
 
-    Rows without a pickup time go to the file of the unknown period."""
-    tagged = df.withColumn(PARTITION_KEY, period_file(F.col(pickup), roles))
-    (
-        _spread(tagged, [PARTITION_KEY])
-        .write.mode("overwrite")
-        .partitionBy(PARTITION_KEY)
-        .parquet(root)
-    )
+    Rows without a pickup time go to the file of the unknown period. With
+    ``build``, ``df`` holds what trips are made of, and the trips are made of
+    it row by row after the shuffle, which then moves its few columns only."""
+    moved = _spread(df.withColumn(_MONTH, F.year(pickup) * 12 + F.month(pickup)), [_MONTH])
+    rows = build(moved) if build else moved
+    tagged = rows.drop(_MONTH).withColumn(PARTITION_KEY, period_file(F.col(pickup), roles))
+    with open_writers(df.sparkSession):
+        tagged.write.mode("overwrite").partitionBy(PARTITION_KEY).parquet(root)
     return MonthlyLayout(root, PARTITION_KEY)
 
 
