@@ -42,6 +42,20 @@ def test_export_moves_what_trips_are_made_of(spark, lineitem, tmp_path):
     assert 4 * len(moved) <= 5 * len(sources_of_trips(lineitem).columns) and len(moved) < len(x.columns) / 2
 
 
+def test_rows_read_by_file_are_written_without_a_shuffle(spark, lineitem, tmp_path, monkeypatch):
+    layout = sink.export_monthly(trips_from_lineitem(lineitem), str(tmp_path / "m"), PICKUP)
+    rows = spark.read.parquet(layout.root).withColumnRenamed("file", "source_file")
+    sink.write_trips(rows, str(tmp_path / "shuffled"))
+
+    def no_shuffle(*_):
+        raise AssertionError("shuffled")
+
+    monkeypatch.setattr(sink, "_spread", no_shuffle)
+    sink.write_trips(rows, str(tmp_path / "direct"), by_file=True)
+    x, y = (spark.read.parquet(str(tmp_path / n)) for n in ("shuffled", "direct"))
+    assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
+
+
 def test_open_writers_restores_the_setting(spark):
     before = spark.conf.get(WRITERS)
     with pytest.raises(ValueError), open_writers(spark):

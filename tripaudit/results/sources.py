@@ -143,7 +143,7 @@ def q_written_trips(spark, sf_dir):
     for part in (names[::2], names[1::2], names[::2]):
         if part:
             raw = FS.read_all(spark, layout, part, R)
-            write_trips(add_features(apply_plan(raw, plan_for(spark, sf_dir), R), R), path)
+            write_trips(add_features(apply_plan(raw, plan_for(spark, sf_dir), R), R), path, by_file=True)
     return read_trips(spark, path).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("pickup_month").cast("bigint")).alias("sum_month"))
 
 
@@ -235,14 +235,20 @@ def _replace_files(df, folder: str, files: int) -> None:
     """So many Parquet files of fixed names in a folder, over what was there; rows are dealt over tasks."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
-    written = scratch_path(spark, "single")
-    df.coalesce(1).write.parquet(written)
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    written = scratch_path(spark, "replaced")
+    df.repartition(files).write.parquet(written)
+    target = jvm.org.apache.hadoop.fs.Path(folder)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    part = next(s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(written)) if s.getPath().getName().startswith("part-"))
-    fs.mkdirs(target.getParent())
-    fs.delete(target, False)
-    fs.rename(part, target)
+    fs.mkdirs(target)
+    parts = sorted((s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(written)) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    for i, part in enumerate(parts):
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/all-{i:05d}.parquet")
+        fs.delete(path, False)
+        fs.rename(part, path)
+
+
+#: Rows that a replaced file of the ledger's result has at least, where it is one of several.
+_REPLACED_ROWS = 100_000
 
 
 @register("ingest_ledger", O.with_base(

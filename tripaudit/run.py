@@ -62,7 +62,7 @@ def run(spark: SparkSession, raw: str, out: str, roles: TripRoles = DEFAULT_ROLE
         echo(f"skipped rule {rule} ({outputs}): missing {missing}")
 
     # the reports cover the whole table, earlier runs included, so their statistics come from it
-    write_trips(featured, f"{out}/trips", [c.file_name for c in checks if c.status == "ok"])
+    write_trips(featured, f"{out}/trips", [c.file_name for c in checks if c.status == "ok"], by_file=True)
     trips = read_trips(spark, f"{out}/trips")
     cols = tuple(c for c in roles.eda_numeric if c in trips.columns)
     stats = numeric_stats(trips, cols)

@@ -55,21 +55,26 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
         folder.getFileSystem(conf).delete(folder, True)
 
 
-def write_by_source(df: DataFrame, path: str, sources: Iterable[str] = (), column: str = SOURCE) -> None:
+def write_by_source(df: DataFrame, path: str, sources: Iterable[str] = (), column: str = SOURCE, by_file: bool = False) -> None:
     """Rows partitioned by the file that they came from, which ``column`` names.
 
     A rerun replaces the files that it contains and nothing else (dynamic
     partition overwrite). ``sources`` are the files that the load covers: one
     that has no rows now loses those of earlier loads, after the write.
+    ``by_file``: the rows come as they are read from these files. A split of
+    the scan then holds a file or few, and its task writes them as they are,
+    without a shuffle; a large file comes in several splits.
     """
     seen = Observation()
-    (
-        _spread(df.observe(seen, F.collect_set(column).alias("sources")), [column])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    watched = df.observe(seen, F.collect_set(column).alias("sources"))
+    with open_writers(df.sparkSession):
+        (
+            (watched if by_file else _spread(watched, [column]))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column)
+            .parquet(path)
+        )
     try:
         written = set(seen.get["sources"])
     except Py4JJavaError:  # a plan that Spark finds empty before it runs reports no metrics
@@ -77,13 +82,13 @@ def write_by_source(df: DataFrame, path: str, sources: Iterable[str] = (), colum
     drop_partitions(df.sparkSession, path, column, sorted(set(sources) - written))
 
 
-def write_trips(df: DataFrame, path: str, sources: Iterable[str] = ()) -> None:
+def write_trips(df: DataFrame, path: str, sources: Iterable[str] = (), by_file: bool = False) -> None:
     """Featured trips, partitioned by the file that a row came from (see ``write_by_source``).
 
     Monthly files hold stray pickups of other months; these stay with their
     file, and ``pickup_year`` and ``pickup_month`` are ordinary columns.
     """
-    write_by_source(df, path, sources)
+    write_by_source(df, path, sources, by_file=by_file)
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame | None:
