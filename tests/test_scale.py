@@ -11,6 +11,7 @@ from tripaudit.results.sources import _replace_files
 from tripaudit.session import METHOD_LIMIT, WRITERS, bound_methods, open_writers
 from tripaudit.sources import sink
 from tripaudit.sources.fixture import sources_of_trips, trips_from_lineitem
+from tripaudit.streaming import ingest
 
 PICKUP = "lpep_pickup_datetime"
 
@@ -56,6 +57,24 @@ def test_rows_read_by_file_are_written_without_a_shuffle(spark, lineitem, tmp_pa
     assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
 
 
+def test_ingest_writes_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from tripaudit.plans.profile import build_plan
+
+    src = trips_from_lineitem(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")).limit(200)
+    layout = sink.export_monthly(src, str(tmp_path / "m"), PICKUP)
+    src = spark.read.parquet(layout.root).drop("file")
+    parts = [os.path.join(p, n) for p, _, names in os.walk(layout.root) for n in names if n.endswith(".parquet")]
+    plan = build_plan(src)
+
+    def no_hint(*_):
+        raise AssertionError("shuffled")
+
+    monkeypatch.setattr(type(src), "hint", no_hint)
+    raw = ingest.read_files(spark, layout, [(src.schema, parts)], src.schema)
+    ingest._write(raw, plan, DEFAULT_ROLES, str(tmp_path / "sink"))
+    assert spark.read.parquet(str(tmp_path / "sink")).count() == src.count()
+
+
 def test_open_writers_restores_the_setting(spark):
     before = spark.conf.get(WRITERS)
     with pytest.raises(ValueError), open_writers(spark):

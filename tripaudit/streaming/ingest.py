@@ -33,6 +33,7 @@ from ..operators.batch_summaries import summary_states
 from ..operators.conform import REJECTS, apply_plan, guarded
 from ..operators.features import add_features
 from ..plans.profile import ConformPlan, normalise_nan
+from ..session import open_writers
 from ..sources.files import PARTITION_KEY, MonthlyLayout, part_listing, source_name, validate_file
 from ..sources.footers import BROKEN, EMPTY, OK, UNKNOWN_STORE, plain_path, with_footers
 from ..sources.sink import drop_partitions, write_by_source
@@ -90,7 +91,9 @@ def _write(raw: DataFrame, plan: ConformPlan, roles: TripRoles, sink: str) -> No
     # a value that failed the alignment is NULL to the plan, so no column is in both maps
     both = F.coalesce(F.map_concat(_ALIGNED, REJECTS), F.col(_ALIGNED), F.col(REJECTS))
     out = out.withColumn(REJECTS, both).drop(_ALIGNED)
-    out.hint("rebalance", FILE_KEY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FILE_KEY).parquet(sink)
+    # a split holds rows of one file or few, in their order: its task writes them as they are, without a shuffle or sort
+    with open_writers(raw.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(FILE_KEY).parquet(sink)
 
 
 def _looked_at(spark: SparkSession, layout: MonthlyLayout, files: list[Row]) -> list[Row]:
