@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
+import re
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripaudit.config import DEFAULT_ROLES
+from tripaudit.operators import distributions as D
 from tripaudit.results.sources import _replace_files
 from tripaudit.session import METHOD_LIMIT, WRITERS, bound_methods, open_writers
 from tripaudit.sources import sink
@@ -100,3 +106,25 @@ def test_methods_stay_within_what_the_jvm_compiles():
         session = Session(options, limit)
         bound_methods(session)
         assert session.conf[METHOD_LIMIT] == want
+
+
+def _method_sizes(df: DataFrame) -> list[int]:
+    spark = df.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    out = io.StringIO()
+    try:
+        with contextlib.redirect_stdout(out):
+            df.select("*").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+
+
+def test_density_sums_are_a_method_that_the_jvm_compiles(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(2000).select(*[(F.rand(i) * 100).alias(f"c{i}") for i in range(8)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    cols = [f"c{i}" for i in range(8)]
+    sizes = _method_sizes(D.density_moments(df, D.numeric_stats(df, tuple(cols)), cols))
+    assert sizes and max(sizes) < 8000

@@ -254,12 +254,12 @@ def density_moments(df: DataFrame, stats: dict, columns: list[str], moments: int
     Bins are ``width`` bandwidths wide, from the minimum on. States of parts
     of the data add up; only occupied bins have a row.
     """
-    parts = []
-    for c in columns:
-        h, v = _bandwidth(stats[c]), _num(c)
-        place = (v - F.lit(stats[c]["min"])) / F.lit(h * width)
-        parts.append(F.struct(F.lit(c).alias("column"), F.floor(place).alias("bin"), ((place - F.floor(place) - 0.5) * F.lit(width)).alias("u1")))
-    long = df.select(F.inline(F.array(*parts))).where(F.col("bin").isNotNull())
+    place = F.col("place")
+    # the places are columns before they are unpivoted, so that a column's arithmetic stands once in the generated
+    # code of the sums: with a copy for each use it passed the size up to which the JVM compiles a method
+    wide = df.select(*[((_num(c) - F.lit(stats[c]["min"])) / F.lit(_bandwidth(stats[c]) * width)).alias(c) for c in columns])
+    long = wide.unpivot([], list(columns), "column", "place").where(place.isNotNull())
+    long = long.select("column", F.floor(place).alias("bin"), ((place - F.floor(place) - 0.5) * F.lit(width)).alias("u1"))
     for k in range(2, moments):
         long = long.withColumn(f"u{k}", F.col(f"u{k - 1}") * F.col("u1"))
     return long.groupBy("column", "bin").agg(F.count(F.lit(1)).cast("double").alias("m0"), *[F.sum(f"u{k}").alias(f"m{k}") for k in range(1, moments)])
