@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tripaudit.config import DEFAULT_ROLES
 from tripaudit.operators import distributions as D
+from tripaudit.operators.states import file_states, merged_states
 from tripaudit.results.sources import _replace_files
 from tripaudit.session import METHOD_LIMIT, WRITERS, bound_methods, open_writers
 from tripaudit.sources import sink
@@ -139,3 +140,10 @@ def test_profile_brackets_hold_the_quantiles(spark):
     assert all(a[2 * j] <= q <= a[2 * j + 1] for j, q in enumerate(exact)) and st["y"]["approx"] is None
     plan = df.agg(*D.numeric_stat_exprs(["x"]))._jdf.queryExecution().toString()
     assert "percentile_approx" not in plan
+
+
+def test_distinct_sketches_take_hashes(spark):
+    df = spark.range(6000).select(F.lit("f").alias("source_file"), F.when(F.col("id") % 2 == 0, (F.col("id") % 1000) / 7).alias("x"))
+    states = file_states(df, ("x",))
+    assert "as string" not in states._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert abs(merged_states(states).first()["n_distinct"] / 500 - 1) < 0.05

@@ -27,14 +27,15 @@ def file_states(df: DataFrame, columns: tuple[str, ...], source: str = SOURCE) -
     """(source_file, column, n_rows, n, vmin, vmax, mean, m2, quantiles, distinct) of every present numeric column.
 
     NaN and infinities are missing, as in every summary; ``n_rows`` counts
-    them. Partial aggregation keeps a busy month off single tasks.
+    them. The distinct values are sketched by their 64-bit hashes (texts of
+    doubles cost twice the time). Partial aggregation keeps a busy month off single tasks.
     """
     cols = [c for c in columns if c in df.columns]
     long = df.select(F.col(source).alias(SOURCE), *[_num(c).alias(c) for c in cols]).unpivot([SOURCE], cols, "column", "value")
     v = F.col("value")
     return long.groupBy(SOURCE, "column").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(v).alias("n"), F.min(v).alias("vmin"), F.max(v).alias("vmax"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"),
-        F.kll_sketch_agg_double(v, F.lit(KLL_SIZE)).alias("quantiles"), F.hll_sketch_agg(v.cast("string")).alias("distinct"),
+        F.kll_sketch_agg_double(v, F.lit(KLL_SIZE)).alias("quantiles"), F.hll_sketch_agg(F.when(v.isNotNull(), F.xxhash64(v))).alias("distinct"),
     )
 
 
