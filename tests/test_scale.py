@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tripaudit.config import DEFAULT_ROLES
 from tripaudit.operators import distributions as D
+from tripaudit.operators import formats as FO
 from tripaudit.operators.states import file_states, merged_states
 from tripaudit.results.sources import _replace_files
 from tripaudit.session import METHOD_LIMIT, WRITERS, bound_methods, open_writers
@@ -147,3 +148,20 @@ def test_distinct_sketches_take_hashes(spark):
     states = file_states(df, ("x",))
     assert "as string" not in states._jdf.queryExecution().optimizedPlan().toString().lower()
     assert abs(merged_states(states).first()["n_distinct"] / 500 - 1) < 0.05
+
+
+def test_each_format_parses_once(spark, monkeypatch):
+    df = spark.createDataFrame([("2024-01-02 03:04:05",), ("01/02/2024 03:04:05",), ("no",), (None,)], "t string")
+    seen = []
+    agg = type(df).agg
+
+    def spy(self, *exprs):
+        out = agg(self, *exprs)
+        seen.append(out)
+        return out
+
+    monkeypatch.setattr(type(df), "agg", spy)
+    uses = {u.format: u for u in FO.format_uses(df, ("t",))}
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("gettimestamp(") == len(FO.CANDIDATES)
+    assert uses["MM/dd/yyyy HH:mm:ss"].n_parsed == 1 and uses["dd/MM/yyyy HH:mm:ss"].n_conflicts == 1 and uses[FO.CANDIDATES[0]].n_values == 3

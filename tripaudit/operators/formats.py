@@ -39,13 +39,17 @@ def format_uses(df: DataFrame, columns: tuple[str, ...], candidates: tuple[str,
     Nulls and texts that no format parses count nowhere but in ``n_values``
     (texts). Ties in what two formats parse go to the earlier candidate.
     """
+    # every text is parsed once in each format, and the pairs compare what that gave
+    names = [f"t{i}_{j}" for i, _ in enumerate(columns) for j, _ in enumerate(candidates)]
+    times = [F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(columns)]
+    times.append(F.array(*[_parsed(F.col(f"`{c}`"), f) for c in columns for f in candidates]).alias("times"))
+    read = df.select(*times).select(*[f"x{i}" for i, _ in enumerate(columns)], *[F.col("times")[k].alias(n) for k, n in enumerate(names)])
     aggs = []
-    for i, c in enumerate(columns):
-        x = F.col(f"`{c}`")
-        aggs.append(F.count(x).alias(f"n{i}"))
-        aggs += [F.count(_parsed(x, f)).alias(f"p{i}_{j}") for j, f in enumerate(candidates)]
-        aggs += [F.count_if(_parsed(x, candidates[j]) != _parsed(x, candidates[k])).alias(f"c{i}_{j}_{k}") for j, k in combinations(range(len(candidates)), 2)]
-    row = df.agg(*aggs).first()
+    for i, _ in enumerate(columns):
+        aggs.append(F.count(f"x{i}").alias(f"n{i}"))
+        aggs += [F.count(f"t{i}_{j}").alias(f"p{i}_{j}") for j, _ in enumerate(candidates)]
+        aggs += [F.count_if(F.col(f"t{i}_{j}") != F.col(f"t{i}_{k}")).alias(f"c{i}_{j}_{k}") for j, k in combinations(range(len(candidates)), 2)]
+    row = read.agg(*aggs).first()
     out = []
     for i, c in enumerate(columns):
         order = sorted((j for j in range(len(candidates)) if row[f"p{i}_{j}"]), key=lambda j: (-row[f"p{i}_{j}"], j))
