@@ -26,6 +26,10 @@ PICKUP = "lpep_pickup_datetime"
 
 
 @pytest.fixture
+def lineitem(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+
+
 def test_replaced_files_are_dealt_over_tasks(spark, tmp_path):
     folder = str(tmp_path / "file=x")
     _replace_files(spark.range(0, 300, 1, 4), folder, 3)
