@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
 import sys
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
+from tripaudit.llm import bpe  # noqa: E402
 from tripaudit.llm.bpe import bpe_digests  # noqa: E402
+from tripaudit.llm.quality_model import FEATURES, fit, with_scores  # noqa: E402
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _corpus(spark, path):
@@ -55,3 +64,49 @@ def test_empty_tables(spark, scratch):
     docs.write.parquet(f"{scratch}/in/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/in/labels.parquet")
     assert corpus_pipeline.run(spark, f"{scratch}/in").collect() == []
+
+
+class _Rows:
+    """Takes the place of a DataFrame: mapInArrow gives the function that tasks run."""
+
+    def __init__(self, schema):
+        self.schema = schema
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+_GROWTH = """
+import re, sys
+import pyarrow as pa
+from pyspark.sql import types as T
+from tripaudit.llm.bpe import bpe_encode
+from test_pipeline import VOCABULARY, _Rows
+
+def used():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+word = lambda n: "".join(chr(97 + n // 26**d % 26) for d in range(7))
+run = bpe_encode(_Rows(T.StructType([T.StructField("text", T.StringType())])), VOCABULARY)
+batch = lambda k: pa.RecordBatch.from_pydict({"text": [" ".join(word((k * 5000 + i) * 479001599 % 26**7) for i in range(5000))]})
+list(run(iter([batch(0)])))
+before = used()
+ids = sum(len(b.column("ids")[0]) for b in run(map(batch, range(1, 100))))
+print(ids, used() - before)
+"""
+
+
+def test_memory_of_a_worker_that_encodes():
+    """500,000 words that all differ: answers that are kept take 60 MB at most."""
+    here = Path(__file__).resolve().parent
+    said = subprocess.run([sys.executable, "-c", _GROWTH], env=os.environ | {"PYTHONPATH": f"{here}:{here.parents[1]}"}, capture_output=True, text=True, timeout=300, check=True).stdout.split()
+    assert int(said[0]) > 99 * 5000 and float(said[1]) < 60, said
+
+
+def test_first_stage_lets_go_of_the_models_of_the_last():
+    schema = T.StructType([T.StructField("text", T.StringType())])
+    kept, batch = bpe.vocabulary, pa.RecordBatch.from_pydict({"text": ["some words here"]})
+    list(bpe.bpe_encode(_Rows(schema), VOCABULARY)(iter([batch])))
+    assert kept.cache_info().currsize > 0
+    list(with_scores(_Rows(schema), fit(np.zeros((0, len(FEATURES))), np.zeros(0, int)))(iter([batch])))
+    assert kept.cache_info().currsize == 0

@@ -30,6 +30,8 @@ OTHER = re.compile(rf"[^\t\n\r\x20-\x7e{LETTERS}–—‘-‟…]")
 PLAIN = re.compile(rf" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
 #: Entries of each of a worker's memories; those that were not asked for since it last filled up go.
 MEMORY = 200_000
+#: The same where texts are only encoded: there a worker shares its executor's memory with what the stages before left.
+ENCODE_MEMORY = 65_536
 
 
 def byte_chars() -> list[str]:
@@ -40,9 +42,9 @@ def byte_chars() -> list[str]:
 
 
 class Vocabulary:
-    """Tables of a byte-level BPE file: ranks (bytes first, then merges in order), splits, offsets."""
+    """Tables of a byte-level BPE file: ranks (bytes first, then merges in order), splits, offsets; memories of so many entries."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int | None = None):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         chars = byte_chars()
@@ -74,9 +76,11 @@ class Vocabulary:
         for r, t in enumerate(self.raw):
             self.automaton.add_word(t.decode("latin-1"), r)
         self.automaton.make_automaton()
-        self.fits = Memory(lambda pair: self.compatible(pair >> 32, pair & 0xFFFFFFFF))
-        self.longest = Memory(lambda text: next(self.automaton.iter_long(text))[1])
-        self.pieces = Memory(lambda text: packed(self.piece(text)))
+        memory = memory or MEMORY
+        self.fits = Memory(lambda pair: self.compatible(pair >> 32, pair & 0xFFFFFFFF), memory)
+        self.longest = Memory(lambda text: next(self.automaton.iter_long(text))[1], memory)
+        self.pieces = Memory(lambda text: packed(self.piece(text)), memory)
+        self.native = Memory(lambda text: native(self.piece(text)), memory)
         # the decoder's table: all tokens' bytes in id order, and where each starts
         raw_of = {i: t for i, t in zip(self.id_of, self.raw, strict=True)} | {i: t.encode() for t, i in self.special.items()}
         sizes = np.array([len(raw_of.get(i, b"")) for i in range(max(raw_of, default=-1) + 1)], np.int64)
@@ -120,20 +124,28 @@ class Vocabulary:
                 at -= size[token]
                 last = out[-1] if out else -1
 
-    def plain(self, text: str) -> list[tuple[bytes, bytes]]:
+    def plain(self, text: str, known: Memory) -> list:
         """The encoded pieces of a text without special tokens."""
-        return list(map(self.pieces.__getitem__, (PATTERN if OTHER.search(text) else PLAIN).findall(text)))
+        return list(map(known.__getitem__, (PATTERN if OTHER.search(text) else PLAIN).findall(text)))
 
-    def encode(self, text: str) -> tuple[bytes, bytes]:
-        """Ids as native int32 bytes and as decimal text joined by commas."""
+    def found(self, text: str, known: Memory, pack) -> list:
+        """The encoded pieces and special tokens of a text."""
         found, at = [], 0
         for m in self.special_at.finditer(text) if self.special_at is not None else ():
-            found += self.plain(text[at : m.start()])
-            found.append(packed([self.special[m[0]]]))
+            found += self.plain(text[at : m.start()], known)
+            found.append(pack([self.special[m[0]]]))
             at = m.end()
-        found += self.plain(text[at:] if at else text)
+        return found + self.plain(text[at:] if at else text, known)
+
+    def encode(self, text: str) -> tuple[bytes, bytes]:
+        """Ids as native int32 bytes and as decimal text joined by commas."""
+        found = self.found(text, self.pieces, packed)
         return b"".join([x for x, _ in found]), b",".join([y for _, y in found])
 
+    def encode_native(self, text: str) -> bytes:
+        """Ids as native int32 bytes."""
+        return b"".join(self.found(text, self.native, native))
+
     def decode(self, ids: np.ndarray) -> bytes:
         start = self.offsets[ids]
         size = self.offsets[ids + 1] - start
@@ -143,23 +155,27 @@ class Vocabulary:
         return self.blob[np.repeat(start - (end - size), size) + np.arange(end[-1])].tobytes()
 
 
+def native(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 def packed(ids: list[int]) -> tuple[bytes, bytes]:
-    return array("i", ids).tobytes(), ",".join(map(str, ids)).encode()
+    return native(ids), ",".join(map(str, ids)).encode()
 
 
 class Memory(dict):
-    """Answers that were given before, the newest MEMORY to 2 * MEMORY of them; long questions are not kept."""
+    """Answers that were given before, the newest ``most`` to 2 * ``most`` of them; long questions are not kept."""
 
-    def __init__(self, answer):
+    def __init__(self, answer, most: int):
         super().__init__()
-        self.answer, self.older = answer, {}
+        self.answer, self.most, self.older = answer, most, {}
 
     def __missing__(self, key):
         if (new := self.older.get(key)) is None:
             new = self.answer(key)
             if isinstance(key, str) and len(key) > 64:
                 return new
-        if len(self) >= MEMORY:
+        if len(self) >= self.most:
             self.older = self.copy()
             self.clear()
         self[key] = new
@@ -167,8 +183,8 @@ class Memory(dict):
 
 
 @remembered
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+def vocabulary(path: str, memory: int | None = None) -> Vocabulary:
+    return Vocabulary(path, memory)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
@@ -202,9 +218,9 @@ def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
     """Adds ``ids`` (array of int) to every row; a null text has no ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary(path)
+        v = vocabulary(path, ENCODE_MEMORY)
         for batch in batches:
-            ids = [np.frombuffer(v.encode(t)[0], np.int32) for t in texts(batch)]
+            ids = [np.frombuffer(v.encode_native(t), np.int32) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "ids"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import free_models, held_out
 
 #: The bounded sample: labelled documents that are used for training at most (in expectation, dealt by hash), and pairs.
 TRAIN_DOCS, TRAIN_PAIRS, THRESHOLD = 6000, 30_000, 0.3
@@ -93,6 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> dict:
     rows = found.groupBy("doc_id", "_quality").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")).select("doc_id", "_quality", "one.text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_models()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([features(t.as_py()) for t in batch.column("text")], pa.list_(pa.float64())), batch.column("_quality").cast(pa.int32()), batch.column("doc_id").cast(pa.int64())], ["x", "y", "doc_id"])
 
@@ -106,6 +107,7 @@ def with_scores(docs: DataFrame, model: dict) -> DataFrame:
     """Adds ``score`` and ``predicted`` to every row; repeated rows score alike, a null text as an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_models()
         for batch in batches:
             x = np.array([features(t.as_py()) for t in batch.column("text")], np.float64).reshape(-1, len(FEATURES))
             s = score(model, x)
