@@ -149,6 +149,40 @@ def test_token_files(docs, empty, rows):
     assert token_files.token_files(empty, WORD_BPE).collect() == []
 
 
+def test_token_words_are_objects_once():
+    """Encoding holds Python objects for distinct words, not one for each occurrence."""
+    import tracemalloc
+
+    words = token_files.tokenizer_words(WORD_BPE)
+    text = " ".join(f"Word{'abcdefghij'[k % 10]}" for k in range(200_000))
+    token_files.encoded([text[:60]], words)
+    tracemalloc.start()
+    try:
+        got = token_files.encoded([text], words)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10 * 200_000
+    assert got == words.each([text])
+
+
+@pytest.mark.parametrize(("memory", "call"), [(800_000, 2000), (20, 3)])
+def test_token_words_match_the_library(monkeypatch, memory, call):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "MEMORY", memory)
+    monkeypatch.setattr(token_files, "CALL", call)
+    t, rng = Tokenizer.from_file(WORD_BPE), random.Random(9)
+    words = token_files.tokenizer_words.__wrapped__(WORD_BPE)
+    parts = ["the", "Ing", " ", "  ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "é", "E\u0301", "\u0301", "ß", "İ", "Σ", "Ɩ", "Ɵ", "Ⱥ", "ſ", "中文", "12", "'s", "'LL", "''", "...", "–", "×", "<|endoftext|>", "<|", "\U0001f600", "y" * 70]
+    for _ in range(20):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(40)]
+        got = token_files.encoded(texts, words)
+        assert [np.frombuffer(x, words.kind).tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert len(words.ids) == len(words.pieces) == len(words.used) <= memory
+    assert token_files.encoded([], words) == [] and token_files.encoded(["", " \n"], words) == [b"", b""]
+
+
 def test_index_is_minimal_and_tells_strangers():
     keys = token_files.key_hash(np.arange(20_000), np.zeros(20_000, bool), np.zeros(20_000, np.int64))
     levels, slot = token_files.build_index(keys)
