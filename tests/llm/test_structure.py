@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import itertools
 import random
@@ -285,6 +286,67 @@ def test_collocations_equal_brute_force(spark, prose, shard_bytes, top):
     assert phrases.collocations(docs.limit(0)).count() == 0
 
 
+def test_words_leave_no_garbage():
+    """A worker reads shard after shard; what it numbered before must not wait for a full collection."""
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(3):
+            ids, words = phrases.word_ids([b"New york, new york", b"a b"])
+        assert (ids.tolist(), words.to_pylist()) == ([0, 1, -1, 0, 1, -1, 2, 3, -1], [b"new", b"york", b"a", b"b"])
+        assert gc.collect() == 0
+    finally:
+        gc.enable()
+
+
+def test_counts_reach_the_jvm_in_blobs(spark, prose):
+    """A row for each bucket of a shard, not for each phrase: no aggregate of the JVM holds the phrases."""
+    docs = spark.createDataFrame(prose, "text string, lang string").where("lang IS NOT NULL AND text IS NOT NULL").coalesce(1)
+    blobs = phrases._mined(docs, 2, [], 0, 1, 3, 1 << 24)
+    summed = phrases._summed(blobs, 1, 3)
+    assert blobs.count() <= 3 * 2 < summed.count()
+    assert "Aggregate" not in summed._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 24, 700])
+def test_collocations_of_many_buckets(spark, prose, shard_bytes, monkeypatch):
+    """More buckets than tasks: a task sorts its own and adds up one after the other."""
+    monkeypatch.setattr(phrases, "BUCKET_WORDS", 100)
+    docs = spark.createDataFrame(prose, "text string, lang string").repartition(3)
+    got = phrases.collocations(docs, support=10, shard_bytes=shard_bytes)
+    assert set(map(tuple, got.collect())) == brute_collocations(prose, 10)
+
+
+class OneWorker:
+    """Stands for a table: keeps what it would run on each partition."""
+
+    sparkSession = conf = property(lambda self: self)
+    get = lambda self, key: "1"
+    repartitionById = sortWithinPartitions = lambda self, *_: self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+@pytest.mark.parametrize("part, merge", [(1, 1), (2, 3), (1 << 16, 1 << 19)])
+def test_blobs_add_up(part, merge, monkeypatch):
+    """Parts, batches that are cut anywhere, merges in between, empty languages and words of any bytes."""
+    monkeypatch.setattr(phrases, "PART_ROWS", part)
+    monkeypatch.setattr(phrases, "MERGE_ROWS", merge)
+    shards = [{"en": [b"a b a", b"x\x00y \xc3\xa9"], "": [b"a b"]}, {"en": [b"b", b""], "und": [b" . "]}, {"": [b"a " * 9]}]
+    batches = iter([pa.RecordBatch.from_pylist([{"lang": g, "text": t.decode()} for g, own in s.items() for t in own]) for s in shards])
+    sent = pa.Table.from_batches(phrases._counted(OneWorker(), 1, [], 5, 4)(batches)).combine_chunks()
+    sent = sent.sort_by("bucket").combine_chunks().to_batches()[0]
+    cut = [sent.slice(at, 2) for at in range(0, sent.num_rows, 2)]
+    got = [r for b in phrases._summed(OneWorker(), 2, 5, with_words=True)(iter(cut)) for r in b.to_pylist()]
+    assert sorted((r["lang"], r["phrase"], r["f"]) for r in got if r["phrase"] is not None) == [("", "a", 10), ("en", "a", 2), ("en", "b", 2)]
+    n = Counter()
+    for r in got:
+        if r["phrase"] is None:
+            n[r["lang"]] += r["f"]
+    assert n == {"en": 6, "": 11, None: 17}
+
+
 def test_exact_scores_beyond_64_bits(spark):
     wide = "CAST({} AS DECIMAL(19, 0))".format
     a = 4_000_000_007

@@ -13,12 +13,18 @@ nothing, its counts are whole, and the second pass is not needed. (A support
 that does not grow with the corpus gives every corpus of more than S shards a
 local support of 1; what bounds the work there is the filter of the length
 before.)
+
+Counts travel in blobs: a shard sends one row for each language and bucket of
+phrase hashes, all of its phrases there one after the other. The JVM only deals
+the blobs out and sorts them by bucket; a worker adds up one bucket at a time,
+and buckets are as many as keep that small at any size of input.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import free_models, staged
 
 #: A shard ends once it holds so many bytes of text.
 SHARD_BYTES = 2 << 20
 #: Texts are cut into words, and phrases sent on, in parts of this size.
 PART_BYTES, PART_ROWS = 1 << 20, 1 << 16
+#: The corpus's words for each bucket of phrases, at most; counts of a bucket are merged after so many rows.
+BUCKET_WORDS, MERGE_ROWS = 1 << 20, 1 << 19
 #: Bits of the filter of known phrases that every task gets: 8 MB at any size of input.
 FILTER_BITS = 1 << 26
 BLOCK_BITS = 1 << 15
@@ -41,13 +49,13 @@ UNKNOWN = "und"
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _UPPER = bytes(range(65, 91))
 _TABLE = bytes.maketrans(_UPPER + _BREAKS + b"\t", _UPPER.lower() + b"\n" * len(_BREAKS) + b" ")
-ROWS = "lang string, phrase string, c long"
+BLOBS = "bucket long, lang string, phrases binary, lengths binary, counts binary"
+ROWS = "lang string, phrase string, f long"
 
 
 def word_ids(texts: list[bytes]) -> tuple[np.ndarray, pa.BinaryArray]:
     """Word numbers of all texts in a row, -1 where a piece ends, and the words by number."""
-    numbers: defaultdict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
+    numbers: defaultdict[bytes, int] = defaultdict(count().__next__)  # a method of its own would keep it until a full collection of garbage
     end, blank = numbers[b"\n"], numbers[b""]
     found, start, held = [], 0, 0
     for k, text in enumerate(texts, 1):
@@ -55,7 +63,7 @@ def word_ids(texts: list[bytes]) -> tuple[np.ndarray, pa.BinaryArray]:
         if held < PART_BYTES and k < len(texts):
             continue
         tokens = (b"\n".join(texts[start:k]) + b"\n").translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
-        ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+        ids = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
         found.append(ids[ids != blank])
         start, held = k, 0
     ids = np.concatenate(found) - 2
@@ -117,22 +125,22 @@ class Known:
         return (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def phrase_counts(ids: np.ndarray, words: pa.BinaryArray, lang: str, length: int, known: list[Known]) -> tuple[pa.BinaryArray, np.ndarray]:
-    """Phrases of so many words with their counts, those left out that hold a shorter one which ``known`` lacks.
+def phrase_counts(ids: np.ndarray, hashes: np.ndarray, length: int, known: list[Known]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Phrases of so many words, as arrays of their first words, second words and so on, and their counts; those left out that hold a shorter one which ``known`` lacks.
 
-    Where ``known`` goes as far as ``length``, its last filter is of the phrases themselves.
+    ``hashes`` are those of the words by number. Where ``known`` goes as far
+    as ``length``, its last filter is of the phrases themselves.
     """
-    hashes = word_hashes(lang, words.to_pylist()) if known else None
-    grams, counts, start = ids, np.bincount(ids[ids >= 0], minlength=len(words)), None
+    grams, counts, start = ids, np.bincount(ids[ids >= 0], minlength=len(hashes)), None
     for k in range(1, length + 1):
         if k > 1:
             pairs = np.flatnonzero((grams[:-1] >= 0) & (grams[1:] >= 0))
             if not len(pairs):
-                return words.slice(0, 0), np.zeros(0, np.int64)
-            codes = grams[pairs] * len(counts) + grams[pairs + 1]
+                return [ids[:0]] * length, np.zeros(0, np.int64)
+            codes = grams[pairs].astype(np.int64) * len(counts) + grams[pairs + 1]
             if k < length:
                 _, first, at, counts = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-                grams = np.full(len(ids), -1)
+                grams = np.full(len(ids), -1, np.int32)
                 grams[pairs] = at
                 del at
             else:
@@ -144,18 +152,17 @@ def phrase_counts(ids: np.ndarray, words: pa.BinaryArray, lang: str, length: int
             if k == length:
                 start, counts = start[passed], counts[passed]
             else:
-                number = np.full(len(counts) + 1, -1)  # the last one is that of -1
+                number = np.full(len(counts) + 1, -1, np.int32)  # the last one is that of -1
                 number[:-1][passed] = np.flatnonzero(passed)
                 grams = number[grams]
-    if length == 1:
-        return words, counts
-    return pc.binary_join_element_wise(*(words.take(pa.array(ids[start + j])) for j in range(length)), b" "), counts
+    return [np.arange(len(hashes))] if length == 1 else [ids[start + j] for j in range(length)], counts
 
 
 def _over_shards(docs: DataFrame, shard: Callable[[dict[str, list[bytes]]], Iterator[pa.RecordBatch]], shard_bytes: int) -> DataFrame:
     """Applies ``shard`` to texts by language, shard by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_models()
         texts: dict[str, list[bytes]] = {}
         held = 0
         for batch in batches:
@@ -170,32 +177,62 @@ def _over_shards(docs: DataFrame, shard: Callable[[dict[str, list[bytes]]], Iter
         if texts:
             yield from shard(texts)
 
-    return docs.mapInArrow(run, ROWS)
+    return docs.mapInArrow(run, BLOBS)
+
+
+def _cut(data: pa.Buffer | np.ndarray, edges: np.ndarray) -> pa.BinaryArray:
+    """The bytes from each edge to the next, not copied."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(data)])
+
 
+def _bytes_of(column: pa.BinaryArray) -> tuple[pa.Buffer, np.ndarray]:
+    """All bytes of a column without nulls, and where its values begin and end in them."""
+    _, edges, data = column.buffers()
+    return data or pa.py_buffer(b""), np.frombuffer(edges, np.int32)[column.offset :][: len(column) + 1]
 
-def _batches(lang: str, phrases: pa.BinaryArray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(phrases), PART_ROWS):
-        part = phrases.slice(at, PART_ROWS)
-        yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(part)), part.cast(pa.string()), pa.array(counts[at : at + PART_ROWS], pa.int64())], ["lang", "phrase", "c"])
 
+def _numbers_of(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All 32-bit numbers that a column's values hold, and where each value's begin and end among them."""
+    data, edges = _bytes_of(column)
+    return np.frombuffer(data, np.int32, (edges[-1] - edges[0]) // 4, edges[0]), (edges - edges[0]) // 4
 
-def _counted(docs: DataFrame, length: int, filters: list, shard_bytes: int) -> DataFrame:
-    """Counts, shard by shard, of the phrases that the filters let pass; with words, a row of each shard's number of words."""
+
+def _blobs(lang: str, phrases: list[np.ndarray], counts: np.ndarray, words: pa.BinaryArray, hashes: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Phrases, as ``phrase_counts`` has them, in the order of their buckets: a row for each bucket in a part."""
+    bucket = (phrase_hashes([hashes[p] for p in phrases]) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    for at in range(0, len(order), PART_ROWS):
+        own = order[at : at + PART_ROWS]
+        texts = [words.take(pa.array(p[own])) for p in phrases]
+        data, ends = _bytes_of(pc.binary_join_element_wise(*texts, b" ") if len(texts) > 1 else texts[0])
+        b = bucket[own]
+        edges = np.r_[0, np.flatnonzero(b[1:] != b[:-1]) + 1, len(own)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(b[edges[:-1]]), pa.repeat(lang, len(edges) - 1), _cut(data, ends[edges]), _cut(np.diff(ends).astype(np.int32), 4 * edges), _cut(counts[own].astype(np.int32), 4 * edges)],
+            ["bucket", "lang", "phrases", "lengths", "counts"],
+        )
+
+
+def _counted(docs: DataFrame, length: int, filters: list, buckets: int, shard_bytes: int) -> DataFrame:
+    """Counts, shard by shard, of the phrases that the filters let pass; with words, a row without a language for each shard's number of words."""
 
     def shard(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
         known = [f.value for f in filters]
         n = 0
         for lang, own in texts.items():
-            phrases, counts = phrase_counts(*word_ids(own), lang, length, known)
+            ids, words = word_ids(own)
+            hashes = word_hashes(lang, words.to_pylist())
+            phrases, counts = phrase_counts(ids, hashes, length, known)
             n += int(counts.sum())
-            yield from _batches(lang, phrases, counts)
+            yield from _blobs(lang, phrases, counts, words, hashes, buckets)
         if length == 1:
-            yield from _batches("", pa.nulls(1, pa.binary()), np.array([n]))
+            row = {"bucket": n % buckets, "lang": None, "phrases": b"", "lengths": b"", "counts": np.int32(n).tobytes()}
+            yield pa.RecordBatch.from_pylist([row], pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("phrases", pa.binary()), ("lengths", pa.binary()), ("counts", pa.binary())]))
 
     return _over_shards(docs, shard, shard_bytes)
 
 
-def _mined(docs: DataFrame, length: int, filters: list, support: int, total: int, shard_bytes: int) -> DataFrame:
+def _mined(docs: DataFrame, length: int, filters: list, support: int, total: int, buckets: int, shard_bytes: int) -> DataFrame:
     """What is frequent within a shard, with its count there; without a support, everything."""
 
     def shard(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
@@ -203,17 +240,73 @@ def _mined(docs: DataFrame, length: int, filters: list, support: int, total: int
         read = {lang: word_ids(own) for lang, own in texts.items()}
         least = max(1, -(-support * sum(int((ids >= 0).sum()) for ids, _ in read.values()) // total))
         for lang, (ids, words) in read.items():
-            phrases, counts = phrase_counts(ids, words, lang, length, known)
+            hashes = word_hashes(lang, words.to_pylist())
+            phrases, counts = phrase_counts(ids, hashes, length, known)
             if least > 1:
                 kept = np.flatnonzero(counts >= least)
-                phrases, counts = phrases.take(pa.array(kept)), counts[kept]
-            yield from _batches(lang, phrases, counts)
+                phrases, counts = [p[kept] for p in phrases], counts[kept]
+            yield from _blobs(lang, phrases, counts, words, hashes, buckets)
 
     return _over_shards(docs, shard, shard_bytes)
 
 
-def _frequent(counts: DataFrame, support: int) -> DataFrame:
-    return counts.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= support)
+def _summed(blobs: DataFrame, least: int, buckets: int, with_words: bool = False) -> DataFrame:
+    """(lang, phrase, f) of the phrases whose counts in all shards add up to ``least``.
+
+    With words, also rows without a phrase: a language's number of words in
+    each bucket, and without a language a shard's number of words.
+    """
+    tasks = int(blobs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def rows(lang: pa.Array, phrase: pa.Array, f: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([lang, phrase, f], ["lang", "phrase", "f"])
+
+    def merged(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")]).rename_columns({"f_sum": "f"})
+
+    def frequent(held: list[pa.Table], langs: list[str]) -> Iterator[pa.RecordBatch]:
+        found, names = merged(held), pa.array(langs, pa.string())
+        if with_words:
+            n = found.group_by("lang", use_threads=False).aggregate([("f", "sum")]).combine_chunks().to_batches()[0]
+            yield rows(names.take(n["lang"]), pa.nulls(n.num_rows, pa.string()), n["f_sum"])
+        for part in found.filter(pc.field("f") >= least).combine_chunks().to_batches(PART_ROWS):
+            yield rows(names.take(part["lang"]), part["phrase"].cast(pa.string()), part["f"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_models()
+        number: defaultdict[str, int] = defaultdict(count().__next__)
+        held: list[pa.Table] = []
+        current, fresh = None, 0
+        for batch in batches:
+            if with_words and batch.column("lang").null_count:
+                shards = batch.filter(pc.is_null(batch.column("lang")))
+                n = np.array([np.frombuffer(c, np.int32)[0] for c in shards.column("counts").to_pylist()], np.int64)
+                yield rows(pa.nulls(len(n), pa.string()), pa.nulls(len(n), pa.string()), pa.array(n))
+                batch = batch.filter(pc.is_valid(batch.column("lang")))
+            if not batch.num_rows:
+                continue
+            bucket, coded = batch.column("bucket").to_numpy(), batch.column("lang").dictionary_encode()
+            lang = np.array([number[x] for x in coded.dictionary.to_pylist()], np.int32)[coded.indices.to_numpy()]
+            data, ends = _bytes_of(batch.column("phrases"))
+            lengths, at = _numbers_of(batch.column("lengths"))
+            counts, _ = _numbers_of(batch.column("counts"))
+            phrases = _cut(data, ends[0] + np.r_[0, np.cumsum(lengths)])
+            table = pa.table({"lang": np.repeat(lang, np.diff(at)), "phrase": phrases, "f": counts.astype(np.int64)})
+            edges = np.r_[0, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket)]
+            for begin, end in zip(edges[:-1], edges[1:], strict=True):
+                if held and bucket[begin] != current:
+                    yield from frequent(held, list(number))
+                    held, fresh = [], 0
+                current = bucket[begin]
+                held.append(table.slice(at[begin], at[end] - at[begin]))
+                fresh += held[-1].num_rows
+                if fresh >= MERGE_ROWS:
+                    held, fresh = [merged(held)], 0
+        if held:
+            yield from frequent(held, list(number))
+
+    dealt = blobs.repartitionById(tasks, (F.col("bucket") % tasks).cast("int"))
+    return (dealt.sortWithinPartitions("bucket") if buckets > tasks else dealt).mapInArrow(run, ROWS)
 
 
 def frequent_phrases(docs: DataFrame, most_words: int = 3, support: int = 10, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
@@ -225,22 +318,22 @@ def frequent_phrases(docs: DataFrame, most_words: int = 3, support: int = 10, sh
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    words = staged(_counted(rows, 1, [], shard_bytes), "phrases-1")
-    # a row without a phrase holds the words of a shard
-    shards, words = words.where("phrase IS NULL"), words.where("phrase IS NOT NULL")
-    n = words.groupBy("lang").agg(F.sum("c").alias("n"))
-    found = [staged(_frequent(words, support), "frequent-1")]
-    total, largest = (x or 0 for x in shards.agg(F.sum("c"), F.max("c")).first())
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = staged(_summed(_counted(rows, 1, [], buckets, shard_bytes), support, buckets, with_words=True), "frequent-1")
+    # rows without a phrase hold the words of a language, those without a language the words of a shard
+    shards, found = words.where("lang IS NULL"), [words.where("phrase IS NOT NULL")]
+    n = words.where("lang IS NOT NULL AND phrase IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+    total, largest = (x or 0 for x in shards.agg(F.sum("f"), F.max("f")).first())
     withhold = support * largest > total  # some local support is over 1
+    buckets *= max(1, -(-total // (buckets * BUCKET_WORDS)))  # the same number for each task
     filters: list = []
     for k in range(2, most_words + 1):
         filters.append(spark.sparkContext.broadcast(Known.of(found[-1])))
-        local = _mined(rows, k, filters, support if withhold else 0, max(total, 1), shard_bytes)
+        local = _mined(rows, k, filters, support if withhold else 0, max(total, 1), buckets, shard_bytes)
         if withhold:
-            local = staged(local, f"phrases-{k}")
-            union = spark.sparkContext.broadcast(Known.of(local))
-            local = _counted(rows, k, [*filters, union], shard_bytes)
-        found.append(staged(_frequent(local, support), f"frequent-{k}"))
+            union = spark.sparkContext.broadcast(Known.of(staged(_summed(local, 1, buckets), f"phrases-{k}")))
+            local = _counted(rows, k, [*filters, union], buckets, shard_bytes)
+        found.append(staged(_summed(local, support, buckets), f"frequent-{k}"))
     parts = [f.select("lang", "phrase", "f", F.lit(k).alias("k")) for k, f in enumerate(found, 1)]
     every = parts[0]
     for p in parts[1:]:
